@@ -162,53 +162,64 @@ def split_results(rows: DataFrame, state: str) -> dict[str, DataFrame]:
 
 
 class VersionedTable:
-    """A Parquet table replaced one whole version at a time.
+    """Parquet folders behind a pointer file, replaced or extended as a whole.
 
-    A version is written under its own name and becomes current only when the
-    pointer file is replaced, so a reader or a failed job never sees half a
-    table and a table may be rewritten from itself.
+    Rows are written to a folder of their own and become current only when the
+    next pointer, which lists the current folders, is put in place. A reader or
+    a failed job never sees half a table, and a table may be rewritten from
+    itself.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
-    def _pointers(self) -> list[tuple[int, str]]:
-        fs = self._fs()
-        folder = self._path("_pointers")
+    def _fs(self):
+        return self._path(".").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _latest(self) -> tuple[int, list[str]]:
+        fs, folder = self._fs(), self._path("_pointers")
         if not fs.exists(folder):
-            return []
+            return 0, []
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names if n[0].isdigit())
+        numbers = sorted(int(n) for n in names if n.isdigit())
+        if not numbers:
+            return 0, []
+        # A pointer is a short text file with one folder name per line.
+        lines = self.spark.read.text(f"{self.root}/_pointers/{numbers[-1]:012d}").collect()
+        return numbers[-1], [r["value"] for r in lines]
 
     def exists(self) -> bool:
-        return bool(self._pointers())
+        return bool(self._latest()[1])
 
     def read(self) -> DataFrame:
-        pointers = self._pointers()
-        if not pointers:
-            raise FileNotFoundError(f"no version of {self.root}")
-        return self.spark.read.parquet(f"{self.root}/{pointers[-1][1]}")
+        folders = self._latest()[1]
+        if not folders:
+            raise FileNotFoundError(f"{self.root} holds no data")
+        return self.spark.read.parquet(*[f"{self.root}/{f}" for f in folders])
+
+    def _publish(self, df: DataFrame, keep_old: bool, tag: str | None, options: dict) -> DataFrame:
+        number, folders = self._latest()
+        name = tag or f"v{uuid.uuid4().hex}"
+        if name not in folders:
+            df.write.mode("overwrite").options(**options).parquet(f"{self.root}/{name}")
+            current = [*folders, name] if keep_old else [name]
+            draft = self._path(f"_drafts/{uuid.uuid4().hex}")
+            out = self._fs().create(draft, False)
+            out.write(bytearray("\n".join(current), "utf-8"))
+            out.close()
+            self._fs().mkdirs(self._path("_pointers"))
+            if not self._fs().rename(draft, self._path(f"_pointers/{number + 1:012d}")):
+                raise RuntimeError(f"{self.root} was changed by another writer")
+        return self.read()
 
     def write(self, df: DataFrame, tag: str | None = None, **options) -> DataFrame:
-        """Write a new version and make it current. A tag already present is kept."""
-        pointers = self._pointers()
-        version = tag or f"v{uuid.uuid4().hex}"
-        if any(name == version for _, name in pointers):
-            return self.spark.read.parquet(f"{self.root}/{version}")
-        df.write.mode("overwrite").options(**options).parquet(f"{self.root}/{version}")
-        number = pointers[-1][0] + 1 if pointers else 1
-        self._fs().create(self._path(f"_pointers/{number:012d}-{version}"), False).close()
-        return self.spark.read.parquet(f"{self.root}/{version}")
-
-    def append(self, df: DataFrame, tag: str | None = None) -> DataFrame:
-        """Add rows as a new version; the first append makes the table."""
-        rows = self.read().unionByName(df, allowMissingColumns=True) if self.exists() else df
-        return self.write(rows, tag)
+        """Replace the rows. Repeating a tag that is current changes nothing."""
+        return self._publish(df, False, tag, options)
+
+    def append(self, df: DataFrame, tag: str | None = None, **options) -> DataFrame:
+        """Add rows without touching the ones that are there."""
+        return self._publish(df, True, tag, options)
