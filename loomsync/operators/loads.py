@@ -180,27 +180,40 @@ class VersionedTable:
     def _fs(self):
         return self._path(".").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _latest(self) -> tuple[int, list[str]]:
+    def _numbers(self) -> list[int]:
         fs, folder = self._fs(), self._path("_pointers")
         if not fs.exists(folder):
-            return 0, []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        numbers = sorted(int(n) for n in names if n.isdigit())
-        if not numbers:
-            return 0, []
+            return []
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit())
+
+    def _folders(self, number: int) -> list[str]:
         # A pointer is a short text file with one folder name per line.
-        lines = self.spark.read.text(f"{self.root}/_pointers/{numbers[-1]:012d}").collect()
-        return numbers[-1], [r["value"] for r in lines]
+        return [r["value"] for r in self.spark.read.text(f"{self.root}/_pointers/{number:012d}").collect()]
+
+    def _latest(self) -> tuple[int, list[str]]:
+        numbers = self._numbers()
+        return (numbers[-1], self._folders(numbers[-1])) if numbers else (0, [])
 
     def exists(self) -> bool:
-        return bool(self._latest()[1])
+        return bool(self._numbers())
 
-    def read(self) -> DataFrame:
-        folders = self._latest()[1]
+    def holds(self, tag: str) -> bool:
+        """True when the tagged rows are part of the table."""
+        return tag in self._latest()[1]
+
+    def _open(self, folders: list[str]) -> DataFrame:
         if not folders:
             raise FileNotFoundError(f"{self.root} holds no data")
         return self.spark.read.parquet(*[f"{self.root}/{f}" for f in folders])
 
+    def read(self) -> DataFrame:
+        return self._open(self._latest()[1])
+
+    def read_before(self, tag: str) -> DataFrame:
+        """The table as it was before ``tag``, or as it is when the tag is not current."""
+        number, folders = self._latest()
+        return self._open(self._folders(number - 1) if tag in folders else folders)
+
     def _publish(self, df: DataFrame, keep_old: bool, tag: str | None, options: dict) -> DataFrame:
         number, folders = self._latest()
         name = tag or f"v{uuid.uuid4().hex}"

@@ -249,7 +249,8 @@ def _steps(rows: DataFrame) -> DataFrame:
     )
     keys = ["pid", "window_no", "grp"]
     long = rows.select("pid", "window_no", F.when(good, F.col("mq_id")).alias("mq_id"), F.inline(entries))
-    distinct = long.groupBy(*keys, "hash", "after").agg(F.max("mq_id").alias("latest"))
+    distinct = long.groupBy(*keys, "hash").agg(F.max(F.struct("mq_id", "after")).alias("_top"))
+    distinct = distinct.select(*keys, "hash", F.col("_top.mq_id").alias("latest"), F.col("_top.after").alias("after"))
     newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("latest"))
     ranked = distinct.withColumn("rank", F.row_number().over(newest)).filter("rank <= 2")
     picks: dict[str, Column] = {}
@@ -367,12 +368,21 @@ def _next_id(table: DataFrame, column: str) -> int:
 
 
 def _with_new_ids(plan: DataFrame, state: State) -> DataFrame:
-    """Ids for the addresses and phones this run inserts, in member order."""
-    addresses = plan.filter("new_address").select("member_id").distinct()
-    phones = plan.filter("new_phone").select("member_id", "segment").distinct()
-    addresses = number_rows(addresses, ["member_id"], "new_addr_id", _next_id(state.addresses, "addr_id"))
-    phones = number_rows(phones, ["member_id", "segment"], "new_phn_id", _next_id(state.phones, "phn_id"))
-    return plan.join(addresses, "member_id", "left").join(phones, ["member_id", "segment"], "left")
+    """Ids for the addresses and phones this run inserts, in member order.
+
+    Both kinds are numbered in one pass, addresses first; phones are moved down
+    by the number of addresses.
+    """
+    addresses = plan.filter("new_address").select(F.lit(0).alias("_kind"), "member_id", F.lit(0).alias("segment"))
+    phones = plan.filter("new_phone").select(F.lit(1).alias("_kind"), "member_id", "segment")
+    wanted = addresses.unionByName(phones).distinct()
+    numbered = number_rows(wanted, ["_kind", "member_id", "segment"], "_nth", 0)
+    shift = plan.filter("new_address").agg(F.countDistinct("member_id")).first()[0]
+    address_id = F.col("_nth") + _next_id(state.addresses, "addr_id")
+    phone_id = F.col("_nth") - shift + _next_id(state.phones, "phn_id")
+    new_addresses = numbered.filter("_kind = 0").select("member_id", address_id.alias("new_addr_id"))
+    new_phones = numbered.filter("_kind = 1").select("member_id", "segment", phone_id.alias("new_phn_id"))
+    return plan.join(new_addresses, "member_id", "left").join(new_phones, ["member_id", "segment"], "left")
 
 
 def resolve(

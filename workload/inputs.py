@@ -36,19 +36,23 @@ SELECT c_custkey AS member_id,
 FROM {customer}
 """
 
-DERIVED["addresses"] = """
-SELECT c.c_custkey AS member_id, c.c_custkey * 10 + x.nth AS addr_id,
-       cast(c.c_custkey % 900 + 1 AS string) || ' Main Street' AS address1,
-       CASE WHEN c.c_custkey % 8 = 0 THEN 'Unit ' || cast(x.nth AS string) END AS address2,
+_ADDRESS = """
+SELECT c.c_custkey AS member_id, c.c_custkey * 10 + %(nth)d AS addr_id,
+       cast(c.c_custkey %% 900 + 1 AS string) || ' Main Street' AS address1,
+       CASE WHEN c.c_custkey %% 8 = 0 THEN 'Unit %(nth)d' END AS address2,
        cast(NULL AS string) AS address3, cast(NULL AS string) AS address4,
        n.n_name AS city, r.r_name AS county, 'S' || cast(n.n_nationkey AS string) AS state,
-       lpad(cast(c.c_custkey % 100000 AS string), 5, '0') AS postal, 'C' || cast(r.r_regionkey AS string) AS country
+       lpad(cast(c.c_custkey %% 100000 AS string), 5, '0') AS postal, 'C' || cast(r.r_regionkey AS string) AS country
 FROM {customer} c
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
-JOIN (SELECT cast(1 AS bigint) AS nth UNION ALL SELECT cast(2 AS bigint) AS nth) x
-  ON x.nth <= CASE WHEN c.c_custkey % 5 = 0 THEN 0 WHEN c.c_custkey % 50 = 1 THEN 2 ELSE 1 END
+WHERE %(test)s
 """
+DERIVED["addresses"] = (
+    _ADDRESS % {"nth": 1, "test": "c.c_custkey % 5 <> 0"}
+    + "UNION ALL"
+    + _ADDRESS % {"nth": 2, "test": "c.c_custkey % 50 = 1"}
+)
 
 DERIVED["phones"] = """
 SELECT c_custkey AS member_id, c_custkey * 10 + 1 AS phn_id,
