@@ -6,12 +6,13 @@ raw text in a rejects array, so nothing is lost.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomsync.functions.names import canonical_identifier, strip_nul, strip_whitespace
+from loomsync.functions.names import RESERVED_WORDS, strip_nul, strip_whitespace
 
 REJECTS = "_rejects"
 _NO_REJECTS = "array<struct<field:string,raw:string>>"
@@ -101,17 +102,35 @@ def cast_text_frame(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return _with_rejects(df, typed, failures)
 
 
+def _double_text(value: Column) -> Column:
+    """Shortest decimal text: plain from 0.0001 up to 1e16, else with an exponent."""
+    size = F.abs(value)
+    fixed = F.regexp_replace(value.try_cast("decimal(38,21)").cast("string"), r"0+\z", "")
+    fixed = F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
+    power = F.regexp_replace(value.cast("string"), r"(\.0)?E(\d)", "e+$2")
+    power = F.regexp_replace(power, r"(\.0)?E-", "e-")
+    power = F.regexp_replace(power, r"e([+-])(\d)\z", "e$10$2")
+    plain = (size == 0) | ((size >= 1e-3) & (size < 1e7)) | F.isnan(value)
+    return (
+        F.when(plain, value.cast("string"))
+        .when((size >= 1e-4) & (size < 1e16), fixed)
+        .otherwise(F.regexp_replace(power, r"Infinity", "inf"))
+    )
+
+
 def to_text(value: Column, kind: str) -> Column:
     """Text sent to a CRM target for a value of the given Spark type name."""
     if kind == "boolean":
         text = F.when(value, "true").when(~value, "false")
-    elif kind == "timestamp":
-        text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+    elif kind in ("timestamp", "timestamp_ntz"):
+        whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
         micros = F.date_format(value, "SSSSSS")
-        text = F.when(micros == "000000", text).otherwise(F.concat_ws(".", text, micros))
-        text = F.when(value.isNotNull(), text)
+        text = F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+        text = F.concat(text, F.date_format(value, "xxx")) if kind == "timestamp" else text
     elif kind in ("struct", "array", "map"):
         text = F.to_json(value)
+    elif kind == "double":
+        text = _double_text(value)
     else:
         text = value.cast("string")
     return F.coalesce(text, F.lit(""))
@@ -221,10 +240,6 @@ def normalize_frame(df: DataFrame, spec) -> DataFrame:
 
 def canonical_name(name: str) -> str:
     """Canonical form of one schema name, for use while a plan is built."""
-    import re
-
-    from loomsync.functions.names import RESERVED_WORDS
-
     word = re.sub(r"[^A-Za-z0-9_]+", "_", name.strip()).strip("_").upper()
     if not word:
         raise ValueError(f"no identifier can be made from {name!r}")

@@ -79,6 +79,7 @@ def main():
     module, con = registry(), duck(folder)
     queries, oracle = module.queries(), module.oracle_sql()
     bad = 0
+    print(f"folder {folder}", flush=True)
     for name, fn in queries.items():
         if wanted and not name.startswith(wanted):
             continue

@@ -121,6 +121,84 @@ LEFT JOIN {phones} p ON p.member_id = m.member_id AND p.phn_id = m.member_id * 1
 """
 
 
+DERIVED["cells"] = """
+SELECT o_orderkey AS row_id,
+       CASE o_orderkey % 6 WHEN 0 THEN 'true' WHEN 1 THEN 'TRUE' WHEN 2 THEN 'false' WHEN 3 THEN 'yes' WHEN 4 THEN ''
+       END AS flag,
+       CASE o_orderkey % 7 WHEN 0 THEN ' ' || cast(o_orderkey AS string) || ' ' WHEN 1 THEN '+' || cast(o_orderkey AS string)
+            WHEN 2 THEN '3.14' WHEN 3 THEN '' WHEN 4 THEN '-' || cast(o_orderkey AS string)
+            WHEN 5 THEN 'x' || cast(o_orderkey AS string) END AS whole,
+       CASE o_orderkey % 5 WHEN 0 THEN '1e3' WHEN 1 THEN 'abc' WHEN 2 THEN ''
+            ELSE cast(cast(o_totalprice AS decimal(18, 2)) AS string) END AS real_text,
+       CASE o_orderkey % 5 WHEN 0 THEN '1,234,' || lpad(cast(o_orderkey % 1000 AS string), 3, '0') || '.50'
+            WHEN 1 THEN ' 100.50 ' WHEN 2 THEN 'n/a' WHEN 3 THEN ''
+            ELSE cast(cast(o_totalprice AS decimal(18, 2)) AS string) END AS money,
+       CASE o_orderkey % 6 WHEN 0 THEN cast(cast(o_orderdate AS date) AS string) || 'T00:00:00' WHEN 1 THEN 'not a date'
+            WHEN 2 THEN '' WHEN 3 THEN '2024-13-45' ELSE cast(cast(o_orderdate AS date) AS string) END AS day,
+       CASE o_orderkey % 9 WHEN 7 THEN 'later' WHEN 8 THEN ''
+            WHEN 5 THEN cast(cast(o_orderdate AS date) AS string) || ' 08:15:00'
+            ELSE cast(cast(o_orderdate AS date) AS string) || 'T12:' || lpad(cast(o_orderkey % 60 AS string), 2, '0') || ':00'
+              || CASE o_orderkey % 9 WHEN 0 THEN '' WHEN 1 THEN 'Z' WHEN 2 THEN '+0000' WHEN 3 THEN '+02:00'
+                                     WHEN 4 THEN '.123' ELSE '-05:30' END END AS stamp,
+       CASE o_orderkey % 5 WHEN 0 THEN '12:30:00.000Z' WHEN 1 THEN '08:15' WHEN 2 THEN '25:00:00' WHEN 3 THEN ''
+            ELSE '23:59:' || lpad(cast(o_orderkey % 60 AS string), 2, '0') END AS clock,
+       CASE o_orderkey % 5 WHEN 0 THEN 'Y' WHEN 1 THEN ' y ' WHEN 2 THEN 'N' WHEN 3 THEN '' END AS yn,
+       CASE o_orderkey % 5 WHEN 0 THEN '   ' WHEN 1 THEN chr(9) || ' ' WHEN 2 THEN chr(0) || ' '
+            WHEN 3 THEN 'a' || chr(0) || o_orderpriority ELSE ' ' || o_orderpriority || chr(9) END AS note
+FROM {orders}
+"""
+
+DERIVED["names"] = """
+SELECT DISTINCT name FROM (
+  SELECT p_name || '.' || p_type AS name FROM {part}
+  UNION ALL SELECT url AS name FROM {pages}
+  UNION ALL SELECT '  ' || c_name || ' ' AS name FROM {customer}
+  UNION ALL SELECT cast(p_size AS string) || ' ' || p_name AS name FROM {part}
+  UNION ALL SELECT 'Org_' || replace(p_name, ' ', '') || cast(p_partkey AS string) || '__c' AS name FROM {part}
+  UNION ALL SELECT repeat(p_name || ' ', 20) || cast(p_partkey AS string) AS name FROM {part}
+  UNION ALL SELECT CASE p_partkey % 9 WHEN 0 THEN 'Select' WHEN 1 THEN 'Index' WHEN 2 THEN 'order' WHEN 3 THEN 'Case'
+                   WHEN 4 THEN '  group ' WHEN 5 THEN '***' WHEN 6 THEN '' WHEN 7 THEN 'Date!' ELSE p_brand END AS name
+            FROM {part}) AS n
+"""
+
+DERIVED["table_names"] = """
+SELECT p_partkey AS name_id,
+       CASE p_partkey % 5 WHEN 0 THEN 'Contact' || cast(p_partkey AS string)
+            WHEN 1 THEN 'ora_unit' || cast(p_partkey AS string) || '__c' WHEN 2 THEN 'SF_Case' || cast(p_partkey AS string)
+            WHEN 3 THEN 'ORA_Part' || cast(p_partkey AS string) ELSE 'sf_' || replace(p_name, ' ', '_') END AS name,
+       CASE WHEN p_size % 2 = 0 THEN 'salesforce' ELSE 'oracle' END AS source_system,
+       CASE WHEN p_size % 3 = 0 THEN 'salesforce' ELSE 'oracle' END AS target_system
+FROM {part}
+"""
+
+DERIVED["statements"] = """
+SELECT p_partkey AS statement_id,
+       CASE p_partkey % 4
+         WHEN 0 THEN 'SELECT Id, (SELECT Id FROM Kids) FROM ' || replace(p_name, ' ', '_') || '__c WHERE a IN (1, 2)'
+         WHEN 1 THEN 'select Id from   Obj' || cast(p_partkey AS string) || ' limit 5'
+         WHEN 2 THEN 'SELECT COUNT() FROM ' || p_type ELSE 'DESCRIBE ' || p_name END AS statement
+FROM {part}
+"""
+
+_SSN = (
+    "lpad(cast((doc_id * 7919) % 1000 AS string), 3, '0') || {s} || lpad(cast((doc_id * 31) % 100 AS string), 2, '0')"
+    " || {s} || lpad(cast((doc_id * 104729) % 10000 AS string), 4, '0')"
+)
+_ANY_SSN = (
+    f"CASE doc_id % 3 WHEN 0 THEN {_SSN.format(s=repr('-'))} WHEN 1 THEN {_SSN.format(s=repr(' '))}"
+    f" ELSE {_SSN.format(s=repr(''))} END"
+)
+DERIVED["sensitive"] = f"""
+SELECT doc_id, source,
+       CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'pt SSN ' || {_ANY_SSN} || ', call back. ' || text
+            WHEN 2 THEN substr(text, 1, 40) || ' (' || {_ANY_SSN} || ') ' || substr(text, 41) || ' id ' || {_ANY_SSN}
+            ELSE text || ' ' || {_ANY_SSN} END AS text,
+       CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '   ' WHEN 2 THEN '12' WHEN 3 THEN ' ' || {_ANY_SSN} || ' '
+            ELSE {_ANY_SSN} END AS ssn
+FROM {{documents}}
+"""
+
+
 def _needs(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
 

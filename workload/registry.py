@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from workload import sync_queries
+from workload import cell_queries, sync_queries
 
 QUERIES = {}
 ORACLE = {}
-for module in (sync_queries,):
-    QUERIES.update(module.QUERIES)
-    ORACLE.update(module.ORACLE)
+for source in (cell_queries.registry, sync_queries.registry):
+    QUERIES.update(source.queries)
+    ORACLE.update(source.oracle)

@@ -4,25 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomsync.operators.joins import latest_per_key
 from loomsync.plans import sync
-from loomsync.session import configure, shared_dir
+from loomsync.session import shared_dir
 from loomsync.streaming.queue import run_stream
+from workload.base import Registry
 from workload.codes import http_codes
-from workload.inputs import Inputs, oracle
-
-QUERIES, ORACLE = {}, {}
-PARAM = {"start": 0}
-
-_TABLES = ("members", "addresses", "phones", "census", "lov", "suffixes", "inbound")
-
-
-def _inputs(spark: SparkSession, folder: str) -> Inputs:
-    return Inputs(configure(spark), folder)
-
+from workload.inputs import Inputs
 
 def _state(t: Inputs) -> sync.State:
     return sync.State(t["members"], t["addresses"], t["phones"], t["census"])
@@ -36,14 +26,8 @@ def _references(t: Inputs) -> dict[str, DataFrame]:
     }
 
 
-def query(name: str, sql: str | None = None, *tables: str):
-    def add(fn):
-        QUERIES[name] = lambda spark, folder: fn(_inputs(spark, folder))
-        if sql is not None:
-            ORACLE[name] = oracle(sql, *tables)
-        return fn
-
-    return add
+registry = Registry()
+query = registry.add
 
 
 # --- the same work as SQL --------------------------------------------------
@@ -376,6 +360,3 @@ def sync_stream(t: Inputs) -> DataFrame:
     done = run_stream(t.spark, f"{root}/staging", f"{root}/tables", _state(t), _references(t), _whole(t))
     return done.select("mq_id", "mq_status")
 
-
-def latest_per_pid(t: Inputs) -> DataFrame:
-    return latest_per_key(t["inbound"], ["pid"], "mq_id")
