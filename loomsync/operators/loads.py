@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsync.operators.joins import join_unique, latest_per_key
+from loomsync.operators.numbering import number_rows
 
 # Access errors that skip a table instead of failing the run.
 ACCESS_ERRORS = (
@@ -236,3 +237,36 @@ class VersionedTable:
     def append(self, df: DataFrame, tag: str | None = None, **options) -> DataFrame:
         """Add rows without touching the ones that are there."""
         return self._publish(df, True, tag, options)
+
+
+class StatusQueue:
+    """A queue kept in two parts: rows still waiting, and rows with a final status.
+
+    A run reads only the waiting part. When it ends its rows move over; both
+    steps carry the run's tag, so a repeated run moves nothing twice.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, waiting_status: int, status: str = "mq_status") -> None:
+        self.waiting = VersionedTable(spark, f"{root}/waiting")
+        self.settled = VersionedTable(spark, f"{root}/settled")
+        self.waiting_status, self.status = waiting_status, status
+
+    def stage(self, rows: DataFrame, tag: str | None = None) -> None:
+        self.waiting.append(rows, tag)
+
+    def settle(self, key: str, done: DataFrame, tag: str) -> None:
+        """Move the rows listed in ``done`` (key and new status) out of the waiting part."""
+        before = self.waiting.read_before(tag)
+        queue = update(before, done.select(key, self.status), [key])
+        self.settled.append(queue.filter(F.col(self.status) != self.waiting_status), tag)
+        self.waiting.write(queue.filter(F.col(self.status) == self.waiting_status), tag)
+
+    def rows(self) -> DataFrame:
+        return self.waiting.read().unionByName(self.settled.read()) if self.settled.exists() else self.waiting.read()
+
+
+def assign_sequence(rows: DataFrame, column: str, order_by: list[str], start: int = 1) -> DataFrame:
+    """Give rows without an id the next numbers from ``start``, in the given order."""
+    kept = rows.filter(F.col(column).isNotNull())
+    fresh = number_rows(rows.filter(F.col(column).isNull()).drop(column), order_by, column, start)
+    return kept.unionByName(fresh.select(*rows.columns))

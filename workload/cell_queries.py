@@ -107,13 +107,17 @@ _INT = "CASE WHEN regexp_matches({c}, '^\\s*[+-]?[0-9]+\\s*$') THEN try_cast(tri
 _REAL = "CASE WHEN regexp_matches(real_text, '^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$') THEN try_cast(real_text AS DOUBLE) END"
 _PLAIN = "try_cast(trim(nullif(money, '')) AS DECIMAL(38,10))"
 _DAY = "CASE WHEN regexp_matches(day, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN try_cast(day AS DATE) END"
-_STAMP = "CASE WHEN stamp <> '' THEN try_cast(regexp_replace(stamp, '([+-][0-9]{2})([0-9]{2})$', '\\1:\\2') AS TIMESTAMP) END"
+_OFFSET = "([+-])([0-9]{2}):?([0-9]{2})$"
+_STAMP = (
+    f"CASE WHEN regexp_matches(stamp, '{_OFFSET}') THEN try_cast(regexp_replace(stamp, '{_OFFSET}', '') AS TIMESTAMP)"
+    f" - to_minutes(CASE WHEN regexp_extract(stamp, '{_OFFSET}', 1) = '-' THEN -1 ELSE 1 END"
+    f" * (60 * try_cast(regexp_extract(stamp, '{_OFFSET}', 2) AS INTEGER)"
+    f" + try_cast(regexp_extract(stamp, '{_OFFSET}', 3) AS INTEGER))) ELSE try_cast(nullif(stamp, '') AS TIMESTAMP) END"
+)
 _CLOCK = (
     "CASE WHEN regexp_matches(rtrim(clock, 'Z'), '^([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\\.[0-9]+)?)?$')"
     " THEN rtrim(clock, 'Z') END"
 )
-_STAMP_SAFE = "CASE WHEN regexp_matches(stamp, '[+-][0-9]{4}$') THEN " + _STAMP + " ELSE try_cast(nullif(stamp, '') AS TIMESTAMP) END"
-
 _TYPES = {
     "flag": "boolean", "whole": "int", "real_text": "double", "money": "currency", "day": "date",
     "stamp": "datetime", "clock": "time", "yn": "string",
@@ -122,7 +126,7 @@ _BAD = " + ".join(
     f"CASE WHEN nullif({c}, '') IS NOT NULL AND ({e}) IS NULL THEN 1 ELSE 0 END"
     for c, e in {
         "whole": _INT.format(c="whole"), "real_text": _REAL, "money": _PLAIN, "day": _DAY,
-        "stamp": _STAMP_SAFE, "clock": _CLOCK,
+        "stamp": _STAMP, "clock": _CLOCK,
     }.items()
 )
 
@@ -130,7 +134,7 @@ _BAD = " + ".join(
 @query(
     "T1_cast_text_frame",
     f"SELECT row_id, {_BOOL} AS flag, {_INT.format(c='whole')} AS whole, {_REAL} AS real_text, {_PLAIN} AS money,"
-    f" {_DAY} AS day, {_STAMP_SAFE} AS stamp, {_CLOCK} AS clock, nullif(yn, '') AS yn, {_BAD} AS n_rejects FROM cells",
+    f" {_DAY} AS day, {_STAMP} AS stamp, {_CLOCK} AS clock, nullif(yn, '') AS yn, {_BAD} AS n_rejects FROM cells",
     "cells",
 )
 def cast_text(t: Inputs) -> DataFrame:
@@ -152,7 +156,7 @@ _one("T3_to_int", _INT.format(c="whole"), "whole", cells.to_int)
 _one("T3_to_double", _REAL, "real_text", cells.to_double)
 _one("T4_to_decimal_plain", _PLAIN, "money", cells.to_decimal_plain)
 _one("T5_to_date_iso", _DAY, "day", cells.to_date_iso)
-_one("T6_to_datetime_iso", _STAMP_SAFE, "stamp", lambda c: cells.to_datetime_iso(c).cast("timestamp_ntz"))
+_one("T6_to_datetime_iso", _STAMP, "stamp", lambda c: cells.to_datetime_iso(c).cast("timestamp_ntz"))
 _one("T7_to_time", _CLOCK, "clock", cells.to_time)
 
 

@@ -199,6 +199,147 @@ FROM {{documents}}
 """
 
 
+DERIVED["upsert_target"] = """
+SELECT l_orderkey AS order_id, cast(l_linenumber AS bigint) AS line_no, max(l_partkey % 50) AS quantity,
+       max(l_returnflag) AS flag, max(l_suppkey) AS supplier_id
+FROM {lineitem} WHERE l_orderkey % 2 = 0 GROUP BY l_orderkey, l_linenumber
+"""
+
+DERIVED["upsert_source"] = """
+SELECT CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_orderkey END AS order_id, cast(l_linenumber AS bigint) AS line_no,
+       CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_partkey % 60 END AS quantity,
+       CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE 'U' || cast(l_suppkey % 9 AS string) END AS flag,
+       l_suppkey AS supplier_id, l_partkey * 100000 + l_suppkey AS ordinal
+FROM {lineitem} WHERE l_orderkey % 3 <> 1
+"""
+
+DERIVED["accounts"] = """
+SELECT 'A' || cast(c_custkey AS string) AS id, c_name AS name, c_mktsegment AS segment,
+       cast(c_nationkey AS bigint) AS nation_id, 'sys' AS created_by
+FROM {customer}
+"""
+
+DERIVED["account_changes"] = """
+SELECT CASE WHEN event_id % 41 = 0 THEN NULL ELSE 'A' || cast(user_id * 11 AS string) END AS id,
+       CASE WHEN event_id % 3 = 0 THEN 'Name ' || cast(event_id AS string) END AS name,
+       CASE WHEN event_id % 5 = 0 THEN event_type END AS segment,
+       CASE WHEN event_id % 7 = 0 THEN event_id % 25 END AS nation_id, 'me' AS created_by, event_id AS ordinal
+FROM {events}
+"""
+
+DERIVED["contacts"] = """
+SELECT CASE WHEN c_custkey % 11 = 0 THEN 'n' || cast(c_custkey AS string) ELSE cast(c_custkey AS string) END AS idx,
+       'C-' || cast(c_custkey AS string) AS customer_id, c_name AS full_name,
+       c_mktsegment || ', "' || cast(c_nationkey AS string) || '"' AS company,
+       CASE WHEN c_custkey % 13 = 0 THEN 'soon' WHEN c_custkey % 17 = 0 THEN '2023-02-30'
+            ELSE cast(DATE '2020-01-01' + cast(c_custkey % 1000 AS int) AS string) END AS subscribed
+FROM {customer}
+"""
+
+DERIVED["objects"] = """
+SELECT CASE p_partkey % 9 WHEN 0 THEN 'Account' || cast(p_partkey AS string) WHEN 1 THEN 'AccountHistory'
+            WHEN 2 THEN 'Unit' || cast(p_partkey AS string) || '__ChangeEvent' WHEN 3 THEN 'LoginGeo'
+            WHEN 4 THEN 'Box' || cast(p_partkey AS string) || '__e' WHEN 5 THEN 'Ware' || cast(p_partkey AS string) || '__c'
+            ELSE replace(p_name, ' ', '') || cast(p_partkey AS string) END AS name,
+       p_partkey AS object_no, p_size % 7 <> 0 AS queryable, p_size % 5 <> 0 AS retrieveable,
+       p_partkey % 4 = 0 AS layoutable, p_partkey % 3 <> 0 AS searchable
+FROM {part}
+"""
+
+DERIVED["cat_columns"] = """
+SELECT DISTINCT 'OWN' || cast(cast(floor(l_orderkey / 10) AS bigint) % 10 AS string) AS owner,
+       'T' || cast(l_orderkey AS string) AS table_name, 'C' || cast(l_linenumber AS string) AS column_name,
+       cast(l_linenumber AS bigint) AS column_id,
+       CASE (l_orderkey + l_linenumber) % 8 WHEN 0 THEN 'VARCHAR2' WHEN 1 THEN 'NUMBER' WHEN 2 THEN 'DATE'
+            WHEN 3 THEN 'TIMESTAMP(6)' WHEN 4 THEN 'CLOB' WHEN 5 THEN 'BLOB' WHEN 6 THEN 'JSON' ELSE 'SDO_GEOMETRY'
+       END AS data_type,
+       CASE WHEN (l_orderkey + l_linenumber) % 16 = 1 THEN 0 WHEN (l_orderkey + l_linenumber) % 24 = 9 THEN 4
+       END AS data_scale,
+       CASE WHEN (l_orderkey + l_linenumber) % 8 = 1 AND l_orderkey % 2 = 0 THEN 18 END AS data_precision,
+       CASE WHEN (l_orderkey + l_linenumber) % 8 = 0 THEN cast(l_orderkey % 300 AS int) + 1 END AS char_length,
+       cast(4000 AS int) AS data_length,
+       CASE WHEN l_orderkey % 3 = 0 THEN 'N' ELSE 'Y' END AS nullable
+FROM {lineitem}
+"""
+
+DERIVED["desired_columns"] = """
+SELECT table_name, column_name,
+       CASE WHEN column_id % 5 = 4 THEN 'CLOB' WHEN data_type = 'TIMESTAMP(6)' THEN 'TIMESTAMP'
+            WHEN data_type IN ('VARCHAR2', 'NUMBER', 'DATE', 'CLOB', 'BLOB') THEN data_type ELSE 'VARCHAR2' END AS raw_type,
+       CASE WHEN data_type = 'VARCHAR2' AND column_id % 3 = 0 THEN 'boolean' ELSE 'string' END AS canonical,
+       coalesce(char_length, 40) + CASE WHEN column_id % 2 = 0 THEN 3900 ELSE -1 END AS max_length,
+       column_id % 4 <> 1 AS is_nullable
+FROM {cat_columns}
+UNION ALL
+SELECT DISTINCT table_name, 'NEW_COL' AS column_name, 'NUMBER' AS raw_type, 'integer' AS canonical,
+       cast(NULL AS int) AS max_length, TRUE AS is_nullable FROM {cat_columns}
+"""
+
+_CONSTRAINT = """
+SELECT 'OWN' || cast(cast(floor(o_orderkey / 10) AS bigint) %% 10 AS string) AS owner,
+       'T' || cast(o_orderkey AS string) AS table_name, '%(kind)sK_T' || cast(o_orderkey AS string) AS constraint_name,
+       '%(kind)s' AS constraint_type, %(r_owner)s AS r_owner, %(r_name)s AS r_constraint_name
+FROM {orders} WHERE %(test)s
+"""
+_NO_REFERENCE = {"r_owner": "cast(NULL AS string)", "r_name": "cast(NULL AS string)"}
+DERIVED["cat_constraints"] = " UNION ALL ".join(
+    _CONSTRAINT % part
+    for part in (
+        {"kind": "P", "test": "TRUE", **_NO_REFERENCE},
+        {"kind": "U", "test": "o_orderkey % 5 = 0", **_NO_REFERENCE},
+        {"kind": "C", "test": "o_orderkey % 4 = 0", **_NO_REFERENCE},
+        {"kind": "Z", "test": "o_orderkey % 50 = 7", **_NO_REFERENCE},
+        {
+            "kind": "R",
+            "test": "o_orderkey % 3 = 0",
+            "r_owner": "'OWN' || cast(cast(floor((o_orderkey + 29) / 10) AS bigint) % 10 AS string)",
+            "r_name": "'PK_T' || cast(o_orderkey + 29 AS string)",
+        },
+    )
+)
+_CONS_COLUMN = """
+SELECT 'OWN' || cast(cast(floor(o_orderkey / 10) AS bigint) %% 10 AS string) AS owner,
+       '%(kind)sK_T' || cast(o_orderkey AS string) AS constraint_name, 'T' || cast(o_orderkey AS string) AS table_name,
+       '%(column)s' AS column_name, cast(%(at)d AS bigint) AS position
+FROM {orders} WHERE %(test)s
+"""
+DERIVED["cat_cons_columns"] = " UNION ALL ".join(
+    _CONS_COLUMN % {"kind": k, "column": c, "at": at, "test": test}
+    for k, c, at, test in (
+        ("P", "C1", 1, "TRUE"),
+        ("P", "C2", 2, "o_orderkey % 2 = 0"),
+        ("U", "C2", 1, "o_orderkey % 5 = 0"),
+        ("C", "C5", 1, "o_orderkey % 4 = 0"),
+        ("Z", "C6", 1, "o_orderkey % 50 = 7"),
+        ("R", "C3", 1, "o_orderkey % 3 = 0"),
+        ("R", "C4", 2, "o_orderkey % 6 = 0"),
+    )
+)
+DERIVED["cat_indexes"] = """
+SELECT owner, 'IX_' || constraint_name AS index_name, table_name, 'UNIQUE' AS uniqueness,
+       CASE WHEN constraint_type = 'U' THEN 'LOB' ELSE 'NORMAL' END AS index_type, 'N' AS generated
+FROM {cat_constraints} WHERE constraint_type IN ('P', 'U')
+UNION ALL
+SELECT owner, 'IX_' || constraint_name AS index_name, table_name, 'NONUNIQUE' AS uniqueness, 'NORMAL' AS index_type,
+       CASE WHEN length(table_name) % 2 = 0 THEN 'N' ELSE 'Y' END AS generated
+FROM {cat_constraints} WHERE constraint_type = 'R'
+"""
+DERIVED["cat_ind_columns"] = """
+SELECT owner, 'IX_' || constraint_name AS index_name, table_name, column_name FROM {cat_cons_columns}
+"""
+
+DERIVED["write_plan"] = """
+SELECT p_partkey AS write_id, CASE p_partkey % 3 WHEN 0 THEN 'drop' WHEN 1 THEN 'truncate' ELSE 'alter' END AS op,
+       CASE p_size % 4 WHEN 0 THEN 'no' WHEN 1 THEN 'restricted' WHEN 2 THEN 'dev-only' ELSE 'yes' END AS mode,
+       'env' || cast(p_partkey % 7 AS string) AS environment,
+       CASE p_partkey % 5 WHEN 0 THEN 'dev' WHEN 1 THEN 'qa' WHEN 2 THEN 'prod' WHEN 3 THEN 'unknown' ELSE 'dev'
+       END AS env_class,
+       CASE WHEN p_partkey % 2 = 0 THEN 'SF_' ELSE '' END || upper(replace(p_name, ' ', '_')) AS table_name,
+       p_partkey % 2 = 0 AS is_managed, p_partkey % 11 = 0 AS break_glass
+FROM {part}
+"""
+
+
 def _needs(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from workload import cell_queries, sync_queries
+from workload import cell_queries, source_queries, sync_queries
 
 QUERIES = {}
 ORACLE = {}
-for source in (cell_queries.registry, sync_queries.registry):
+for source in (source_queries.registry, cell_queries.registry, sync_queries.registry):
     QUERIES.update(source.queries)
     ORACLE.update(source.oracle)
