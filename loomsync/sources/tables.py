@@ -56,8 +56,13 @@ def get_by_key(table: DataFrame, column: str, value: Any) -> DataFrame:
     return table.filter(F.col(column) == F.lit(value))
 
 
+def _one_line_base64(body: Column) -> Column:
+    # The built-in breaks lines every 76 characters.
+    return F.replace(F.base64(body), F.lit("\r\n"), F.lit(""))
+
+
 def to_base64(table: DataFrame, column: str, name: str) -> DataFrame:
-    return table.withColumn(name, F.base64(F.col(column).cast("binary")))
+    return table.withColumn(name, _one_line_base64(F.col(column).cast("binary")))
 
 
 def from_base64(table: DataFrame, column: str, name: str) -> DataFrame:
@@ -67,7 +72,7 @@ def from_base64(table: DataFrame, column: str, name: str) -> DataFrame:
 def binary_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Files of a folder with their body as base64 text."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select("path", "length", F.base64("content").alias("body"))
+    return files.select("path", "length", _one_line_base64(F.col("content")).alias("body"))
 
 
 def parquet_export(rows: DataFrame, path: str, batch_rows: int = 50_000, mode: str = "error") -> None:

@@ -60,7 +60,7 @@ def compare(spark, con, fn, sql, folder):
     if ours != theirs:
         return (
             f"spark {sum(ours.values())} rows, oracle {sum(theirs.values())}\n"
-            f"    only spark:  {list((ours - theirs).elements())[:2]}\n    only oracle: {list((theirs - ours).elements())[:2]}"
+            f"    only spark:  {str(list((ours - theirs).elements())[:2])[:500]}\n    only oracle: {str(list((theirs - ours).elements())[:2])[:500]}"
         ), sum(ours.values()), df.columns
     return "", sum(ours.values()), df.columns
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from workload import cell_queries, source_queries, sync_queries
+from workload import cell_queries, load_queries, source_queries, sync_queries
 
 QUERIES = {}
 ORACLE = {}
-for source in (source_queries.registry, cell_queries.registry, sync_queries.registry):
+for module in (source_queries, load_queries, cell_queries, sync_queries):
+    source = module.registry
     QUERIES.update(source.queries)
     ORACLE.update(source.oracle)

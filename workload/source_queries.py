@@ -129,7 +129,6 @@ def json_pages(t: Inputs) -> DataFrame:
     path = _folder(t, "pages")
     pages.select(F.to_json(F.struct("*"))).write.text(path)
     schema = "records array<struct<attributes:struct<type:string,url:string>,Id:string,Name:string>>"
-    # One document per line here, so the lines are parsed as text and stay splittable.
     return text_files.json_page_lines(t.spark, path, schema)
 
 
@@ -318,13 +317,15 @@ query("Q13_max_agg", "SELECT max(o_orderkey) AS high FROM orders WHERE o_orderst
 )
 query(
     "Q14_ordered_string_agg",
-    "SELECT o_custkey, string_agg(o_orderstatus, ' ' ORDER BY o_orderkey) AS statuses FROM orders GROUP BY o_custkey",
+    "SELECT owner, constraint_name, string_agg(column_name, ' ' ORDER BY position) AS column_names"
+    " FROM cat_cons_columns GROUP BY owner, constraint_name",
+    "cat_cons_columns",
 )(
-    lambda t: t["orders"].groupBy("o_custkey").agg(
+    lambda t: t["cat_cons_columns"].groupBy("owner", "constraint_name").agg(
         F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))), lambda e: e["o_orderstatus"]),
+            F.transform(F.sort_array(F.collect_list(F.struct("position", "column_name"))), lambda e: e["column_name"]),
             " ",
-        ).alias("statuses")
+        ).alias("column_names")
     )
 )
 
