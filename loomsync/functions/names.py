@@ -54,23 +54,18 @@ def canonical_identifier(
     ``strict`` is set.
     """
     lead = prefix.rstrip("_") if force_prefix else prefix
-    cleaned = F.upper(F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9_]+", "_"), r"^_+|_+\z", ""))
-    starts_ok = F.when(
-        cleaned.rlike(r"^[0-9]"), F.concat(F.lit(f"{lead}_" if force_prefix else "C_"), cleaned)
-    ).otherwise(cleaned)
-    if force_suffix and not force_prefix:
-        escaped = F.concat(starts_ok, F.lit(f"_{suffix}"))
-    else:
-        escaped = F.concat(F.lit(f"{lead}_"), starts_ok)
-    safe = F.when(starts_ok.isin(sorted(reserved)), escaped).otherwise(starts_ok)
-    cut = F.when(
-        F.length(safe) > max_length, F.regexp_replace(F.substring(safe, 1, max_length), r"_+\z", "")
-    ).otherwise(safe)
-    fitted = F.when(cut == "", F.lit(f"{prefix}_{suffix}")).otherwise(cut)
+    digit_lead = f"{lead}_" if force_prefix else "C_"
+    escape = f"$1_{suffix}" if force_suffix and not force_prefix else f"{lead}_$1"
+    words = "|".join(sorted(reserved))
+    # Each step refers to the one before once, so the expression stays small.
+    word = F.upper(F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9_]+", "_"), r"^_+|_+\z", ""))
+    word = F.regexp_replace(word, r"^([0-9])", f"{digit_lead}$1")
+    word = F.regexp_replace(word, rf"^({words})\z", escape) if words else word
+    word = F.nullif(F.regexp_replace(F.substring(word, 1, max_length), r"_+\z", ""), F.lit(""))
     if not strict:
-        return F.when(cleaned != "", fitted)
+        return word
     failure = F.raise_error(F.concat(F.lit("no identifier can be made from: "), F.coalesce(name, F.lit("NULL"))))
-    return F.when(cleaned != "", fitted).otherwise(failure.cast("string"))
+    return F.coalesce(word, failure.cast("string"))
 
 
 def cross_system_name(name: Column, source: Column | str, target: Column | str) -> Column:

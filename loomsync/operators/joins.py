@@ -56,6 +56,17 @@ def join_unique(
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def left_join_many(one: DataFrame, many: DataFrame, keys: list[str], *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join where the right side may hold a hot key.
+
+    The many side is split like the left side of ``join_unique``; rows without a
+    match are added from an anti join against the distinct keys.
+    """
+    matched = join_unique(many, one, keys, "inner", hot_rows=hot_rows)
+    missing = one.join(many.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(missing, allowMissingColumns=True)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Row with the highest ``order`` of every key.
 

@@ -20,7 +20,7 @@ from loomsync.functions.cells import record_json
 from loomsync.functions.fingerprints import differs, fingerprint
 from loomsync.functions.names import initial
 from loomsync.operators import loads
-from loomsync.operators.joins import HOT_ROWS, join_unique, latest_per_key, typed_lookup
+from loomsync.operators.joins import HOT_ROWS, join_unique, left_join_many, typed_lookup
 from loomsync.operators.numbering import nth_smallest, number_rows
 from loomsync.session import staged
 
@@ -116,12 +116,9 @@ def current_state(
     people = typed_lookup(people, lov, "gender_id", "CSM_SEX", "gender", **spec)
     people = people.join(prefixes, "name_prefix_id", "left").join(suffixes, "name_suffix_id", "left")
     main = state.phones.filter(F.col("phone_type_id") == MAIN_PHONE)
-    return (
-        people.join(state.addresses, "member_id", "left")
-        .join(main, "member_id", "left")
-        .join(phone_types, "phone_type_id", "left")
-        .withColumn("address_hash", _group(ADDRESS))
-        .withColumn("phone_hash", _group(PHONE))
+    placed = left_join_many(left_join_many(people, state.addresses, ["member_id"]), main, ["member_id"])
+    return placed.join(phone_types, "phone_type_id", "left").withColumns(
+        {"address_hash": _group(ADDRESS), "phone_hash": _group(PHONE)}
     )
 
 
@@ -522,6 +519,3 @@ def status_summary(statuses: DataFrame, codes: DataFrame) -> DataFrame:
     counts = statuses.groupBy("mq_status").agg(F.count("*").alias("rows"))
     return counts.join(codes.withColumnRenamed("code", "mq_status"), "mq_status", "left")
 
-
-def dedupe_latest(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return latest_per_key(rows, keys, "mq_id")

@@ -292,8 +292,8 @@ DERIVED["cat_constraints"] = " UNION ALL ".join(
         {
             "kind": "R",
             "test": "o_orderkey % 3 = 0",
-            "r_owner": "'OWN' || cast(cast(floor((o_orderkey + 29) / 10) AS bigint) % 10 AS string)",
-            "r_name": "'PK_T' || cast(o_orderkey + 29 AS string)",
+            "r_owner": "'OWN' || cast(cast(floor((o_orderkey + 2) / 10) AS bigint) % 10 AS string)",
+            "r_name": "'PK_T' || cast(o_orderkey + 2 AS string)",
         },
     )
 )

@@ -242,8 +242,9 @@ query(
     "SELECT m.member_id, p.phone FROM members m LEFT JOIN phones p ON p.member_id = m.member_id AND p.phone_type_id = 1",
     "members", "phones",
 )(
-    lambda t: t["members"].select("member_id")
-    .join(t["phones"].filter("phone_type_id = 1"), "member_id", "left").select("member_id", "phone")
+    lambda t: joins.left_join_many(
+        t["members"].select("member_id"), t["phones"].filter("phone_type_id = 1"), ["member_id"]
+    ).select("member_id", "phone")
 )
 query(
     "Q5_left_join_missing",
@@ -268,7 +269,8 @@ query(
     "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')",
 )(
     lambda t: t["customer"].select("c_custkey").join(
-        t["orders"].filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi"
+        t["orders"].filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct(),
+        "c_custkey", "left_semi",
     )
 )
 
@@ -304,14 +306,19 @@ query(
 query("Q11_count_agg", "SELECT count(*) AS n_rows, count(email_addr) AS n_emails FROM members", "members")(
     lambda t: t["members"].agg(F.count("*").alias("n_rows"), F.count("email_addr").alias("n_emails"))
 )
-query(
+
+
+@query(
     "Q12_group_having",
     "SELECT m.pid FROM members m LEFT JOIN addresses a ON a.member_id = m.member_id GROUP BY m.pid HAVING count(*) = 1",
     "members", "addresses",
-)(
-    lambda t: t["members"].join(t["addresses"], "member_id", "left").groupBy("pid").count()
-    .filter("count = 1").select("pid")
 )
+def group_having(t: Inputs) -> DataFrame:
+    counts = t["addresses"].groupBy("member_id").agg(F.count("*").alias("n"))
+    rows = t["members"].join(counts, "member_id", "left").groupBy("pid").agg(F.sum(F.coalesce("n", F.lit(1))).alias("n"))
+    return rows.filter("n = 1").select("pid")
+
+
 query("Q13_max_agg", "SELECT max(o_orderkey) AS high FROM orders WHERE o_orderstatus = 'O'")(
     lambda t: t["orders"].filter("o_orderstatus = 'O'").agg(F.max("o_orderkey").alias("high"))
 )
