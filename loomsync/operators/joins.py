@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1024
@@ -42,7 +43,7 @@ def join_unique(
     if not groups:
         return left.join(right, keys, how)
     spark = left.sparkSession
-    schema = left.select(*keys).schema.add("_salts", "int")
+    schema = left.select(*keys).schema.add("_salts", IntegerType())
     listed = [tuple(g[k] for k in keys) + (-(-g["_rows"] // hot_rows),) for g in groups]
     # At most MAX_HOT_KEYS rows by construction.
     hot = F.broadcast(spark.createDataFrame(listed, schema))
