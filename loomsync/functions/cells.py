@@ -79,27 +79,40 @@ CONVERTERS = {
 }
 
 
-def _with_rejects(df: DataFrame, typed: list[Column], failures: list[Column]) -> DataFrame:
+def _with_rejects(df: DataFrame, cells: list[tuple[str, str, Column, Column | None]]) -> DataFrame:
+    """Typed columns and the rejects array, from (source, target, value, checked text).
+
+    Values are made in one projection and judged in the next, so that a costly
+    conversion is referred to twice but evaluated once.
+    """
+    made = [value.alias(f"_v{i}") for i, (_, _, value, _) in enumerate(cells)]
+    kept = [text.alias(f"_t{i}") for i, (_, _, _, text) in enumerate(cells) if text is not None]
+    raws = [F.col(f"`{source}`").alias(f"_r{i}") for i, (source, _, _, text) in enumerate(cells) if text is not None]
+    wide = df.select(*made, *kept, *raws)
+    failures = [
+        F.when(
+            F.col(f"_t{i}").isNotNull() & F.col(f"_v{i}").isNull(),
+            F.struct(F.lit(target).alias("field"), F.col(f"_r{i}").alias("raw")),
+        )
+        for i, (_, target, _, text) in enumerate(cells)
+        if text is not None
+    ]
     found = F.array_compact(F.array(*failures)) if failures else F.array()
-    return df.select(*typed, found.cast(_NO_REJECTS).alias(REJECTS))
+    named = [F.col(f"_v{i}").alias(target) for i, (_, target, _, _) in enumerate(cells)]
+    return wide.select(*named, found.cast(_NO_REJECTS).alias(REJECTS))
 
 
 def cast_text_frame(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast text columns by describe type and collect what did not parse."""
-    typed, failures = [], []
+    cells = []
     for name in df.columns:
         raw = F.col(f"`{name}`")
         if name not in types:
-            typed.append(raw)
+            cells.append((name, name, raw, None))
             continue
-        convert = CONVERTERS.get(types[name])
-        text = present(raw)
-        value = convert(text) if convert else text
-        typed.append(value.alias(name))
-        if convert:
-            bad = text.isNotNull() & value.isNull()
-            failures.append(F.when(bad, F.struct(F.lit(name).alias("field"), raw.alias("raw"))))
-    return _with_rejects(df, typed, failures)
+        convert, text = CONVERTERS.get(types[name]), present(raw)
+        cells.append((name, name, convert(text) if convert else text, text if convert else None))
+    return _with_rejects(df, cells)
 
 
 def _double_text(value: Column) -> Column:
@@ -222,20 +235,16 @@ def normalize_frame(df: DataFrame, spec) -> DataFrame:
     Date and timestamp text that does not parse goes to the rejects array.
     """
     by_name = {c.target_name: c for c in spec.columns}
-    typed, failures = [], []
+    cells = []
     for name, kind in df.dtypes:
         key = canonical_name(name)
         if key not in by_name:
             raise KeyError(f"field '{name}' is not a column of '{spec.name}'")
         column = by_name[key]
         raw = F.col(f"`{name}`")
-        base = kind.split("(")[0]
-        value, strict = _coerce(raw, base, column.raw_type, column.canonical)
-        typed.append(value.alias(column.target_name))
-        if strict:
-            bad = value.isNull() & norm_blank_null(raw).isNotNull()
-            failures.append(F.when(bad, F.struct(F.lit(key).alias("field"), raw.alias("raw"))))
-    return _with_rejects(df, typed, failures)
+        value, strict = _coerce(raw, kind.split("(")[0], column.raw_type, column.canonical)
+        cells.append((name, key, value, norm_blank_null(raw) if strict else None))
+    return _with_rejects(df, cells)
 
 
 def canonical_name(name: str) -> str:

@@ -193,13 +193,13 @@ def reject_reasons(
     return checked.select(*inbound.columns, found.alias("reasons"))
 
 
-def run_ceiling(inbound: DataFrame, options: Options) -> tuple[int | None, int | None]:
-    """First and last id this run touches; a cap ends it at the n-th waiting row."""
+def run_ceiling(inbound: DataFrame, options: Options) -> tuple[int | None, int | None, int]:
+    """First and last id this run touches, and how many rows wait; a cap ends it at the n-th waiting row."""
     waiting = inbound.filter((F.col("mq_status") == options.status) & (F.col("mq_id") >= options.start_id))
-    low, high = waiting.agg(F.min("mq_id"), F.max("mq_id")).first()
+    low, high, count = waiting.agg(F.min("mq_id"), F.max("mq_id"), F.count("mq_id")).first()
     if options.max_records and high is not None:
         high = nth_smallest(waiting.select("mq_id"), "mq_id", options.max_records)
-    return low, high
+    return low, high, count
 
 
 # --- windows as steps ------------------------------------------------------
@@ -210,17 +210,19 @@ def run_ceiling(inbound: DataFrame, options: Options) -> tuple[int | None, int |
 # unless that one is what is stored already. d_id is NULL when nothing applies.
 
 
-def _leads(changes: DataFrame, group: str) -> dict[str, Column]:
-    def pick(rank: int, name: str) -> Column:
-        return F.max(F.when((F.col("grp") == group) & (F.col("rank") == rank), F.col(name)))
+_STEP = ("p", "c", "cid", "d", "did")
 
-    return {
-        f"{group}_p": pick(1, "hash"),
-        f"{group}_c": pick(1, "after"),
-        f"{group}_cid": pick(1, "latest"),
-        f"{group}_d": F.coalesce(pick(2, "after"), pick(1, "hash")),
-        f"{group}_did": pick(2, "latest"),
-    }
+
+def _step(*values: Column) -> Column:
+    return F.struct(*[v.alias(n) for v, n in zip(values, _STEP)])
+
+
+def _lead(group: str) -> Column:
+    """Step of one group from its two latest distinct fingerprints."""
+    first = F.max(F.when((F.col("grp") == group) & (F.col("rank") == 1), F.struct("hash", "after", "latest")))
+    second = F.max(F.when((F.col("grp") == group) & (F.col("rank") == 2), F.struct("after", "latest")))
+    other = F.coalesce(second["after"], first["hash"])
+    return _step(first["hash"], first["after"], first["latest"], other, second["latest"]).alias(group)
 
 
 def _steps(rows: DataFrame) -> DataFrame:
@@ -250,27 +252,14 @@ def _steps(rows: DataFrame) -> DataFrame:
     distinct = distinct.select(*keys, "hash", F.col("_top.mq_id").alias("latest"), F.col("_top.after").alias("after"))
     newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("latest"))
     ranked = distinct.withColumn("rank", F.row_number().over(newest)).filter("rank <= 2")
-    picks: dict[str, Column] = {}
-    for group in "dapt":
-        picks.update(_leads(ranked, group))
-    return ranked.groupBy("pid", "window_no").agg(*[c.alias(n) for n, c in picks.items()])
-
-
-def _parts(group: str, source: Column | None = None) -> list[Column]:
-    names = [f"{group}_{p}" for p in ("p", "c", "cid", "d", "did")]
-    return [F.col(n) if source is None else source[n] for n in names]
+    return ranked.groupBy("pid", "window_no").agg(*[_lead(group) for group in "dapt"])
 
 
-def _compose(group: str, earlier: Column) -> Column:
-    """The step ``earlier`` followed by the one in this row."""
-    p1, c1, cid1, d1, did1 = _parts(group, earlier)
-    p2, c2, cid2, d2, did2 = _parts(group)
-    names = [f"{group}_{p}" for p in ("p", "c", "cid", "d", "did")]
-
-    def build(*values: Column) -> Column:
-        return F.struct(*[v.alias(n) for v, n in zip(values, names)])
-
-    both = build(
+def _compose(earlier: Column, later: Column) -> Column:
+    """The step ``earlier`` followed by ``later``."""
+    p1, c1, cid1, d1, did1 = (earlier[n] for n in _STEP)
+    p2, c2, cid2, d2, did2 = (later[n] for n in _STEP)
+    both = _step(
         p1,
         F.when(c1 == p2, d2).otherwise(c2),
         F.when(c1 == p2, F.coalesce(did2, cid1)).otherwise(cid2),
@@ -278,7 +267,7 @@ def _compose(group: str, earlier: Column) -> Column:
         F.when(d1 == p2, F.coalesce(did2, did1)).otherwise(cid2),
     )
     # A window with no usable row of this pid changes nothing: its p is NULL.
-    return F.when(p1.isNull(), build(p2, c2, cid2, d2, did2)).when(p2.isNull(), build(p1, c1, cid1, d1, did1)).otherwise(both)
+    return F.when(p1.isNull(), later).when(p2.isNull(), earlier).otherwise(both)
 
 
 def _scan(steps: DataFrame, windows: int) -> DataFrame:
@@ -290,19 +279,11 @@ def _scan(steps: DataFrame, windows: int) -> DataFrame:
     order = Window.partitionBy("pid").orderBy("window_no")
     distance = 1
     while distance < windows:
-        packed = {}
-        for group in "dap":
-            before = F.lag(F.struct(*_parts(group)), distance).over(order)
-            packed[f"_{group}"] = before
-        steps = steps.withColumns(packed)
-        merged = {
-            f"_{g}": F.when(F.col(f"_{g}").isNull(), F.struct(*_parts(g))).otherwise(_compose(g, F.col(f"_{g}")))
-            for g in "dap"
-        }
-        steps = steps.withColumns(merged)
-        steps = steps.withColumns(
-            {f"{g}_{p}": F.col(f"_{g}")[f"{g}_{p}"] for g in "dap" for p in ("p", "c", "cid", "d", "did")}
-        ).drop("_d", "_a", "_p")
+        steps = steps.withColumns({f"_{g}": F.lag(g, distance).over(order) for g in "dap"})
+        steps = steps.select(
+            "pid", "window_no", "t",
+            *[F.when(F.col(f"_{g}").isNull(), F.col(g)).otherwise(_compose(F.col(f"_{g}"), F.col(g))).alias(g) for g in "dap"],
+        )
         distance *= 2
     return steps
 
@@ -317,10 +298,11 @@ def plan_windows(rows: DataFrame, known: DataFrame, windows: int) -> DataFrame:
     single = F.col("view_rows") == 1
     ended = {}
     for g in "dap":
-        base = F.col(f"{g}_base")
-        hit = F.col(f"{g}_p").isNull() | (base == F.col(f"{g}_p"))
-        ended[f"{g}_end"] = F.when(F.col(f"{g}_p").isNull(), base).when(hit, F.col(f"{g}_d")).otherwise(F.col(f"{g}_c"))
-        ended[f"{g}_last"] = F.when(single, F.when(hit, F.col(f"{g}_did")).otherwise(F.col(f"{g}_cid")))
+        step, base = F.col(g), F.col(f"{g}_base")
+        none = step["p"].isNull()
+        hit = none | (base == step["p"])
+        ended[f"{g}_end"] = F.when(none, base).when(hit, step["d"]).otherwise(step["c"])
+        ended[f"{g}_last"] = F.when(single, F.when(hit, step["did"]).otherwise(step["cid"]))
     steps = steps.withColumns(ended)
     started = {f"{g}_start": F.coalesce(F.lag(f"{g}_end").over(order), F.col(f"{g}_base")) for g in "dap"}
     started |= {f"{g}_prior": F.lag(f"{g}_last").over(order) for g in "dap"}
@@ -330,7 +312,7 @@ def plan_windows(rows: DataFrame, known: DataFrame, windows: int) -> DataFrame:
     applied = F.when(~F.col("p_last").eqNullSafe(F.col("p_prior")), F.col("p_last"))
     steps = steps.withColumns(
         {
-            "_census": F.when(single, F.when(F.col("t_p") != start, F.col("t_cid")).otherwise(F.col("t_did"))),
+            "_census": F.when(single, F.when(F.col("t.p") != start, F.col("t.cid")).otherwise(F.col("t.did"))),
             "p_applied": applied,
             "_closing": F.when(applied.isNotNull() & (F.col("p_end") == _empty(PHONE)), 1).otherwise(0),
         }
@@ -386,7 +368,7 @@ def resolve(
     inbound: DataFrame, state: State, references: Mapping[str, DataFrame], options: Options = Options()
 ) -> DataFrame | None:
     """Every row of the run with hashes, ids, status and the patches it is the source of."""
-    low, high = run_ceiling(inbound, options)
+    low, high, count = run_ceiling(inbound, options)
     if high is None:
         return None
     window = options.commit_size or DEFAULT_WINDOW
@@ -400,8 +382,11 @@ def resolve(
     )
     plan = staged(plan_windows(rows, state_by_pid(state), windows), "windows")
     plan = _with_new_ids(plan, state)
-    counted = waiting.withColumn("window_no", F.expr(f"(mq_id - {options.start_id}) div {window}"))
-    joined = join_unique(rows, plan, ["pid", "window_no"], hot_rows=options.hot_rows, counted=counted)
+    if count > options.hot_rows:
+        counted = waiting.withColumn("window_no", F.expr(f"(mq_id - {options.start_id}) div {window}"))
+        joined = join_unique(rows, plan, ["pid", "window_no"], hot_rows=options.hot_rows, counted=counted)
+    else:  # no group can be hot
+        joined = rows.join(plan, ["pid", "window_no"], "left")
     changed = (
         differs(F.col("demogr_hash"), F.col("d_start"))
         | differs(F.col("address_hash"), F.col("a_start"))

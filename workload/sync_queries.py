@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsync.plans import sync
-from loomsync.session import shared_dir
+from loomsync.session import shared_dir, staged
 from loomsync.streaming.queue import run_stream
 from workload.base import Registry
 from workload.codes import http_codes
@@ -269,7 +269,7 @@ def commit_windows(t: Inputs) -> DataFrame:
 )
 def max_records_cap(t: Inputs) -> DataFrame:
     cap = t["inbound"].count() // 3
-    _, high = sync.run_ceiling(t["inbound"], sync.Options(max_records=cap))
+    _, high, _ = sync.run_ceiling(t["inbound"], sync.Options(max_records=cap))
     return t["inbound"].select("mq_id", F.when(F.col("mq_id") <= high, 1).otherwise(0).alias("in_run"))
 
 
@@ -334,7 +334,8 @@ def status_summary(t: Inputs) -> DataFrame:
     *_ALL,
 )
 def sync_batch(t: Inputs) -> DataFrame:
-    outcome = sync.sync_batch(t["inbound"], _state(t), _references(t), _three(t, block_census=True))
+    queue = staged(t["inbound"], "queue")  # the queue is a stored table, read several times
+    outcome = sync.sync_batch(queue, _state(t), _references(t), _three(t, block_census=True))
     return outcome.rows.select(
         "mq_id", "pid", "demogr_hash", "address_hash", "phone_hash", "mq_status", "member_id",
         F.col("applies_demographics").alias("wins_demographics"),
