@@ -259,10 +259,24 @@ _one("T16_norm_timestamp", _NSTAMP, "stamp", cells.norm_timestamp)
 _one("T17_norm_text", _TRIMMED.format(c="note"), "note", cells.norm_text)
 
 
-@query("T18_record_json")
+_RECORD = {
+    "mq_id": "n", "pid": "s", "first_name": "s", "middle_name": "s", "last_name": "s", "name_suffix_id": "n",
+    "birthdate": "s", "dt_of_death": "s", "email_addr": "s", "gender_id": "n", "phone": "s", "phone_type_id": "n",
+    "city": "s", "mq_status": "n",
+}
+_QUOTED = {"n": "CAST({c} AS VARCHAR)", "s": "'\"' || CAST({c} AS VARCHAR) || '\"'"}
+_LINES = " || ',' || chr(10) || ".join(
+    f"'  \"{c}\" : ' || coalesce({_QUOTED[kind].format(c=c)}, 'null')" for c, kind in _RECORD.items()
+)
+
+
+@query(
+    "T18_record_json",
+    f"SELECT mq_id, '{{' || chr(10) || {_LINES} || chr(10) || '}}' AS json_record FROM inbound",
+    "inbound",
+)
 def record_json(t: Inputs) -> DataFrame:
-    rows = t["inbound"]
-    return rows.select("mq_id", cells.record_json(rows.columns).alias("json_record"))
+    return t["inbound"].select("mq_id", cells.record_json(list(_RECORD)).alias("json_record"))
 
 
 query(
