@@ -77,6 +77,11 @@ def _matched(
     return joined.select(*[cell(c) for c in target.columns])
 
 
+def merge_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Upsert of a source that has one row per key and no NULL key."""
+    return _matched(target, source, keys, insert_new=True, overlay=False, columns=None)
+
+
 def _require(keys: list[str]) -> None:
     if not keys:
         raise ValueError("this load needs a key to match on and none is defined")

@@ -20,7 +20,7 @@ from loomsync.functions.cells import record_json
 from loomsync.functions.fingerprints import differs, fingerprint
 from loomsync.functions.names import initial
 from loomsync.operators import loads
-from loomsync.operators.joins import HOT_ROWS, join_unique, left_join_many, typed_lookup
+from loomsync.operators.joins import HOT_ROWS, join_unique, latest_per_key, left_join_many, typed_lookup
 from loomsync.operators.numbering import nth_smallest, number_rows
 from loomsync.session import staged
 
@@ -29,6 +29,8 @@ ACCEPTED, CHANGED, UNCHANGED, UNKNOWN, FAILED = 202, 200, 304, 404, 500
 ACTIVE, NO_PID, MAIN_PHONE, SYNC_USER = "37", "N/A", 1, "MDM"
 DEFAULT_WINDOW = 50_000
 
+SCAN_BLOCK = 16_384
+
 DEMOGRAPHICS = [
     "first_name", "middle_name", "last_name", "name_suffix_id", "birthdate",
     "dt_of_death", "email_addr", "gender_id", "mar_status_id",
@@ -72,6 +74,7 @@ class Options:
     allow_partial: bool = True
     widths: Mapping[str, int] = field(default_factory=lambda: dict(WIDTHS))
     hot_rows: int = HOT_ROWS
+    scan_block: int = SCAN_BLOCK
 
 
 @dataclass(frozen=True)
@@ -205,12 +208,13 @@ def run_ceiling(inbound: DataFrame, options: Options) -> tuple[int | None, int |
 # --- windows as steps ------------------------------------------------------
 #
 # A step maps the fingerprint a window starts from to the one it leaves, and to
-# the row it applied. It gives (c, c_id) for every fingerprint but p, and
-# (d, d_id) for p itself, because the latest row that differs is the latest row
-# unless that one is what is stored already. d_id is NULL when nothing applies.
-
+# the row it applied. It gives (c, cid, cn) for every fingerprint but p, and
+# (d, did, dn) for p itself, because the latest row that differs is the latest
+# row unless that one is what is stored already. cid and did are the applied
+# rows, NULL when nothing applies; cn and dn count main phones taken out of the
+# view by being stored under another type.
 
-_STEP = ("p", "c", "cid", "d", "did")
+_STEP = ("p", "c", "cid", "cn", "d", "did", "dn")
 
 
 def _step(*values: Column) -> Column:
@@ -222,7 +226,15 @@ def _lead(group: str) -> Column:
     first = F.max(F.when((F.col("grp") == group) & (F.col("rank") == 1), F.struct("hash", "after", "latest")))
     second = F.max(F.when((F.col("grp") == group) & (F.col("rank") == 2), F.struct("after", "latest")))
     other = F.coalesce(second["after"], first["hash"])
-    return _step(first["hash"], first["after"], first["latest"], other, second["latest"]).alias(group)
+
+    def closings(after: Column, applied: Column) -> Column:
+        closed = applied.isNotNull() & (after == _empty(PHONE)) & F.lit(group == "p")
+        return closed.cast("bigint")
+
+    return _step(
+        first["hash"], first["after"], first["latest"], closings(first["after"], first["latest"]),
+        other, second["latest"], closings(other, second["latest"]),
+    ).alias(group)
 
 
 def _steps(rows: DataFrame) -> DataFrame:
@@ -256,89 +268,101 @@ def _steps(rows: DataFrame) -> DataFrame:
 
 
 def _compose(earlier: Column, later: Column) -> Column:
-    """The step ``earlier`` followed by ``later``."""
-    p1, c1, cid1, d1, did1 = (earlier[n] for n in _STEP)
-    p2, c2, cid2, d2, did2 = (later[n] for n in _STEP)
-    both = _step(
-        p1,
-        F.when(c1 == p2, d2).otherwise(c2),
-        F.when(c1 == p2, F.coalesce(did2, cid1)).otherwise(cid2),
-        F.when(d1 == p2, d2).otherwise(c2),
-        F.when(d1 == p2, F.coalesce(did2, did1)).otherwise(cid2),
-    )
+    """The step ``earlier`` followed by ``later``; either may be NULL."""
+    first = {n: earlier[n] for n in _STEP}
+    then = {n: later[n] for n in _STEP}
+
+    def follow(mark: str, row: str, count: str) -> list[Column]:
+        same = first[mark] == then["p"]
+        return [
+            F.when(same, then["d"]).otherwise(then["c"]),
+            F.when(same, F.coalesce(then["did"], first[row])).otherwise(then["cid"]),
+            first[count] + F.when(same, then["dn"]).otherwise(then["cn"]),
+        ]
+
+    both = _step(first["p"], *follow("c", "cid", "cn"), *follow("d", "did", "dn"))
     # A window with no usable row of this pid changes nothing: its p is NULL.
-    return F.when(p1.isNull(), later).when(p2.isNull(), earlier).otherwise(both)
+    return F.when(first["p"].isNull(), later).when(then["p"].isNull(), earlier).otherwise(both)
 
 
-def _scan(steps: DataFrame, windows: int) -> DataFrame:
-    """Replace each step by the composition of all steps up to it.
+def _scan(steps: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
+    """Add to each step the composition of all steps before it, as d_prev, a_prev and p_prev.
 
-    Doubling distances need log2(windows) rounds; all of them use the same
-    partitioning and sort order, so the rows are shuffled once.
+    Doubling distances need log2 rounds; all rounds use one partitioning and
+    sort order, so the rows are shuffled once. A pid seen in very many windows
+    is cut into blocks of windows: blocks are scanned on their own, their totals
+    are scanned in turn, so no task holds more than a block of one pid.
     """
-    order = Window.partitionBy("pid").orderBy("window_no")
+    keys = ["pid"]
+    if windows > block:
+        steps, keys = steps.withColumn("_block", F.expr(f"window_no div {block}")), ["pid", "_block"]
+    order = Window.partitionBy(*keys).orderBy("window_no")
     distance = 1
-    while distance < windows:
+    while distance < min(windows, block):
         steps = steps.withColumns({f"_{g}": F.lag(g, distance).over(order) for g in "dap"})
-        steps = steps.select(
-            "pid", "window_no", "t",
-            *[F.when(F.col(f"_{g}").isNull(), F.col(g)).otherwise(_compose(F.col(f"_{g}"), F.col(g))).alias(g) for g in "dap"],
-        )
+        folded = [
+            F.when(F.col(f"_{g}").isNull(), F.col(g)).otherwise(_compose(F.col(f"_{g}"), F.col(g))).alias(g)
+            for g in "dap"
+        ]
+        steps = steps.select(*keys, "window_no", "t", *folded)
         distance *= 2
-    return steps
+    steps = steps.withColumns({f"{g}_prev": F.lag(g, 1).over(order) for g in "dap"})
+    if windows <= block:
+        return steps
+    steps = staged(steps, "blocks")
+    totals = steps.groupBy("pid", F.col("_block").alias("window_no")).agg(
+        F.max_by(F.struct("d", "a", "p"), "window_no").alias("_s")
+    )
+    totals = totals.select("pid", "window_no", "_s.*", F.lit(None).cast("string").alias("t"))
+    before = _scan(totals, windows // block + 1, block).select(
+        "pid", F.col("window_no").alias("_block"), *[F.col(f"{g}_prev").alias(f"_{g}") for g in "dap"]
+    )
+    joined = steps.join(before, keys)
+    whole = {}
+    for g in "dap":
+        earlier = F.col(f"_{g}")
+        for name in (g, f"{g}_prev"):
+            later = F.col(name)
+            whole[name] = F.when(earlier.isNull(), later).when(later.isNull(), earlier).otherwise(_compose(earlier, later))
+    return joined.withColumns(whole).drop("_block", "_d", "_a", "_p")
 
 
-def plan_windows(rows: DataFrame, known: DataFrame, windows: int) -> DataFrame:
-    """Per pid and window: what it starts from and which rows are applied in the end."""
-    steps = _scan(_steps(rows), windows).join(
+def plan_windows(rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
+    """Per pid and window: what it starts from and which rows it applies."""
+    steps = _scan(_steps(rows), windows, block).join(
         known.withColumnsRenamed({"_d": "d_base", "_a": "a_base", "_p": "p_base"}), "pid", "inner"
     )
-    order = Window.partitionBy("pid").orderBy("window_no")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
     single = F.col("view_rows") == 1
-    ended = {}
+    done: dict[str, Column] = {}
     for g in "dap":
-        step, base = F.col(g), F.col(f"{g}_base")
-        none = step["p"].isNull()
-        hit = none | (base == step["p"])
-        ended[f"{g}_end"] = F.when(none, base).when(hit, step["d"]).otherwise(step["c"])
-        ended[f"{g}_last"] = F.when(single, F.when(hit, step["did"]).otherwise(step["cid"]))
-    steps = steps.withColumns(ended)
-    started = {f"{g}_start": F.coalesce(F.lag(f"{g}_end").over(order), F.col(f"{g}_base")) for g in "dap"}
-    started |= {f"{g}_prior": F.lag(f"{g}_last").over(order) for g in "dap"}
-    steps = steps.withColumns(started)
-    whole = Window.partitionBy("pid")
+        base = F.col(f"{g}_base")
+        for name, step in ((f"{g}_start", F.col(f"{g}_prev")), (f"{g}_end", F.col(g))):
+            none = step["p"].isNull()
+            hit = base == step["p"]
+            done[name] = F.when(none, base).when(hit, step["d"]).otherwise(step["c"])
+            done[f"{name}_row"] = F.when(single & ~none, F.when(hit, step["did"]).otherwise(step["cid"]))
+            if name == "p_start":
+                done["segment"] = F.coalesce(F.when(hit, step["dn"]).otherwise(step["cn"]), F.lit(0))
+    steps = steps.select("pid", "window_no", "view_rows", "member_id", "addr_id", "phn_id", "t",
+                         *[c.alias(n) for n, c in done.items()])
+
+    def applied(group: str) -> Column:
+        last = F.col(f"{group}_end_row")
+        return F.when(~last.eqNullSafe(F.col(f"{group}_start_row")), last)
+
     start = F.concat("d_start", "a_start", "p_start")
-    applied = F.when(~F.col("p_last").eqNullSafe(F.col("p_prior")), F.col("p_last"))
-    steps = steps.withColumns(
-        {
-            "_census": F.when(single, F.when(F.col("t.p") != start, F.col("t.cid")).otherwise(F.col("t.did"))),
-            "p_applied": applied,
-            "_closing": F.when(applied.isNotNull() & (F.col("p_end") == _empty(PHONE)), 1).otherwise(0),
-        }
-    )
-    steps = steps.withColumns(
-        {
-            "d_final": F.max("d_last").over(whole),
-            "a_final": F.max("a_last").over(whole),
-            "t_final": F.max("_census").over(whole),
-            # A phone stored under another type leaves the view; the next one is a new row.
-            "segment": F.coalesce(F.sum("_closing").over(before), F.lit(0)),
-        }
-    )
-    piece = Window.partitionBy("pid", "segment")
-    earlier = piece.orderBy("window_no").rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.withColumns(
-        {"p_final": F.max("p_applied").over(piece), "_p_seen": F.max("p_applied").over(earlier)}
-    )
+    differing = F.when(F.col("t.p") != start, F.col("t.cid")).otherwise(F.col("t.did"))
+    # A phone stored under another type leaves the view; the next one is a new row.
     new_phone = (F.col("segment") > 0) | F.col("phn_id").isNull()
     return steps.select(
         "pid", "window_no", "view_rows", "member_id", "addr_id", "phn_id", "segment",
-        "d_start", "a_start", "p_start", "d_final", "a_final", "p_final", "t_final",
-        F.col("a_prior").isNotNull().alias("address_seen"),
-        F.col("_p_seen").isNotNull().alias("phone_seen"),
-        (F.col("addr_id").isNull() & F.col("a_final").isNotNull()).alias("new_address"),
-        (new_phone & F.col("p_final").isNotNull()).alias("new_phone"),
+        "d_start", "a_start", "p_start",
+        applied("d").alias("d_applied"), applied("a").alias("a_applied"), applied("p").alias("p_applied"),
+        F.when(single, differing).alias("t_applied"),
+        F.col("a_start_row").isNotNull().alias("address_seen"),
+        (F.col("p_start_row").isNotNull() & (F.col("p_start") != _empty(PHONE))).alias("phone_seen"),
+        (F.col("addr_id").isNull() & applied("a").isNotNull()).alias("new_address"),
+        (new_phone & applied("p").isNotNull()).alias("new_phone"),
     )
 
 
@@ -361,7 +385,8 @@ def _with_new_ids(plan: DataFrame, state: State) -> DataFrame:
     phone_id = F.col("_nth") - shift + _next_id(state.phones, "phn_id")
     new_addresses = numbered.filter("_kind = 0").select("member_id", address_id.alias("new_addr_id"))
     new_phones = numbered.filter("_kind = 1").select("member_id", "segment", phone_id.alias("new_phn_id"))
-    return plan.join(new_addresses, "member_id", "left").join(new_phones, ["member_id", "segment"], "left")
+    homes = join_unique(plan, new_addresses, ["member_id"])
+    return join_unique(homes, new_phones, ["member_id", "segment"], counted=plan)
 
 
 def resolve(
@@ -380,7 +405,7 @@ def resolve(
     rows = reject_reasons(with_hashes(waiting), references, options.widths).withColumn(
         "window_no", F.expr(f"(mq_id - {options.start_id}) div {window}")
     )
-    plan = staged(plan_windows(rows, state_by_pid(state), windows), "windows")
+    plan = staged(plan_windows(rows, state_by_pid(state), windows, options.scan_block), "windows")
     plan = _with_new_ids(plan, state)
     if count > options.hot_rows:
         counted = waiting.withColumn("window_no", F.expr(f"(mq_id - {options.start_id}) div {window}"))
@@ -406,10 +431,10 @@ def resolve(
         {
             "mq_status": status,
             "reasons": reasons,
-            "applies_demographics": F.coalesce(F.col("mq_id") == F.col("d_final"), F.lit(False)),
-            "applies_address": F.coalesce(F.col("mq_id") == F.col("a_final"), F.lit(False)),
-            "applies_phone": F.coalesce(F.col("mq_id") == F.col("p_final"), F.lit(False)),
-            "applies_census": F.coalesce(F.col("mq_id") == F.col("t_final"), F.lit(False)),
+            "applies_demographics": F.coalesce(F.col("mq_id") == F.col("d_applied"), F.lit(False)),
+            "applies_address": F.coalesce(F.col("mq_id") == F.col("a_applied"), F.lit(False)),
+            "applies_phone": F.coalesce(F.col("mq_id") == F.col("p_applied"), F.lit(False)),
+            "applies_census": F.coalesce(F.col("mq_id") == F.col("t_applied"), F.lit(False)),
             "target_addr_id": F.coalesce("addr_id", "new_addr_id"),
             "target_phn_id": F.coalesce(stored, F.col("new_phn_id")),
             "member_id": F.when(single, F.col("member_id")),
@@ -419,31 +444,36 @@ def resolve(
     )
 
 
+def _patch(outcome: DataFrame, flag: str, keys: dict[str, Column], cells: list[Column]) -> DataFrame:
+    """Cells of the last row applied per key; earlier windows of the run are overwritten."""
+    rows = outcome.filter(flag).select("mq_id", *[c.alias(n) for n, c in keys.items()], *cells)
+    return latest_per_key(rows, list(keys), "mq_id").drop("mq_id")
+
+
 def apply_demographics(members: DataFrame, outcome: DataFrame) -> DataFrame:
     """Update only; members are never inserted."""
-    patch = outcome.filter("applies_demographics").select("member_id", *DEMOGRAPHICS)
+    cells = [F.col(c) for c in DEMOGRAPHICS]
+    patch = _patch(outcome, "applies_demographics", {"member_id": F.col("member_id")}, cells)
     return loads.update(members, patch, ["member_id"])
 
 
 def apply_address(addresses: DataFrame, outcome: DataFrame) -> DataFrame:
-    patch = outcome.filter("applies_address").select("member_id", F.col("target_addr_id").alias("addr_id"), *ADDRESS)
-    return loads._matched(
-        addresses, patch, ["member_id", "addr_id"], insert_new=True, overlay=False, columns=ADDRESS
-    )
+    keys = {"member_id": F.col("member_id"), "addr_id": F.col("target_addr_id")}
+    patch = _patch(outcome, "applies_address", keys, [F.col(c) for c in ADDRESS])
+    return loads.merge_unique(addresses, patch, list(keys))
 
 
 def apply_phone(phones: DataFrame, outcome: DataFrame) -> DataFrame:
+    keys = {"member_id": F.col("member_id"), "phn_id": F.col("target_phn_id")}
     kind = F.coalesce(F.col("phone_type_id"), F.lit(MAIN_PHONE)).alias("phone_type_id")
-    patch = outcome.filter("applies_phone").select(
-        "member_id", F.col("target_phn_id").alias("phn_id"), "phone", kind
-    )
-    return loads._matched(phones, patch, ["member_id", "phn_id"], insert_new=True, overlay=False, columns=PHONE)
+    patch = _patch(outcome, "applies_phone", keys, [F.col("phone"), kind])
+    return loads.merge_unique(phones, patch, list(keys))
 
 
 def sync_census(census: DataFrame, outcome: DataFrame) -> DataFrame:
     """Latest differing row of each changed member overwrites its census row."""
-    patch = outcome.filter("applies_census").select("pid", *[make(name).alias(name) for name, make in CENSUS.items()])
-    return loads.update(census, patch, ["pid"])
+    cells = [make(name).alias(name) for name, make in CENSUS.items()]
+    return loads.update(census, _patch(outcome, "applies_census", {"pid": F.col("pid")}, cells), ["pid"])
 
 
 def sync_batch(

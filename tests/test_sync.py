@@ -154,13 +154,13 @@ def bag(df, names, new_id=None, old=()):
     return Counter(tuple(cell(r, n) for n in names) for r in df)
 
 
-@pytest.mark.parametrize("seed,size", [(1, 1000), (2, 7), (3, 1), (4, 3), (5, 20)])
-def test_windows_equal_simulation(spark, seed, size):
+@pytest.mark.parametrize("seed,size,block", [(1, 1000, 100), (2, 7, 100), (3, 1, 5)])
+def test_windows_equal_simulation(spark, seed, size, block):
     rng = random.Random(seed)
     world, inbound = make_world(rng), make_inbound(rng, 120)
     state, rows = world.frames(spark), frame(spark, inbound, INBOUND)
     old_addr, old_phn = {a["addr_id"] for a in world.addresses}, {p["phn_id"] for p in world.phones}
-    options = sync.Options(commit_size=size, block_census=True, hot_rows=15)
+    options = sync.Options(commit_size=size, block_census=True, hot_rows=15, scan_block=block)
     outcome = sync.sync_batch(rows, state, references(spark), options)
     status, ids = {}, {}
     for start in range(0, inbound[-1]["mq_id"] + 1, size):

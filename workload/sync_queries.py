@@ -349,8 +349,8 @@ def status_summary(t: Inputs) -> DataFrame:
     "M16_sync_batch",
     _chain(_WINDOWS) + " SELECT mq_id, j.pid, demogr_hash, address_hash, phone_hash, mq_status,"
     " CASE WHEN j.n = 1 THEN j.member_id END AS member_id,"
-    " coalesce(m.member_id IS NOT NULL, FALSE) AS wins_demographics FROM judged j"
-    f" LEFT JOIN s{_WINDOWS} m ON m.pid = j.pid AND m.did = j.mq_id",
+    " mq_id IN (" + " UNION ALL ".join(f"SELECT did FROM win{k} WHERE did IS NOT NULL" for k in range(_WINDOWS)) + ")"
+    " AS wins_demographics FROM judged j",
     *_ALL,
 )
 def sync_batch(t: Inputs) -> DataFrame:
