@@ -82,6 +82,15 @@ def merge_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return _matched(target, source, keys, insert_new=True, overlay=False, columns=None)
 
 
+def touched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Only the target rows a source, unique by key, changes, as they are after it."""
+    changed = [c for c in source.columns if c not in keys and c in target.columns]
+    new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in changed])
+    kinds = dict(target.dtypes)
+    cells = [F.col(f"_new_{c}").cast(kinds[c]).alias(c) if c in changed else F.col(c) for c in target.columns]
+    return target.join(new, keys).select(*cells)
+
+
 def _require(keys: list[str]) -> None:
     if not keys:
         raise ValueError("this load needs a key to match on and none is defined")
@@ -203,6 +212,9 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self._numbers())
 
+    def folders(self) -> list[str]:
+        return self._latest()[1]
+
     def holds(self, tag: str) -> bool:
         """True when the tagged rows are part of the table."""
         return tag in self._latest()[1]
@@ -244,6 +256,50 @@ class VersionedTable:
         return self._publish(df, True, tag, options)
 
 
+class LayeredTable:
+    """A large keyed table with the rows changed by each run kept in layers on top.
+
+    A run writes only the rows it touches. Reading replaces base rows by their
+    newest layer through an anti join on the changed keys, so the base is never
+    shuffled while the layers are small. ``compact`` folds the layers in.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str]) -> None:
+        self.base = VersionedTable(spark, f"{root}/base")
+        self.layers = VersionedTable(spark, f"{root}/layers")
+        self.keys = keys
+
+    def exists(self) -> bool:
+        return self.base.exists()
+
+    def read(self, below: int | None = None) -> DataFrame:
+        """The rows, or with ``below`` the rows before that layer was added."""
+        base = self.base.read()
+        if not self.layers.exists():
+            return base
+        layers = self.layers.read()
+        layers = layers if below is None else layers.filter(F.col("_layer") < below)
+        newest = latest_per_key(layers, self.keys, "_layer").drop("_layer")
+        return base.join(newest.select(*self.keys), self.keys, "left_anti").unionByName(newest)
+
+    def add(self, rows: DataFrame, layer: int) -> None:
+        self.layers.append(rows.withColumn("_layer", F.lit(layer)), f"layer-{layer}")
+
+    def depth(self) -> int:
+        return len(self.layers.folders())
+
+    def compact(self, layer: int) -> None:
+        """Fold in all layers below ``layer``.
+
+        Stopping between the two writes is harmless: the layers then repeat what
+        the base already holds.
+        """
+        rows = self.read(layer)
+        kept = self.layers.read().filter(F.col("_layer") >= layer)
+        self.base.write(rows, f"base-{layer}")
+        self.layers.write(kept, f"kept-{layer}")
+
+
 class StatusQueue:
     """A queue kept in two parts: rows still waiting, and rows with a final status.
 

@@ -450,30 +450,63 @@ def _patch(outcome: DataFrame, flag: str, keys: dict[str, Column], cells: list[C
     return latest_per_key(rows, list(keys), "mq_id").drop("mq_id")
 
 
-def apply_demographics(members: DataFrame, outcome: DataFrame) -> DataFrame:
-    """Update only; members are never inserted."""
+def _member_patch(outcome: DataFrame) -> DataFrame:
     cells = [F.col(c) for c in DEMOGRAPHICS]
-    patch = _patch(outcome, "applies_demographics", {"member_id": F.col("member_id")}, cells)
-    return loads.update(members, patch, ["member_id"])
+    return _patch(outcome, "applies_demographics", {"member_id": F.col("member_id")}, cells)
 
 
-def apply_address(addresses: DataFrame, outcome: DataFrame) -> DataFrame:
+def _address_patch(outcome: DataFrame) -> DataFrame:
     keys = {"member_id": F.col("member_id"), "addr_id": F.col("target_addr_id")}
-    patch = _patch(outcome, "applies_address", keys, [F.col(c) for c in ADDRESS])
-    return loads.merge_unique(addresses, patch, list(keys))
+    fresh = F.col("target_addr_id").eqNullSafe(F.col("new_addr_id")).alias("is_new")
+    return _patch(outcome, "applies_address", keys, [*[F.col(c) for c in ADDRESS], fresh])
 
 
-def apply_phone(phones: DataFrame, outcome: DataFrame) -> DataFrame:
+def _phone_patch(outcome: DataFrame) -> DataFrame:
     keys = {"member_id": F.col("member_id"), "phn_id": F.col("target_phn_id")}
     kind = F.coalesce(F.col("phone_type_id"), F.lit(MAIN_PHONE)).alias("phone_type_id")
-    patch = _patch(outcome, "applies_phone", keys, [F.col("phone"), kind])
-    return loads.merge_unique(phones, patch, list(keys))
+    fresh = F.col("target_phn_id").eqNullSafe(F.col("new_phn_id")).alias("is_new")
+    return _patch(outcome, "applies_phone", keys, [F.col("phone"), kind, fresh])
+
+
+def _census_patch(outcome: DataFrame) -> DataFrame:
+    cells = [make(name).alias(name) for name, make in CENSUS.items()]
+    return _patch(outcome, "applies_census", {"pid": F.col("pid")}, cells)
+
+
+def apply_demographics(members: DataFrame, outcome: DataFrame) -> DataFrame:
+    """Update only; members are never inserted."""
+    return loads.update(members, _member_patch(outcome), ["member_id"])
+
+
+def apply_address(addresses: DataFrame, outcome: DataFrame) -> DataFrame:
+    return loads.merge_unique(addresses, _address_patch(outcome).drop("is_new"), ["member_id", "addr_id"])
+
+
+def apply_phone(phones: DataFrame, outcome: DataFrame) -> DataFrame:
+    return loads.merge_unique(phones, _phone_patch(outcome).drop("is_new"), ["member_id", "phn_id"])
 
 
 def sync_census(census: DataFrame, outcome: DataFrame) -> DataFrame:
     """Latest differing row of each changed member overwrites its census row."""
-    cells = [make(name).alias(name) for name, make in CENSUS.items()]
-    return loads.update(census, _patch(outcome, "applies_census", {"pid": F.col("pid")}, cells), ["pid"])
+    return loads.update(census, _census_patch(outcome), ["pid"])
+
+
+def touched_rows(state: State, outcome: DataFrame, block_census: bool = False) -> State:
+    """Only the rows of each table that the run changes or adds, as they are after it."""
+
+    def merged(table: DataFrame, patch: DataFrame, keys: list[str]) -> DataFrame:
+        old = loads.touched(table, patch.filter("NOT is_new").drop("is_new"), keys)
+        return old.unionByName(loads.fit(patch.filter("is_new").drop("is_new"), table))
+
+    census = state.census
+    if census is not None:
+        census = loads.touched(census, _census_patch(outcome), ["pid"]) if block_census else census.limit(0)
+    return State(
+        members=loads.touched(state.members, _member_patch(outcome), ["member_id"]),
+        addresses=merged(state.addresses, _address_patch(outcome), ["member_id", "addr_id"]),
+        phones=merged(state.phones, _phone_patch(outcome), ["member_id", "phn_id"]),
+        census=census,
+    )
 
 
 def sync_batch(

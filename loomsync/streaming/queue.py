@@ -7,10 +7,20 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsync.operators.loads import VersionedTable
+from loomsync.operators.loads import LayeredTable, VersionedTable
 from loomsync.plans import sync
 
-_PARTS = ("members", "addresses", "phones", "census")
+_KEYS = {
+    "members": ["member_id"],
+    "addresses": ["member_id", "addr_id"],
+    "phones": ["member_id", "phn_id"],
+    "census": ["pid"],
+}
+COMPACT_AFTER = 64
+
+
+def state_tables(spark: SparkSession, root: str) -> dict[str, LayeredTable]:
+    return {name: LayeredTable(spark, f"{root}/{name}", keys) for name, keys in _KEYS.items()}
 
 
 def run_stream(
@@ -21,39 +31,43 @@ def run_stream(
     references: Mapping[str, DataFrame],
     options: sync.Options = sync.Options(),
     *,
-    max_files: int | None = None,
+    max_files: int = 1000,
+    compact_after: int = COMPACT_AFTER,
 ) -> DataFrame:
     """Process every file waiting in ``staging`` and return the processed rows so far.
 
-    Each micro-batch is one sync run. Tables and processed rows are published
-    under the batch id, so a batch replayed after a failure changes nothing; the
+    Each micro-batch is one sync run and writes only the rows it changes, as a
+    layer numbered by the batch. A replayed batch reads the layers below its own
+    number and finds its own layers in place, so it changes nothing; the
     checkpoint is the bookmark.
     """
-    tables = {name: VersionedTable(spark, f"{root}/{name}") for name in _PARTS}
+    tables = state_tables(spark, root)
     done = VersionedTable(spark, f"{root}/processed")
     for name, table in tables.items():
         start = getattr(initial, name)
         if start is not None and not table.exists():
-            table.write(start, "initial")
+            table.base.write(start, "initial")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         tag = f"batch-{batch_id}"
         if done.holds(tag):
             return
-        before = sync.State(
-            **{n: tb.read_before(tag) if tb.exists() else None for n, tb in tables.items()}
-        )
+        for table in tables.values():
+            if table.exists() and table.depth() >= compact_after:
+                table.compact(batch_id)
+        before = sync.State(**{n: tb.read(batch_id) if tb.exists() else None for n, tb in tables.items()})
         outcome = sync.sync_batch(batch, before, references, replace(options, max_records=None))
         if outcome is None:
             return
+        changes = sync.touched_rows(before, outcome.rows, options.block_census)
         for name, table in tables.items():
-            after = getattr(outcome.state, name)
-            if after is not None:
-                table.write(after, tag)
+            rows = getattr(changes, name)
+            if rows is not None:
+                table.add(rows, batch_id)
         done.append(outcome.rows, tag)
 
     schema = spark.read.parquet(staging).schema
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files or 1000).parquet(staging)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(staging)
     query = (
         source.writeStream.foreachBatch(apply)
         .option("checkpointLocation", f"{root}/_bookmark")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsync.plans import sync
 from loomsync.plans.sync import ADDRESS, DEMOGRAPHICS, PHONE
-from loomsync.streaming.queue import run_stream
+from loomsync.streaming.queue import run_stream, state_tables
 
 KINDS = {"name_suffix_id": "bigint", "gender_id": "bigint", "mar_status_id": "bigint", "phone_type_id": "bigint",
          "birthdate": "date", "dt_of_death": "date"}
@@ -196,7 +196,7 @@ def one(world, pid, **changes):
 
 
 def test_scenarios(spark):
-    """Change, resend, restore; clear a field; unknown pid; B then A in one window applies B."""
+    """Change, resend, restore, clear, unknown pid, bad row, and B before A in one window."""
     world = make_world(random.Random(7))
     state = world.frames(spark)
     refs = references(spark)
@@ -207,34 +207,27 @@ def test_scenarios(spark):
         found = {r["mq_id"]: r["mq_status"] for r in out.rows.collect()}
         return [found.get(n + 1) for n in range(len(rows))], out
 
-    same = one(world, "P2")
+    same, other = one(world, "P2"), one(world, "P5")
     changed = {**same, "last_name": "New"}
-    first, out = run(state, changed)
-    second, _ = run(out.state, changed)
-    third, _ = run(out.state, same)
-    assert (first, second, third) == ([200], [304], [200])
-    assert out.state.members.filter("pid = 'P2'").first()["last_name"] == "New"
-    cleared, out = run(state, {**same, "last_name": None})
-    assert cleared == [200] and out.state.members.filter("pid = 'P2'").first()["last_name"] is None
-    assert run(state, {**same, "pid": "P404"})[0] == [404]
-    mixed, out = run(state, changed, same, one(world, "P5"), {**same, "pid": "nope"})
-    assert mixed == [200, 304, 304, 404]
-    assert out.state.members.filter("pid = 'P2'").first()["last_name"] == "New"
+    cleared = {**one(world, "P7"), "last_name": None}
+    # A NULL phone type never equals a stored phone, though it is stored as the main type.
+    loose = one(world, "P10", phone_type_id=None)
+    first, out = run(state, changed, same, other, {**same, "pid": "nope"}, cleared, {**other, "gender_id": 99}, loose)
+    assert first == [200, 304, 304, 404, 200, 500, 200]
+    names = {r["pid"]: r["last_name"] for r in out.state.members.collect()}
+    assert names["P2"] == "New" and names["P7"] is None and names["P5"] == "L"
+    assert out.failures().count() == 1
+    log = sync.error_log(out.failures(), ["mq_id", "pid"], "process", "sync").collect()
+    assert [(r["mq_log_id"], r["mq_id"]) for r in log] == [(1000, 6)] and "gender_id" in log[0]["error_message"]
+    assert out.state.census.filter("last_name IS NOT NULL").isEmpty()
+
+    again, back = run(out.state, changed, cleared, loose, commit_size=1)
+    assert again == [304, 304, 200]
     apart, out = run(state, changed, same, commit_size=1)
     assert apart == [200, 200] and out.state.members.filter("pid = 'P2'").first()["last_name"] == "L"
-    assert run(state, changed, same, one(world, "P5"), max_records=2)[0] == [200, 304, None]
-    poison, out = run(state, {**same, "gender_id": 99}, one(world, "P5", city="Q"))
-    assert poison == [500, 200] and out.failures().count() == 1
-    log = sync.error_log(out.failures(), ["mq_id", "pid"], "process", "sync").collect()
-    assert [(r["mq_log_id"], r["mq_id"]) for r in log] == [(1000, 1)] and "gender_id" in log[0]["error_message"]
+    assert run(state, changed, same, other, max_records=2)[0] == [200, 304, None]
     with pytest.raises(RuntimeError):
         run(state, {**same, "gender_id": 99}, allow_partial=False)
-    census, out = run(state, changed, block_census=False)
-    assert out.state.census.filter("pid = 'P2' AND last_name = 'New'").isEmpty()
-    # A NULL phone type never equals a stored phone, though it is stored as the main type.
-    loose = one(world, "P5", phone_type_id=None)
-    again, out = run(state, loose)
-    assert again == [200] and run(out.state, loose)[0] == [200]
     assert sync.sync_batch(frame(spark, [], INBOUND), state, refs) is None
     queue = frame(spark, [{**changed, "mq_id": 1}, {**same, "mq_id": 9, "mq_status": 304}], INBOUND)
     settled = sync.settle_queue(queue, sync.sync_batch(queue, state, refs))
@@ -246,21 +239,24 @@ def test_stream_equals_windows(spark, tmp_path):
     rng = random.Random(11)
     world, inbound = make_world(rng), make_inbound(rng, 60)
     state, refs = world.frames(spark), references(spark)
-    size = 40
-    for part in range(0, inbound[-1]["mq_id"] + 1, size):
-        rows = [r for r in inbound if part <= r["mq_id"] < part + size]
+    size = -(-(inbound[-1]["mq_id"] + 1) // 3)
+    options = sync.Options(commit_size=10**6, block_census=True)
+    for part in range(3):
+        rows = [r for r in inbound if r["mq_id"] // size == part]
         frame(spark, rows, INBOUND).coalesce(1).write.mode("append").parquet(f"{tmp_path}/staging")
         done = run_stream(
-            spark, f"{tmp_path}/staging", f"{tmp_path}/out", state, refs, sync.Options(commit_size=10**6), max_files=1
+            spark, f"{tmp_path}/staging", f"{tmp_path}/out", state, refs, options, max_files=1, compact_after=2
         )
-    again = run_stream(spark, f"{tmp_path}/staging", f"{tmp_path}/out", state, refs, sync.Options(commit_size=10**6))
+    again = run_stream(spark, f"{tmp_path}/staging", f"{tmp_path}/out", state, refs, options)
     assert again.count() == done.count() == len(inbound)
-    batch = sync.sync_batch(frame(spark, inbound, INBOUND), state, refs, sync.Options(commit_size=size))
+    batch = sync.sync_batch(frame(spark, inbound, INBOUND), state, refs, sync.Options(commit_size=size, block_census=True))
     pick = lambda df: {r["mq_id"]: r["mq_status"] for r in df.select("mq_id", "mq_status").collect()}
     assert pick(again) == pick(batch.rows)
-    members = spark.read.parquet(*[f"{tmp_path}/out/members/{r['value']}" for r in spark.read.text(
-        sorted(str(p) for p in (tmp_path / "out/members/_pointers").iterdir() if p.name.isdigit())[-1]).collect()])
-    assert members.select(MEMBER).exceptAll(batch.state.members.select(MEMBER)).isEmpty()
+    tables = state_tables(spark, f"{tmp_path}/out")
+    assert tables["members"].depth() < 3 and tables["members"].base.read().count() == len(world.members)
+    for name, columns in (("members", MEMBER), ("census", CENSUS), ("addresses", ["member_id", *ADDRESS]), ("phones", ["member_id", *PHONE])):
+        streamed, whole = tables[name].read(), getattr(batch.state, name)
+        assert bag(streamed.collect(), columns) == bag(whole.collect(), columns), name
 
 
 def test_current_state_fans_out(spark):
