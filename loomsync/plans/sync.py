@@ -178,9 +178,15 @@ def change_flags(hydrated: DataFrame) -> DataFrame:
 
 
 def reject_reasons(
-    inbound: DataFrame, references: Mapping[str, DataFrame], widths: Mapping[str, int] = WIDTHS
+    inbound: DataFrame,
+    references: Mapping[str, DataFrame],
+    widths: Mapping[str, int] = WIDTHS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Adds ``reasons``: why a row could not be applied, judged from the row and its lookups."""
+    """Adds ``reasons``: why a row could not be applied, judged from the row and its lookups.
+
+    With ``hot_rows`` set, values shared by more rows are split in the lookups.
+    """
     checks = [
         F.when(F.length(name) > width, F.lit(f"{name} is longer than {width}"))
         for name, width in widths.items()
@@ -189,7 +195,10 @@ def reject_reasons(
     checked = inbound
     for name, parent in references.items():
         keys = parent.select(F.col(parent.columns[0]).alias(name)).distinct().withColumn(f"_known_{name}", F.lit(True))
-        checked = checked.join(keys, name, "left")
+        if hot_rows is None:
+            checked = checked.join(keys, name, "left")
+        else:
+            checked = join_unique(checked, keys, [name], hot_rows=hot_rows, counted=inbound)
         orphan = F.col(name).isNotNull() & F.col(f"_known_{name}").isNull()
         checks.append(F.when(orphan, F.lit(f"{name} has no parent")))
     found = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
@@ -327,11 +336,16 @@ def _scan(steps: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
     return joined.withColumns(whole).drop("_block", "_d", "_a", "_p")
 
 
-def plan_windows(rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
+def plan_windows(
+    rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Per pid and window: what it starts from and which rows it applies."""
-    steps = _scan(_steps(rows), windows, block).join(
-        known.withColumnsRenamed({"_d": "d_base", "_a": "a_base", "_p": "p_base"}), "pid", "inner"
-    )
+    based = known.withColumnsRenamed({"_d": "d_base", "_a": "a_base", "_p": "p_base"})
+    steps = _scan(_steps(rows), windows, block)
+    if windows > hot_rows:  # a pid has at most one step per window
+        steps = join_unique(staged(steps, "steps"), based, ["pid"], "inner", hot_rows=hot_rows)
+    else:
+        steps = steps.join(based, "pid")
     single = F.col("view_rows") == 1
     done: dict[str, Column] = {}
     for g in "dap":
@@ -402,15 +416,17 @@ def resolve(
         (F.col("mq_status") == options.status) & F.col("mq_id").between(max(low, options.start_id), high)
     )
     waiting = waiting.drop("member_id", "addr_id", "phn_id", "demogr_hash", "address_hash", "phone_hash", "mq_status")
-    rows = reject_reasons(with_hashes(waiting), references, options.widths).withColumn(
-        "window_no", F.expr(f"(mq_id - {options.start_id}) div {window}")
-    )
-    plan = staged(plan_windows(rows, state_by_pid(state), windows, options.scan_block), "windows")
+    number = F.expr(f"(mq_id - {options.start_id}) div {window}")
+    may_be_hot = count > options.hot_rows
+    hot_rows = options.hot_rows if may_be_hot else None
+    rows = reject_reasons(with_hashes(waiting), references, options.widths, hot_rows).withColumn("window_no", number)
+    known = state_by_pid(state)
+    plan = staged(plan_windows(rows, known, windows, options.scan_block, options.hot_rows), "windows")
     plan = _with_new_ids(plan, state)
-    if count > options.hot_rows:
-        counted = waiting.withColumn("window_no", F.expr(f"(mq_id - {options.start_id}) div {window}"))
+    if may_be_hot:
+        counted = waiting.withColumn("window_no", number)
         joined = join_unique(rows, plan, ["pid", "window_no"], hot_rows=options.hot_rows, counted=counted)
-    else:  # no group can be hot
+    else:
         joined = rows.join(plan, ["pid", "window_no"], "left")
     changed = (
         differs(F.col("demogr_hash"), F.col("d_start"))
