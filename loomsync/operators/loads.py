@@ -55,21 +55,31 @@ def _keyed(source: DataFrame, keys: list[str]) -> Column:
 
 
 def _matched(
-    target: DataFrame, source: DataFrame, keys: list[str], *, insert_new: bool, overlay: bool, columns: list[str] | None
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    *,
+    insert_new: bool,
+    overlay: bool = False,
+    columns: list[str] | None = None,
+    unique_target: bool = False,
 ) -> DataFrame:
     """Target rewritten from a source that is unique by key and has no NULL key."""
+    kinds = dict(target.dtypes)
     changed = [c for c in (columns or source.columns) if c not in keys and c in target.columns]
     new = source.select(
         *keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in changed]
     )
     old = target.withColumn("_old", F.lit(True))
-    joined = old.join(new, keys, "full") if insert_new else join_unique(old, new, keys, "left")
+    if insert_new:
+        joined = old.join(new, keys, "full")
+    else:
+        joined = old.join(new, keys, "left") if unique_target else join_unique(old, new, keys, "left")
 
     def cell(name: str) -> Column:
-        kind = dict(target.dtypes)[name]
         if name in keys or name not in changed:
             return F.col(name)
-        fresh = F.col(f"_new_{name}").cast(kind)
+        fresh = F.col(f"_new_{name}").cast(kinds[name])
         if overlay:
             return F.coalesce(fresh, F.col(name)).alias(name)
         return F.when(F.col("_hit"), fresh).otherwise(F.col(name)).alias(name)
@@ -79,7 +89,12 @@ def _matched(
 
 def merge_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert of a source that has one row per key and no NULL key."""
-    return _matched(target, source, keys, insert_new=True, overlay=False, columns=None)
+    return _matched(target, source, keys, insert_new=True)
+
+
+def update_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Update where both sides have one row per key, so no key can be hot."""
+    return _matched(target, source, keys, insert_new=False, unique_target=True)
 
 
 def touched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,8 @@ fingerprint every window starts from. One pass handles any number of windows.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,10 +80,24 @@ class Options:
 
 @dataclass(frozen=True)
 class Outcome:
-    """Processed rows with their status, and the tables after the sync."""
+    """Processed rows with their status, and the tables they lead to."""
 
     rows: DataFrame
-    state: State
+    before: State
+    block_census: bool = False
+
+    @cached_property
+    def state(self) -> State:
+        """Every table as it is after the run."""
+        old, census = self.before, self.before.census
+        if self.block_census and census is not None:
+            census = sync_census(census, self.rows)
+        return State(
+            apply_demographics(old.members, self.rows),
+            apply_address(old.addresses, self.rows),
+            apply_phone(old.phones, self.rows),
+            census,
+        )
 
     def statuses(self) -> DataFrame:
         return self.rows.select(
@@ -491,7 +506,7 @@ def _census_patch(outcome: DataFrame) -> DataFrame:
 
 def apply_demographics(members: DataFrame, outcome: DataFrame) -> DataFrame:
     """Update only; members are never inserted."""
-    return loads.update(members, _member_patch(outcome), ["member_id"])
+    return loads.update_unique(members, _member_patch(outcome), ["member_id"])
 
 
 def apply_address(addresses: DataFrame, outcome: DataFrame) -> DataFrame:
@@ -504,7 +519,7 @@ def apply_phone(phones: DataFrame, outcome: DataFrame) -> DataFrame:
 
 def sync_census(census: DataFrame, outcome: DataFrame) -> DataFrame:
     """Latest differing row of each changed member overwrites its census row."""
-    return loads.update(census, _census_patch(outcome), ["pid"])
+    return loads.update_unique(census, _census_patch(outcome), ["pid"])
 
 
 def touched_rows(state: State, outcome: DataFrame, block_census: bool = False) -> State:
@@ -539,17 +554,7 @@ def sync_batch(
     rows = staged(resolved, "resolved")
     if not options.allow_partial and not rows.filter(F.col("mq_status") == FAILED).isEmpty():
         raise RuntimeError("the run has rows that cannot be applied and partial success is off")
-    census = state.census
-    if options.block_census and census is not None:
-        census = sync_census(census, rows)
-    after = replace(
-        state,
-        members=apply_demographics(state.members, rows),
-        addresses=apply_address(state.addresses, rows),
-        phones=apply_phone(state.phones, rows),
-        census=census,
-    )
-    return Outcome(rows, after)
+    return Outcome(rows, state, options.block_census)
 
 
 def settle_queue(queue: DataFrame, outcome: Outcome | None) -> DataFrame:

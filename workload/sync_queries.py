@@ -107,6 +107,12 @@ def _three(t: Inputs, windows: int = _WINDOWS, **more) -> sync.Options:
     return sync.Options(commit_size=(top + windows) // windows, **more)
 
 
+def _queue(t: Inputs) -> DataFrame:
+    """The queue as it is stored: a table in id order, in as many files as a shuffle has partitions."""
+    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return staged(t["inbound"].repartitionByRange(files, "mq_id"), "queue")
+
+
 def _whole(t: Inputs, **more) -> sync.Options:
     return _three(t, 1, **more)
 
@@ -326,8 +332,7 @@ FROM hashed h LEFT JOIN known k ON k.pid = h.pid LEFT JOIN judged j ON j.mq_id =
 
 @query("M14_single_record", _SINGLE, *_ALL)
 def single_record(t: Inputs) -> DataFrame:
-    queue = staged(t["inbound"], "queue")
-    rows = sync.resolve(queue, _state(t), _references(t), sync.Options(commit_size=1))
+    rows = sync.resolve(_queue(t), _state(t), _references(t), sync.Options(commit_size=1))
     return sync.response_code(rows.select("mq_id", "pid", "mq_status"))
 
 
@@ -354,8 +359,7 @@ def status_summary(t: Inputs) -> DataFrame:
     *_ALL,
 )
 def sync_batch(t: Inputs) -> DataFrame:
-    queue = staged(t["inbound"], "queue")  # the queue is a stored table, read several times
-    outcome = sync.sync_batch(queue, _state(t), _references(t), _three(t, block_census=True))
+    outcome = sync.sync_batch(_queue(t), _state(t), _references(t), _three(t, block_census=True))
     return outcome.rows.select(
         "mq_id", "pid", "demogr_hash", "address_hash", "phone_hash", "mq_status", "member_id",
         F.col("applies_demographics").alias("wins_demographics"),
