@@ -76,6 +76,7 @@ class Options:
     widths: Mapping[str, int] = field(default_factory=lambda: dict(WIDTHS))
     hot_rows: int = HOT_ROWS
     scan_block: int = SCAN_BLOCK
+    stamp: str | None = None  # audit time, the current time when not given
 
 
 @dataclass(frozen=True)
@@ -462,6 +463,8 @@ def resolve(
         {
             "mq_status": status,
             "reasons": reasons,
+            "updated_by": F.lit(SYNC_USER),
+            "updated_at": F.lit(options.stamp).cast("timestamp") if options.stamp else F.current_timestamp(),
             "applies_demographics": F.coalesce(F.col("mq_id") == F.col("d_applied"), F.lit(False)),
             "applies_address": F.coalesce(F.col("mq_id") == F.col("a_applied"), F.lit(False)),
             "applies_phone": F.coalesce(F.col("mq_id") == F.col("p_applied"), F.lit(False)),
@@ -477,7 +480,8 @@ def resolve(
 
 def _patch(outcome: DataFrame, flag: str, keys: dict[str, Column], cells: list[Column]) -> DataFrame:
     """Cells of the last row applied per key; earlier windows of the run are overwritten."""
-    rows = outcome.filter(flag).select("mq_id", *[c.alias(n) for n, c in keys.items()], *cells)
+    audit = [c for c in ("updated_by", "updated_at") if c in outcome.columns]
+    rows = outcome.filter(flag).select("mq_id", *[c.alias(n) for n, c in keys.items()], *cells, *audit)
     return latest_per_key(rows, list(keys), "mq_id").drop("mq_id")
 
 
@@ -509,12 +513,21 @@ def apply_demographics(members: DataFrame, outcome: DataFrame) -> DataFrame:
     return loads.update_unique(members, _member_patch(outcome), ["member_id"])
 
 
+def _created(table: DataFrame) -> DataFrame:
+    """Rows added by the sync carry its user as their creator, where the table keeps one."""
+    if "created_by" not in table.columns:
+        return table
+    return table.withColumn("created_by", F.coalesce("created_by", F.lit(SYNC_USER)))
+
+
 def apply_address(addresses: DataFrame, outcome: DataFrame) -> DataFrame:
-    return loads.merge_unique(addresses, _address_patch(outcome).drop("is_new"), ["member_id", "addr_id"])
+    patch = _address_patch(outcome).drop("is_new")
+    return _created(loads.merge_unique(addresses, patch, ["member_id", "addr_id"]))
 
 
 def apply_phone(phones: DataFrame, outcome: DataFrame) -> DataFrame:
-    return loads.merge_unique(phones, _phone_patch(outcome).drop("is_new"), ["member_id", "phn_id"])
+    patch = _phone_patch(outcome).drop("is_new")
+    return _created(loads.merge_unique(phones, patch, ["member_id", "phn_id"]))
 
 
 def sync_census(census: DataFrame, outcome: DataFrame) -> DataFrame:
@@ -527,7 +540,8 @@ def touched_rows(state: State, outcome: DataFrame, block_census: bool = False) -
 
     def merged(table: DataFrame, patch: DataFrame, keys: list[str]) -> DataFrame:
         old = loads.touched(table, patch.filter("NOT is_new").drop("is_new"), keys)
-        return old.unionByName(loads.fit(patch.filter("is_new").drop("is_new"), table))
+        new = patch.filter("is_new").select(*[c for c in patch.columns if c in table.columns])
+        return old.unionByName(_created(loads.fit(new, table)))
 
     census = state.census
     if census is not None:

@@ -220,6 +220,9 @@ def test_scenarios(spark):
     log = sync.error_log(out.failures(), ["mq_id", "pid"], "process", "sync").collect()
     assert [(r["mq_log_id"], r["mq_id"]) for r in log] == [(1000, 6)] and "gender_id" in log[0]["error_message"]
     assert out.state.census.filter("last_name IS NOT NULL").isEmpty()
+    audited = state.members.withColumns({"updated_by": F.lit("load"), "updated_at": F.lit("2020-01-01").cast("timestamp")})
+    users = sync.apply_demographics(audited, out.rows).groupBy("updated_by").count().collect()
+    assert {r["updated_by"]: r["count"] for r in users} == {"MDM": 2, "load": len(world.members) - 2}
 
     again, back = run(out.state, changed, cleared, loose, commit_size=1)
     assert again == [304, 304, 200]
