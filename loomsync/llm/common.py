@@ -26,6 +26,12 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
+def extended(schema: StructType, **columns: str) -> StructType:
+    """``schema`` with more columns of the given types."""
+    added = StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in columns.items()))
+    return StructType([*schema.fields, *added.fields])
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
     """Apply ``fn`` to each batch; it returns the columns of the output by name, in any order."""
     spark_schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema

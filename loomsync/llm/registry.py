@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsync.llm import jaccard, repeats
+from loomsync.llm import ann, jaccard, mtree, packing, pii, repeats, sharding, tokens, toxicity
 from loomsync.llm.common import read
 
 QUERIES = {}
@@ -46,3 +47,64 @@ _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFG
 )
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, folder, "documents"))
+
+
+@query("op3_pii_pseudonyms", pii.oracle())
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymize(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    counts = tokens.count_tokens(read(spark, folder, "documents").select("text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.length_histogram(counts)
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = tokens.encode(read(spark, folder, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    decoded = tokens.decode(encoded.drop("text"), ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces)
+
+
+@query(
+    "op7_exact_top_k",
+    """WITH v AS (SELECT vec_id, [floor(x::DOUBLE * 1024)::BIGINT FOR x IN embedding] AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+    e AS (SELECT vec_id, generate_subscripts(q, 1) AS i, unnest(q) AS x FROM v),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score FROM e a JOIN e b USING (i) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").where(mtree.usable("embedding")).select("vec_id", mtree.quantized("embedding").alias("vector"))
+    return mtree.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), 10)
+
+
+@query("op8_approximate_neighbours")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.toxic_weights(docs, read(spark, folder, "labels")))
+    return scored.select("doc_id", (~toxicity.train_split()).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op10_sharding")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_by_bytes(read(spark, folder, "documents"), 40)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomsync.llm.common import map_batches
+from loomsync.llm.common import extended, map_batches
 from loomsync.llm.suffixes import permuted_lcp, suffix_array
 from loomsync.session import staged
 
@@ -43,7 +43,6 @@ MAX_LEVEL = 8
 _CUT = "uid binary, copies long, key array<long>, hash array<long>, start array<int>, count array<int>, spot array<int>"
 _PIECE = "key long, hash long, copies long, spot int, piece binary"
 _FOUND = "key long, hash long, runs array<struct<first:int,end:int>>"
-_KEPT = "n_removed long, n_spans long, kept binary"
 
 
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -274,7 +273,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, an
     units = source.select(F.col("_uid").alias("uid"), F.col("_text").alias("text"), F.lit(1).cast("long").alias("copies"))
     runs = _runs(units, length, anchor, hot, 0).select(F.col("uid").alias("_uid"), F.col("runs").alias("_runs"))
     joined = source.join(runs, "_uid", "left").drop("_uid")
-    schema = joined.drop("_text", "_runs").schema.add("_bytes", "long").add("_removed", "long").add("_spans", "long").add("_kept", "binary")
+    schema = extended(joined.drop("_text", "_runs").schema, _bytes="long", _removed="long", _spans="long", _kept="binary")
     names = docs.columns
 
     def cut(batch: pa.RecordBatch) -> dict:
