@@ -29,11 +29,13 @@ _BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = F
 
 @dataclass(frozen=True)
 class Rates:
-    alpha: float = 0.1
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 1.0
-    passes: int = 3
+    l1: float = 8.0
+    l2: float = 0.0
+    passes: int = 8
+    #: Training rows that must hold a feature before it is learnt.
+    least_rows: int = 8
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +64,8 @@ def _fit(batches: Iterator[pa.RecordBatch], rates: Rates) -> Iterator[pa.RecordB
         rows += [index[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         labels += batch.column("label").to_pylist()
     size = (1 << BITS) + 1
+    held = np.bincount(np.concatenate([*rows, np.empty(0, np.int32)]), minlength=size) >= rates.least_rows
+    rows = [row[held[row]] for row in rows]
     z, n = np.zeros(size), np.zeros(size)
     bias = np.array([size - 1])
 
