@@ -3,7 +3,8 @@
 Equal sets are one class. Two sets of similarity ``t`` or more share one of the first
 ``n - ceil(t n) + 1`` shingles of each in any common order, so classes that share such a
 shingle form the root regions; shingles that many documents hold come last in the order,
-which keeps chance companions apart. Root regions that overlap are one cluster.
+which keeps chance companions apart. Classes of a region that may be linked, as far as the
+bounds from those first shingles tell, are one cluster, over all regions.
 
 Within a cluster the join is metric (Jaccard distance is a metric): pivots create Voronoi
 regions; a document also goes to each region whose pivot is at most twice the radius farther
@@ -34,7 +35,7 @@ from loomsync.session import staged
 THRESHOLD = Fraction(3, 4)
 SHINGLE = 5
 #: Documents that one task joins at once; leaf of the recursion and pivots per region.
-CLUSTER = 4000
+CLUSTER = 6000
 BLOCK = 1500
 LEAF = 48
 PIVOTS = 6
@@ -43,12 +44,7 @@ COMMON = 2000
 #: Common shingles are looked for among those that so many documents of one batch hold.
 LOCAL = 3
 #: Prefix shingles in one bucket of the root regions.
-BUCKET = 1 << 20
-
-
-def overlap_needed(n: int, m: int, t: Fraction) -> int:
-    """Smallest intersection of sets of ``n`` and ``m`` members with similarity ``t``."""
-    return -(-t.numerator * (n + m) // (t.numerator + t.denominator))
+BUCKET = 1 << 21
 
 
 def _set_id(row: np.ndarray) -> int:
@@ -71,16 +67,21 @@ class Region:
         self.marks = np.zeros(int(self.tokens.max()) + 1, bool)
         self.label = np.arange(len(sets))
 
-    def distances(self, pivot: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distance of ``pivot`` to each of ``others``, and which of them are linked with it, exactly."""
+    def shared(self, pivot: int, others: np.ndarray) -> np.ndarray:
+        """Size of the intersection of ``pivot`` with each of ``others``."""
         own = self.tokens[self.offsets[pivot] : self.offsets[pivot + 1]]
         self.marks[own] = True
         sizes = self.sizes[others]
         ends = np.cumsum(sizes)
         flat = np.arange(ends[-1]) + np.repeat(self.offsets[others] - ends + sizes, sizes)
-        shared = np.add.reduceat(self.marks[self.tokens[flat]].astype(np.int64), ends - sizes)
+        found = np.add.reduceat(self.marks[self.tokens[flat]].astype(np.int64), ends - sizes)
         self.marks[own] = False
-        union = sizes + len(own) - shared
+        return found
+
+    def distances(self, pivot: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distance of ``pivot`` to each of ``others``, and which of them are linked with it, exactly."""
+        shared = self.shared(pivot, others)
+        union = self.sizes[others] + self.sizes[pivot] - shared
         return 1 - shared / union, shared * self.threshold.denominator >= union * self.threshold.numerator
 
     def link(self, pivot: int, others: np.ndarray) -> None:
@@ -141,12 +142,15 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, threshold: Fraction, si
     return staged(map_batches(docs.select(doc_id, text), scan, "doc_id long, cid long, n long, is_doc boolean"), "signatures")
 
 
-def _prefixes(docs: DataFrame, text: str, common, buckets: int, threshold: Fraction, size: int) -> DataFrame:
-    """Prefix shingles of the classes, packed per batch and bucket: low bits of the shingles, and their classes."""
+def _sketches(docs: DataFrame, text: str, common, threshold: Fraction, size: int) -> DataFrame:
+    """Per class its set size and the first shingles in the common order: as many as linked sets must share one of.
 
-    def scan(batch: pa.RecordBatch) -> dict | None:
+    The order is that of 63 bits of the hash, with common shingles last by a leading bit.
+    """
+
+    def scan(batch: pa.RecordBatch) -> dict:
         last = common.value
-        tokens, classes = [], []
+        made: dict = {"cid": [], "n": [], "sketch": []}
         seen = set()
         for row in shingle_sets(_bytes(batch.column(text)), size):
             cid = _set_id(row)
@@ -155,62 +159,124 @@ def _prefixes(docs: DataFrame, text: str, common, buckets: int, threshold: Fract
             seen.add(cid)
             keep = len(row) - -(-threshold.numerator * len(row) // threshold.denominator) + 1
             if len(last):
-                rare = last[np.minimum(np.searchsorted(last, row), len(last) - 1)] != row
-                row = np.concatenate([row[rare], row[~rare]])
-            tokens.append(row[:keep])
-            classes.append(np.full(len(tokens[-1]), cid, np.int64))
-        if not tokens:
-            return None
-        token, cid = np.concatenate(tokens), np.concatenate(classes)
-        bucket = (token >> np.uint64(32)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        token, cid, bucket = token[order].astype(np.uint32), cid[order], bucket[order].astype(np.int64)
+                often = last[np.minimum(np.searchsorted(last, row), len(last) - 1)] == row
+                row = np.concatenate([row[~often] >> np.uint64(1), row[often] >> np.uint64(1) | np.uint64(1 << 63)])
+            else:
+                row = row >> np.uint64(1)
+            made["cid"].append(cid)
+            made["n"].append(len(row))
+            made["sketch"].append(row[:keep].tobytes())
+        return made
+
+    return staged(map_batches(docs.select(text), scan, "cid long, n long, sketch binary"), "sketches")
+
+
+def _packed(sketches: DataFrame, buckets: int) -> DataFrame:
+    """The shingles of all sketches, per batch and bucket: low bits, with the classes, sizes and counts they belong to."""
+
+    def scan(batch: pa.RecordBatch) -> dict:
+        rows = [np.frombuffer(s, np.uint64) for s in batch.column("sketch").to_pylist()]
+        key, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        cid, n = batch.column("cid").to_numpy(), batch.column("n").to_numpy()
+        bucket = (key >> np.uint64(32)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+        key, owner, bucket = key[order].astype(np.uint32), owner[order], bucket[order].astype(np.int64)
         names, first = np.unique(bucket, return_index=True)
-        last_at = np.append(first[1:], len(bucket))
-        spans = list(zip(first.tolist(), last_at.tolist(), strict=True))
-        return {"bucket": names, "tokens": [token[a:b].tobytes() for a, b in spans], "cids": [cid[a:b].tobytes() for a, b in spans]}
+        made: dict = {"bucket": names, "tokens": [], "cids": [], "sizes": [], "counts": []}
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+            docs, counts = np.unique(owner[a:b], return_counts=True)  # rows stay in the order of their documents
+            for name, v in (("tokens", key[a:b]), ("cids", cid[docs]), ("sizes", n[docs].astype(np.uint32)), ("counts", counts.astype(np.uint32))):
+                made[name].append(v.tobytes())
+        return made
 
-    return map_batches(docs.select(text), scan, "bucket long, tokens binary, cids binary")
+    return map_batches(sketches, scan, "bucket long, tokens binary, cids binary, sizes binary, counts binary")
 
 
-def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``rid, cid`` rows: each distinct set of classes that share a prefix shingle."""
-    tokens: list[bytes] = []
-    cids: list[bytes] = []
+def _regions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
+    """``rid, cid`` rows: each distinct set of classes of fitting sizes that share a prefix shingle."""
+    held: list[tuple] = []
     at = None
 
     def close() -> Iterator[pa.RecordBatch]:
-        token = np.frombuffer(b"".join(tokens), np.uint32)
-        cid = np.frombuffer(b"".join(cids), np.int64)
-        order = np.lexsort((cid, token))
-        token, cid = token[order], cid[order]
+        token, cid, n, count = (np.frombuffer(b"".join(r[i] for r in held), t) for i, t in ((1, np.uint32), (2, np.int64), (3, np.uint32), (4, np.uint32)))
+        cid, n = np.repeat(cid, count), np.repeat(n, count)
+        held.clear()
+        order = np.lexsort((cid, n, token))
+        token, cid, n = token[order], cid[order], n[order]
         keep = np.ones(len(token), bool)
         keep[1:] = (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])
-        token, cid = token[keep], cid[keep]
-        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        token, cid, n = token[keep], cid[keep], n[keep]
+        # Sorted by size, no link crosses a place where the size grows by more than the threshold allows.
+        opens = np.ones(len(token), bool)
+        opens[1:] = (token[1:] != token[:-1]) | (n[:-1].astype(np.int64) * threshold.denominator < n[1:].astype(np.int64) * threshold.numerator)
+        first = np.flatnonzero(opens)
         count = np.diff(np.append(first, len(token)))
         known: dict[int, np.ndarray] = {}
-        for a, n in zip(first[count > 1].tolist(), count[count > 1].tolist(), strict=True):
-            members = cid[a : a + n]
+        for a, m in zip(first[count > 1].tolist(), count[count > 1].tolist(), strict=True):
+            members = cid[a : a + m]
             known.setdefault(int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)), members)
-        tokens.clear()
-        cids.clear()
         if known:
             rid = np.repeat(np.array(list(known), np.int64), [len(m) for m in known.values()])
-            pivot = np.repeat(np.array([m[0] for m in known.values()]), [len(m) for m in known.values()])
-            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(np.concatenate(list(known.values()))), pa.array(pivot)], ["rid", "cid", "pivot"])
+            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(np.concatenate(list(known.values())))], ["rid", "cid"])
 
     for batch in batches:
-        for b, t, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if b != at and tokens:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if row[0] != at and held:
                 yield from close()
-            at = b
-            tokens.append(t)
-            cids.append(c)
-    if tokens:
+            at = row[0]
+            held.append(row)
+    if held:
         yield from close()
 
 
+def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
+    """Edges ``a, b`` that connect the classes of each region which may be linked, as far as the sketches tell.
+
+    The set whose sketch ends first in the order shares at most what the sketches share and
+    what it has behind its own.
+    """
+    group: dict[int, tuple] = {}
+    at = None
+
+    def close() -> tuple[np.ndarray, np.ndarray]:
+        cids = np.array(list(group), np.int64)
+        n = np.array([r[0] for r in group.values()])
+        rows = [np.frombuffer(r[1], np.uint32) for r in group.values()]
+        group.clear()
+        if len(cids) < 2:
+            return cids[:0], cids[:0]
+        last = np.array([r[-1] for r in rows], np.int64)
+        sketches = Region(rows, threshold)
+        behind = n - sketches.sizes
+        p, q = threshold.numerator, threshold.denominator
+        label = np.arange(len(cids))
+        for i in range(len(cids) - 1):
+            others = np.flatnonzero(label != label[i])
+            others = others[others > i]
+            if not len(others):
+                continue
+            shared = sketches.shared(i, others)
+            rest = np.where(last[i] < last[others], behind[i], np.where(last[i] > last[others], behind[others], np.maximum(behind[i], behind[others])))
+            fits = (shared + rest) * (p + q) >= p * (n[i] + n[others])
+            merged = np.append(label[others[fits]], label[i])
+            label[np.isin(label, merged)] = merged.min()
+        moved = label != np.arange(len(cids))
+        return cids[moved], cids[label[moved]]
+
+    for batch in batches:
+        a, b = [], []
+        for rid, cid, n, sketch in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("rid", "cid", "n", "sketch")), strict=True):
+            if rid != at and group:
+                for out, made in zip((a, b), close(), strict=True):
+                    out.append(made)
+            at = rid
+            group.setdefault(cid, (n, sketch))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+    if group:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in close()], ["a", "b"])
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], threshold: Fraction, size: int, links: bool) -> Iterator[pa.RecordBatch]:
     """Join the documents of each group; rows come in the order of their groups.
 
@@ -262,10 +328,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     often = seen.where("not is_doc").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= max(20, total[0] / COMMON))
     common = np.sort(np.array([r[0] for r in often.select("cid").collect()], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(common)
-    buckets = max(64, int(total[1] * float(1 - threshold)) // BUCKET)
-    packed = _prefixes(docs, "text", shared, buckets, threshold, size).repartition("bucket").sortWithinPartitions("bucket")
-    regions = staged(packed.mapInArrow(_regions, "rid long, cid long, pivot long"), "regions")
-    clusters = components(regions.select(F.col("cid").alias("a"), F.col("pivot").alias("b"))).select(F.col("node").alias("cid"), F.col("label").alias("group"))
+    buckets = max(12, int(total[1] * float(1 - threshold)) // BUCKET)
+    sketches = _sketches(docs, "text", shared, threshold, size)
+    packed = _packed(sketches, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    regions = packed.mapInArrow(lambda batches: _regions(batches, threshold), "rid long, cid long").distinct()
+    short = map_batches(sketches, lambda batch: {"cid": batch.column("cid"), "n": batch.column("n"), "sketch": [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column("sketch").to_pylist()]}, "cid long, n long, sketch binary")
+    regions = staged(regions, "regions")
+    rows = regions.join(short, "cid").repartition("rid").sortWithinPartitions("rid", "cid")
+    edges = rows.select("rid", "cid", "n", "sketch").mapInArrow(lambda batches: _companions(batches, threshold), "a long, b long")
+    clusters = components(edges).select(F.col("node").alias("cid"), F.col("label").alias("group"))
     clusters = staged(clusters.join(classes, "cid"), "clusters")
     counts = clusters.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     large = counts.where(F.col("members") > cluster).select("group")
