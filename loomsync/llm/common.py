@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from loomsync.session import configure
 
@@ -45,3 +46,16 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
     return df.mapInArrow(run, spark_schema)
+
+
+def squeezed(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with the bytes of ``text`` compressed one by one, for texts that are to be shuffled; null stays null."""
+    names = df.columns
+
+    def run(batch: pa.RecordBatch) -> dict:
+        press = zstandard.ZstdCompressor(3)
+        values = [None if v is None else press.compress(v if isinstance(v, bytes) else v.encode()) for v in batch.column(text).to_pylist()]
+        return {n: batch.column(n) for n in names} | {text: values}
+
+    schema = StructType([StructField(f.name, BinaryType()) if f.name == text else f for f in df.schema.fields])
+    return map_batches(df, run, schema)

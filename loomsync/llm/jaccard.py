@@ -12,8 +12,8 @@ than its own, by the triangle inequality; regions are joined recursively. In a l
 document is compared with those whose distances to the pivots differ by at most the radius,
 until all that are left belong to the largest class. No pairs leave a task, only classes.
 
-A cluster too large for one task is joined over its root regions, and a region too large
-over pairs of its blocks; the links found there make the classes.
+A cluster too large for one task is joined in blocks that share pivots; what is then outside
+its largest class meets all blocks.
 """
 
 from __future__ import annotations
@@ -24,10 +24,11 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomsync.llm.common import map_batches
+from loomsync.llm.common import map_batches, squeezed
 from loomsync.llm.components import components
 from loomsync.llm.words import shingle_sets
 from loomsync.session import staged
@@ -37,6 +38,7 @@ SHINGLE = 5
 #: Documents that one task joins at once; leaf of the recursion and pivots per region.
 CLUSTER = 6000
 BLOCK = 1500
+SHARED_PIVOTS = 48
 LEAF = 48
 PIVOTS = 6
 #: A shingle is common when one document in so many holds it; at most this many times the mean set size are.
@@ -171,14 +173,22 @@ def _sketches(docs: DataFrame, text: str, common, threshold: Fraction, size: int
     return staged(map_batches(docs.select(text), scan, "cid long, n long, sketch binary"), "sketches")
 
 
-def _packed(sketches: DataFrame, buckets: int) -> DataFrame:
-    """The shingles of all sketches, per batch and bucket: low bits, with the classes, sizes and counts they belong to."""
+def _packed(sketches: DataFrame, buckets: int, threshold: Fraction) -> DataFrame:
+    """The shingles of all sketches, per batch and bucket: low bits, with the classes, sizes and counts they belong to.
+
+    The last bit tells whether the place in the sketch also serves links with larger sets.
+    """
+    p, q = threshold.numerator, threshold.denominator
 
     def scan(batch: pa.RecordBatch) -> dict:
         rows = [np.frombuffer(s, np.uint64) for s in batch.column("sketch").to_pylist()]
         key, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         cid, n = batch.column("cid").to_numpy(), batch.column("n").to_numpy()
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
+        lengths = np.array([len(r) for r in rows])
+        place = np.arange(len(key)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        early = place <= (n - -(-2 * p * n // (p + q)))[owner]
+        key = key & np.uint64(0xFFFFFFFE) | early.astype(np.uint64)
         order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
         key, owner, bucket = key[order].astype(np.uint32), owner[order], bucket[order].astype(np.int64)
         names, first = np.unique(bucket, return_index=True)
@@ -192,6 +202,21 @@ def _packed(sketches: DataFrame, buckets: int) -> DataFrame:
     return map_batches(sketches, scan, "bucket long, tokens binary, cids binary, sizes binary, counts binary")
 
 
+def _fitting(n: np.ndarray, early: np.ndarray, threshold: Fraction) -> np.ndarray:
+    """Which members of a region, sorted by size, have one there that they may be linked with.
+
+    The smaller of two linked sets holds a shared shingle early in its sketch.
+    """
+    kept = np.zeros(len(n), bool)
+    reach = np.searchsorted(n, n * threshold.denominator // threshold.numerator, side="right")
+    for i in np.flatnonzero(early).tolist():
+        if reach[i] > i + 1:
+            kept[i : reach[i]] = True
+        if i and n[i - 1] == n[i]:
+            kept[np.searchsorted(n, n[i]) : reach[i]] = True
+    return kept
+
+
 def _regions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
     """``rid, cid`` rows: each distinct set of classes of fitting sizes that share a prefix shingle."""
     held: list[tuple] = []
@@ -201,19 +226,23 @@ def _regions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator
         token, cid, n, count = (np.frombuffer(b"".join(r[i] for r in held), t) for i, t in ((1, np.uint32), (2, np.int64), (3, np.uint32), (4, np.uint32)))
         cid, n = np.repeat(cid, count), np.repeat(n, count)
         held.clear()
-        order = np.lexsort((cid, n, token))
-        token, cid, n = token[order], cid[order], n[order]
+        early, token = token & 1 > 0, token >> 1
+        order = np.lexsort((~early, cid, n, token))
+        token, cid, n, early = token[order], cid[order], n[order].astype(np.int64), early[order]
         keep = np.ones(len(token), bool)
         keep[1:] = (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])
-        token, cid, n = token[keep], cid[keep], n[keep]
+        token, cid, n, early = token[keep], cid[keep], n[keep], early[keep]
         # Sorted by size, no link crosses a place where the size grows by more than the threshold allows.
         opens = np.ones(len(token), bool)
-        opens[1:] = (token[1:] != token[:-1]) | (n[:-1].astype(np.int64) * threshold.denominator < n[1:].astype(np.int64) * threshold.numerator)
+        opens[1:] = (token[1:] != token[:-1]) | (n[:-1] * threshold.denominator < n[1:] * threshold.numerator)
         first = np.flatnonzero(opens)
         count = np.diff(np.append(first, len(token)))
         known: dict[int, np.ndarray] = {}
-        for a, m in zip(first[count > 1].tolist(), count[count > 1].tolist(), strict=True):
-            members = cid[a : a + m]
+        served = (count > 2) | (count == 2) & (early[first] | early[np.minimum(first + 1, len(n) - 1)] & (n[first] == n[np.minimum(first + 1, len(n) - 1)]))
+        for a, m in zip(first[served].tolist(), count[served].tolist(), strict=True):
+            members = cid[a : a + m] if m == 2 else cid[a : a + m][_fitting(n[a : a + m], early[a : a + m], threshold)]
+            if len(members) < 2:
+                continue
             known.setdefault(int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)), members)
         if known:
             rid = np.repeat(np.array(list(known), np.int64), [len(m) for m in known.values()])
@@ -286,7 +315,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], threshold: Fraction, size: int,
     group: list[tuple] = []
 
     def close() -> pa.RecordBatch:
-        sets = shingle_sets([b"" if r[3] is None else r[3].encode() for r in group], size)
+        sets = shingle_sets([zstandard.decompress(r[3]) for r in group], size)
         kept = {}
         for (_, cid, doc, _), row in zip(group, sets, strict=True):
             if _set_id(row) == cid and len(row):  # another text may carry the same doc_id
@@ -330,7 +359,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = spark.sparkContext.broadcast(common)
     buckets = max(12, int(total[1] * float(1 - threshold)) // BUCKET)
     sketches = _sketches(docs, "text", shared, threshold, size)
-    packed = _packed(sketches, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    packed = _packed(sketches, buckets, threshold).repartition("bucket").sortWithinPartitions("bucket")
     regions = packed.mapInArrow(lambda batches: _regions(batches, threshold), "rid long, cid long").distinct()
     short = map_batches(sketches, lambda batch: {"cid": batch.column("cid"), "n": batch.column("n"), "sketch": [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column("sketch").to_pylist()]}, "cid long, n long, sketch binary")
     regions = staged(regions, "regions")
@@ -340,11 +369,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     clusters = staged(clusters.join(classes, "cid"), "clusters")
     counts = clusters.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     large = counts.where(F.col("members") > cluster).select("group")
-    texts = docs.where("text is not null")
+    texts = squeezed(docs.where("text is not null"))
     small = clusters.join(large, "group", "left_anti").select("group", "cid", "doc_id")
     found = _joined(small, texts, threshold, size, links=False)
     if large.limit(1).count():
-        found = found.unionByName(_large(clusters.join(large, "group", "left_semi"), regions, texts, threshold, size, cluster, block))
+        found = found.unionByName(_large(clusters.join(large, "group", "left_semi"), texts, threshold, size, block))
     found = classes.join(found, "cid", "left").select("cid", F.coalesce("component", "doc_id").alias("component"))
     rows = seen.where("is_doc").select("doc_id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid"))
     rows = rows.join(found, "cid", "left")
@@ -358,18 +387,37 @@ def _joined(groups: DataFrame, texts: DataFrame, threshold: Fraction, size: int,
     return rows.mapInArrow(lambda batches: _grouped(batches, threshold, size, links), "cid long, component long")
 
 
-def _large(members: DataFrame, regions: DataFrame, texts: DataFrame, threshold: Fraction, size: int, cluster: int, block: int) -> DataFrame:
-    """Classes of clusters too large for one task, over root regions and pairs of their blocks."""
-    regions = regions.select("rid", "cid").distinct().join(members.select("cid", "doc_id"), "cid")
-    counts = regions.groupBy("rid").agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("m") / block)).cast("long")
-    regions = regions.join(counts, "rid").withColumn("blocks", F.when(F.col("m") > cluster, blocks).otherwise(F.lit(1)))
-    mine = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = regions.withColumn("mine", mine).withColumn("other", partner)
-    groups = pairs.select(F.xxhash64("rid", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "cid", "doc_id")
-    edges = _joined(groups, texts, threshold, size, links=True).select(F.col("cid").alias("a"), F.col("component").alias("b"))
+def _large(members: DataFrame, texts: DataFrame, threshold: Fraction, size: int, block: int) -> DataFrame:
+    """Classes of clusters too large for one task.
+
+    Blocks are joined each with the same pivots of its cluster, which connect them. Then
+    every class outside the largest of its cluster meets all blocks, as a link between two
+    classes has an end there.
+    """
+    counts = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("blocks"))
+    members = staged(members.join(counts, "group").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks"))), "members")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    pivots = members.where(F.pmod(F.xxhash64("cid", F.lit(1)), F.col("blocks") * block) < SHARED_PIVOTS)
+    groups = members.select("group", "block", "cid", "doc_id").unionByName(pivots.select("group", every, "cid", "doc_id"))
+    edges = staged(_edges(groups.select(F.xxhash64("group", "block").alias("group"), "cid", "doc_id"), texts, threshold, size), "links")
+    labels = _labelled(members, edges)
+    sizes = labels.groupBy("group", "label").agg(F.count(F.lit(1)).alias("m"))
+    largest = sizes.groupBy("group").agg(F.max(F.struct("m", "label")).alias("most")).select("group", "most.label", F.lit(True).alias("most"))
+    outside = staged(labels.join(largest, ["group", "label"], "left").where("most is null").select("group", "blocks", "cid", "doc_id"), "outside")
+    parts = outside.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("parts"))
+    outside = outside.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("parts")))
+    asked = members.join(parts, "group").select("group", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "cid", "doc_id")
+    groups = asked.unionByName(outside.select("group", every, "part", "cid", "doc_id")).distinct()
+    more = _edges(groups.select(F.xxhash64("group", "block", "part").alias("group"), "cid", "doc_id"), texts, threshold, size)
+    labels = _labelled(members, edges.unionByName(more))
+    best = labels.groupBy("label").agg(F.min("doc_id").alias("component"))
+    return labels.join(best, "label").select("cid", "component")
+
+
+def _edges(groups: DataFrame, texts: DataFrame, threshold: Fraction, size: int) -> DataFrame:
+    return _joined(groups, texts, threshold, size, links=True).select(F.col("cid").alias("a"), F.col("component").alias("b"))
+
+
+def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
     labels = components(edges).select(F.col("node").alias("cid"), "label")
-    labelled = members.select("cid", "doc_id").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    best = labelled.groupBy("label").agg(F.min("doc_id").alias("component"))
-    return labelled.join(best, "label").select("cid", "component")
+    return members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
