@@ -80,6 +80,13 @@ class Region:
         self.marks[own] = False
         return found
 
+    def below(self, others: np.ndarray, limits: np.ndarray) -> np.ndarray:
+        """How many members of each of ``others`` come before its limit in the order of the shingles."""
+        sizes = self.sizes[others]
+        ends = np.cumsum(sizes)
+        flat = np.arange(ends[-1]) + np.repeat(self.offsets[others] - ends + sizes, sizes)
+        return np.add.reduceat((self.tokens[flat] < np.repeat(limits, sizes)).astype(np.int64), ends - sizes)
+
     def distances(self, pivot: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distance of ``pivot`` to each of ``others``, and which of them are linked with it, exactly."""
         shared = self.shared(pivot, others)
@@ -261,8 +268,8 @@ def _regions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator
 def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
     """Edges ``a, b`` that connect the classes of each region which may be linked, as far as the sketches tell.
 
-    The set whose sketch ends first in the order shares at most what the sketches share and
-    what it has behind its own.
+    Beyond the end of the sketch that ends first, two sets share at most what the smaller of
+    them has left there.
     """
     group: dict[int, tuple] = {}
     at = None
@@ -274,9 +281,8 @@ def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Itera
         group.clear()
         if len(cids) < 2:
             return cids[:0], cids[:0]
-        last = np.array([r[-1] for r in rows], np.int64)
         sketches = Region(rows, threshold)
-        behind = n - sketches.sizes
+        last = sketches.tokens[sketches.offsets[1:] - 1]
         p, q = threshold.numerator, threshold.denominator
         label = np.arange(len(cids))
         for i in range(len(cids) - 1):
@@ -284,9 +290,16 @@ def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Itera
             others = others[others > i]
             if not len(others):
                 continue
-            shared = sketches.shared(i, others)
-            rest = np.where(last[i] < last[others], behind[i], np.where(last[i] > last[others], behind[others], np.maximum(behind[i], behind[others])))
-            fits = (shared + rest) * (p + q) >= p * (n[i] + n[others])
+            fitting = np.minimum(n[i], n[others]) * q >= p * np.maximum(n[i], n[others])
+            others = others[fitting]
+            if not len(others):
+                continue
+            # Up to where the first of the two sketches ends, both are known: a set holds
+            # beyond it what its sketch does not hold before it.
+            first = np.minimum(last[i], last[others])
+            own = n[i] - np.searchsorted(sketches.tokens[sketches.offsets[i] : sketches.offsets[i + 1]], first)
+            theirs = n[others] - sketches.below(others, first)
+            fits = (sketches.shared(i, others) + np.minimum(own, theirs)) * (p + q) >= p * (n[i] + n[others])
             merged = np.append(label[others[fits]], label[i])
             label[np.isin(label, merged)] = merged.min()
         moved = label != np.arange(len(cids))
