@@ -246,7 +246,8 @@ def _runs(units: DataFrame, length: int, anchor: int, hot: int, level: int) -> D
         names = found.join(large, "key").select(_pair_id("key", "hash").alias("uid"), "key", "hash")
         decided.append(_runs(again, length, anchor, hot, level + 1).join(names, "uid").select("key", "hash", "runs"))
         found = found.join(large, "key", "left_anti")
-    sharded = found.select("key", "hash", "spot", "piece").repartition("key").sortWithinPartitions("key", "hash")
+    volume = found.agg(F.sum(F.length("piece"))).first()[0] or 0
+    sharded = found.select("key", "hash", "spot", "piece").repartition(1 + volume // SHARD_BYTES, "key").sortWithinPartitions("key", "hash")
     decided.append(sharded.mapInArrow(lambda batches: _shards(batches, length), _FOUND))
     for more in decided[1:]:
         decided[0] = decided[0].unionByName(more)
@@ -267,8 +268,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, an
 
     Each byte that a ``length``-byte string covers which also starts anywhere else is removed.
     Texts shorter than ``length``, empty and null texts keep all; repeated rows are repeats of
-    one another. An empty table gives an empty result. Columns of other names pass through.
+    one another. An empty table gives an empty result. Columns of other names pass through; those
+    named above, ``_text``, ``_uid`` and ``_runs`` are replaced.
     """
+    docs = docs.drop("_bytes", "_removed", "_spans", "_kept", "_text", "_uid", "_runs")
     source = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")).cast("binary")).withColumn("_uid", F.unhex(F.md5("_text")))
     units = source.select(F.col("_uid").alias("uid"), F.col("_text").alias("text"), F.lit(1).cast("long").alias("copies"))
     runs = _runs(units, length, anchor, hot, 0).select(F.col("uid").alias("_uid"), F.col("runs").alias("_runs"))

@@ -15,52 +15,51 @@ import numpy as np
 _FIRST_BLOCK = 1024
 
 
-def _ranks_within(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Stable order of ``keys``, rank of each sorted item among equals, distinct keys and counts."""
-    tagged = (keys.astype(np.int64) << 32) | np.arange(len(keys))  # unique, so any sort is stable
+def _ranks_within(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stable order of ``keys``, the sorted keys, and the rank of each of them among equals."""
+    place = np.arange(len(keys))
+    tagged = (keys.astype(np.int64) << 32) | place  # unique, so any sort is stable
     tagged.sort()
-    order, sorted_keys = tagged & 0xFFFFFFFF, tagged >> 32
-    new = np.empty(len(keys), bool)
-    new[0] = True
-    np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=new[1:])
-    firsts = np.flatnonzero(new)
-    counts = np.diff(np.append(firsts, len(keys)))
-    return order, np.arange(len(keys)) - np.repeat(firsts, counts), sorted_keys[firsts], counts
+    sorted_keys = tagged >> 32
+    first = place.copy()
+    first[1:][sorted_keys[1:] == sorted_keys[:-1]] = 0
+    np.maximum.accumulate(first, out=first)
+    return tagged & 0xFFFFFFFF, sorted_keys, place - first
 
 
 def _scan(text: np.ndarray, wanted: np.ndarray, order: np.ndarray, edge: np.ndarray, step: int) -> None:
     """Fill ``order`` with the suffixes of type ``wanted`` that entries already there induce.
 
-    ``edge`` holds, per symbol, the next free place; ``step`` is 1 for the scan to the
-    right (L suffixes from bucket heads) and -1 for the one to the left (S from tails).
+    ``step`` is 1 for the scan to the right (L suffixes from bucket heads) and -1 for the one
+    to the left (S from tails). ``edge`` holds, per symbol, the next free place in its direction.
     """
-    at, end, size = (0, len(order), _FIRST_BLOCK) if step > 0 else (len(order) - 1, -1, _FIRST_BLOCK)
-    while at != end:
-        stop = min(at + size, end) if step > 0 else max(at - size, end)
-        block = order[at:stop] if step > 0 else order[stop + 1 : at + 1][::-1]
-        seen = np.flatnonzero(block > 0)
+    order = order[::step]
+    n, at, size = len(order), 0, _FIRST_BLOCK
+    while at < n:
+        stop = min(at + size, n)
+        block = order[at:stop]
+        seen = (block > 0).nonzero()[0]
         before = block[seen] - 1
         kept = wanted[before]
-        before, seen = before[kept], seen[kept]
-        if len(before):
-            symbols = text[before]
-            sort, rank, distinct, counts = _ranks_within(symbols)
-            place = np.empty(len(before), np.int64)
-            place[sort] = edge[symbols[sort]] + step * rank
-            first = place.min() if step > 0 else place.max()
-            cut = (stop > first) if step > 0 else (stop < first)
-            if cut:  # entries from here on may still be filled by this block
-                stop = int(first)
-                known = seen < abs(stop - at)
-                before, place = before[known], place[known]
-                distinct, counts = np.unique(text[before], return_counts=True)
-                size = max(64, 2 * abs(stop - at))
-            else:
-                size *= 2
-            order[place] = before
-            edge[distinct] += step * counts
+        before = before[kept]
+        if not len(before):
+            at = stop
+            size *= 2
+            continue
+        symbols = text[before]
+        sort, sorted_symbols, rank = _ranks_within(symbols)
+        place = np.empty(len(before), np.int64)
+        place[sort] = edge[sorted_symbols] + rank
+        first = int(place.min())
+        if first < stop:  # entries from there on may still be filled by this block
+            known = int(seen[kept].searchsorted(first - at))
+            before, place, symbols = before[:known], place[:known], symbols[:known]
+            size = max(64, 2 * (first - at))
+            stop = first
         else:
             size *= 2
+        order[place] = before
+        edge[symbols] = place + 1  # in the order of the block: the last of a symbol stays
         at = stop
 
 
@@ -68,16 +67,14 @@ def _induce(text: np.ndarray, smaller: np.ndarray, starts: np.ndarray, ends: np.
     """Order of all suffixes, from the LMS suffixes in the order of ``seeds``."""
     n = len(text)
     order = np.full(n, -1, np.int32)
-    sort, rank, distinct, counts = _ranks_within(text[seeds])
-    symbols = text[seeds][sort]
-    room = np.repeat(counts, counts)
-    order[ends[symbols] - (room - 1 - rank)] = seeds[sort]
+    back = seeds[::-1]
+    sort, symbols, rank = _ranks_within(text[back])
+    order[ends[symbols] - rank] = back[sort]
     _scan(text, ~smaller, order, starts.copy(), 1)
     keep = order[0]
     order[(order >= 0) & smaller[order]] = -1  # the seeds were only a means
     order[0] = keep
-    tails = ends.copy()
-    _scan(text, smaller, order, tails, -1)
+    _scan(text, smaller, order, n - 1 - ends, -1)
     order[0] = n - 1
     return order
 
