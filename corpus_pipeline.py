@@ -54,7 +54,7 @@ def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences of at most 2048 tokens."""
-    return packing.pack(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
 STAGES = [

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsync.llm.common import extended, map_batches
-from loomsync.llm.tokens import _texts, _tokenized
+from loomsync.llm.tokens import _texts, known_pieces
 from loomsync.session import staged
 
 LIMIT = 2048
@@ -58,7 +58,7 @@ class SumOfSquares:
         return sequence, self.limit - gap
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, end: int = 0) -> DataFrame:
+def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, end: int = 0) -> DataFrame:
     """Pieces of at most ``limit`` tokens of each document, which ends with the id ``end``.
 
     Only longer documents are cut; their first piece takes what full pieces leave. A null or
@@ -68,9 +68,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", t
 
     def run(batch: pa.RecordBatch) -> dict:
         made: dict = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        values = _tokenized(tokenizer_path, True).values(_texts(batch.column(text)))
-        for name, chunks in zip(batch.column(doc_id).to_pylist(), values, strict=True):
-            ids = b"".join(chunks) + last
+        pieces = known_pieces(ranks_path, pattern, False)
+        for name, whole in zip(batch.column(doc_id).to_pylist(), _texts(batch.column(text)), strict=True):
+            ids = b"".join(pieces.values(whole)) + last
             total = len(ids) // 4
             edges = [0, *range(total % limit or limit, total + 1, limit)] if total > limit else [0, total]
             for i, (a, b) in enumerate(zip(edges, edges[1:])):

@@ -56,7 +56,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_token_counts")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    counts = tokens.count_tokens(read(spark, folder, "documents").select("text"), public_tokenizers.path("byte_bpe_50k.json"))
+    counts = tokens.count_tokens(read(spark, folder, "documents").select("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return tokens.length_histogram(counts)
 
 
@@ -75,7 +75,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.token_pieces(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.token_pieces(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return packing.pack(pieces)
 
 

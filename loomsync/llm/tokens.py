@@ -11,12 +11,15 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,10 +89,21 @@ class MergeReplay:
             before[a], after[b - 1] = -1, -1
         index: dict[int, list[int]] = {}
         rank_at = [-1] * len(token)
-        for i, j in enumerate(after):
-            if j >= 0 and (rank := self.pair(token[i], token[j])) >= 0:
-                rank_at[i] = rank
-                index.setdefault(rank, []).append(i)
+        known = self.pairs
+        for start, end in zip(bounds, bounds[1:]):
+            left = token[start]
+            for i in range(start, end - 1):
+                right = token[i + 1]
+                rank = known.get(left << 32 | right)
+                if rank is None:
+                    rank = self.pair(left, right)
+                left = right
+                if rank >= 0:
+                    rank_at[i] = rank
+                    if rank in index:
+                        index[rank].append(i)
+                    else:
+                        index[rank] = [i]
         queue = list(index)
         heapq.heapify(queue)
         while queue:
@@ -116,7 +130,10 @@ class MergeReplay:
                     before[right] = i
                 for a, b in ((i, right), (left, i)):
                     if a >= 0 and b >= 0:
-                        rank_at[a] = new = self.pair(token[a], token[b])
+                        new = known.get(token[a] << 32 | token[b])
+                        if new is None:
+                            new = self.pair(token[a], token[b])
+                        rank_at[a] = new
                         if new >= 0:
                             if new not in index:
                                 heapq.heappush(queue, new)
@@ -136,36 +153,49 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 @lru_cache(maxsize=4)
 def _replayed(path: str, pattern: str) -> Chunks:
+    """Ids of chunks by merge replay, as 32-bit little-endian bytes."""
     replay, split, known = MergeReplay(load_ranks(path)), regex.compile(pattern), {}
 
-    def solve(chunks: list[str]) -> list[list[int]]:
+    def solve(chunks: list[str]) -> list[bytes]:
         if len(known) > MEMO:
             known.clear()
         words = [split.findall(c) for c in chunks]
         new = list({w for ws in words for w in ws if w not in known})
-        known.update(zip(new, replay.encode([w.encode() for w in new]), strict=True))
-        return [[t for w in ws for t in known[w]] for ws in words]
+        known.update(zip(new, (array("i", ids).tobytes() for ids in replay.encode([w.encode() for w in new])), strict=True))
+        return [known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for ws in words]
 
     return Chunks(solve)
 
 
-@lru_cache(maxsize=4)
-def _tokenized(path: str, packed: bool) -> Chunks:
-    """Ids of chunks by the tokenizers library: their number or, packed, their 32-bit little-endian bytes."""
-    import os
+class Pieces(dict):
+    """Ids of a space and what follows it up to the next, as 32-bit bytes or, counted, their number."""
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
-    from tokenizers import Tokenizer
+    def __init__(self, path: str, pattern: str, counted: bool) -> None:
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+        self.counted = counted
+        self.encode = encoding.encode_ordinary
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    def value(self, text: str):
+        ids = self.encode(text)
+        return len(ids) if self.counted else array("I", ids).tobytes()
 
-    def solve(chunks: list[str]) -> list:
-        done = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in done] if packed else [len(x) for x in done]
+    def __missing__(self, piece: str):
+        if len(self) > MEMO:
+            self.clear()
+        value = self[piece] = self.value(" " + piece)
+        return value
 
-    return Chunks(solve)
+    def values(self, text: str) -> list:
+        """Values of consecutive parts of ``text``."""
+        if _UNSAFE.search(text):
+            return [self.value(text)]
+        first, *rest = text.split(" ")
+        return [self.value(first), *map(self.__getitem__, rest)]
+
+
+@lru_cache(maxsize=4)
+def known_pieces(path: str, pattern: str, counted: bool) -> Pieces:
+    return Pieces(path, pattern, counted)
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -181,8 +211,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
     names = docs.columns
 
     def run(batch: pa.RecordBatch) -> dict:
-        values = _replayed(ranks_path, pattern).values(_texts(batch.column(text)))
-        return {n: batch.column(n) for n in names} | {ids: [[t for chunk in v for t in chunk] for v in values]}
+        packed = [b"".join(v) for v in _replayed(ranks_path, pattern).values(_texts(batch.column(text)))]
+        edges = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+        flat = np.frombuffer(b"".join(packed), "<i4")
+        return {n: batch.column(n) for n in names} | {ids: pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))}
 
     return map_batches(docs, run, extended(docs.schema, **{ids: "array<int>"}))
 
@@ -193,8 +225,10 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
     names = df.columns
 
     def run(batch: pa.RecordBatch) -> dict:
-        spelled = _spelled(ranks_path)
-        return {n: batch.column(n) for n in names} | {decoded: [b"".join([spelled[t] for t in row or ()]) for row in batch.column(ids).to_pylist()]}
+        rows = batch.column(ids)
+        flat = list(map(_spelled(ranks_path).__getitem__, rows.flatten().to_numpy(zero_copy_only=False).tolist()))
+        edges = np.cumsum(np.concatenate(([0], rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).tolist()
+        return {n: batch.column(n) for n in names} | {decoded: [b"".join(flat[a:b]) for a, b in zip(edges, edges[1:])]}
 
     return map_batches(df, run, extended(df.schema, **{decoded: "binary"}))
 
@@ -204,14 +238,14 @@ def _spelled(path: str) -> dict[int, bytes]:
     return {rank: piece for piece, rank in load_ranks(path).items()}
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", count: str = "n_tokens") -> DataFrame:
+def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", count: str = "n_tokens") -> DataFrame:
     """``docs`` without the text, with its number of tokens; null and empty texts have 0."""
     kept = docs.drop(count)
     names = [c for c in kept.columns if c != text]
 
     def run(batch: pa.RecordBatch) -> dict:
-        values = _tokenized(tokenizer_path, False).values(_texts(batch.column(text)))
-        return {n: batch.column(n) for n in names} | {count: [sum(v) for v in values]}
+        pieces = known_pieces(ranks_path, pattern, True)
+        return {n: batch.column(n) for n in names} | {count: [sum(pieces.values(t)) for t in _texts(batch.column(text))]}
 
     return map_batches(kept, run, extended(kept.drop(text).schema, **{count: "long"}))
 

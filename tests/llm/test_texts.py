@@ -14,6 +14,8 @@ from loomsync.llm import jaccard, packing, pii, registry, repeats, sharding, suf
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks.
+SAME = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def test_suffix_array_and_prefixes_against_sorting():
@@ -117,26 +119,26 @@ def test_chunks_of_odd_white_space():
     whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = ["a  b", "a   b", " a", "a ", "a  ", "a\n b", "a \nb", "a\n \nb", " \n ", "don't  'tis", "aaaaaaaaaaaa bbbb", "\t x  y", "abab" * 50, "  "]
     for text, chunks in zip(texts, tokens._replayed(MULTI, public_tokenizers.PATTERN).values(texts), strict=True):
-        assert [t for c in chunks for t in c] == whole.encode_ordinary(text), repr(text)
+        assert np.frombuffer(b"".join(chunks), "<i4").tolist() == whole.encode_ordinary(text), repr(text)
 
 
 def test_length_histogram(docs, rows, empty):
     tokenizer = Tokenizer.from_file(JSON)
     tokenizer.encode_special_tokens = True
     lengths = np.array([len(tokenizer.encode(t or "", add_special_tokens=False).ids) for _, t in rows])
-    got = tokens.length_histogram(tokens.count_tokens(docs, JSON)).collect()
+    got = tokens.length_histogram(tokens.count_tokens(docs, *SAME)).collect()
     assert sorted(r[0] for r in got) == sorted(set(lengths.tolist()))
     for context, n, total, more, more_tokens, cut, share in got:
         assert (n, total) == ((lengths == context).sum(), lengths[lengths == context].sum())
         assert (more, more_tokens) == ((lengths > context).sum(), lengths[lengths > context].sum())
         assert cut == np.minimum(lengths, context).sum() and abs(share - (lengths <= context).mean()) < 1e-12
-    assert tokens.length_histogram(tokens.count_tokens(empty, JSON)).count() == 0
+    assert tokens.length_histogram(tokens.count_tokens(empty, *SAME)).count() == 0
 
 
 def test_packing(docs, rows, empty):
     tokenizer = Tokenizer.from_file(JSON)
     tokenizer.encode_special_tokens = True
-    pieces = packing.token_pieces(docs, JSON, limit=256)
+    pieces = packing.token_pieces(docs, *SAME, limit=256)
     got = packing.pack(pieces, limit=256).collect()
     ids = {t: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for _, t in rows}
     expected = []
@@ -155,7 +157,7 @@ def test_packing(docs, rows, empty):
             at += length
         assert at <= 256
     assert len(filled) <= 1.15 * sum(len(ids[t]) for _, t in rows) / 256 + 1
-    assert packing.pack(packing.token_pieces(empty, JSON)).count() == 0
+    assert packing.pack(packing.token_pieces(empty, *SAME)).count() == 0
 
 
 def test_sum_of_squares_takes_the_smallest_sum():
