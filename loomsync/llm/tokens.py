@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loomsync.llm.common import extended, map_batches
 
 #: Remembered chunks per worker; the table starts anew beyond it.
-MEMO = 250_000
+MEMO = 400_000
 
 _UNSAFE = re.compile(r"\s \s|\s $")
 
