@@ -22,11 +22,16 @@ Rule = Callable[[], Column]
 
 
 class GuardRefused(RuntimeError):
-    """Raised by a sink for a write the rules do not permit."""
+    """Raised by a sink for writes the rules do not permit.
 
-    def __init__(self, refusals: list[tuple[str, str, list[str]]]) -> None:
-        self.refusals = refusals
-        super().__init__("; ".join(f"{op.upper()} on '{table}': {', '.join(why)}" for op, table, why in refusals))
+    ``refused`` holds every one of them (op, table_name, reasons) and ``count`` their number;
+    only the message stops after the first few.
+    """
+
+    def __init__(self, refused: DataFrame, count: int, shown: int) -> None:
+        self.refused, self.count = refused, count
+        first = [f"{r['op'].upper()} on '{r['table_name']}': {', '.join(r['reasons'])}" for r in refused.take(shown)]
+        super().__init__(f"{count} refused: " + "; ".join(first) + ("; ..." if count > shown else ""))
 
 
 def normalize_mode(text: str) -> str:
@@ -70,8 +75,8 @@ def evaluate(plan: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES) -> DataFr
 
 
 def enforce(plan: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, shown: int = 20) -> None:
-    """Fail when a write of the plan is refused; at most ``shown`` are listed."""
+    """Fail when a write of the plan is refused; the message lists at most ``shown``, the error holds all."""
     refused = evaluate(plan, rules).filter(F.size("reasons") > 0).select("op", "table_name", "reasons")
-    rows = refused.limit(shown).collect()
-    if rows:
-        raise GuardRefused([(r["op"], r["table_name"], list(r["reasons"])) for r in rows])
+    count = refused.count()
+    if count:
+        raise GuardRefused(refused, count, shown)

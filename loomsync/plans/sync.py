@@ -197,11 +197,11 @@ def reject_reasons(
     inbound: DataFrame,
     references: Mapping[str, DataFrame],
     widths: Mapping[str, int] = WIDTHS,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``reasons``: why a row could not be applied, judged from the row and its lookups.
 
-    With ``hot_rows`` set, values shared by more rows are split in the lookups.
+    Lookups are plain joins at any row count: small parents are broadcast by their size, and
+    adaptive execution splits hot values where a parent is too large for that.
     """
     checks = [
         F.when(F.length(name) > width, F.lit(f"{name} is longer than {width}"))
@@ -211,10 +211,7 @@ def reject_reasons(
     checked = inbound
     for name, parent in references.items():
         keys = parent.select(F.col(parent.columns[0]).alias(name)).distinct().withColumn(f"_known_{name}", F.lit(True))
-        if hot_rows is None:
-            checked = checked.join(keys, name, "left")
-        else:
-            checked = join_unique(checked, keys, [name], hot_rows=hot_rows, counted=inbound)
+        checked = checked.join(keys, name, "left")
         orphan = F.col(name).isNotNull() & F.col(f"_known_{name}").isNull()
         checks.append(F.when(orphan, F.lit(f"{name} has no parent")))
     found = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
@@ -434,8 +431,7 @@ def resolve(
     waiting = waiting.drop("member_id", "addr_id", "phn_id", "demogr_hash", "address_hash", "phone_hash", "mq_status")
     number = F.expr(f"(mq_id - {options.start_id}) div {window}")
     may_be_hot = count > options.hot_rows
-    hot_rows = options.hot_rows if may_be_hot else None
-    rows = reject_reasons(with_hashes(waiting), references, options.widths, hot_rows).withColumn("window_no", number)
+    rows = reject_reasons(with_hashes(waiting), references, options.widths).withColumn("window_no", number)
     known = state_by_pid(state)
     plan = staged(plan_windows(rows, known, windows, options.scan_block, options.hot_rows), "windows")
     plan = _with_new_ids(plan, state)

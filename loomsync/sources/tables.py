@@ -42,7 +42,7 @@ def null_counts(table: DataFrame) -> DataFrame:
 
 
 def live_rows(table: DataFrame, deleted: str, include_deleted: bool = False) -> DataFrame:
-    return table if include_deleted else table.filter(~F.coalesce(F.col(deleted), F.lit(False)))
+    return table if include_deleted else table.filter(F.col(deleted).isNull() | ~F.col(deleted))
 
 
 def changed_between(table: DataFrame, stamp: str, start: str, end: str, deleted: str | None = None) -> DataFrame:

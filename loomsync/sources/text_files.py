@@ -38,13 +38,14 @@ def write_csv(rows: DataFrame, path: str, delimiter: str = "COMMA", line_ending:
 def read_csv(spark: SparkSession, path: str, delimiter: str = "COMMA", columns: list[str] | None = None) -> DataFrame:
     """Every column as text, NUL characters removed, nothing inferred.
 
-    Quoted fields may hold line ends, so a file is read by one task; keep files
-    at the sizes the writer makes.
+    Columns go by the header: a file whose header has other names or another order than
+    ``columns`` (or the first file) fails. Quoted fields may hold line ends, so a file is
+    read by one task; keep files at the sizes the writer makes.
     """
     reader = spark.read
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(path, sep=DELIMITERS[delimiter], header=True, quote='"', escape='"', multiLine=True)
+    raw = reader.csv(path, sep=DELIMITERS[delimiter], header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
     return raw.select(*[strip_nul(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +40,8 @@ def run_stream(
     number and finds its own layers in place, so it changes nothing; the
     checkpoint is the bookmark.
     """
+    if options.max_records:
+        raise ValueError("a stream has no cap on records: max_records belongs to a single run")
     tables = state_tables(spark, root)
     done = VersionedTable(spark, f"{root}/processed")
     for name, table in tables.items():
@@ -56,7 +57,7 @@ def run_stream(
             if table.exists() and table.depth() >= compact_after:
                 table.compact(batch_id)
         before = sync.State(**{n: tb.read(batch_id) if tb.exists() else None for n, tb in tables.items()})
-        outcome = sync.sync_batch(batch, before, references, replace(options, max_records=None))
+        outcome = sync.sync_batch(batch, before, references, options)
         if outcome is None:
             return
         changes = sync.touched_rows(before, outcome.rows, options.block_census)
