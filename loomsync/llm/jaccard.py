@@ -2,8 +2,9 @@
 
 Equal sets are one class. Two sets of similarity ``t`` or more share one of the first
 ``n - ceil(t n) + 1`` shingles of each in any common order, so classes that share such a
-shingle form the root regions; shingles that many documents hold come last in the order,
-which keeps chance companions apart. Classes of a region that may be linked, as far as the
+shingle form the root regions. Shingles come in the order of how many classes hold them, so
+a class meets others only if too few of its shingles are its own; this keeps chance companions
+apart at any size of the table. Classes of a region that may be linked, as far as the
 bounds from those first shingles tell, are one cluster, over all regions.
 
 Within a cluster the join is metric (Jaccard distance is a metric): pivots create Voronoi
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from loomsync.llm.common import map_batches, squeezed
 from loomsync.llm.components import components
-from loomsync.llm.words import shingle_sets
+from loomsync.llm.words import mix, shingle_sets
 from loomsync.session import staged
 
 THRESHOLD = Fraction(3, 4)
@@ -45,8 +46,11 @@ PIVOTS = 6
 COMMON = 2000
 #: Common shingles are looked for among those that so many documents of one batch hold.
 LOCAL = 3
-#: Prefix shingles in one bucket of the root regions.
+#: Prefix shingles in one bucket of the root regions; shingles in one bucket of the count of classes.
 BUCKET = 1 << 21
+CELL = 1 << 22
+#: Place of the common shingles in the order of all.
+COMMON_LEVEL = 63
 
 
 def _set_id(row: np.ndarray) -> int:
@@ -151,33 +155,136 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, threshold: Fraction, si
     return staged(map_batches(docs.select(doc_id, text), scan, "doc_id long, cid long, n long, is_doc boolean"), "signatures")
 
 
-def _sketches(docs: DataFrame, text: str, common, threshold: Fraction, size: int) -> DataFrame:
-    """Per class its set size and the first shingles in the common order: as many as linked sets must share one of.
+def _shingles(docs: DataFrame, text: str, common, buckets: int, threshold: Fraction, size: int) -> DataFrame:
+    """Per batch and bucket the shingles of its classes: 32 bits each, with the classes, set sizes and counts they belong to.
 
-    The order is that of 63 bits of the hash, with common shingles last by a leading bit.
+    Common shingles come last in every set; of those only as many are sent as may be among the
+    first that a set needs, in buckets of their own (below zero).
     """
 
     def scan(batch: pa.RecordBatch) -> dict:
         last = common.value
-        made: dict = {"cid": [], "n": [], "sketch": []}
+        keys, codes, cids, sizes, rares = [], [], [], [], []
         seen = set()
         for row in shingle_sets(_bytes(batch.column(text)), size):
             cid = _set_id(row)
             if not len(row) or cid in seen:
                 continue
             seen.add(cid)
-            keep = len(row) - -(-threshold.numerator * len(row) // threshold.denominator) + 1
-            if len(last):
-                often = last[np.minimum(np.searchsorted(last, row), len(last) - 1)] == row
-                row = np.concatenate([row[~often] >> np.uint64(1), row[often] >> np.uint64(1) | np.uint64(1 << 63)])
-            else:
-                row = row >> np.uint64(1)
-            made["cid"].append(cid)
-            made["n"].append(len(row))
-            made["sketch"].append(row[:keep].tobytes())
+            bucket = (row >> np.uint64(32)) % np.uint64(buckets)
+            token = row.astype(np.uint32)
+            often = last[np.minimum(np.searchsorted(last, row), len(last) - 1)] == row if len(last) else np.zeros(len(row), bool)
+            rare = int((~often).sum())
+            tail = np.flatnonzero(often)
+            tail = tail[np.lexsort((bucket[tail], token[tail]))][: max(0, _prefix(len(row), threshold) - rare)]
+            keys.append(np.concatenate([token[~often], token[tail]]))
+            codes.append(np.concatenate([bucket[~often], bucket[tail] + np.uint64(buckets)]))
+            cids.append(cid)
+            sizes.append(len(row))
+            rares.append(rare)
+        made: dict = {"bucket": [], "tokens": [], "cids": [], "sizes": [], "rares": [], "counts": []}
+        if not keys:
+            return made
+        key, code, owner = np.concatenate(keys), np.concatenate(codes), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        order = np.argsort(code.astype(np.uint16) if 2 * buckets < 1 << 16 else code, kind="stable")
+        key, code, owner = key[order], code[order].astype(np.int64), owner[order]
+        cid, n, rare = np.array(cids, np.int64), np.array(sizes, np.uint32), np.array(rares, np.uint32)
+        names, first = np.unique(code, return_index=True)
+        made["bucket"] = np.where(names < buckets, names, buckets - 1 - names)
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(code)], strict=True):
+            rows, counts = np.unique(owner[a:b], return_counts=True)  # tokens stay in the order of their documents
+            for name, v in (("tokens", key[a:b]), ("cids", cid[rows]), ("sizes", n[rows]), ("rares", rare[rows]), ("counts", counts.astype(np.uint32))):
+                made[name].append(v.tobytes())
         return made
 
-    return staged(map_batches(docs.select(text), scan, "cid long, n long, sketch binary"), "sketches")
+    return map_batches(docs.select(text), scan, "bucket long, tokens binary, cids binary, sizes binary, rares binary, counts binary")
+
+
+def _prefix(n: int, threshold: Fraction) -> int:
+    """Of how many first shingles a set of ``n`` shares one with every set it is linked with."""
+    return n - -(-threshold.numerator * n // threshold.denominator) + 1
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``cid, n, rare, bucket, marked`` rows: the shingles of a bucket that several classes hold.
+
+    Each takes five bytes, the last one the order of magnitude of the number of classes.
+    """
+    held: list[tuple] = []
+    at = None
+
+    def close() -> pa.RecordBatch:
+        token, cid, n, rare, count = (np.frombuffer(b"".join(r[i] for r in held), t) for i, t in enumerate((np.uint32, np.int64, np.uint32, np.uint32, np.uint32), 1))
+        held.clear()
+        new = np.zeros(len(cid), bool)
+        new[np.unique(cid, return_index=True)[1]] = True  # a class that several batches sent counts once
+        token, cid, n, rare, count = token[np.repeat(new, count)], cid[new], n[new], rare[new], count[new]
+        if at >= 0:
+            _, inverse, classes = np.unique(token, return_inverse=True, return_counts=True)
+            level = np.minimum(np.frexp(classes)[1] - 1, COMMON_LEVEL - 1).astype(np.uint8)[inverse]
+        else:
+            level = np.full(len(token), COMMON_LEVEL, np.uint8)
+        shared = level > 0
+        marked = np.empty((int(shared.sum()), 5), np.uint8)
+        marked[:, :4] = token[shared].view(np.uint8).reshape(-1, 4)
+        marked[:, 4] = level[shared]
+        owner, held_by = np.unique(np.repeat(np.arange(len(cid)), count)[shared], return_counts=True)
+        ends = np.concatenate(([0], np.cumsum(5 * held_by))).astype(np.int32)
+        rows = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(marked.tobytes())])
+        columns = [pa.array(cid[owner]), pa.array(n[owner].astype(np.int64)), pa.array(rare[owner].astype(np.int64)), pa.array(np.full(len(owner), at, np.int64)), rows]
+        return pa.RecordBatch.from_arrays(columns, ["cid", "n", "rare", "bucket", "marked"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("bucket", "tokens", "cids", "sizes", "rares", "counts")), strict=True):
+            if row[0] != at and held:
+                yield close()
+            at = row[0]
+            held.append(row)
+    if held:
+        yield close()
+
+
+def _first(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
+    """``cid, n, alone, sketch`` of every class that may be linked; rows come in the order of the classes.
+
+    The order of the shingles is that of the magnitude of their number of classes, then of their
+    hash; those ``alone`` in one class come first and are only counted. The sketch is what is
+    left of the first shingles.
+    """
+    made: list[tuple] = []
+    held: list[tuple] = []
+
+    def close() -> None:
+        cid, n, rare = held[0][:3]
+        marked = [np.frombuffer(r[4], np.uint8).reshape(-1, 5) for r in held]
+        bucket = np.repeat(np.array([r[3] for r in held], np.int64), [len(m) for m in marked])
+        held.clear()
+        rows = np.concatenate(marked)
+        level = rows[:, 4].astype(np.uint64)
+        alone = rare - int((bucket >= 0).sum())
+        room = _prefix(n, threshold) - alone
+        if room > 0:
+            token = np.ascontiguousarray(rows[:, :4]).view(np.uint32).ravel().astype(np.uint64)
+            place = np.where(bucket < 0, -1 - bucket, bucket).astype(np.uint64)
+            key = np.sort(level << np.uint64(58) | token << np.uint64(26) | place & np.uint64((1 << 26) - 1))
+            made.append((cid, n, alone, key[:room].tobytes()))
+
+    def out() -> pa.RecordBatch:
+        cid, n, alone, sketch = zip(*made, strict=True)
+        made.clear()
+        return pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(n, pa.int64()), pa.array(alone, pa.int64()), pa.array(sketch, pa.binary())], ["cid", "n", "alone", "sketch"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("cid", "n", "rare", "bucket", "marked")), strict=True):
+            if held and held[0][0] != row[0]:
+                close()
+                if len(made) >= 1000:
+                    yield out()
+            held.append(row)
+    if held:
+        close()
+    if made:
+        yield out()
 
 
 def _packed(sketches: DataFrame, buckets: int, threshold: Fraction) -> DataFrame:
@@ -190,10 +297,11 @@ def _packed(sketches: DataFrame, buckets: int, threshold: Fraction) -> DataFrame
     def scan(batch: pa.RecordBatch) -> dict:
         rows = [np.frombuffer(s, np.uint64) for s in batch.column("sketch").to_pylist()]
         key, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        cid, n = batch.column("cid").to_numpy(), batch.column("n").to_numpy()
+        cid, n, alone = (batch.column(x).to_numpy() for x in ("cid", "n", "alone"))
+        key = mix(key)
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
         lengths = np.array([len(r) for r in rows])
-        place = np.arange(len(key)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = np.arange(len(key)) - np.repeat(np.cumsum(lengths) - lengths - alone, lengths)
         early = place <= (n - -(-2 * p * n // (p + q)))[owner]
         key = key & np.uint64(0xFFFFFFFE) | early.astype(np.uint64)
         order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
@@ -276,8 +384,9 @@ def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Itera
 
     def close() -> tuple[np.ndarray, np.ndarray]:
         cids = np.array(list(group), np.int64)
-        n = np.array([r[0] for r in group.values()])
-        rows = [np.frombuffer(r[1], np.uint32) for r in group.values()]
+        n, alone = (np.array([r[i] for r in group.values()]) for i in (0, 1))
+        left = n - alone  # shingles of one class are never shared and come first
+        rows = [np.frombuffer(r[2], np.uint32) for r in group.values()]
         group.clear()
         if len(cids) < 2:
             return cids[:0], cids[:0]
@@ -297,8 +406,8 @@ def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Itera
             # Up to where the first of the two sketches ends, both are known: a set holds
             # beyond it what its sketch does not hold before it.
             first = np.minimum(last[i], last[others])
-            own = n[i] - np.searchsorted(sketches.tokens[sketches.offsets[i] : sketches.offsets[i + 1]], first)
-            theirs = n[others] - sketches.below(others, first)
+            own = left[i] - np.searchsorted(sketches.tokens[sketches.offsets[i] : sketches.offsets[i + 1]], first)
+            theirs = left[others] - sketches.below(others, first)
             fits = (sketches.shared(i, others) + np.minimum(own, theirs)) * (p + q) >= p * (n[i] + n[others])
             merged = np.append(label[others[fits]], label[i])
             label[np.isin(label, merged)] = merged.min()
@@ -307,12 +416,12 @@ def _companions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Itera
 
     for batch in batches:
         a, b = [], []
-        for rid, cid, n, sketch in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("rid", "cid", "n", "sketch")), strict=True):
+        for rid, cid, *row in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("rid", "cid", "n", "alone", "sketch")), strict=True):
             if rid != at and group:
                 for out, made in zip((a, b), close(), strict=True):
                     out.append(made)
             at = rid
-            group.setdefault(cid, (n, sketch))
+            group.setdefault(cid, row)
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
     if group:
@@ -371,13 +480,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     common = np.sort(np.array([r[0] for r in often.select("cid").collect()], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(common)
     buckets = max(12, int(total[1] * float(1 - threshold)) // BUCKET)
-    sketches = _sketches(docs, "text", shared, threshold, size)
+    cells = max(12, int(total[1]) // CELL)
+    sent = _shingles(docs, "text", shared, cells, threshold, size).repartition("bucket").sortWithinPartitions("bucket")
+    marked = sent.mapInArrow(_levels, "cid long, n long, rare long, bucket long, marked binary")
+    marked = marked.repartition("cid").sortWithinPartitions("cid")
+    sketches = staged(marked.mapInArrow(lambda batches: _first(batches, threshold), "cid long, n long, alone long, sketch binary"), "sketches")
     packed = _packed(sketches, buckets, threshold).repartition("bucket").sortWithinPartitions("bucket")
     regions = packed.mapInArrow(lambda batches: _regions(batches, threshold), "rid long, cid long").distinct()
-    short = map_batches(sketches, lambda batch: {"cid": batch.column("cid"), "n": batch.column("n"), "sketch": [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column("sketch").to_pylist()]}, "cid long, n long, sketch binary")
+    short = map_batches(sketches, lambda batch: {"cid": batch.column("cid"), "n": batch.column("n"), "alone": batch.column("alone"), "sketch": [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column("sketch").to_pylist()]}, "cid long, n long, alone long, sketch binary")
     regions = staged(regions, "regions")
     rows = regions.join(short, "cid").repartition("rid").sortWithinPartitions("rid", "cid")
-    edges = rows.select("rid", "cid", "n", "sketch").mapInArrow(lambda batches: _companions(batches, threshold), "a long, b long")
+    edges = rows.select("rid", "cid", "n", "alone", "sketch").mapInArrow(lambda batches: _companions(batches, threshold), "a long, b long")
     clusters = components(edges).select(F.col("node").alias("cid"), F.col("label").alias("group"))
     clusters = staged(clusters.join(classes, "cid"), "clusters")
     counts = clusters.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
