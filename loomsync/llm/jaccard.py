@@ -49,6 +49,8 @@ LOCAL = 3
 #: Prefix shingles in one bucket of the root regions; shingles in one bucket of the count of classes.
 BUCKET = 1 << 21
 CELL = 1 << 22
+#: Rows of 64 bits that tell which documents are in clusters; bounds their broadcast.
+WORDS = 1 << 19
 #: Place of the common shingles in the order of all.
 COMMON_LEVEL = 63
 
@@ -495,7 +497,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     clusters = staged(clusters.join(classes, "cid"), "clusters")
     counts = clusters.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     large = counts.where(F.col("members") > cluster).select("group")
-    texts = squeezed(docs.where("text is not null"))
+    texts = squeezed(_likely(docs.where("text is not null"), clusters))
     small = clusters.join(large, "group", "left_anti").select("group", "cid", "doc_id")
     found = _joined(small, texts, threshold, size, links=False)
     if large.limit(1).count():
@@ -506,6 +508,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _likely(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``docs`` without most of those whose ``doc_id`` is not among ``members``, so that their texts are not shuffled.
+
+    A hashed bit tells; all bits are at most ``WORDS`` rows, whatever the size of ``members``.
+    """
+    place = F.xxhash64("doc_id")
+    word, bit = F.pmod(place, F.lit(WORDS)).alias("_word"), F.expr("shiftleft(1L, cast(pmod(shiftright(xxhash64(doc_id), 32), 64L) as int))")
+    bits = members.select(word, bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    found = docs.withColumn("_word", word).join(F.broadcast(bits), "_word")
+    return found.where(F.col("_bits").bitwiseAND(bit) != 0).select(docs.columns)
+
+
 def _joined(groups: DataFrame, texts: DataFrame, threshold: Fraction, size: int, links: bool) -> DataFrame:
     """Classes of each group of documents ``group, cid, doc_id``."""
     rows = groups.join(texts.withColumnRenamed("doc_id", "at"), F.col("doc_id").eqNullSafe(F.col("at"))).select("group", "cid", "doc_id", "text")
