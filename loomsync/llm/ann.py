@@ -4,9 +4,14 @@ Vectors get one more component that makes all lengths equal, so the largest prod
 smallest distance. A bounded sample is halved again and again along the line between two
 means, always at the median: the centroids of the even parts head the posting lists. Every
 vector goes to the list of its nearest centroid and to those that are hardly farther, unless
-a list already chosen is closer to that centroid than the vector is. A query finds centroids
-by a beam search in their neighbour graph, which each task holds in memory, and reads the
-lists within a ratio of the nearest one's distance. Long lists are cut into blocks.
+a list already chosen is closer to that centroid than the vector is; it finds them by a beam
+search in the centroids' neighbour graph, which each task holds in memory.
+
+How many lists a query reads, and how many copies of a vector count, is not fixed: a bounded
+set of queries is answered by brute force, and the cheapest pair that finds the wanted share
+of their neighbours is taken, up to all lists. Without structure in the vectors that is a
+large part of the table, at every size. Neighbouring lists share a cell, which is one task's
+work for the queries that read any of them; long lists are cut over several cells.
 """
 
 from __future__ import annotations
@@ -33,12 +38,15 @@ class Settings:
     #: Lists a vector is copied to, and how much farther (squared) they may be.
     copies: int = 4
     closure: float = 1.2
-    #: Lists a query reads, and how much farther (squared) they may be.
+    #: Lists a query reads, at least; the probed queries settle how many more.
     lists: int = 96
-    prune: float = 1.9
+    #: Queries answered by brute force, and the share of their neighbours to be found: 0.9 and a margin for the sample.
+    probes: int = 256
+    recall: float = 0.93
     degree: int = 24
-    beam: int = 128
+    #: Vectors of a cell: at least, unless the table is smaller, and at most.
     block: int = 4_096
+    cell: int = 32_768
 
 
 class Graph:
@@ -120,13 +128,102 @@ def _vectors(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
 
+def _directions(queries: np.ndarray) -> np.ndarray:
+    """Queries beside lengthened vectors; their own length does not change the order of products."""
+    return np.concatenate([queries, np.zeros((len(queries), 1))], 1)
+
+
+def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k: int, settings: Settings) -> tuple[int, int, np.ndarray]:
+    """Lists to read, copies to keep, and the rows of each list with these copies.
+
+    The neighbours of some queries are found by brute force; each lies in a list that is the
+    n-th nearest of its query. The cheapest pair that finds the wanted share of them counts.
+    No queries give 0 lists.
+    """
+    probes = used.where("asks").orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.probes).select("vec_id", "v").toArrow()
+    if not len(probes):
+        return 0, 0, np.zeros(0)
+    names, queries = probes["vec_id"].to_numpy(), _vectors(probes["v"].combine_chunks(), len(probes))
+
+    def score(batch: pa.RecordBatch) -> dict:
+        ids = batch.column("vec_id").to_numpy()
+        products = queries @ _vectors(batch.column("v"), len(ids)).T
+        products[names[:, None] == ids] = -np.inf
+        top = np.argpartition(-products, k - 1, 1)[:, :k] if len(ids) > k else np.tile(np.arange(len(ids)), (len(names), 1))
+        probe = np.repeat(np.arange(len(names)), top.shape[1])
+        return {"probe": probe.tolist(), "vec_id": ids[top.ravel()].tolist(), "score": products[probe, top.ravel()].tolist()}
+
+    best = map_batches(used.select("vec_id", "v"), score, "probe int, vec_id long, score double").where("score > double('-inf')")
+    best = best.withColumn("n", F.expr("row_number() OVER (PARTITION BY probe ORDER BY score DESC, vec_id)")).where(F.col("n") <= k)
+    best = best.select("probe", "vec_id")  # at most k rows per probe
+    places = postings.select("vec_id", "nth", "list").join(F.broadcast(best), "vec_id").toArrow()
+    rows = postings.groupBy("list", "nth").count().toArrow()
+    per_copy = np.zeros((settings.copies, len(centroids)))
+    per_copy[rows["nth"].to_numpy(), rows["list"].to_numpy()] = rows["count"].to_numpy()
+    sizes = per_copy.cumsum(0)
+    if not len(places):
+        return len(centroids), 1, sizes[0]
+    order = _square(_directions(queries), centroids).argsort(1, kind="stable").argsort(1)
+    probe, nth = places["probe"].to_numpy(), places["nth"].to_numpy()
+    place = order[probe, places["list"].to_numpy()]
+    pair, which = np.unique(np.stack([probe, places["vec_id"].to_numpy()]), axis=1, return_inverse=True)
+    choices = []
+    for c in range(settings.copies):
+        needed = np.full(pair.shape[1], len(centroids))
+        np.minimum.at(needed, which.ravel()[nth <= c], place[nth <= c])
+        width = int(np.sort(needed)[int(np.ceil(settings.recall * len(needed))) - 1]) + 1
+        width = min(len(centroids), max(width, settings.lists))
+        read = (sizes[c][None] * (order < width)).sum(1).mean()
+        choices.append((read, c, width))
+    _, c, width = min(choices)
+    return width, c + 1, sizes[c]
+
+
+def _cells(sizes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """First cell and number of cells of each list: lists that follow each other share one, as far as they fit."""
+    room = min(max(settings.block, int(sizes.sum()) // 64), settings.cell)
+    first, blocks, cell, taken = np.zeros(len(sizes), int), np.ones(len(sizes), int), 0, 0
+    for i, size in enumerate(sizes.astype(int)):
+        if taken and taken + size > room:
+            cell, taken = cell + 1, 0
+        first[i], blocks[i] = cell, max(1, -(-size // room))
+        taken += size
+        if blocks[i] > 1:
+            cell, taken = cell + blocks[i], 0
+    return first, blocks
+
+
+def _best(packed: tuple, centroids: np.ndarray, names: np.ndarray, queries: np.ndarray, far: np.ndarray, k: int, copies: int) -> list:
+    """The ``k`` largest products of each query in the lists of a cell that are as near as ``far``."""
+    lists, ids, vectors = packed
+    here, starts = np.unique(lists, return_index=True)
+    wanted = _square(_directions(queries), centroids[here]) <= far[:, None]
+    rough = np.full((len(queries), len(ids)), -np.inf)
+    for n, (low, high) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
+        who = np.flatnonzero(wanted[:, n])
+        rough[who, low:high] = queries[who] @ vectors[low:high].T
+    rough[names[:, None] == ids] = -np.inf
+    most = min(k * copies, len(ids))  # a vector may be in several lists of the cell
+    floors = np.partition(rough, len(ids) - most, 1)[:, len(ids) - most]
+    slack = 1e-9 * np.sqrt((queries**2).sum(1) * (vectors**2).sum(1).max())
+    out = []
+    for q, name in enumerate(names):
+        top = np.flatnonzero((rough[q] >= floors[q] - slack[q]) & (rough[q] > -np.inf))
+        top = top[np.unique(ids[top], return_index=True)[1]]
+        exact = (vectors[top] * queries[q]).sum(1)  # row by row, so equal vectors score the same
+        order = np.lexsort((ids[top], -exact))[:k]
+        out.append((np.full(len(order), name), ids[top][order], exact[order]))
+    return out
+
+
 def nearest(table: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector: str = "embedding", settings: Settings = Settings()) -> DataFrame:
     """``query_id, rank, vec_id, score``: about the ``k`` largest inner products of each query row.
 
     Rows where ``is_query`` holds are the queries; every other row is a candidate. Vectors that
     are null, zero or have null or non-finite components take no part. Scores are inner products
     of the given vectors in double precision; ties go to the smaller id. Fewer candidates give
-    fewer rows, an empty table none. Vectors must have one length.
+    fewer rows, an empty table none. Vectors must have one length. Of the true neighbours, about
+    ``settings.recall`` are found, as measured on some of the queries before the lists are read.
     """
     spark = table.sparkSession
     used = table.where(usable(vector)).where(F.exists(vector, lambda x: x != 0))
@@ -158,52 +255,47 @@ def nearest(table: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector:
             lists.append(chosen)
         return {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "lists": lists}
 
+    schema = "vec_id long, v array<double>, lists array<int>"
+    postings = staged(map_batches(used.select("vec_id", "v"), assign, schema).select("vec_id", "v", F.posexplode("lists").alias("nth", "list")), "postings")
+    width, copies, sizes = _calibrated(used, postings, graph.value.centroids, k, settings)
+    if not width:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    first, blocks = _cells(sizes, settings)
+    layout = spark.createDataFrame([(i, int(first[i]), int(blocks[i])) for i in range(len(first))], "list int, first int, blocks int")
+
     def ask(batch: pa.RecordBatch) -> dict:
-        queries = _lengthened(_vectors(batch.column("v"), batch.num_rows), longest)
-        queries[:, -1] = 0  # a query's length does not change the order of products
-        near, away = graph.value.search(queries, settings.lists, settings.beam)
-        kept = np.isfinite(away) & (away <= settings.prune * away[:, :1])
-        return {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "lists": [ids[k].tolist() for ids, k in zip(near, kept, strict=True)]}
+        away = _square(_directions(_vectors(batch.column("v"), batch.num_rows)), graph.value.centroids)
+        far = np.partition(away, width - 1, 1)[:, width - 1] * (1 + 1e-9)
+        cells = [np.unique(np.concatenate([np.arange(first[i], first[i] + blocks[i]) for i in np.flatnonzero(row)])).tolist() for row in away <= far[:, None]]
+        return {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "far": far.tolist(), "cells": cells}
 
-    schema = "vec_id long, v array<double>, lists array<int>"
-    postings = staged(map_batches(used.select("vec_id", "v"), assign, schema).select("vec_id", "v", F.explode("lists").alias("list")), "postings")
-    sizes = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
-    blocks = F.broadcast(sizes)  # a row per centroid
-    stored = postings.join(blocks, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "vec_id", "v")
-    asking = map_batches(used.where("asks").select("vec_id", "v"), ask, schema).select("vec_id", "v", F.explode("lists").alias("list"))
-    asking = asking.join(blocks, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "vec_id", "v")
-    cells = stored.unionByName(asking).repartition("list", "block").sortWithinPartitions("list", "block", "asks", "vec_id")
+    stored = postings.where(F.col("nth") < copies).join(F.broadcast(layout), "list")  # a row per centroid
+    stored = stored.select((F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).cast("int").alias("cell"), "list", "vec_id", "v", F.lit(0.0).alias("far"))
+    asking = map_batches(used.where("asks").select("vec_id", "v"), ask, "vec_id long, v array<double>, far double, cells array<int>")
+    asking = asking.select(F.explode("cells").alias("cell"), F.lit(len(first)).alias("list"), "vec_id", "v", "far")
+    cells = stored.unionByName(asking).repartition("cell").sortWithinPartitions("cell", "list", "vec_id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, vecs, packed = None, [], [], None
+        at, parts, packed = None, [], None
         for batch in batches:
-            out: dict = {"query_id": [], "vec_id": [], "score": []}
-            flat = _vectors(batch.column("v"), batch.num_rows)
-            where = zip(batch.column("list").to_pylist(), batch.column("block").to_pylist(), strict=True)
-            for i, (cell, asks, name) in enumerate(zip(where, batch.column("asks").to_pylist(), batch.column("vec_id").to_pylist(), strict=True)):
-                if cell != at:
-                    at, ids, vecs, packed = cell, [], [], None
-                if not asks:
-                    ids.append(name)
-                    vecs.append(flat[i])
-                    continue
-                if packed is None and ids:
-                    packed = np.array(ids), np.stack(vecs)
-                if packed is None:
+            out: list = []
+            flat, names = _vectors(batch.column("v"), batch.num_rows), batch.column("vec_id").to_numpy()
+            cell, lists, far = (batch.column(c).to_numpy() for c in ("cell", "list", "far"))
+            asks = lists == len(first)
+            ends = np.flatnonzero((cell[1:] != cell[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for low, high in zip([0, *ends], [*ends, len(cell)], strict=True):
+                if cell[low] != at:
+                    at, parts, packed = cell[low], [], None
+                if not asks[low]:
+                    parts.append((lists[low:high], names[low:high], flat[low:high]))
                     continue
-                products = (packed[1] * flat[i]).sum(1)  # row by row, so equal vectors score the same
-                products[packed[0] == name] = -np.inf
-                if len(products) > k:
-                    floor = np.partition(products, -k)[-k]
-                    top = np.flatnonzero(products >= floor)
-                else:
-                    top = np.arange(len(products))
-                top = top[np.lexsort((packed[0][top], -products[top]))][:k]
-                top = top[products[top] > -np.inf]
-                out["query_id"] += [name] * len(top)
-                out["vec_id"] += packed[0][top].tolist()
-                out["score"] += products[top].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(out["query_id"], pa.int64()), pa.array(out["vec_id"], pa.int64()), pa.array(out["score"], pa.float64())], list(out))
+                if packed is None and parts:
+                    packed = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+                for i in range(low, high if packed else low, 128):
+                    j = min(high, i + 128)
+                    out += _best(packed, graph.value.centroids, names[i:j], flat[i:j], far[i:j], k, copies)
+            found = zip(*out, strict=True) if out else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if len(x) else [], t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
     found = cells.mapInArrow(read, "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
     ranked = found.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))

@@ -55,6 +55,20 @@ def test_neighbours_recall(spark, vectors):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_recall_without_structure_in_many_lists(spark):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(6000, 48))
+    v = (v / np.sqrt((v * v).sum(1, keepdims=True))).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {}
+    for q, _, i, _ in ann.nearest(df, F.col("vec_id") % 20 == 0, 20, settings=ann.Settings(list_size=8)).collect():
+        got.setdefault(q, set()).add(i)
+    products = v.astype(np.float64) @ v.astype(np.float64).T
+    np.fill_diagonal(products, -np.inf)
+    hits = sum(len(got[q] & set(np.argsort(-products[q])[:20])) for q in range(0, 6000, 20))
+    assert hits / (20 * 300) >= 0.9
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert ann.nearest(df, F.lit(True), 5).count() == 0
