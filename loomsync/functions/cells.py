@@ -16,6 +16,7 @@ from loomsync.functions.names import RESERVED_WORDS, strip_nul, strip_whitespace
 
 REJECTS = "_rejects"
 _NO_REJECTS = "array<struct<field:string,raw:string>>"
+_DIGITS = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\z"
 
 
 def present(text: Column) -> Column:
@@ -39,8 +40,25 @@ def to_double(text: Column) -> Column:
     return F.when(text.rlike(number) | text.rlike(special), strip_whitespace(text).try_cast("double"))
 
 
+def _canonical_digits(number: Column) -> Column:
+    """Sign, significant digits and place of the point of a number's text; NULL if it is none."""
+    sign, whole, part, power = (F.regexp_extract(number, _DIGITS, i) for i in (1, 2, 3, 4))
+    digits = F.concat(whole, part)
+    led = F.regexp_replace(digits, r"^0+", "")
+    point = F.length(whole) + F.when(power == "", 0).otherwise(power.try_cast("int")) - F.length(digits) + F.length(led)
+    found = F.concat(F.when(sign == "-", "-").otherwise(""), F.regexp_replace(led, r"0+\z", ""), F.lit("e"), point.cast("string"))
+    return F.when(number.rlike(_DIGITS) & (digits != ""), F.when(led == "", "0").otherwise(found))
+
+
+def _exact(number: Column, kind: str) -> Column:
+    """A number or its text as ``kind``, NULL if that would change its value."""
+    value = number.try_cast(kind)
+    return F.when(_canonical_digits(number.cast("string")) == _canonical_digits(value.cast("string")), value)
+
+
 def to_decimal_plain(text: Column) -> Column:
-    return strip_whitespace(present(text)).try_cast("decimal(38,10)")
+    """A decimal. A number it cannot hold digit by digit is NULL, not rounded."""
+    return _exact(strip_whitespace(present(text)), "decimal(38,10)")
 
 
 def to_date_iso(text: Column) -> Column:
@@ -87,7 +105,7 @@ def _with_rejects(df: DataFrame, cells: list[tuple[str, str, Column, Column | No
     """
     made = [value.alias(f"_v{i}") for i, (_, _, value, _) in enumerate(cells)]
     kept = [text.alias(f"_t{i}") for i, (_, _, _, text) in enumerate(cells) if text is not None]
-    raws = [F.col(f"`{source}`").alias(f"_r{i}") for i, (source, _, _, text) in enumerate(cells) if text is not None]
+    raws = [F.col(f"`{source}`").cast("string").alias(f"_r{i}") for i, (source, _, _, text) in enumerate(cells) if text is not None]
     wide = df.select(*made, *kept, *raws)
     failures = [
         F.when(
@@ -184,8 +202,39 @@ def norm_blank_null(text: Column) -> Column:
     return F.when(clean.rlike(r"(?U)\S"), clean)
 
 
-def norm_number(text: Column) -> Column:
-    return F.replace(strip_whitespace(strip_nul(text)), F.lit(","), F.lit("")).try_cast("decimal(38,10)")
+def _number_text(text: Column) -> Column:
+    return F.replace(strip_whitespace(strip_nul(text)), F.lit(","), F.lit(""))
+
+
+def norm_number(text: Column, kind: str = "decimal(38,10)") -> Column:
+    """Text as ``kind``. A number it cannot hold digit by digit is NULL, not rounded."""
+    return _exact(_number_text(text), kind)
+
+
+_NUMERIC = ("string", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _number_type(source: str, column) -> str:
+    """Type of a NUMBER column: as declared, else one that holds what the source holds."""
+    p, s = column.precision, column.scale
+    if p is not None and s is not None and 0 <= s <= p <= 38:
+        return f"decimal({p},{s})"
+    if source in ("tinyint", "smallint", "int", "bigint"):
+        return "decimal(38,10)"  # holds every one of them
+    if column.canonical == "integer":
+        return "decimal(38,0)"
+    return "decimal(38,10)" if source == "string" else "double" if source == "float" else source
+
+
+def _coerce_number(raw: Column, source: str, column) -> tuple[Column, Column | None]:
+    """A NUMBER cell, and the number's text if it may not fit. Text that is no number is NULL and no reject."""
+    kind = _number_type(source, column)
+    if source == "string":
+        number = _number_text(raw)
+        return norm_number(raw, kind), F.when(number.rlike(_DIGITS) & number.rlike(r"^[+-]?\.?\d"), number)
+    if kind in (source, "double"):
+        return raw.cast(kind), None
+    return _exact(raw, kind), raw.cast("string")
 
 
 def norm_date(text: Column) -> Column:
@@ -216,9 +265,7 @@ def _coerce(raw: Column, source: str, target: str, canonical: str | None) -> tup
     if source in ("timestamp", "timestamp_ntz", "binary"):
         return raw, False
     if source != "string":
-        return (raw.try_cast("decimal(38,10)") if target == "NUMBER" else raw.cast("string")), False
-    if target == "NUMBER":
-        return norm_number(raw), False
+        return raw.cast("string"), False
     if target == "DATE":
         return norm_date(raw), True
     if "TIMESTAMP" in target:
@@ -232,7 +279,8 @@ def normalize_frame(df: DataFrame, spec) -> DataFrame:
     """Coerce every column to its target type under its target name.
 
     A source column the target does not have fails while the plan is built.
-    Date and timestamp text that does not parse goes to the rejects array.
+    Date and timestamp text that does not parse goes to the rejects array, and so does every
+    number that its column cannot hold unchanged.
     """
     by_name = {c.target_name: c for c in spec.columns}
     cells = []
@@ -242,7 +290,12 @@ def normalize_frame(df: DataFrame, spec) -> DataFrame:
             raise KeyError(f"field '{name}' is not a column of '{spec.name}'")
         column = by_name[key]
         raw = F.col(f"`{name}`")
-        value, strict = _coerce(raw, kind.split("(")[0], column.raw_type, column.canonical)
+        source = kind.split("(")[0]
+        if column.raw_type.upper() == "NUMBER" and column.canonical != "boolean" and source in _NUMERIC:
+            value, checked = _coerce_number(raw, kind, column)
+            cells.append((name, key, value, checked))
+            continue
+        value, strict = _coerce(raw, source, column.raw_type, column.canonical)
         cells.append((name, key, value, norm_blank_null(raw) if strict else None))
     return _with_rejects(df, cells)
 

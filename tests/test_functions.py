@@ -120,6 +120,38 @@ def test_normalize_frame_refuses_unknown_columns(spark):
     assert cells.normalize_frame(rows.drop("Orphan"), spec).first()["LASTNAME"] == "Lee"
 
 
+def test_numbers_are_kept_or_rejected(spark):
+    columns = (
+        ColumnSpec("big", "NUMBER", "float"), ColumnSpec("wide", "NUMBER", "integer", precision=32, scale=0),
+        ColumnSpec("tight", "NUMBER", "float", precision=6, scale=2), ColumnSpec("typed", "NUMBER", "float"), ColumnSpec("n", "NUMBER", "integer"),
+    )
+    wide, low = Decimal("9" * 32), Decimal("-" + "9" * 32)
+    rows = [
+        (1, 1e30, wide, 12.25, "1,234.50", 5), (2, 1e-11, low, 0.001, "0.00000000001", None),
+        (3, 0.1, None, 12345.0, "1" + "0" * 29, 6), (4, None, None, float("nan"), "x", 7), (5, -2.5, None, -0.0, " 1e-3 ", 8),
+        (6, None, None, None, "1e99999999999", 9), (7, None, None, None, "", 9),
+    ]
+    df = spark.createDataFrame(rows, "i int, big double, wide decimal(32,0), tight double, typed string, n int")
+    spec = TableSpec("T", columns=(ColumnSpec("i", "NUMBER", "integer"), *columns))
+    got = {r[0]: tuple(r)[1:] for r in cells.normalize_frame(df, spec).collect()}
+    rejects = {i: [tuple(x) for x in r[-1]] for i, r in got.items()}
+    assert [got[i][0] for i in range(1, 6)] == [1e30, 1e-11, 0.1, None, -2.5]
+    assert [got[i][1] for i in (1, 2, 3)] == [wide, low, None]
+    assert [got[i][2] for i in range(1, 6)] == [Decimal("12.25"), None, None, None, Decimal("0.00")]
+    assert [got[i][3] for i in range(1, 6)] == [Decimal("1234.5"), None, None, None, Decimal("0.001")]
+    assert rejects[1] == rejects[5] == rejects[7] == [] and [r[4] for r in got.values()] == [5, None, 6, 7, 8, 9, 9]
+    assert rejects[2] == [("TIGHT", "0.001"), ("TYPED", "0.00000000001")]
+    assert rejects[3] == [("TIGHT", "12345.0"), ("TYPED", "1" + "0" * 29)]
+    assert rejects[4] == [("TIGHT", "NaN")] and rejects[6] == [("TYPED", "1e99999999999")]
+
+
+def test_currency_text_is_not_rounded(spark):
+    rows = spark.createDataFrame([("0.1234567890", ), ("0.12345678901", ), ("1e-11", )], "c string")
+    got = [tuple(r) for r in cells.cast_text_frame(rows, {"c": "currency"}).collect()]
+    assert [r[0] for r in got] == [Decimal("0.1234567890"), None, None]
+    assert [[x["raw"] for x in r[1]] for r in got] == [[], ["0.12345678901"], ["1e-11"]]
+
+
 def test_record_json(spark):
     rows = spark.createDataFrame([(1, None)], "mq_id int, pid string")
     text = rows.select(cells.record_json(["mq_id", "pid"]).alias("j")).first()["j"]
