@@ -1,19 +1,20 @@
 """Format-preserving pseudonyms by a keyed Feistel network, in DataFrame functions only.
 
-Found and validated: mail addresses, North American phone numbers, payment card numbers (Luhn),
+Found and validated: mail addresses, phone numbers of +1 and ten digits, payment card numbers (Luhn),
 social security numbers, IPv4 addresses, and dates (ISO with - or /, and d.m.y) from 1800 to
 2199. Each is permuted within the valid values of its format, so equal values get equal
 pseudonyms in every document and different ones stay different:
 
 * mail, phone, card: characters at even and odd places are the two halves; a round adds, per
-  character, a keyed number from the other half within the character's own class. Separators,
+  character, a keyed number from the other half within the character's own class; a phone's
+  area and exchange begin with a digit from 2 or with 0 or 1, as before. Separators,
   the country code, a card's first digit and the mail domain stay; a card's check digit is
   computed anew.
 * the others are a pair of numbers (area and group, serial; two halves of an address; the day
   within the 400-year cycle of 189 x 773 days), and a round adds to one a keyed number from
   the other.
 
-What does not validate is left as it is.
+What does not validate is left as it is. A date may be followed by T and a time, which stays.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ _CARD = r"[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19}"
 KINDS = {"mail": _MAIL, "phone": _PHONE, "ip": _IP, "date": _DATE, "ssn": _SSN, "card": _CARD}
 #: One character that is no word character, or the start, then a value with all that clings to it.
 PATTERN = rf"(?:^|[^A-Za-z0-9_])(?:{'|'.join(KINDS.values())})[A-Za-z0-9_]*"
+#: The same in Java's syntax, where a date also ends before T and a time.
+_FOUND = rf"(?:^|[^A-Za-z0-9_])(?:(?:{_MAIL})[A-Za-z0-9_]*|(?:{_DATE})(?=T[0-9]{{2}})|(?:{'|'.join(KINDS.values())})[A-Za-z0-9_]*)"
 _LEAD = r"^[^A-Za-z0-9_+]"
 
 _SIZES = {"date": (189, 773), "ssn": (898 * 99, 9999), "ip": (65536, 65536)}
@@ -75,7 +78,7 @@ def _kind(core: Column) -> Column:
     date = year.between(1800, 2199) & month.between(1, 12) & (day >= 1) & (day <= days)
     area = _number(core, 1, 3)
     ssn = (area >= 1) & (area <= 899) & (area != 666) & (_number(core, 5, 2) >= 1) & (_number(core, 8, 4) >= 1)
-    phone = digits.rlike("^1[2-9][0-9]{2}[2-9][0-9]{6}$")
+    phone = digits.rlike("^1[0-9]{10}$")
     card = _check_digit(digits) == F.substr(digits, F.length(digits), F.lit(1)).cast("int")
     kind = F.when(whole("mail"), F.lit("mail"))
     for name, valid in (("phone", phone), ("ip", octets), ("date", date), ("ssn", ssn), ("card", card)):
@@ -92,14 +95,14 @@ def _date_parts(core: Column) -> tuple[Column, Column, Column]:
 
 
 def _classes(core: Column, kind: Column) -> Column:
-    """Class of each character: d digit, n digit from 2, l and u letters, f fixed."""
+    """Class of each character: d digit, n digit from 2, b 0 or 1, l and u letters, f fixed."""
     at, all_digits = F.locate("@", core), F.length(_digits(core))
 
     def one(i: Column) -> Column:
         c = F.substr(core, i, F.lit(1))
         digit, nth = c.rlike("[0-9]"), F.length(_digits(F.substr(core, F.lit(1), i)))
         mail = F.when(i > at, "f").when(digit, "d").when(c.rlike("[a-z]"), "l").when(c.rlike("[A-Z]"), "u").otherwise("f")
-        phone = F.when(~digit | (nth == 1), "f").when(nth.isin(2, 5), "n").otherwise("d")
+        phone = F.when(~digit | (nth == 1), "f").when(nth.isin(2, 5), F.when(c >= "2", "n").otherwise("b")).otherwise("d")
         card = F.when(~digit | (nth == 1) | (nth == all_digits), "f").otherwise("d")
         return F.when(kind == "mail", mail).when(kind == "phone", phone).otherwise(card)
 
@@ -123,7 +126,7 @@ def _characters(core: Column, kind: Column, key: str) -> Column:
             c, cls = F.substr(text, i + 1, F.lit(1)), F.substr(classes, i + 1, F.lit(1))
             by = _hex(F.substr(keyed, 1 + 2 * (F.floor(i / 2).cast("int") % 16), F.lit(2)))
             moved = c
-            for name, base, size in (("d", 48, 10), ("n", 50, 8), ("l", 97, 26), ("u", 65, 26)):
+            for name, base, size in (("d", 48, 10), ("n", 50, 8), ("b", 48, 2), ("l", 97, 26), ("u", 65, 26)):
                 moved = F.when(cls == name, F.char(F.lit(base) + (F.ascii(c) - base + by) % size)).otherwise(moved)
             return F.when((i % 2 == r % 2), moved).otherwise(c)
 
@@ -204,11 +207,11 @@ def pseudonymize(docs: DataFrame, text: str = "text", count: str = "n_private",
     Null stays null with 0 found, an empty text stays empty. Repeated rows get the same
     result. A column that is called as ``count`` already is replaced, others pass through.
     """
-    pattern = F.lit(PATTERN)
+    pattern = F.lit(_FOUND)
     has_digit = F.col(text).rlike("[0-9@]")
     items = F.when(has_digit, F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: _pseudonym(m, key)))
     docs = docs.drop(count).withColumn("_items", items)
-    between = F.split(F.col(text), PATTERN)
+    between = F.split(F.col(text), _FOUND)
     joined = F.array_join(F.flatten(F.zip_with(between, F.col("_items"), lambda t, m: F.array(t, F.coalesce(m["text"], F.lit(""))))), "")
     found = F.coalesce(F.size(F.filter("_items", lambda m: m["valid"])), F.lit(0))
     changed = F.size("_items") > 0
@@ -217,7 +220,10 @@ def pseudonymize(docs: DataFrame, text: str = "text", count: str = "n_private",
 
 
 def oracle(key: str = KEY) -> str:
-    """DuckDB SQL for ``doc_id, text, n_private`` of the whole table ``documents``."""
+    """DuckDB SQL for ``doc_id, text, n_private`` of the whole table ``documents``.
+
+    It leaves phones whose area or exchange begins with 0 or 1 and dates before T as they are.
+    """
     whole = {n: f"regexp_full_match(core, '{p}')" for n, p in KINDS.items()}
 
     def luhn(digits: str) -> str:

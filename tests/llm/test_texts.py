@@ -229,6 +229,24 @@ def test_pseudonyms_keep_formats_and_links(spark, empty):
     assert pii.pseudonymize(empty).count() == 0
 
 
+def test_every_ten_digit_phone_and_date_before_a_time(spark):
+    values = ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 988 155 2485", "+10170557713", "2020-02-29", "1999/12/31"]
+    rows = [(i, f"at {v}{'T10:30:00Z' if i > 3 else ''}, end") for i, v in enumerate(values)] + [(6, "2021-02-29T10:00 and 2020-02-29x")]
+    got = {r[0]: (r[1], r[2]) for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, v in enumerate(values):
+        text, found = got[i]
+        assert found == 1 and v not in text and len(text) == len(rows[i][1])
+        assert [c if not c.isdigit() else "0" for c in text] == [c if not c.isdigit() else "0" for c in rows[i][1]]
+        assert text.endswith("T10:30:00Z, end" if i > 3 else ", end") and (i > 3 or text.startswith("at +1"))
+    assert got[6] == (rows[6][1], 0)
+
+
+def test_phones_that_begin_low_are_a_permutation(spark):
+    texts = spark.createDataFrame([(i, f"+1 (0{i % 100:02d}) {i // 100:03d}-0000") for i in range(2000)], "doc_id long, text string")
+    got = pii.pseudonymize(texts)
+    assert got.select("text").distinct().count() == 2000 and got.where("n_private <> 1").count() == 0
+
+
 def test_pseudonyms_are_a_permutation(spark):
     texts = spark.createDataFrame([(i, f"10.0.{i // 256}.{i % 256}") for i in range(2000)], "doc_id long, text string")
     assert pii.pseudonymize(texts).select("text").distinct().count() == 2000
