@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsync.llm import ann, jaccard, mtree, packing, pii, repeats, sharding, tokens, toxicity
+from loomsync.llm import ann, collocations, jaccard, mtree, packing, pii, repeats, sharding, tokens, toxicity, warc, whitening
 from loomsync.llm.common import read
+from loomsync.session import shared_dir
 
 QUERIES = {}
 ORACLE = {}
@@ -108,3 +111,55 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_sharding")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(read(spark, folder, "documents"), 40)
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    return whitening.report(whitening.whiten(vectors, model), model)
+
+
+_BASE32 = "upper(" + " || ".join(f"lpad(to_base(('0x' || h[{1 + 5 * i}:{5 + 5 * i}])::BIGINT, 32), 4, '0')" for i in range(8)) + ")"
+
+
+@query(
+    "op12_warc",
+    f"""WITH p AS (SELECT row_number() OVER () AS record, page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+    r AS (SELECT *, first_value(record) OVER w AS kept, first_value(page_id) OVER w AS kept_id FROM p
+        WINDOW w AS (PARTITION BY html ORDER BY page_id DESC NULLS LAST, record DESC))
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+        translate({_BASE32}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+        CASE WHEN record = kept THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN record <> kept THEN kept_id END AS refers_to
+    FROM r""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    warc.write_archives(read(spark, folder, "pages"), path)
+    return warc.records(warc.read_archives(spark, path, payload=False))
+
+
+@query(
+    "op13_collocations",
+    r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM d),
+    w AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS words FROM p),
+    g AS (SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+        FROM w, range(1, 6) AS s(size)),
+    f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+    c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND f >= 100),
+    b AS (SELECT lang, phrase, max(a) AS most FROM (
+        SELECT lang, a, array_to_string(words[1:size - 1], ' ') AS phrase FROM c UNION ALL SELECT lang, a, array_to_string(words[2:], ' ') FROM c) GROUP BY ALL),
+    u AS (SELECT c.* FROM c LEFT JOIN b USING (lang, phrase) WHERE b.most IS NULL OR 100 * b.most < 100 * c.a),
+    k AS (SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS first, array_to_string(words[k + 1:], ' ') AS rest FROM u, range(1, 5) AS t(k) WHERE k < size),
+    s AS (SELECT k.*, l.f AS l, r.f AS r, n.n, ((1000::HUGEINT * k.a * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+        FROM k JOIN f AS l ON l.lang = k.lang AND l.phrase = k.first JOIN f AS r ON r.lang = k.lang AND r.phrase = k.rest JOIN n ON n.lang = k.lang),
+    o AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM s),
+    t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o WHERE nth = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM t WHERE rank <= 2000""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"))
