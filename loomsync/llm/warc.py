@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from loomsync.session import staged
+from loomsync.session import shared_dir
 
 CHUNK = 1 << 16
 #: Payload bytes aimed at per archive, before compression.
@@ -60,17 +61,20 @@ def chunk_table(pages: DataFrame, source_id: str, uri: str, payload: str, chunk:
     numbered = rows.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / chunk).cast("long"))))
     first = [F.when(F.col("nth") == 0, F.col(c)).alias(c) for c in ("source_id", "uri", "size", "digest", "same")]
     at = (F.col("nth") * chunk + 1).cast("int")
-    return staged(numbered.select("record", "nth", F.substring("payload", at, F.lit(chunk)).alias("data"), *first), "chunks")
+    table = numbered.select("record", "nth", F.substring("payload", at, F.lit(chunk)).alias("data"), *first)
+    path = f"{shared_dir(pages.sparkSession).rstrip('/')}/chunks-{uuid.uuid4().hex}"
+    table.write.option("compression", "zstd").parquet(path)
+    return pages.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def decide(records: DataFrame, least: int) -> DataFrame:
-    """``record`` and ``refers_to``, ``first_id``: of equal payloads of at least ``least`` bytes the record with the largest
+    """``record``, ``whole`` (its size) and ``refers_to``, ``first_id``: of equal payloads of at least ``least`` bytes the record with the largest
     source id (null: smallest; of equals the last row) stays, the rest refer to it; null where a record stays."""
     groups = records.where(F.col("size") >= least).groupBy("same", "size").agg(F.max(F.struct("source_id", "record")).alias("kept"), F.count(F.lit(1)).alias("copies"))
     kept = groups.where("copies > 1").select("same", "size", "kept")
     joined = records.join(kept, ["same", "size"], "left")
     repeats = F.col("kept").isNotNull() & (F.col("kept.record") != F.col("record"))
-    return joined.select("record", F.when(repeats, F.col("kept.record")).alias("refers_to"), F.when(repeats, F.col("kept.source_id")).alias("first_id"))
+    return joined.select("record", F.col("size").alias("whole"), F.when(repeats, F.col("kept.record")).alias("refers_to"), F.when(repeats, F.col("kept.source_id")).alias("first_id"))
 
 
 def _name(source_id: Column, record: Column) -> Column:
@@ -123,9 +127,10 @@ def write_archives(
     table = chunk_table(pages, source_id, uri, payload, chunk)
     records = table.where("nth = 0").select("record", "source_id", "uri", "size", "digest", "same")
     total = records.agg(F.sum("size")).first()[0] or 0
-    decided = decide(records, least).join(records.select("record", F.col("size").alias("whole")), "record")
-    joined = table.join(decided, "record").where("nth = 0 or refers_to is null")
-    dealt = joined.repartition(1 + total // archive_bytes, "record").sortWithinPartitions("record", "nth")
+    archives = 1 + total // archive_bytes
+    # Both sides are dealt alike, so chunks are shuffled once, and all of a record to one archive.
+    joined = table.repartition(archives, "record").join(decide(records, least).repartition(archives, "record"), "record")
+    dealt = joined.where("nth = 0 or refers_to is null").sortWithinPartitions("record", "nth")
     final = (F.col("nth") + 1) * chunk >= F.col("whole")
     dealt.withColumn("final", final).select(_lines(date, chunk).alias("value")).write.option("lineSep", _END).option("compression", "gzip").text(path)
 
