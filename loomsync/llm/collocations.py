@@ -1,20 +1,20 @@
 """Phrases whose words stand together more often than their parts let expect, by stripes.
 
 A stripe is a prefix with a counter of the words that follow it. Each block of texts gives its
-stripes, which are merged element by element; the merged stripes of one length give the
-counts of all phrases one word longer, and the largest entry of a stripe is the largest right
-extension of its prefix. Lengths are done one after another, since a phrase is frequent only if both
-parts without an end word are: positions whose parts are not in a filter of the frequent
-phrases start no longer phrase. The filter has a fixed number of bits and no false negatives,
-so a full one costs time and never a phrase.
-
-Within a block phrases are numbered exactly; only the filter uses hashes. A stripe is cut by a hash
-of the next word into a fixed number of slices, so that no prefix is bound to one task.
+stripes, which are merged element by element; the merged stripes give the counts of all
+phrases, and the largest entry of a stripe is the largest right extension of its prefix.
+
+Most phrases are rare, and a rare one need not be spelled out. So hashes of phrases are counted first,
+of two words and then of more, each only where all its parts may be frequent; what reaches
+the wanted count goes into a filter with a fixed number of bits. Equal hashes add up and bits may be
+shared, but never is a frequent phrase missed, so a full filter costs time and nothing else. Stripes
+are made of phrases in the filter only, by their words, and decide exactly. A stripe is cut by a hash of
+the next word into a fixed number of slices, so that no prefix is bound to one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,9 @@ FILTER_BITS = 1 << 25
 BLOCK_BYTES = 1 << 23
 #: Slices of a stripe, by words of a phrase; prefixes of several words have few followers each.
 _SLICES = {1: 1024, 2: 64, 3: 8}
-_STRIPE = "lang string, prefix string, slice int, next array<string>, count array<long>"
+#: Parts that the counts of hashes are dealt to.
+_DEALT = 1024
+_STRIPE = "prefix string, slice int, next array<string>, count array<long>"
 #: Rows of the ranking are cut to the wanted number in so many parts per language first.
 _PARTS = 64
 
@@ -73,8 +75,7 @@ class Filter:
         raise TypeError("ask for many at once")
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes % np.uint64(64 * len(self.cells))
-        return (self.cells[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return (self.cells[hashes & np.uint64(len(self.cells) - 1)] >> (hashes >> np.uint64(58))) & np.uint64(1) == 1
 
 
 def split_words(data: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -90,44 +91,77 @@ def split_words(data: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False), piece
 
 
-def block_stripes(data: bytes, lang: str, size: int, filters: list[Filter]) -> tuple[list, list, list, list]:
-    """Prefix, slice, next words and counts of the stripes of ``size``-word phrases in texts joined by piece ends."""
-    words, ids, piece = split_words(np.frombuffer(data, np.uint8))
-    slices = _SLICES.get(size, 1)
-    if not len(ids):
-        return [], [], [], []
-    hashes = _hashes(words)
-    if size == 1:
-        counts = np.bincount(ids, minlength=len(words))
-        made = _cut(np.zeros(len(words), np.int64), (hashes % np.uint64(slices)).astype(np.int64), counts, np.arange(len(words)), [b""], words)
-        made[0].append("")  # an entry without a word: the number of all words
-        made[1].append(0)
-        made[2].append([None])
-        made[3].append([len(ids)])
+class Block:
+    """The words of texts of one language, joined by piece ends."""
+
+    def __init__(self, data: bytes, lang: str) -> None:
+        self.words, self.ids, self.piece = split_words(np.frombuffer(data, np.uint8))
+        self.hashes = _hashes(self.words)
+        self.lang = lang
+
+    def phrases(self, filters: list[Filter | None], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per length from 2 the distinct phrases that may be frequent: number of the prefix among those one shorter, of the last word, hash, count.
+
+        ``filters`` tell by length, from 1, which phrases may be; none lets all pass. Only what passes may be part of a longer one.
+        """
+        known = _grown(_seed(self.lang), self.hashes)
+        alive = filters[0].holds(known)[self.ids]
+        phrase = self.ids.astype(np.int64)
+        for length in range(2, longest + 1):
+            starts = alive[:-1] & alive[1:]
+            if length == 2:
+                starts &= self.piece[1:] == self.piece[:-1]
+            at = np.flatnonzero(starts)
+            if not len(at):
+                return
+            code = phrase[at] << 32 | self.ids[at + length - 1]
+            distinct, number, counts = np.unique(code, return_inverse=True, return_counts=True)
+            prefix, last = distinct >> 32, distinct & 0xFFFFFFFF
+            known = _grown(known[prefix], self.hashes[last])
+            ok = filters[length - 1].holds(known) if filters[length - 1] is not None else np.ones(len(known), bool)
+            yield length, prefix, last, known, counts, ok
+            alive = np.zeros(len(starts), bool)
+            alive[at] = ok[number]
+            phrase = np.zeros(len(starts), np.int64)
+            phrase[at] = number
+
+    def single(self) -> tuple[list, list, list, list]:
+        """Stripes of the empty prefix; an entry without a word is the number of all words."""
+        if not self.words:
+            return [], [], [], []
+        counts = np.bincount(self.ids, minlength=len(self.words))
+        made = _cut(np.zeros(len(self.words), np.int64), (self.hashes % np.uint64(_SLICES[1])).astype(np.int64), counts, np.arange(len(self.words)), [b""], self.words)
+        for column, value in zip(made, ("", 0, [None], [len(self.ids)]), strict=True):
+            column.append(value)
         return made
-    known = _grown(_seed(lang), hashes)
-    alive = filters[0].holds(known)[ids]
-    phrase, names = ids.astype(np.int64), words
-    for length in range(2, size + 1):
-        starts = alive[: len(alive) - 1] & alive[1:]
-        if length == 2:
-            starts &= piece[1:] == piece[:-1]
-        at = np.flatnonzero(starts)
-        code = phrase[at] << 32 | ids[at + length - 1]
-        distinct, number, counts = np.unique(code, return_inverse=True, return_counts=True)
-        prefix, last = distinct >> 32, distinct & 0xFFFFFFFF
-        if length == size:
-            return _cut(prefix, (hashes[last] % np.uint64(slices)).astype(np.int64), counts, last, names, words)
-        known = _grown(known[prefix], hashes[last])
-        names = [names[p] + b" " + words[w] for p, w in zip(prefix.tolist(), last.tolist(), strict=True)]
-        # A phrase of one length more needs this one at its start and at the next place.
-        alive = np.zeros(len(starts), bool)
-        alive[at] = filters[length - 1].holds(known)[number]
-        phrase = np.zeros(len(starts), np.int64)
-        phrase[at] = number
-        if not len(alive):
-            break
-    return [], [], [], []
+
+    def stripes(self, filters: list[Filter], longest: int) -> tuple[list, list, list, list]:
+        """Prefix, slice, next words and counts of the phrases in the filters."""
+        made: tuple[list, list, list, list] = ([], [], [], [])
+        names: list[bytes] = self.words
+        for length, prefix, last, _, counts, ok in self.phrases(filters, longest):
+            p, w = prefix[ok], last[ok]
+            slices = (self.hashes[w] % np.uint64(_SLICES.get(length, 1))).astype(np.int64)
+            for column, more in zip(made, _cut(p, slices, counts[ok], w, names, self.words), strict=True):
+                column += more
+            spelled = [b""] * len(prefix)
+            for k, a, b in zip(np.flatnonzero(ok).tolist(), p.tolist(), w.tolist(), strict=True):
+                spelled[k] = names[a] + b" " + self.words[b]
+            names = spelled
+        return made
+
+    def hashed(self, filters: list[Filter | None], shortest: int, longest: int) -> tuple[list, list, list]:
+        """Part, hashes and counts of the phrases of the given lengths."""
+        found = [(known, counts) for length, _, _, known, counts, _ in self.phrases(filters, longest) if length >= shortest]
+        if not found:
+            return [], [], []
+        known, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        part = (known >> np.uint64(40)).astype(np.int64) % _DEALT
+        order = np.argsort(part, kind="stable")
+        part, known, counts = part[order], known[order].view(np.int64), counts[order].astype(np.int32)
+        bounds = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        spans = list(zip(bounds[:-1], bounds[1:], strict=True))
+        return [int(part[a]) for a, _ in spans], [known[a:b] for a, b in spans], [counts[a:b] for a, b in spans]
 
 
 def _cut(prefix: np.ndarray, part: np.ndarray, counts: np.ndarray, last: np.ndarray, names: list[bytes], words: list[bytes]) -> tuple[list, list, list, list]:
@@ -157,19 +191,19 @@ def _segments(text: bytes, limit: int) -> Iterator[bytes]:
     yield text
 
 
-def _stripes(texts: DataFrame, size: int, filters: list[Broadcast], block: int) -> DataFrame:
-    """Stripes of all blocks of the rows ``lang, text``."""
-    schema = to_arrow_schema(StructType.fromDDL(_STRIPE))
+def _blocks(texts: DataFrame, make: Callable[[Block], tuple[list, ...]], schema: str, block: int) -> DataFrame:
+    """What ``make`` gives of all blocks of the rows ``lang, text``; a column ``lang`` comes first."""
+    schema = f"lang string, {schema}"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
-        known = [f.value for f in filters]
 
         def close(lang: str) -> pa.RecordBatch:
-            columns = block_stripes(b"\n".join(held.pop(lang)), lang, size, known)
             sizes.pop(lang)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([lang] * len(columns[0]), *columns), schema, strict=True)], schema=schema)
+            columns = make(Block(b"\n".join(held.pop(lang)), lang))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([lang] * len(columns[0]), *columns), arrow, strict=True)], schema=arrow)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -183,7 +217,7 @@ def _stripes(texts: DataFrame, size: int, filters: list[Broadcast], block: int)
         for lang in list(held):
             yield close(lang)
 
-    return texts.mapInArrow(run, _STRIPE)
+    return texts.mapInArrow(run, schema)
 
 
 def merged(stripes: DataFrame) -> DataFrame:
@@ -192,41 +226,55 @@ def merged(stripes: DataFrame) -> DataFrame:
     return met.groupBy("lang", "prefix", "slice", "next").agg(F.sum("count").alias("f")).drop("slice")
 
 
-def _filter(phrases: DataFrame, bits: int) -> Broadcast:
-    """Filter of the phrases ``lang, prefix, next``; at most ``bits`` / 64 rows reach the driver."""
-
-    def place(batch: pa.RecordBatch) -> dict:
-        at = np.empty(batch.num_rows, np.uint64)
-        for i, (lang, prefix, last) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lang", "prefix", "next")), strict=True)):
-            h = _seed(lang)
-            for w in _hashes([w.encode() for w in [*(prefix.split(" ") if prefix else []), last]]):
-                h = _grown(h, w)
-            at[i] = h[0]
-        at %= np.uint64(bits)
-        return {"cell": (at >> np.uint64(6)).astype(np.int64), "mask": (np.uint64(1) << (at & np.uint64(63))).view(np.int64)}
-
-    cells = map_batches(phrases.select("lang", "prefix", "next"), place, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+def _filter(hashes: DataFrame, bits: int) -> Broadcast:
+    """Filter of the column ``hash``; at most ``bits`` / 64 rows reach the driver."""
+    cell, bit = F.col("hash").bitwiseAND(bits // 64 - 1), F.shiftrightunsigned("hash", 58).cast("int")
+    cells = hashes.groupBy(cell.alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("mask")).toArrow()
     made = np.zeros(bits // 64, np.uint64)
     made[cells["cell"].to_numpy()] = cells["mask"].to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(Filter(made))
+    return hashes.sparkSession.sparkContext.broadcast(Filter(made))
+
+
+def _frequent(texts: DataFrame, filters: list[Broadcast | None], shortest: int, longest: int, least: int, block: int) -> DataFrame:
+    """``hash`` of the phrases of the given lengths that may occur ``least`` times."""
+
+    def make(part: Block) -> tuple[list, ...]:
+        return part.hashed([f and f.value for f in filters], shortest, longest)
+
+    dealt = _blocks(texts, make, "part int, hash array<long>, count array<int>", block).repartition("part")
+    return dealt.select("part", F.inline(F.arrays_zip("hash", "count"))).groupBy("part", "hash").agg(F.sum("count").alias("f")).where(F.col("f") >= least).select("hash")
+
+
+def _word_hashes(words: DataFrame) -> DataFrame:
+    def place(batch: pa.RecordBatch) -> dict:
+        seeds = np.concatenate([_seed(x) for x in batch.column("lang").to_pylist()])
+        return {"hash": _grown(seeds, _hashes([w.encode() for w in batch.column("next").to_pylist()])).view(np.int64)}
+
+    return map_batches(words.select("lang", "next"), place, "hash long")
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, bits: int = FILTER_BITS, block: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, words, f`` of all phrases of up to ``longest`` words that occur ``least`` times, and ``lang, n``."""
+    """``lang, phrase, prefix, words, f`` of all phrases of up to ``longest`` words that occur ``least`` times, and ``lang, n``.
+
+    ``bits`` is a power of two. The texts are read four times: words, hashes of pairs, hashes of longer phrases, stripes.
+    """
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    single = staged(merged(_stripes(texts, 1, [], block)).where(F.col("next").isNull() | (F.col("f") >= least)), "stripes")
+    single = staged(merged(_blocks(texts, Block.single, _STRIPE, block)).where(F.col("next").isNull() | (F.col("f") >= least)), "stripes")
     totals = single.where(F.col("next").isNull()).select("lang", F.col("f").alias("n"))
-    levels = [single.where(F.col("next").isNotNull())]
-    filters: list[Broadcast] = []
-    for size in range(2, longest + 1):
-        filters.append(_filter(levels[-1], bits))
-        levels.append(staged(merged(_stripes(texts, size, filters, block)).where(F.col("f") >= least), "stripes"))
-    counts = None
-    for size, level in enumerate(levels, 1):
-        phrase = F.col("next") if size == 1 else F.concat("prefix", F.lit(" "), "next")
-        rows = level.select("lang", phrase.alias("phrase"), "prefix", F.lit(size).alias("words"), "f")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts, totals
+    words = single.where(F.col("next").isNotNull())
+    filters: list[Broadcast | None] = [_filter(_word_hashes(words), bits)]
+    filters.append(_filter(_frequent(texts, [*filters, None], 2, 2, least, block), bits))
+    if longest > 2:
+        more = [None] * (longest - 2)
+        filters += [_filter(_frequent(texts, [*filters, *more], 3, longest, least, block), bits)] * (longest - 2)
+
+    def make(part: Block) -> tuple[list, ...]:
+        return part.stripes([f.value for f in filters], longest)
+
+    several = staged(merged(_blocks(texts, make, _STRIPE, block)).where(F.col("f") >= least), "stripes")
+    size = F.size(F.split("prefix", " ")) + 1
+    counts = words.select("lang", F.col("next").alias("phrase"), "prefix", F.lit(1).alias("words"), "f")
+    return counts.unionByName(several.select("lang", F.concat("prefix", F.lit(" "), "next").alias("phrase"), "prefix", size.alias("words"), "f")), totals
 
 
 def collocations(
