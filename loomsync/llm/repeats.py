@@ -11,8 +11,11 @@ by induced sorting; a start is repeated when it shares ``length`` bytes with a n
 which the permuted common prefixes tell.
 
 A key with more than ``hot`` different pieces (what surrounds a passage that very many
-documents contain) is not put into one shard: its pieces are cut anew by anchors of another
-hash, until the keys are small.
+documents contain) is not put into one shard: each of its pieces is cut into runs of ``width``
+starts by their distance to the anchor, and a run's key is the hash of the bytes that all its windows
+share. Runs inside the passage are equal as a whole and so decided; runs that reach far out of it
+have keys of their own; only those at its two edges still differ under one key, and are cut again into
+narrower runs, at last into single windows, whose key is their content.
 
 Equal texts are handled once, with a count. All windows, keys and counts cover all rows.
 """
@@ -34,11 +37,12 @@ from loomsync.session import staged
 LENGTH = 400
 ANCHOR = 64
 #: Bytes of pieces in one suffix array, and of text cut at once.
-SHARD_BYTES = 1 << 21
-BLOCK_BYTES = 1 << 21
-#: Different pieces of one key that one shard takes, and how often larger keys are cut anew.
+SHARD_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 20
+#: Different pieces of one key that one shard takes, and the starts in a run when larger keys are cut;
+#: the first cut, 0, takes all starts of an anchor.
 HOT = 500
-MAX_LEVEL = 8
+WIDTHS = (0, 32, 4, 1)
 
 _CUT = "uid binary, copies long, key array<long>, hash array<long>, start array<int>, count array<int>, spot array<int>"
 _PIECE = "key long, hash long, copies long, spot int, piece binary"
@@ -62,10 +66,11 @@ def _mix(words: np.ndarray, factor: int) -> np.ndarray:
     return words ^ (words >> np.uint64(32))
 
 
-def cut_pieces(texts: list[bytes], length: int, anchor: int, level: int) -> list[list[np.ndarray]]:
+def cut_pieces(texts: list[bytes], length: int, anchor: int, width: int = 0) -> list[list[np.ndarray]]:
     """Of each text, its pieces' keys, hashes, first starts, numbers of starts and anchor places.
 
-    The place counts from the first start; it is -1 where several anchors share the key.
+    The place counts from the first start; it is -1 where several anchors share the key. With a
+    ``width``, pieces are runs of at most so many starts of one anchor.
     """
     found: list[list[list[np.ndarray]]] = [[] for _ in texts]
     block: list[tuple[int, int, bytes]] = []
@@ -75,19 +80,19 @@ def cut_pieces(texts: list[bytes], length: int, anchor: int, level: int) -> list
             block.append((i, at, text[at : at + BLOCK_BYTES + length - 1]))
             size += len(block[-1][2])
             if size >= BLOCK_BYTES:
-                _cut_block(block, found, length, anchor, level)
+                _cut_block(block, found, length, anchor, width)
                 block, size = [], 0
-    _cut_block(block, found, length, anchor, level)
+    _cut_block(block, found, length, anchor, width)
     return [[np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0, np.int64)] * 5 for parts in found]
 
 
-def _cut_block(block: list[tuple[int, int, bytes]], found: list, length: int, anchor: int, level: int) -> None:
+def _cut_block(block: list[tuple[int, int, bytes]], found: list, length: int, anchor: int, width: int) -> None:
     joined = b"".join(part for _, _, part in block)
     if len(joined) < length:
         return
     bounds = np.cumsum([0, *(len(part) for _, _, part in block)])
     words = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
-    rank = _mix(_mix(words, 0x9E3779B97F4A7C15 + 2 * level), 0xD6E8FEB86659FD93) >> np.uint64(32) << np.uint64(32)
+    rank = _mix(_mix(words, 0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93) >> np.uint64(32) << np.uint64(32)
     rank |= np.arange(len(rank), dtype=np.uint64)  # leftmost of equal hashes
     places = _window_minima(rank, length - anchor + 1) & np.uint64(0xFFFFFFFF)
     valid = np.zeros(len(joined), bool)
@@ -99,20 +104,30 @@ def _cut_block(block: list[tuple[int, int, bytes]], found: list, length: int, an
     at = places[starts].astype(np.int64)
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
-    first = np.flatnonzero(fresh)
-    spot = at[first]
-    key = np.zeros(len(spot), np.uint64)
-    for k in range(0, anchor - 7, 8):
-        key = _mix(key ^ words[spot + k], 0xC2B2AE3D27D4EB4F + 2 * k)
-    key = _mix(key, 0xFF51AFD7ED558CCD + 2 * level)
-    opens = np.ones(len(first), bool)
-    opens[1:] = (key[1:] != key[:-1]) | (starts[first[1:]] != starts[first[1:] - 1] + 1)
-    heads = np.flatnonzero(opens)
-    anchors = np.diff(np.append(heads, len(first)))
-    begin, key = starts[first[heads]], key[heads].view(np.int64)
-    count = np.diff(np.append(first[heads], len(starts)))
-    spot = np.where(anchors == 1, spot[heads] - begin, -1)
     digest = xxhash.xxh3_64_intdigest
+    if width:
+        part = (at - starts) // width
+        fresh[1:] |= part[1:] != part[:-1]
+        first = np.flatnonzero(fresh)
+        begin, part = starts[first], part[first]
+        spot = at[first] - begin
+        cores = (at[first] - part * width).tolist()
+        key = np.fromiter((digest(joined[c : c + length - width + 1], seed=width << 32 | p) for c, p in zip(cores, part.tolist(), strict=True)), np.uint64, len(first)).view(np.int64)
+        count = np.diff(np.append(first, len(starts)))
+    else:
+        first = np.flatnonzero(fresh)
+        spot = at[first]
+        key = np.zeros(len(spot), np.uint64)
+        for k in range(0, anchor - 7, 8):
+            key = _mix(key ^ words[spot + k], 0xC2B2AE3D27D4EB4F + 2 * k)
+        key = _mix(key, 0xFF51AFD7ED558CCD)
+        opens = np.ones(len(first), bool)
+        opens[1:] = (key[1:] != key[:-1]) | (starts[first[1:]] != starts[first[1:] - 1] + 1)
+        heads = np.flatnonzero(opens)
+        anchors = np.diff(np.append(heads, len(first)))
+        begin, key = starts[first[heads]], key[heads].view(np.int64)
+        count = np.diff(np.append(first[heads], len(starts)))
+        spot = np.where(anchors == 1, spot[heads] - begin, -1)
     spans = zip(begin.tolist(), (begin + count + length - 1).tolist(), strict=True)
     hashes = np.fromiter((digest(joined[a:b]) for a, b in spans), np.uint64, len(begin)).view(np.int64)
     edges = np.searchsorted(begin, bounds)
@@ -168,39 +183,54 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[list[tuple[int, in
 
 
 def _shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Repeated starts of the pieces, which come in the order of their keys."""
+    """Repeated starts of the pieces, which come in the order of their keys.
+
+    Parts of pieces that are equal once trimmed repeat each other at every start. One of them goes
+    to the suffix array for the sake of the other parts, none if there is no other.
+    """
     schema = pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("runs", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))])
     group: list[tuple] = []
-    shard: list[tuple] = []
+    shard: list[tuple] = []  # key, hash (None: decided), offset, bytes
+    decided: list[tuple] = []  # key, hash, runs
     size = 0
 
     def close() -> int:
-        added = 0
+        parts: dict[bytes, list[tuple]] = {}
+        within = any(r[2] < 0 for r in group)  # several anchors of one key: a piece may repeat itself
         for row, (a, b) in zip(group, trimmed([(r[3], r[2]) for r in group], length), strict=True):
             if b - a >= length:
-                shard.append((row[0], row[1], a, row[3][a:b]))
-                added += b - a
+                parts.setdefault(row[3][a:b], []).append((row[0], row[1], a))
         group.clear()
+        added = 0
+        for part, rows in parts.items():
+            if len(rows) > 1:
+                decided.extend((k, h, [{"first": a, "end": a + len(part) - length + 1}]) for k, h, a in rows)
+            if len(parts) > 1 or within:
+                shard.append((rows[0][0], rows[0][1] if len(rows) == 1 else None, rows[0][2], part))
+                added += len(part)
         return added
 
     def solve() -> pa.RecordBatch:
-        runs = repeated_starts([row[3] for row in shard], length)
-        shifted = [[{"first": a + row[2], "end": b + row[2]} for a, b in found] for row, found in zip(shard, runs, strict=True)]
-        columns = [pa.array([r[0] for r in shard], pa.int64()), pa.array([r[1] for r in shard], pa.int64()), pa.array(shifted, schema.field("runs").type)]
+        runs = repeated_starts([row[3] for row in shard], length) if shard else []
+        for (key, name, a, _), found in zip(shard, runs, strict=True):
+            if name is not None:
+                decided.append((key, name, [{"first": f + a, "end": e + a} for f, e in found]))
+        made = pa.RecordBatch.from_arrays([pa.array([r[i] for r in decided], schema.field(i).type) for i in range(3)], schema=schema)
         shard.clear()
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        decided.clear()
+        return made
 
     for batch in batches:
         columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("key", "hash", "spot", "piece")]
         for row in zip(*columns, strict=True):
             if group and group[0][0] != row[0]:
                 size += close()
-                if size >= SHARD_BYTES:
+                if size >= SHARD_BYTES or len(decided) >= 10_000:
                     yield solve()
                     size = 0
             group.append(row)
     close()
-    if shard:
+    if shard or decided:
         yield solve()
 
 
@@ -208,7 +238,7 @@ def _runs(units: DataFrame, length: int, anchor: int, hot: int, level: int) -> D
     """``uid, runs``: the runs of repeated starts of each distinct unit ``uid, text, copies``."""
 
     def cut(batch: pa.RecordBatch) -> dict:
-        parts = cut_pieces(batch.column("text").to_pylist(), length, anchor, level)
+        parts = cut_pieces(batch.column("text").to_pylist(), length, anchor, WIDTHS[level])
         names = ("key", "hash", "start", "count", "spot")
         return {"uid": batch.column("uid"), "copies": batch.column("copies")} | {n: [p[i] for p in parts] for i, n in enumerate(names)}
 
@@ -241,13 +271,13 @@ def _runs(units: DataFrame, length: int, anchor: int, hot: int, level: int) -> D
     found = staged(found.groupBy("key", "hash").agg(*(F.first(c).alias(c) for c in ("copies", "spot", "piece"))), "shared")
     large = groups.where("shared").groupBy("key").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > hot).select("key")
     decided = []
-    if level < MAX_LEVEL and large.limit(1).count():
-        again = found.join(large, "key").select(_pair_id("key", "hash").alias("uid"), F.col("piece").alias("text"), "copies")
-        names = found.join(large, "key").select(_pair_id("key", "hash").alias("uid"), "key", "hash")
-        decided.append(_runs(again, length, anchor, hot, level + 1).join(names, "uid").select("key", "hash", "runs"))
+    if level + 1 < len(WIDTHS) and large.limit(1).count():
+        again = staged(found.join(large, "key").select(_pair_id("key", "hash").alias("uid"), "key", "hash", F.col("piece").alias("text"), "copies"), "hot")
+        below = _runs(again.select("uid", "text", "copies"), length, anchor, hot, level + 1)
+        decided.append(staged(below.join(again.select("uid", "key", "hash"), "uid").select("key", "hash", "runs"), "runs"))
         found = found.join(large, "key", "left_anti")
     volume = found.agg(F.sum(F.length("piece"))).first()[0] or 0
-    sharded = found.select("key", "hash", "spot", "piece").repartition(1 + volume // SHARD_BYTES, "key").sortWithinPartitions("key", "hash")
+    sharded = found.select("key", "hash", "spot", "piece").repartition(1 + volume // (2 * SHARD_BYTES), "key").sortWithinPartitions("key", "hash")
     decided.append(sharded.mapInArrow(lambda batches: _shards(batches, length), _FOUND))
     for more in decided[1:]:
         decided[0] = decided[0].unionByName(more)
