@@ -41,7 +41,29 @@ def minimax_cuts(sizes: np.ndarray, shards: int) -> list[int]:
             high = middle
         else:
             low = middle + 1
-    return _reach(sums, low, shards)
+    return _levelled(sums, low, shards)
+
+
+def _levelled(sums: np.ndarray, capacity: int, shards: int) -> list[int]:
+    """Ends of shards within ``capacity``, each as near as it can be to the mean of what is left for it and the later ones."""
+    total = int(sums[-1])
+    before = np.concatenate(([0], sums))
+    # Least place from which the rest fits into the later shards, filled from the right.
+    least = [len(sums)]
+    for _ in range(shards - 1):
+        least.append(int(np.searchsorted(before, before[least[-1]] - capacity, side="left")))
+    ends, at = [], 0
+    for later in range(shards - 1, -1, -1):
+        done = int(before[at])
+        low = max(at, least[later])
+        high = int(np.searchsorted(sums, done + capacity, side="right"))
+        mean = done + (total - done) / (later + 1)
+        near = int(np.searchsorted(before, mean))
+        if near and mean - before[near - 1] <= before[min(near, len(sums))] - mean:
+            near -= 1
+        at = min(max(near, low), high)
+        ends.append(at)
+    return ends
 
 
 def shard_by_bytes(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text", cells: int = CELLS) -> DataFrame:
