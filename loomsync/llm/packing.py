@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsync.llm.common import extended, map_batches
-from loomsync.llm.tokens import _texts, known_pieces
+from loomsync.llm.tokens import Added, _texts, known_pieces
 from loomsync.session import staged
 
 LIMIT = 2048
@@ -58,17 +58,19 @@ class SumOfSquares:
         return sequence, self.limit - gap
 
 
-def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, end: int = 0) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, end: int = 0, added: Added = ()
+) -> DataFrame:
     """Pieces of at most ``limit`` tokens of each document, which ends with the id ``end``.
 
     Only longer documents are cut; their first piece takes what full pieces leave. A null or
-    empty text is the one id ``end``. Gives ``doc_id, piece, start, length, ids_crc32``.
+    empty text is the one id ``end``. ``added`` tokens are read where their text stands. Gives ``doc_id, piece, start, length, ids_crc32``.
     """
     last = np.array([end], "<u4").tobytes()
 
     def run(batch: pa.RecordBatch) -> dict:
         made: dict = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        pieces = known_pieces(ranks_path, pattern, False)
+        pieces = known_pieces(ranks_path, pattern, False, added)
         for name, whole in zip(batch.column(doc_id).to_pylist(), _texts(batch.column(text)), strict=True):
             ids = b"".join(pieces.values(whole)) + last
             total = len(ids) // 4
@@ -91,15 +93,18 @@ def pack(pieces: DataFrame, limit: int = LIMIT, shard: int = SHARD) -> DataFrame
     names = pieces.columns
     shards = max(1, round(pieces.where(F.col("length") < limit).count() / shard))
     # Full pieces are sequences of their own wherever they lie; the others are dealt evenly.
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*names), F.lit(shards)).cast("int"))
-    dealt = dealt.repartition(shards, "_shard").sortWithinPartitions("_shard", F.desc("length"), *[n for n in names if n != "length"])
+    mark = "_shard"
+    while mark in names:
+        mark += "_"
+    dealt = pieces.withColumn(mark, F.pmod(F.xxhash64(*names), F.lit(shards)).cast("int"))
+    dealt = dealt.repartition(shards, mark).sortWithinPartitions(mark, F.desc("length"), *[n for n in names if n != "length"])
     schema = extended(pieces.schema, sequence_id="long", offset="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packers: dict[int, SumOfSquares] = {}
         for batch in batches:
             sequence, offset = [], []
-            for at, length in zip(batch.column("_shard").to_pylist(), batch.column("length").to_pylist(), strict=True):
+            for at, length in zip(batch.column(mark).to_pylist(), batch.column("length").to_pylist(), strict=True):
                 if at not in packers:
                     packers = {at: SumOfSquares(limit)}
                 made, place = packers[at].place(length)

@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 6
-KEY = "loomsync"
+#: For tests and checks only: whoever knows the key can turn pseudonyms back.
+TEST_KEY = "loomsync"
 
 _MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _PHONE = r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
@@ -32,10 +33,10 @@ _DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _CARD = r"[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19}"
 KINDS = {"mail": _MAIL, "phone": _PHONE, "ip": _IP, "date": _DATE, "ssn": _SSN, "card": _CARD}
-#: One character that is no word character, or the start, then a value with all that clings to it.
-PATTERN = rf"(?:^|[^A-Za-z0-9_])(?:{'|'.join(KINDS.values())})[A-Za-z0-9_]*"
-#: The same in Java's syntax, where a date also ends before T and a time.
+#: One character that is no word character, or the start, then a value with all that clings to it; a date ends before T and a time.
 _FOUND = rf"(?:^|[^A-Za-z0-9_])(?:(?:{_MAIL})[A-Za-z0-9_]*|(?:{_DATE})(?=T[0-9]{{2}})|(?:{'|'.join(KINDS.values())})[A-Za-z0-9_]*)"
+#: The same for engines that cannot look ahead: the T and two digits, which no value can begin in, are taken along.
+PATTERN = _FOUND.replace("(?=T[0-9]{2})", "T[0-9]{2}")
 _LEAD = r"^[^A-Za-z0-9_+]"
 
 _SIZES = {"date": (189, 773), "ssn": (898 * 99, 9999), "ip": (65536, 65536)}
@@ -201,8 +202,8 @@ def _pseudonym(item: Column, key: str) -> Column:
     return _bind(value, lambda v: F.struct(F.concat(lead, v["text"]).alias("text"), v["valid"].alias("valid")))
 
 
-def pseudonymize(docs: DataFrame, text: str = "text", count: str = "n_private", key: str = KEY) -> DataFrame:
-    """``docs`` with every validated value in ``text`` replaced, and the number of them in ``count``.
+def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str = "n_private") -> DataFrame:
+    """``docs`` with every validated value in ``text`` replaced under ``key``, and the number of them in ``count``.
 
     Null stays null with 0 found, an empty text stays empty. Repeated rows get the same
     result. A column that is called as ``count`` already is replaced, others pass through.
@@ -210,20 +211,21 @@ def pseudonymize(docs: DataFrame, text: str = "text", count: str = "n_private",
     pattern = F.lit(_FOUND)
     has_digit = F.col(text).rlike("[0-9@]")
     items = F.when(has_digit, F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: _pseudonym(m, key)))
-    docs = docs.drop(count).withColumn("_items", items)
+    docs = docs.drop(count)
+    made = "_items"
+    while made in docs.columns:
+        made += "_"
+    docs = docs.withColumn(made, items)
     between = F.split(F.col(text), _FOUND)
-    joined = F.array_join(F.flatten(F.zip_with(between, F.col("_items"), lambda t, m: F.array(t, F.coalesce(m["text"], F.lit(""))))), "")
-    found = F.coalesce(F.size(F.filter("_items", lambda m: m["valid"])), F.lit(0))
-    changed = F.size("_items") > 0
-    names = [F.when(changed, joined).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in docs.columns if c != "_items"]
+    joined = F.array_join(F.flatten(F.zip_with(between, F.col(made), lambda t, m: F.array(t, F.coalesce(m["text"], F.lit(""))))), "")
+    found = F.coalesce(F.size(F.filter(made, lambda m: m["valid"])), F.lit(0))
+    changed = F.size(made) > 0
+    names = [F.when(changed, joined).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns if c != made]
     return docs.select(*names, F.when(changed, found).otherwise(0).cast("long").alias(count))
 
 
-def oracle(key: str = KEY) -> str:
-    """DuckDB SQL for ``doc_id, text, n_private`` of the whole table ``documents``.
-
-    It leaves phones whose area or exchange begins with 0 or 1 and dates before T as they are.
-    """
+def oracle(key: str) -> str:
+    """DuckDB SQL for ``doc_id, text, n_private`` of the whole table ``documents``."""
     whole = {n: f"regexp_full_match(core, '{p}')" for n, p in KINDS.items()}
 
     def luhn(digits: str) -> str:
@@ -238,7 +240,7 @@ def oracle(key: str = KEY) -> str:
     area, serial = "substr(core, 1, 3)::INT", "substr(core, 8, 4)::INT"
     valid = {
         "mail": "true",
-        "phone": f"regexp_full_match({digits}, '1[2-9][0-9]{{2}}[2-9][0-9]{{6}}')",
+        "phone": f"regexp_full_match({digits}, '1[0-9]{{10}}')",
         "ip": "list_max([x::INT FOR x IN string_split(core, '.')]) <= 255",
         "date": f"({y}) BETWEEN 1800 AND 2199 AND ({m}) BETWEEN 1 AND 12 AND ({d}) >= 1 AND ({d}) <= {month_end}",
         "ssn": f"{area} BETWEEN 1 AND 899 AND {area} <> 666 AND substr(core, 5, 2)::INT >= 1 AND {serial} >= 1",
@@ -250,7 +252,7 @@ def oracle(key: str = KEY) -> str:
     classes = f"""array_to_string([CASE
         WHEN kind = 'mail' THEN CASE WHEN i > strpos(core, '@') THEN 'f' WHEN {c} SIMILAR TO '[0-9]' THEN 'd' WHEN {c} SIMILAR TO '[a-z]' THEN 'l' WHEN {c} SIMILAR TO '[A-Z]' THEN 'u' ELSE 'f' END
         WHEN NOT {c} SIMILAR TO '[0-9]' OR {nth} = 1 THEN 'f'
-        WHEN kind = 'phone' THEN CASE WHEN {nth} IN (2, 5) THEN 'n' ELSE 'd' END
+        WHEN kind = 'phone' THEN CASE WHEN {nth} NOT IN (2, 5) THEN 'd' WHEN {c} >= '2' THEN 'n' ELSE 'b' END
         WHEN {nth} = len({digits}) THEN 'f' ELSE 'd' END FOR i IN range(1, len(core) + 1)], '')"""
     first = f"CASE kind WHEN 'ip' THEN p[1]::BIGINT * 256 + p[2]::BIGINT WHEN 'ssn' THEN ({area} - CASE WHEN {area} > 666 THEN 2 ELSE 1 END) * 99 + substr(core, 5, 2)::INT - 1 WHEN 'date' THEN (make_date({y}, {m}, {d}) - DATE '1800-01-01') // 773 END"
     second = f"CASE kind WHEN 'ip' THEN p[3]::BIGINT * 256 + p[4]::BIGINT WHEN 'ssn' THEN {serial} - 1 WHEN 'date' THEN (make_date({y}, {m}, {d}) - DATE '1800-01-01') % 773 END"
@@ -261,11 +263,11 @@ def oracle(key: str = KEY) -> str:
         other = "regexp_replace(s, '.(.?)', '\\1', 'g')" if r % 2 == 0 else "regexp_replace(s, '(.).?', '\\1', 'g')"
         chars = "('0x' || substr(h, 1 + 2 * ((i // 2) % 16), 2))::INT"
         one = "substr(s, i + 1, 1)"
-        moved = " ".join(f"WHEN substr(cls, i + 1, 1) = '{n}' THEN chr((({base} + (ascii({one}) - {base} + {chars}) % {size}))::INT)" for n, base, size in (("d", 48, 10), ("n", 50, 8), ("l", 97, 26), ("u", 65, 26)))
+        moved = " ".join(f"WHEN substr(cls, i + 1, 1) = '{n}' THEN chr((({base} + (ascii({one}) - {base} + {chars}) % {size}))::INT)" for n, base, size in (("d", 48, 10), ("n", 50, 8), ("b", 48, 2), ("l", 97, 26), ("u", 65, 26)))
         by = f"('0x' || substr(md5('{key}:' || kind || ':{r}:' || {'b' if r % 2 == 0 else 'a'}), 1, 8))::BIGINT"
         steps.append(
             f"h{r} AS (SELECT *, md5('{key}:' || kind || ':{r}:' || {other}) AS h FROM s{r}), "
-            f"s{r + 1} AS (SELECT rid, n, lead, core, kind, cls, array_to_string([CASE WHEN i % 2 <> {r % 2} THEN {one} {moved} ELSE {one} END FOR i IN range(0, len(s))], '') AS s, "
+            f"s{r + 1} AS (SELECT rid, n, lead, core, tail, kind, cls, array_to_string([CASE WHEN i % 2 <> {r % 2} THEN {one} {moved} ELSE {one} END FOR i IN range(0, len(s))], '') AS s, "
             + (f"(a + {by}) % ({a_size}) AS a, b" if r % 2 == 0 else f"a, (b + {by}) % ({b_size}) AS b")
             + f" FROM h{r})"
         )
@@ -280,11 +282,13 @@ def oracle(key: str = KEY) -> str:
     return f"""WITH t AS (SELECT row_number() OVER () AS rid, doc_id, text, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS o FROM documents),
     i AS (SELECT rid, unnest(m) AS item, unnest(range(1, len(m) + 1)) AS n FROM t),
     l AS (SELECT rid, n, regexp_extract(item, '{_LEAD}') AS lead, item FROM i),
-    c AS (SELECT rid, n, lead, substr(item, len(lead) + 1) AS core FROM l),
+    v AS (SELECT rid, n, lead, substr(item, len(lead) + 1) AS item FROM l),
+    c AS (SELECT rid, n, lead, CASE WHEN clock THEN left(item, len(item) - 3) ELSE item END AS core, CASE WHEN clock THEN right(item, 3) ELSE '' END AS tail
+        FROM (SELECT *, regexp_full_match(item, '(?:{_DATE})T[0-9]{{2}}') AS clock FROM v)),
     k AS (SELECT *, {kind} AS kind, string_split(core, '.') AS p FROM c),
-    s0 AS (SELECT rid, n, lead, core, kind, CASE WHEN kind IN ('mail', 'phone', 'card') THEN {classes} ELSE repeat('f', len(core)) END AS cls, core AS s, ({first})::BIGINT AS a, ({second})::BIGINT AS b FROM k),
+    s0 AS (SELECT rid, n, lead, core, tail, kind, CASE WHEN kind IN ('mail', 'phone', 'card') THEN {classes} ELSE repeat('f', len(core)) END AS cls, core AS s, ({first})::BIGINT AS a, ({second})::BIGINT AS b FROM k),
     {', '.join(steps)},
-    f AS (SELECT rid, n, lead || {done} AS item, kind FROM s{ROUNDS}),
+    f AS (SELECT rid, n, lead || {done} || tail AS item, kind FROM s{ROUNDS}),
     g AS (SELECT rid, list(item ORDER BY n) AS items, count(kind) AS found FROM f GROUP BY rid)
     SELECT doc_id, CASE WHEN g.rid IS NULL THEN text ELSE array_to_string([o[j] || coalesce(items[j], '') FOR j IN range(1, len(o) + 1)], '') END AS text, coalesce(found, 0)::BIGINT AS n_private
     FROM t LEFT JOIN g USING (rid)"""

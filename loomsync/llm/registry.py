@@ -15,6 +15,10 @@ from loomsync.session import shared_dir
 QUERIES = {}
 ORACLE = {}
 
+#: One vocabulary, as ranks with the split pattern and as the file that names its added tokens.
+SMALL = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+SMALL_JSON = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(name: str, sql: str | None = None):
     def register(fn):
@@ -29,7 +33,8 @@ def query(name: str, sql: str | None = None):
 @query("op1_suffix_array_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     done = repeats.remove_repeats(read(spark, folder, "documents").select("doc_id", "text"))
-    return done.select("doc_id", F.col("_bytes").alias("n_bytes"), F.col("_removed").alias("n_removed"), F.col("_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+    kept = F.make_valid_utf8(F.col("_kept").cast("string")).alias("kept_text")
+    return done.select("doc_id", F.col("_bytes").alias("n_bytes"), F.col("_removed").alias("n_removed"), F.col("_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"), kept)
 
 
 _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -52,14 +57,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, folder, "documents"))
 
 
-@query("op3_pii_pseudonyms", pii.oracle())
+@query("op3_pii_pseudonyms", pii.oracle(pii.TEST_KEY))
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.pseudonymize(read(spark, folder, "documents").select("doc_id", "text"))
+    return pii.pseudonymize(read(spark, folder, "documents").select("doc_id", "text"), pii.TEST_KEY)
 
 
 @query("op4_token_counts")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    counts = tokens.count_tokens(read(spark, folder, "documents").select("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    counts = tokens.count_tokens(read(spark, folder, "documents").select("text"), *SMALL, added=tokens.added_tokens(SMALL_JSON))
     return tokens.length_histogram(counts)
 
 
@@ -78,7 +83,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.token_pieces(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    pieces = packing.token_pieces(read(spark, folder, "documents"), *SMALL, added=tokens.added_tokens(SMALL_JSON))
     return packing.pack(pieces)
 
 
@@ -144,7 +149,8 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     "op13_collocations",
     r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
     p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--]')) AS piece FROM d),
+-
+]')) AS piece FROM d),
     w AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS words FROM p),
     g AS (SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
         FROM w, range(1, 6) AS s(size)),

@@ -2,14 +2,15 @@
 
 A text is cut before each single space into chunks. The split pattern never matches across
 such a place unless white space stands on both sides of the space, so the ids of a text are
-those of its chunks; the other texts are encoded whole. Ids of chunks are remembered within
-a worker, in a table of bounded size.
+those of its chunks; the other texts are encoded whole. Ids of short chunks are remembered within
+a worker, in a table of bounded bytes.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 from array import array
 from bisect import bisect_right
@@ -27,6 +28,14 @@ from loomsync.llm.common import extended, map_batches
 
 #: Remembered chunks per worker; the table starts anew beyond it.
 MEMO = 400_000
+#: Characters of a chunk that is worth remembering, so the bytes of the table are bounded as well.
+SHORT = 48
+#: Bytes of a word that is merged side by side with others, and of all words merged at once.
+SIDE_BY_SIDE = 64
+AT_ONCE = 1 << 20
+
+#: Above every rank.
+_NONE = 1 << 30
 
 _UNSAFE = re.compile(r"\s \s|\s $")
 
@@ -51,7 +60,11 @@ class Chunks:
         memo = self.memo
         missing = list({x for chunks in parts for x in chunks if x not in memo})
         memo.update(zip(missing, self.solve(missing), strict=True))
-        return [[memo[x] for x in chunks] for chunks in parts]
+        found = [[memo[x] for x in chunks] for chunks in parts]
+        for x in missing:
+            if len(x) > SHORT:
+                del memo[x]
+        return found
 
 
 class MergeReplay:
@@ -59,13 +72,93 @@ class MergeReplay:
 
     An inverted index maps each mergeable token pair, known by the rank of what it becomes,
     to the positions where it stands. The lowest rank goes first; a merge changes only the
-    pairs with its two neighbours.
+    pairs with its two neighbours. Merges in different words do not touch, so short words, which
+    are nearly all, go side by side: each round takes from the index the lowest rank of every word.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.spelled = {rank: piece for piece, rank in ranks.items()}
         self.pairs: dict[int, int] = {}
+        keys, becomes = [], []
+        for piece, rank in ranks.items():
+            for cut in range(1, len(piece)):
+                a, b = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+                if a is not None and b is not None:
+                    keys.append(a << 32 | b)
+                    becomes.append(rank)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.becomes = np.append(np.array(becomes, np.int64)[order], -1)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+
+    def looked_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the tokens that the pairs become, ``_NONE`` where there is none."""
+        key = a << 32 | b
+        at = self.keys.searchsorted(key)
+        return np.where(self.keys[at] == key, self.becomes[at], _NONE)
+
+    def side_by_side(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as 32-bit little-endian bytes."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        token = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        n = len(token)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        place = np.arange(n)
+        after, before = place + 1, place - 1
+        after[ends - 1] = -1
+        before[ends - sizes] = -1
+        index = np.full(n, _NONE << 32)  # rank and place of the pair that begins at each position
+        open_ = np.flatnonzero(after >= 0)
+        index[open_] = self.looked_up(token[open_], token[open_ + 1]) << 32 | open_
+        live = np.flatnonzero(index < _NONE << 32)
+        while len(live):
+            whose = owner[live]
+            first = np.flatnonzero(np.concatenate(([True], whose[1:] != whose[:-1])))
+            lowest = np.minimum.reduceat(index[live], first)
+            i, rank = lowest & 0xFFFFFFFF, lowest >> 32
+            j = after[i]
+            right, left = after[j], before[i]
+            token[i], after[i] = rank, right
+            index[j] = index[i] = _NONE << 32
+            token[j] = -1
+            inner = right >= 0
+            before[right[inner]] = i[inner]
+            index[i[inner]] = self.looked_up(rank[inner], token[right[inner]]) << 32 | i[inner]
+            inner = left >= 0
+            index[left[inner]] = self.looked_up(token[left[inner]], rank[inner]) << 32 | left[inner]
+            touched = np.zeros(n, bool)
+            touched[live] = True
+            touched[i] = True
+            touched[left[inner]] = True
+            live = np.flatnonzero(touched)
+            live = live[index[live] < _NONE << 32]
+        kept = token >= 0
+        edges = np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], ends))].tolist()
+        data = token[kept].astype("<i4").tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
+
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as 32-bit little-endian bytes; no word is empty."""
+        made: list[bytes | None] = []
+        short, long = [], []
+        for k, w in enumerate(words):
+            rank = self.ranks.get(w)
+            made.append(None if rank is None else rank.to_bytes(4, "little"))
+            if rank is None:
+                (short if len(w) <= SIDE_BY_SIDE else long).append(k)
+        for group, solve in ((short, self.side_by_side), (long, lambda ws: [array("i", ids).tobytes() for ids in self.encode(ws)])):
+            at = 0
+            while at < len(group):
+                size, stop = 0, at
+                while stop < len(group) and size < AT_ONCE:
+                    size += len(words[group[stop]])
+                    stop += 1
+                for k, ids in zip(group[at:stop], solve([words[k] for k in group[at:stop]]), strict=True):
+                    made[k] = ids
+                at = stop
+        return made
 
     def pair(self, a: int, b: int) -> int:
         """Rank of the token that ``a`` and ``b`` become, -1 if there is none."""
@@ -154,39 +247,61 @@ def load_ranks(path: str) -> dict[bytes, int]:
 @lru_cache(maxsize=4)
 def _replayed(path: str, pattern: str) -> Chunks:
     """Ids of chunks by merge replay, as 32-bit little-endian bytes."""
-    replay, split, known = MergeReplay(load_ranks(path)), regex.compile(pattern), {}
+    replay, split = MergeReplay(load_ranks(path)), regex.compile(pattern)
 
     def solve(chunks: list[str]) -> list[bytes]:
-        if len(known) > MEMO:
-            known.clear()
         words = [split.findall(c) for c in chunks]
-        new = list({w for ws in words for w in ws if w not in known})
-        known.update(zip(new, (array("i", ids).tobytes() for ids in replay.encode([w.encode() for w in new])), strict=True))
+        new = list({w for ws in words for w in ws})
+        known = dict(zip(new, replay.packed([w.encode() for w in new]), strict=True))
         return [known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for ws in words]
 
     return Chunks(solve)
 
 
+#: Added tokens of a vocabulary: text and id of each.
+Added = tuple[tuple[str, int], ...]
+
+
+def added_tokens(json_path: str) -> Added:
+    """The added tokens of a ``tokenizers`` file, which it reads in any text before all else."""
+    with open(json_path, encoding="utf-8") as file:
+        return tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])
+
+
 class Pieces(dict):
     """Ids of a space and what follows it up to the next, as 32-bit bytes or, counted, their number."""
 
-    def __init__(self, path: str, pattern: str, counted: bool) -> None:
+    def __init__(self, path: str, pattern: str, counted: bool, added: Added) -> None:
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
         self.counted = counted
         self.encode = encoding.encode_ordinary
+        self.added = dict(added)
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
 
     def value(self, text: str):
         ids = self.encode(text)
         return len(ids) if self.counted else array("I", ids).tobytes()
 
     def __missing__(self, piece: str):
-        if len(self) > MEMO:
-            self.clear()
-        value = self[piece] = self.value(" " + piece)
+        value = self.value(" " + piece)
+        if len(piece) <= SHORT:
+            if len(self) > MEMO:
+                self.clear()
+            self[piece] = value
         return value
 
     def values(self, text: str) -> list:
         """Values of consecutive parts of ``text``."""
+        if self.cut and self.cut.search(text):
+            parts = self.cut.split(text)
+            made = []
+            for i, part in enumerate(parts):
+                made += self.plain(part) if i % 2 == 0 else [1 if self.counted else array("I", [self.added[part]]).tobytes()]
+            return made
+        return self.plain(text)
+
+    def plain(self, text: str) -> list:
         if _UNSAFE.search(text):
             return [self.value(text)]
         first, *rest = text.split(" ")
@@ -194,8 +309,8 @@ class Pieces(dict):
 
 
 @lru_cache(maxsize=4)
-def known_pieces(path: str, pattern: str, counted: bool) -> Pieces:
-    return Pieces(path, pattern, counted)
+def known_pieces(path: str, pattern: str, counted: bool, added: Added) -> Pieces:
+    return Pieces(path, pattern, counted, added)
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -226,25 +341,33 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
 
     def run(batch: pa.RecordBatch) -> dict:
         rows = batch.column(ids)
-        flat = list(map(_spelled(ranks_path).__getitem__, rows.flatten().to_numpy(zero_copy_only=False).tolist()))
-        edges = np.cumsum(np.concatenate(([0], rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).tolist()
-        return {n: batch.column(n) for n in names} | {decoded: [b"".join(flat[a:b]) for a, b in zip(edges, edges[1:])]}
+        spelled = _spelled(ranks_path).take(rows.flatten())
+        edges = np.cumsum(np.concatenate(([0], rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+        # Tokens of a row stand side by side, so its bytes do.
+        bounds = np.frombuffer(spelled.buffers()[1], "<i4", len(spelled) + 1, 4 * spelled.offset)[edges] if len(spelled) else np.zeros(len(edges), "<i4")
+        data = spelled.buffers()[2] if len(spelled) else pa.py_buffer(b"")
+        return {n: batch.column(n) for n in names} | {decoded: pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(bounds.astype("<i4")), data])}
 
     return map_batches(df, run, extended(df.schema, **{decoded: "binary"}))
 
 
 @lru_cache(maxsize=4)
-def _spelled(path: str) -> dict[int, bytes]:
-    return {rank: piece for piece, rank in load_ranks(path).items()}
+def _spelled(path: str) -> pa.BinaryArray:
+    """The bytes of every rank."""
+    ranks = load_ranks(path)
+    pieces: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pa.array(pieces, pa.binary())
 
 
-def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", count: str = "n_tokens") -> DataFrame:
-    """``docs`` without the text, with its number of tokens; null and empty texts have 0."""
+def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", count: str = "n_tokens", added: Added = ()) -> DataFrame:
+    """``docs`` without the text, with its number of tokens; null and empty texts have 0, ``added`` tokens count as one each."""
     kept = docs.drop(count)
     names = [c for c in kept.columns if c != text]
 
     def run(batch: pa.RecordBatch) -> dict:
-        pieces = known_pieces(ranks_path, pattern, True)
+        pieces = known_pieces(ranks_path, pattern, True, added)
         return {n: batch.column(n) for n in names} | {count: [sum(pieces.values(t)) for t in _texts(batch.column(text))]}
 
     return map_batches(kept, run, extended(kept.drop(text).schema, **{count: "long"}))

@@ -20,6 +20,7 @@ def rows():
         parts[rng.randrange(len(parts))] = "EDIT" + str(i)
         texts.append(" ".join(parts))
     texts += [texts[5], texts[5], "", None, "   ", "one two", "ONE  two", "x" * 3000, "äöü" * 300, "ab " * 400, "é" + passage]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "  <|endoftext|><|endoftext|>  x<|endoftext|"]
     return list(enumerate(texts)) + [(5, texts[5])]
 
 

@@ -16,6 +16,7 @@ MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 #: The same vocabulary as ranks.
 SAME = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+ADDED = tokens.added_tokens(JSON)
 
 
 def test_suffix_array_and_prefixes_against_sorting():
@@ -124,9 +125,8 @@ def test_chunks_of_odd_white_space():
 
 def test_length_histogram(docs, rows, empty):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     lengths = np.array([len(tokenizer.encode(t or "", add_special_tokens=False).ids) for _, t in rows])
-    got = tokens.length_histogram(tokens.count_tokens(docs, *SAME)).collect()
+    got = tokens.length_histogram(tokens.count_tokens(docs, *SAME, added=ADDED)).collect()
     assert sorted(r[0] for r in got) == sorted(set(lengths.tolist()))
     for context, n, total, more, more_tokens, cut, share in got:
         assert (n, total) == ((lengths == context).sum(), lengths[lengths == context].sum())
@@ -137,8 +137,7 @@ def test_length_histogram(docs, rows, empty):
 
 def test_packing(docs, rows, empty):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
-    pieces = packing.token_pieces(docs, *SAME, limit=256)
+    pieces = packing.token_pieces(docs, *SAME, limit=256, added=ADDED)
     got = packing.pack(pieces, limit=256).collect()
     ids = {t: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for _, t in rows}
     expected = []
@@ -219,20 +218,20 @@ PRIVATE = [
 
 def test_pseudonyms_keep_formats_and_links(spark, empty):
     df = spark.createDataFrame(PRIVATE, "doc_id long, text string")
-    got = {r[0]: (r[1], r[2]) for r in pii.pseudonymize(df).collect()}
+    got = {r[0]: (r[1], r[2]) for r in pii.pseudonymize(df, pii.TEST_KEY).collect()}
     assert [got[i][1] for i in range(1, 8)] == [2, 2, 4, 2, 0, 0, 0]
     assert got[5][0] is None and got[6][0] == "" and got[7][0] == PRIVATE[6][1]
     assert "4111111111111111" not in got[1][0] and "4111111111111112" in got[1][0] and "300.1.1.1" in got[2][0]
     assert "2021-02-29" in got[3][0] and "000-12-3456" in got[3][0] and "123-45-6789" not in got[3][0]
     first, second = got[4][0].rstrip(">").split("<")
     assert first == second and first.endswith("@mail8.example.com") and first != "bosbt.42@mail8.example.com"
-    assert pii.pseudonymize(empty).count() == 0
+    assert pii.pseudonymize(empty, pii.TEST_KEY).count() == 0
 
 
 def test_every_ten_digit_phone_and_date_before_a_time(spark):
     values = ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 988 155 2485", "+10170557713", "2020-02-29", "1999/12/31"]
     rows = [(i, f"at {v}{'T10:30:00Z' if i > 3 else ''}, end") for i, v in enumerate(values)] + [(6, "2021-02-29T10:00 and 2020-02-29x")]
-    got = {r[0]: (r[1], r[2]) for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r[0]: (r[1], r[2]) for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), pii.TEST_KEY).collect()}
     for i, v in enumerate(values):
         text, found = got[i]
         assert found == 1 and v not in text and len(text) == len(rows[i][1])
@@ -243,21 +242,21 @@ def test_every_ten_digit_phone_and_date_before_a_time(spark):
 
 def test_phones_that_begin_low_are_a_permutation(spark):
     texts = spark.createDataFrame([(i, f"+1 (0{i % 100:02d}) {i // 100:03d}-0000") for i in range(2000)], "doc_id long, text string")
-    got = pii.pseudonymize(texts)
+    got = pii.pseudonymize(texts, pii.TEST_KEY)
     assert got.select("text").distinct().count() == 2000 and got.where("n_private <> 1").count() == 0
 
 
 def test_pseudonyms_are_a_permutation(spark):
     texts = spark.createDataFrame([(i, f"10.0.{i // 256}.{i % 256}") for i in range(2000)], "doc_id long, text string")
-    assert pii.pseudonymize(texts).select("text").distinct().count() == 2000
+    assert pii.pseudonymize(texts, pii.TEST_KEY).select("text").distinct().count() == 2000
 
 
 def test_pseudonyms_against_sql(spark):
     documents = spark.createDataFrame(PRIVATE, "doc_id long, text string").toPandas()  # noqa: F841
-    got = sorted(map(tuple, pii.pseudonymize(spark.createDataFrame(PRIVATE, "doc_id long, text string")).collect()))
+    got = sorted(map(tuple, pii.pseudonymize(spark.createDataFrame(PRIVATE, "doc_id long, text string"), pii.TEST_KEY).collect()))
     con = duckdb.connect()
     con.register("documents", documents)
-    assert got == sorted(con.sql(pii.oracle()).fetchall())
+    assert got == sorted(con.sql(pii.oracle(pii.TEST_KEY)).fetchall())
 
 
 def test_toxicity_finds_the_word_that_decides(spark, empty):
@@ -279,5 +278,5 @@ def test_toxicity_finds_the_word_that_decides(spark, empty):
 
 
 def test_registered_queries_are_whole():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(registry.ORACLE) <= set(registry.QUERIES)
