@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loomsync.llm import jaccard, packing, pii, repeats, toxicity
 from loomsync.llm.common import map_batches, read
 from loomsync.llm.packing import token_pieces
+from loomsync.llm.tokens import added_tokens
 from loomsync.session import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,12 +26,15 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id; a repeated id stays once."""
-    classes = jaccard.near_duplicates(docs)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept")).agg(F.count(F.lit(1)).alias("rows"))
-    kept = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")))
-    once = kept.where((F.col("rows") == 1) | F.col("doc_id").isNull()).select(*COLUMNS)
-    return once.unionByName(kept.where((F.col("rows") > 1) & F.col("doc_id").isNotNull()).select(*COLUMNS).dropDuplicates(["doc_id"]))
+    """Of each group of linked rows the one with the smallest id (null: last), of equal ids any one.
+
+    Rows, not ids, are compared: rows that share an id and are not linked all stay.
+    """
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("_row"), *COLUMNS), "rows")
+    classes = jaccard.near_duplicates(rows, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    members = rows.select("_row", "doc_id").join(classes, "_row")
+    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +51,16 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with validated personal data replaced by keyed pseudonyms."""
-    done = pii.pseudonymize(docs.select(*COLUMNS), count="_private").drop("_private")
+    """Documents with validated personal data replaced by pseudonyms under the session's key, in checks a known one."""
+    key = spark.conf.get("spark.loomsync.pseudonym.key", pii.TEST_KEY)
+    done = pii.pseudonymize(docs.select(*COLUMNS), key, count="_private").drop("_private")
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences of at most 2048 tokens."""
-    return packing.pack(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    ranks, added = public_tokenizers.path("byte_bpe_50k.tiktoken"), added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(token_pieces(docs, ranks, public_tokenizers.PATTERN, added=added))
 
 
 STAGES = [
