@@ -17,6 +17,8 @@ from loomsync.functions.names import RESERVED_WORDS, strip_nul, strip_whitespace
 REJECTS = "_rejects"
 _NO_REJECTS = "array<struct<field:string,raw:string>>"
 _DIGITS = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\z"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+_POWER = r"^[+-]?(\d+\.?\d*|\.\d+)[eE]"
 
 
 def present(text: Column) -> Column:
@@ -50,15 +52,31 @@ def _canonical_digits(number: Column) -> Column:
     return F.when(number.rlike(_DIGITS) & (digits != ""), F.when(led == "", "0").otherwise(found))
 
 
-def _exact(number: Column, kind: str) -> Column:
-    """A number or its text as ``kind``, NULL if that would change its value."""
+def _fits(precision: int, scale: int) -> str:
+    """Pattern of the plain numbers that a decimal of this size holds digit by digit."""
+    return rf"^[+-]?(?=\.?\d)0*\d{{0,{precision - scale}}}(\.\d{{0,{scale}}}0*)?\z"
+
+
+def _exact_text(number: Column, kind: str) -> Column:
+    """A number's text as the decimal ``kind``, NULL if that would change its value.
+
+    Only text with an exponent needs its digits moved before they can be compared.
+    """
+    precision, scale = map(int, re.findall(r"\d+", kind))
+    value = number.try_cast(kind)
+    moved = _canonical_digits(number) == _canonical_digits(value.cast("string"))
+    return F.when(number.rlike(_fits(precision, scale)), value).when(number.rlike(_POWER), F.when(moved, value))
+
+
+def _exact(number: Column, source: str, kind: str) -> Column:
+    """A number of the type ``source`` as ``kind``, NULL if the way there and back changes it."""
     value = number.try_cast(kind)
-    return F.when(_canonical_digits(number.cast("string")) == _canonical_digits(value.cast("string")), value)
+    return F.when(value.try_cast(source) == number, value)
 
 
 def to_decimal_plain(text: Column) -> Column:
     """A decimal. A number it cannot hold digit by digit is NULL, not rounded."""
-    return _exact(strip_whitespace(present(text)), "decimal(38,10)")
+    return _exact_text(strip_whitespace(present(text)), "decimal(38,10)")
 
 
 def to_date_iso(text: Column) -> Column:
@@ -208,7 +226,7 @@ def _number_text(text: Column) -> Column:
 
 def norm_number(text: Column, kind: str = "decimal(38,10)") -> Column:
     """Text as ``kind``. A number it cannot hold digit by digit is NULL, not rounded."""
-    return _exact(_number_text(text), kind)
+    return _exact_text(_number_text(text), kind)
 
 
 _NUMERIC = ("string", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
@@ -231,10 +249,10 @@ def _coerce_number(raw: Column, source: str, column) -> tuple[Column, Column | N
     kind = _number_type(source, column)
     if source == "string":
         number = _number_text(raw)
-        return norm_number(raw, kind), F.when(number.rlike(_DIGITS) & number.rlike(r"^[+-]?\.?\d"), number)
+        return norm_number(raw, kind), F.when(number.rlike(_NUMBER), number)
     if kind in (source, "double"):
         return raw.cast(kind), None
-    return _exact(raw, kind), raw.cast("string")
+    return _exact(raw, source, kind), raw.cast("string")
 
 
 def norm_date(text: Column) -> Column:
