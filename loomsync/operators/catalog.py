@@ -319,20 +319,27 @@ def bare_type(raw: Column) -> Column:
     return F.upper(F.trim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"\(\s*\d+\s*\)", "")))
 
 
+def _of_table(one: DataFrame, other: DataFrame) -> list[str]:
+    """Columns that name a table on both sides."""
+    return ["owner", "table_name"] if "owner" in one.columns and "owner" in other.columns else ["table_name"]
+
+
 def schema_drift(desired: DataFrame, actual: DataFrame, *, enforce: bool = True) -> DataFrame:
     """Changes that make the actual columns fit the desired ones.
 
+    Tables of one name and different owners are different tables, where both sides name an owner.
     ``enforce`` is off for sources whose NOT NULL cannot be trusted.
     """
+    of = _of_table(desired, actual)
     now = actual.select(
-        "table_name",
+        *of,
         "column_name",
         F.col("data_type").alias("_type"),
         F.coalesce("char_length", "data_length", F.lit(0)).alias("_length"),
         (F.coalesce("nullable", F.lit("Y")) == "Y").alias("_nullable"),
         F.lit(True).alias("_there"),
     )
-    both = desired.join(now, ["table_name", "column_name"], "left")
+    both = desired.join(now, [*of, "column_name"], "left")
     is_flag = F.col("canonical") == "boolean"
     text = (F.col("raw_type") == "VARCHAR2") & (F.upper("_type") == "VARCHAR2")
     required = F.when(is_flag, 1).otherwise(F.coalesce("max_length", F.lit(0)))
@@ -352,24 +359,29 @@ def schema_drift(desired: DataFrame, actual: DataFrame, *, enforce: bool = True)
         F.when(there & null_moves & F.col("is_nullable"), action("NULL", nothing)),
         F.when(there & null_moves & ~F.col("is_nullable") & F.lit(enforce), action("NOT NULL", nothing)),
     )
-    return both.select("table_name", "column_name", F.inline(F.array_compact(steps)))
+    return both.select(*of, "column_name", F.inline(F.array_compact(steps)))
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Longest text and NULL count of every column, in one pass over the data."""
-    measures = []
+def measures(df: DataFrame) -> dict[str, Column]:
+    """Aggregates that tell the longest text and the NULL count of every column."""
+    found = {}
     for name, kind in df.dtypes:
         cell = F.col(f"`{name}`")
-        longest = F.max(F.length(cell)) if kind == "string" else F.lit(None)
-        measures.append(longest.cast("int").alias(f"{name}_chars"))
-        measures.append(F.count_if(cell.isNull()).alias(f"{name}_nulls"))
-    wide = df.agg(F.count("*").alias("_rows"), *measures)
+        longest = F.max(F.length(cell)) if kind == "string" else F.max(F.lit(None).cast("int"))
+        found[f"{name}_chars"] = longest.cast("int")
+        found[f"{name}_nulls"] = F.count_if(cell.isNull())
+    return found
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """Longest text and NULL count of every column, in one pass over the data."""
+    wide = df.agg(F.count("*").alias("_rows"), *[value.alias(name) for name, value in measures(df).items()])
     rows = F.array(
         *[
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.col(f"{name}_chars").alias("max_chars"),
-                F.col(f"{name}_nulls").alias("nulls"),
+                F.col(f"`{name}_chars`").alias("max_chars"),
+                F.col(f"`{name}_nulls`").alias("nulls"),
             )
             for name in df.columns
         ]
@@ -400,15 +412,19 @@ def overflow_plan(profiled: DataFrame, declared: DataFrame) -> DataFrame:
 
 
 def rename_map(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source and target columns with one canonical identifier; the last target wins."""
+    """Source and target columns with one canonical identifier; the last target wins.
+
+    Where both sides name an owner, it is part of the table's name.
+    """
+    of = _of_table(source, target)
     canon = canonical_identifier(F.col("column_name"))
     by_canon = (
-        target.select("table_name", canon.alias("_canon"), "column_name", "ordinal")
-        .groupBy("table_name", "_canon")
+        target.select(*of, canon.alias("_canon"), "column_name", "ordinal")
+        .groupBy(*of, "_canon")
         .agg(F.max_by("column_name", "ordinal").alias("target_column"))
     )
-    named = source.select("table_name", canon.alias("_canon"), F.col("column_name").alias("source_column"))
-    return named.join(by_canon, ["table_name", "_canon"]).select("table_name", "source_column", "target_column")
+    named = source.select(*of, canon.alias("_canon"), F.col("column_name").alias("source_column"))
+    return named.join(by_canon, [*of, "_canon"]).select(*of, "source_column", "target_column")
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

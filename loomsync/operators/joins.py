@@ -2,68 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
-
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1024
-_NULL_SALTS = 64
 
 
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list:
-    """Largest groups above ``hot_rows`` with their counts; at most MAX_HOT_KEYS rows.
-
-    Groups beyond the list have fewer rows than 1/MAX_HOT_KEYS of the input
-    each, small enough for one partition of a large job.
-    """
-    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    counts = df.filter(known).groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-    return counts.orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).collect()
-
-
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    *,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Join many rows to at most one row per key, splitting hot keys.
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Inner or left join of many rows to at most one row per key, whatever keys are hot.
 
-    Rows of a hot key are spread over salts taken from the row itself, so a
-    recomputed task places them alike, and the one matching row is repeated per
-    salt. Rows with a NULL key match nothing and are spread as well.
+    Nothing is counted beforehand. The left side may be cut wherever a key (or NULL) fills a partition,
+    since a row meets one row at most: adaptive execution does so from the sizes the shuffle has seen,
+    also where another exchange follows, which the session settings ask for.
     """
-    groups = hot_groups(counted if counted is not None else left, keys, hot_rows)
-    if not groups:
-        return left.join(right, keys, how)
-    spark = left.sparkSession
-    schema = left.select(*keys).schema.add("_salts", IntegerType())
-    listed = [tuple(g[k] for k in keys) + (-(-g["_rows"] // hot_rows),) for g in groups]
-    # At most MAX_HOT_KEYS rows by construction.
-    hot = F.broadcast(spark.createDataFrame(listed, schema))
-    hashed = F.xxhash64(*[c for c, kind in left.dtypes if not kind.startswith(("map", "variant"))])
-    salts = F.when(
-        reduce(Column.__or__, [F.col(k).isNull() for k in keys]), F.lit(_NULL_SALTS)
-    ).otherwise(F.coalesce(F.col("_salts"), F.lit(1)))
-    spread = left.join(hot, keys, "left").withColumn("_salt", F.pmod(hashed, salts).cast("int")).drop("_salts")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    repeated = right.join(hot, keys, "left").withColumn("_salt", copies).drop("_salts")
-    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    if how not in ("inner", "left"):
+        raise ValueError(f"a {how} join cannot be cut on its left side")
+    return left.join(right, keys, how)
 
 
-def left_join_many(one: DataFrame, many: DataFrame, keys: list[str], *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def left_join_many(one: DataFrame, many: DataFrame, keys: list[str]) -> DataFrame:
     """Left join where the right side may hold a hot key.
 
-    The many side is split like the left side of ``join_unique``; rows without a
+    The many side is cut like the left side of ``join_unique``; rows without a
     match are added from an anti join against the distinct keys.
     """
-    matched = join_unique(many, one, keys, "inner", hot_rows=hot_rows)
+    matched = join_unique(many, one, keys, "inner")
     missing = one.join(many.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(missing, allowMissingColumns=True)
 

@@ -62,7 +62,6 @@ def _matched(
     insert_new: bool,
     overlay: bool = False,
     columns: list[str] | None = None,
-    unique_target: bool = False,
 ) -> DataFrame:
     """Target rewritten from a source that is unique by key and has no NULL key."""
     kinds = dict(target.dtypes)
@@ -74,7 +73,7 @@ def _matched(
     if insert_new:
         joined = old.join(new, keys, "full")
     else:
-        joined = old.join(new, keys, "left") if unique_target else join_unique(old, new, keys, "left")
+        joined = join_unique(old, new, keys, "left")
 
     def cell(name: str) -> Column:
         if name in keys or name not in changed:
@@ -94,7 +93,7 @@ def merge_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 
 def update_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Update where both sides have one row per key, so no key can be hot."""
-    return _matched(target, source, keys, insert_new=False, unique_target=True)
+    return _matched(target, source, keys, insert_new=False)
 
 
 def touched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -252,14 +251,18 @@ class VersionedTable:
         name = tag or f"v{uuid.uuid4().hex}"
         if name not in folders:
             df.write.mode("overwrite").options(**options).parquet(f"{self.root}/{name}")
-            current = [*folders, name] if keep_old else [name]
-            draft = self._path(f"_drafts/{uuid.uuid4().hex}")
-            out = self._fs().create(draft, False)
-            out.write(bytearray("\n".join(current), "utf-8"))
-            out.close()
-            self._fs().mkdirs(self._path("_pointers"))
-            if not self._fs().rename(draft, self._path(f"_pointers/{number + 1:012d}")):
-                raise RuntimeError(f"{self.root} was changed by another writer")
+            return self._point(number, [*folders, name] if keep_old else [name])
+        return self.read()
+
+    def _point(self, number: int, folders: list[str]) -> DataFrame:
+        """Make ``folders`` the table, unless it has changed since pointer ``number``."""
+        draft = self._path(f"_drafts/{uuid.uuid4().hex}")
+        out = self._fs().create(draft, False)
+        out.write(bytearray("\n".join(folders), "utf-8"))
+        out.close()
+        self._fs().mkdirs(self._path("_pointers"))
+        if not self._fs().rename(draft, self._path(f"_pointers/{number + 1:012d}")):
+            raise RuntimeError(f"{self.root} was changed by another writer")
         return self.read()
 
     def write(self, df: DataFrame, tag: str | None = None, **options) -> DataFrame:
@@ -271,6 +274,82 @@ class VersionedTable:
         return self._publish(df, True, tag, options)
 
 
+class KeyedTable(VersionedTable):
+    """A versioned table whose rows lie in buckets of their key, so that a load rewrites only the buckets it touches.
+
+    The pointer lists bucket folders. A load reads the buckets of its source's keys, writes them anew
+    and switches the pointer; all other folders stay as they are. Rows with a NULL key match
+    nothing and are only ever added. There are ``buckets`` folders, whatever the number of rows; choose them so that
+    one bucket is a task's work. A table written without buckets is dealt to buckets by its first keyed load.
+    """
+
+    BUCKET = "_bucket"
+    _NO_KEY = -1
+    _NO_KEY_FILES = 64
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], buckets: int = 64) -> None:
+        super().__init__(spark, root)
+        _require(keys)
+        self.keys, self.buckets = keys, buckets
+
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        place = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.withColumn(self.BUCKET, F.when(_keyed(df, self.keys), place).otherwise(self._NO_KEY))
+
+    def _is_dealt(self, folders: list[str]) -> bool:
+        return all(f".{self.buckets}/{self.BUCKET}=" in f for f in folders)
+
+    def _write_buckets(self, df: DataFrame, name: str) -> list[str]:
+        """Write rows in buckets to the folder ``name``; returns the bucket folders."""
+        rest = [c for c, kind in df.dtypes if c != self.BUCKET and not kind.startswith(("map", "variant"))]
+        spread = F.when(F.col(self.BUCKET) == self._NO_KEY, F.pmod(F.xxhash64(*rest), F.lit(self._NO_KEY_FILES))).otherwise(0)
+        dealt = df.repartition(F.col(self.BUCKET), spread)
+        dealt.write.mode("overwrite").partitionBy(self.BUCKET).parquet(f"{self.root}/{name}")
+        found = self._fs().listStatus(self._path(name))
+        return sorted(f"{name}/{f}" for f in (s.getPath().getName() for s in found) if f.startswith(f"{self.BUCKET}="))
+
+    def merge(self, source: DataFrame, load, tag: str | None = None) -> DataFrame:
+        """Replace the rows of the touched buckets by ``load(rows, source)``, both without NULL keys; then add the keyless rows of ``source``."""
+        number, folders = self._latest()
+        before = self._open(folders)
+        kinds = dict(before.dtypes)
+        source = source.withColumns({k: F.col(k).cast(kinds[k]) for k in self.keys})
+        name = f"{tag or uuid.uuid4().hex}.{self.buckets}"
+        if any(f.startswith(f"{name}/") for f in folders):
+            return self.read()
+        if self._is_dealt(folders):
+            hit = {r[0] for r in self._dealt(source).select(self.BUCKET).distinct().collect()} - {self._NO_KEY}  # one row per bucket
+            read = [f for f in folders if int(f.rsplit("=", 1)[1]) in hit]
+            kept = [f for f in folders if f not in set(read)]
+            rows = self._open(read) if read else before.limit(0)
+            loose = None
+        else:
+            kept, rows, loose = [], before.filter(_keyed(before, self.keys)), before.filter(~_keyed(before, self.keys))
+        merged, added = load(rows, source.filter(_keyed(source, self.keys))), load(before.limit(0), source.filter(~_keyed(source, self.keys)))
+        merged = merged.unionByName(added) if loose is None else merged.unionByName(added).unionByName(loose)
+        written = self._write_buckets(self._dealt(merged), name)
+        # A table without rows still needs a folder that holds its schema.
+        return self._point(number, [*kept, *written] or self._empty(before, name))
+
+    def _empty(self, like: DataFrame, name: str) -> list[str]:
+        like.limit(0).write.mode("overwrite").parquet(f"{self.root}/{name}/{self.BUCKET}=0")
+        return [f"{name}/{self.BUCKET}=0"]
+
+    def upsert(self, source: DataFrame, order: str, tag: str | None = None) -> DataFrame:
+        """``upsert`` of the touched buckets."""
+        return self.merge(source, lambda rows, new: upsert(rows, new, self.keys, order), tag)
+
+    def update(self, source: DataFrame, order: str | None = None, columns: list[str] | None = None, tag: str | None = None) -> DataFrame:
+        """``update`` of the touched buckets; keyless source rows are ignored."""
+        known = source.filter(_keyed(source, self.keys))
+        return self.merge(known, lambda rows, new: update(rows, new, self.keys, order, columns), tag)
+
+    def overlay(self, source: DataFrame, order: str, writable: list[str], *, insert_new: bool = True, tag: str | None = None) -> DataFrame:
+        """``overlay`` of the touched buckets by a single key."""
+        (key,) = self.keys
+        return self.merge(source, lambda rows, new: overlay(rows, new, key, order, writable, insert_new=insert_new), tag)
+
+
 class LayeredTable:
     """A large keyed table with the rows changed by each run kept in layers on top.
 

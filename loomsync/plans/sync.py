@@ -21,7 +21,7 @@ from loomsync.functions.cells import record_json
 from loomsync.functions.fingerprints import differs, fingerprint
 from loomsync.functions.names import initial
 from loomsync.operators import loads
-from loomsync.operators.joins import HOT_ROWS, join_unique, latest_per_key, left_join_many, typed_lookup
+from loomsync.operators.joins import join_unique, latest_per_key, left_join_many, typed_lookup
 from loomsync.operators.numbering import nth_smallest, number_rows
 from loomsync.session import staged
 
@@ -74,7 +74,6 @@ class Options:
     block_census: bool = False
     allow_partial: bool = True
     widths: Mapping[str, int] = field(default_factory=lambda: dict(WIDTHS))
-    hot_rows: int = HOT_ROWS
     scan_block: int = SCAN_BLOCK
     stamp: str | None = None  # audit time, the current time when not given
 
@@ -174,11 +173,11 @@ def with_hashes(inbound: DataFrame) -> DataFrame:
     )
 
 
-def hydrate(inbound: DataFrame, state: State, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hydrate(inbound: DataFrame, state: State) -> DataFrame:
     """Fingerprints and current ids on every staged row; unknown pids get NULL ids."""
     known = state_by_pid(state).withColumnsRenamed({"_d": "state_demogr", "_a": "state_address", "_p": "state_phone"})
     hashed = with_hashes(inbound.drop("member_id", "addr_id", "phn_id"))
-    return join_unique(hashed, known, ["pid"], hot_rows=hot_rows, counted=inbound)
+    return join_unique(hashed, known, ["pid"])
 
 
 def change_flags(hydrated: DataFrame) -> DataFrame:
@@ -218,13 +217,13 @@ def reject_reasons(
     return checked.select(*inbound.columns, found.alias("reasons"))
 
 
-def run_ceiling(inbound: DataFrame, options: Options) -> tuple[int | None, int | None, int]:
-    """First and last id this run touches, and how many rows wait; a cap ends it at the n-th waiting row."""
+def run_ceiling(inbound: DataFrame, options: Options) -> tuple[int | None, int | None]:
+    """First and last id this run touches; a cap ends it at the n-th waiting row."""
     waiting = inbound.filter((F.col("mq_status") == options.status) & (F.col("mq_id") >= options.start_id))
-    low, high, count = waiting.agg(F.min("mq_id"), F.max("mq_id"), F.count("mq_id")).first()
+    low, high = waiting.agg(F.min("mq_id"), F.max("mq_id")).first()
     if options.max_records and high is not None:
         high = nth_smallest(waiting.select("mq_id"), "mq_id", options.max_records)
-    return low, high, count
+    return low, high
 
 
 # --- windows as steps ------------------------------------------------------
@@ -349,16 +348,10 @@ def _scan(steps: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
     return joined.withColumns(whole).drop("_block", "_d", "_a", "_p")
 
 
-def plan_windows(
-    rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def plan_windows(rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
     """Per pid and window: what it starts from and which rows it applies."""
     based = known.withColumnsRenamed({"_d": "d_base", "_a": "a_base", "_p": "p_base"})
-    steps = _scan(_steps(rows), windows, block)
-    if windows > hot_rows:  # a pid has at most one step per window
-        steps = join_unique(staged(steps, "steps"), based, ["pid"], "inner", hot_rows=hot_rows)
-    else:
-        steps = steps.join(based, "pid")
+    steps = join_unique(_scan(_steps(rows), windows, block), based, ["pid"], "inner")
     single = F.col("view_rows") == 1
     done: dict[str, Column] = {}
     for g in "dap":
@@ -413,14 +406,14 @@ def _with_new_ids(plan: DataFrame, state: State) -> DataFrame:
     new_addresses = numbered.filter("_kind = 0").select("member_id", address_id.alias("new_addr_id"))
     new_phones = numbered.filter("_kind = 1").select("member_id", "segment", phone_id.alias("new_phn_id"))
     homes = join_unique(plan, new_addresses, ["member_id"])
-    return join_unique(homes, new_phones, ["member_id", "segment"], counted=plan)
+    return join_unique(homes, new_phones, ["member_id", "segment"])
 
 
 def resolve(
     inbound: DataFrame, state: State, references: Mapping[str, DataFrame], options: Options = Options()
 ) -> DataFrame | None:
     """Every row of the run with hashes, ids, status and the patches it is the source of."""
-    low, high, count = run_ceiling(inbound, options)
+    low, high = run_ceiling(inbound, options)
     if high is None:
         return None
     window = options.commit_size or DEFAULT_WINDOW
@@ -430,16 +423,10 @@ def resolve(
     )
     waiting = waiting.drop("member_id", "addr_id", "phn_id", "demogr_hash", "address_hash", "phone_hash", "mq_status")
     number = F.expr(f"(mq_id - {options.start_id}) div {window}")
-    may_be_hot = count > options.hot_rows
-    rows = reject_reasons(with_hashes(waiting), references, options.widths).withColumn("window_no", number)
-    known = state_by_pid(state)
-    plan = staged(plan_windows(rows, known, windows, options.scan_block, options.hot_rows), "windows")
-    plan = _with_new_ids(plan, state)
-    if may_be_hot:
-        counted = waiting.withColumn("window_no", number)
-        joined = join_unique(rows, plan, ["pid", "window_no"], hot_rows=options.hot_rows, counted=counted)
-    else:
-        joined = rows.join(plan, ["pid", "window_no"], "left")
+    # Hashed and checked once: the windows are planned from a few columns of this copy, the rows resolved from all.
+    rows = staged(reject_reasons(with_hashes(waiting), references, options.widths).withColumn("window_no", number), "checked")
+    plan = staged(plan_windows(rows, state_by_pid(state), windows, options.scan_block), "windows")
+    joined = join_unique(rows, _with_new_ids(plan, state), ["pid", "window_no"])
     changed = (
         differs(F.col("demogr_hash"), F.col("d_start"))
         | differs(F.col("address_hash"), F.col("a_start"))

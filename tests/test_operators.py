@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from loomsync.operators import catalog, guard, joins, loads, numbering
 from loomsync.plans import migrate
+from loomsync.session import configure
 from loomsync.sources import tables, text_files
 from loomsync.spec import ColumnSpec, TableSpec
 
@@ -69,21 +70,40 @@ def test_queue_moves_rows_once(spark, tmp_path):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_join_unique_splits_hot_keys(spark, how):
-    left = spark.range(400).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 11).alias("k"), "id"
+def test_join_unique_cuts_hot_keys(spark, how):
+    """Nothing runs while the plan is built; a key that fills a partition is cut while it runs."""
+    left = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 501).alias("k"), "id", F.md5(F.col("id").cast("string")).alias("wide")
     )
-    right = spark.range(9).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    assert joins.hot_groups(left, ["k"], 20)[0]["k"] == 7
-    plain = left.join(right, ["k"], how).select("k", "id", "v")
-    split = joins.join_unique(left, right, ["k"], how, hot_rows=20).select("k", "id", "v")
-    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty() and split.count() == plain.count()
+    right = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    configure(spark)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+        joined = joins.join_unique(left, right, ["k"], how)
+        assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() == jobs
+        counted = joined.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("v"), F.max("wide").alias("wide"))
+        got = {tuple(r) for r in counted.collect()}
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    want = left.join(F.broadcast(right), ["k"], how).groupBy("k").agg(F.count("*"), F.sum("v"), F.max("wide"))
+    assert got == {tuple(r) for r in want.collect()}
+    with pytest.raises(ValueError):
+        joins.join_unique(left, right, ["k"], "full")
 
 
 def test_left_join_many(spark):
     one = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     many = spark.createDataFrame([(1, i) for i in range(50)] + [(3, 0)], "k int, w int")
-    got = joins.left_join_many(one, many, ["k"], hot_rows=5).select("k", "v", "w")
+    got = joins.left_join_many(one, many, ["k"]).select("k", "v", "w")
     want = one.join(many, "k", "left").select("k", "v", "w")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 

@@ -160,7 +160,7 @@ def test_windows_equal_simulation(spark, seed, size, block):
     world, inbound = make_world(rng), make_inbound(rng, 120)
     state, rows = world.frames(spark), frame(spark, inbound, INBOUND)
     old_addr, old_phn = {a["addr_id"] for a in world.addresses}, {p["phn_id"] for p in world.phones}
-    options = sync.Options(commit_size=size, block_census=True, hot_rows=15, scan_block=block)
+    options = sync.Options(commit_size=size, block_census=True, scan_block=block)
     outcome = sync.sync_batch(rows, state, references(spark), options)
     status, ids = {}, {}
     for start in range(0, inbound[-1]["mq_id"] + 1, size):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,12 @@ def _written(t: Inputs, label: str, df: DataFrame) -> loads.VersionedTable:
     return table
 
 
+def _keyed(t: Inputs, label: str, df: DataFrame, keys: list[str]) -> loads.KeyedTable:
+    table = loads.KeyedTable(t.spark, _folder(t, label), keys, buckets=16)
+    table.write(df)
+    return table
+
+
 # --- loads -----------------------------------------------------------------
 
 
@@ -80,7 +87,7 @@ def load_full(t: Inputs) -> DataFrame:
     *_PAIR,
 )
 def load_upsert(t: Inputs) -> DataFrame:
-    return loads.upsert(t["upsert_target"], t["upsert_source"], _KEYS, "ordinal")
+    return _keyed(t, "upsert", t["upsert_target"], _KEYS).upsert(t["upsert_source"], "ordinal")
 
 
 @query(
@@ -91,7 +98,7 @@ def load_upsert(t: Inputs) -> DataFrame:
     *_PAIR,
 )
 def load_update(t: Inputs) -> DataFrame:
-    return loads.update(t["upsert_target"], t["upsert_source"], _KEYS, "ordinal")
+    return _keyed(t, "update", t["upsert_target"], _KEYS).update(t["upsert_source"], "ordinal")
 
 
 _LAST = ", ".join(f"arg_max({c}, ordinal) FILTER ({c} IS NOT NULL) AS {c}" for c in ("name", "segment", "nation_id"))
@@ -115,7 +122,7 @@ def load_overlay(t: Inputs) -> DataFrame:
         ),
     )
     key = loads.external_key(spec)
-    return loads.overlay(t["accounts"], t["account_changes"], key, "ordinal", spec.writable)
+    return _keyed(t, "overlay", t["accounts"], [key]).overlay(t["account_changes"], "ordinal", spec.writable)
 
 
 @query(
@@ -548,21 +555,164 @@ def _simple(name: str, df: DataFrame) -> TableSpec:
     return TableSpec(name, "salesforce", columns=tuple(ColumnSpec(c) for c in df.columns))
 
 
+_CUSTOMER = TableSpec(
+    "Account",
+    "salesforce",
+    columns=(
+        ColumnSpec("Id", "NUMBER", "integer", is_primary_key=True, precision=18, scale=0), ColumnSpec("Name", max_length=18),
+        ColumnSpec("NationCode", max_length=10),
+    ),
+)
+_GROWN = replace(
+    _CUSTOMER,
+    columns=(
+        *_CUSTOMER.columns[:1], ColumnSpec("Name", max_length=40), ColumnSpec("NationCode", "NUMBER", "integer"),
+        ColumnSpec("Balance", "NUMBER", "float", precision=18, scale=2), ColumnSpec("Segment", max_length=12),
+    ),
+)
+
+
+@query(
+    "P1_drift",
+    "SELECT CAST(c_custkey AS DECIMAL(18,0)) AS \"ID\", CASE WHEN c_custkey % 3 = 0 THEN c_name || ' of ' || c_mktsegment ELSE c_name END AS \"NAME\","
+    " CAST(CASE WHEN c_custkey % 3 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS DECIMAL(38,0)) AS \"NATIONCODE\","
+    " CASE WHEN c_custkey % 3 = 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS \"BALANCE\", CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS \"SEGMENT\""
+    " FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0",
+)
+def migrate_drift(t: Inputs) -> DataFrame:
+    """A second load that brings new columns, longer text and another type into a table that is there."""
+    root, key, name, nation = _folder(t, "drift"), F.col("c_custkey"), F.col("c_name"), F.col("c_nationkey")
+    first = t["customer"].filter(key % 2 == 0).select(key.alias("Id"), name.alias("Name"), nation.cast("string").alias("NationCode"))
+    settings = migrate.Settings(action="upsert", buckets=16)
+    migrate.migrate_table(first, _CUSTOMER, root, settings)
+    second = t["customer"].filter(key % 3 == 0).select(
+        key.alias("Id"), F.concat(name, F.lit(" of "), "c_mktsegment").alias("Name"), (nation + 100).cast("string").alias("NationCode"),
+        F.col("c_acctbal").cast("decimal(18,2)").alias("Balance"), F.col("c_mktsegment").alias("Segment"),
+    )
+    return migrate.migrate_table(second, _GROWN, root, settings)
+
+
+@query(
+    "P1_overflow",
+    "WITH d AS (SELECT max(length(trim(text))) AS text_chars, max(length(trim(source))) AS source_chars, count(*) FILTER (nullif(trim(ssn), '') IS NULL) AS gaps FROM sensitive)"
+    " SELECT 'ID' AS column_name, 'NUMBER' AS raw_type, NULL AS max_length, FALSE AS is_nullable FROM d"
+    " UNION ALL SELECT 'TEXT', CASE WHEN text_chars > 4000 THEN 'CLOB' ELSE 'VARCHAR2' END, CASE WHEN text_chars <= 100 THEN 100"
+    " WHEN text_chars <= 4000 THEN CAST(least(text_chars + 50, 4000) AS INTEGER) END, TRUE FROM d"
+    " UNION ALL SELECT 'SOURCE', 'VARCHAR2', CASE WHEN source_chars > 2 THEN CAST(source_chars + 50 AS INTEGER) ELSE 2 END, TRUE FROM d"
+    " UNION ALL SELECT 'SSN', 'VARCHAR2', 20, gaps > 0 FROM d",
+    "sensitive",
+)
+def migrate_overflow(t: Inputs) -> DataFrame:
+    """Rows that are too long, or lack a value, for the declared columns: the stored description follows them."""
+    root = _folder(t, "overflow")
+    spec = TableSpec(
+        "Note",
+        "salesforce",
+        columns=(
+            ColumnSpec("Id", "NUMBER", "integer", is_primary_key=True, is_nullable=False), ColumnSpec("Text", max_length=100),
+            ColumnSpec("Source", max_length=2), ColumnSpec("Ssn", max_length=20, is_nullable=False),
+        ),
+    )
+    rows = t["sensitive"].select(F.col("doc_id").alias("Id"), F.col("text").alias("Text"), F.col("source").alias("Source"), F.col("ssn").alias("Ssn"))
+    migrate.migrate_table(rows, spec, root)
+    stored = migrate.description(t.spark, root, "SF_Note")
+    return migrate.spec_rows(t.spark, stored).select("column_name", "raw_type", "max_length", "is_nullable")
+
+
+_LINE = TableSpec(
+    "Line",
+    "salesforce",
+    columns=tuple(ColumnSpec(c, "NUMBER", "integer", is_primary_key=c in _KEYS) for c in ("order_id", "line_no", "quantity"))
+    + (ColumnSpec("flag", max_length=10), ColumnSpec("supplier_id", "NUMBER", "integer"), ColumnSpec("ordinal", "NUMBER", "integer")),
+)
+_AS_LINE = ", ".join(f"CAST({c} AS DECIMAL(38,10)) AS \"{c.upper()}\"" for c in ("order_id", "line_no", "quantity", "supplier_id", "ordinal")) + ', flag AS "FLAG"'
+
+
+@query(
+    "P1_first_load_upsert",
+    f"WITH s AS (SELECT * FROM upsert_source UNION ALL SELECT order_id, line_no, quantity, 'old', supplier_id, ordinal - 1 FROM upsert_source),"
+    " latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_no ORDER BY ordinal DESC) AS rn FROM s WHERE order_id IS NOT NULL) x WHERE rn = 1)"
+    f" SELECT {_AS_LINE} FROM latest UNION ALL SELECT {_AS_LINE} FROM s WHERE order_id IS NULL",
+    "upsert_source",
+)
+def migrate_first_upsert(t: Inputs) -> DataFrame:
+    """Several rows of one key in the first load: the table is made empty and gets one of them."""
+    new = t["upsert_source"]
+    old = new.withColumns({"flag": F.lit("old"), "ordinal": F.col("ordinal") - 1})
+    return migrate.migrate_table(new.unionByName(old), _LINE, _folder(t, "first"), migrate.Settings(action="upsert", buckets=16), order="ORDINAL")
+
+
+@query(
+    "P1_first_load_update",
+    "SELECT CAST(c_custkey AS DECIMAL(18,0)) AS \"ID\", CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS \"NAME\","
+    " CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS \"NATIONCODE\" FROM customer WHERE c_custkey % 2 = 0",
+)
+def migrate_first_update(t: Inputs) -> DataFrame:
+    """An update of a missing table makes it and loads nothing; one after an insert changes only what is there."""
+    root, key = _folder(t, "first"), F.col("c_custkey")
+    rows = t["customer"].select(key.alias("Id"), F.upper("c_name").alias("Name"), F.lit(None).cast("string").alias("NationCode"))
+    update = migrate.Settings(action="update", buckets=16)
+    migrate.migrate_table(rows, _CUSTOMER, root, update)
+    some = t["customer"].filter(key % 2 == 0).select(key.alias("Id"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("NationCode"))
+    migrate.migrate_table(some, _CUSTOMER, root)
+    return migrate.migrate_table(rows.filter(F.col("Id") % 3 == 0), _CUSTOMER, root, update)
+
+
+_CRM = TableSpec(
+    "Account",
+    "salesforce",
+    columns=(
+        ColumnSpec("Id", "id", is_read_only=True), ColumnSpec("Number__c", "string", is_external_id=True), ColumnSpec("Name", "string"),
+        ColumnSpec("Segment__c", "picklist"), ColumnSpec("Nation_Id__c", "int", "integer"), ColumnSpec("CreatedBy", "string", is_read_only=True),
+    ),
+)
+_CHANGED = (
+    "SELECT id, name, CASE WHEN ordinal % 10 = 0 THEN '#N/A' ELSE segment END AS segment, nation_id, created_by, ordinal FROM account_changes"
+)
+
+
+def _crm_rows(df: DataFrame) -> DataFrame:
+    """Account rows under the names of a relational table."""
+    return df.withColumnsRenamed({"id": "NUMBER__C", "name": "NAME", "segment": "SEGMENT__C", "nation_id": "NATION_ID__C", "created_by": "CREATEDBY"})
+
+
+@query(
+    "P1_to_crm",
+    f"WITH changed AS ({_CHANGED}), last AS (SELECT id, {_LAST} FROM changed WHERE id IS NOT NULL GROUP BY id)"
+    " SELECT NULL AS \"Id\", coalesce(a.id, l.id) AS \"Number__c\", coalesce(l.name, a.name) AS \"Name\","
+    " nullif(coalesce(l.segment, a.segment), '#N/A') AS \"Segment__c\", coalesce(l.nation_id, a.nation_id) AS \"Nation_Id__c\","
+    " NULL AS \"CreatedBy\" FROM accounts a FULL JOIN last l ON l.id = a.id"
+    " UNION ALL SELECT NULL, NULL, name, nullif(segment, '#N/A'), nation_id, NULL FROM changed WHERE id IS NULL",
+    "accounts", "account_changes",
+)
+def migrate_to_crm(t: Inputs) -> DataFrame:
+    """Relational rows into a CRM object: NULL leaves a field alone, the marker empties it, read-only fields are not sent."""
+    root = _folder(t, "crm")
+    spec = TableSpec("SF_Account", "oracle")
+    settings = migrate.Settings(source_system="oracle", target_system="salesforce", action="insert", clear_marker="#N/A", buckets=16)
+    migrate.migrate_table(_crm_rows(t["accounts"]), spec, root, settings, target=_CRM)
+    changes = t.spark.sql(_CHANGED.replace("account_changes", "{c}"), c=t["account_changes"])
+    return migrate.migrate_table(_crm_rows(changes), spec, root, replace(settings, action="upsert"), order="ordinal", target=_CRM)
+
+
 @query(
     "P2_migrate_all",
-    "SELECT 'Nation' AS table_name, 'SF_Nation' AS target_name, 'migrated' AS status, NULL AS code, count(*) AS \"rows\""
-    " FROM nation UNION ALL SELECT 'Part', 'SF_Part', 'migrated', NULL, count(*) FROM part"
-    " UNION ALL SELECT 'Secret', 'SF_Secret', 'skipped', 'INSUFFICIENT_ACCESS', NULL"
-    " UNION ALL SELECT 'ora_customer__c', 'customer', 'migrated', NULL, count(*) FROM customer",
+    "SELECT 'Nation' AS table_name, 'SF_Nation' AS target_name, 'migrated' AS status, NULL AS code, count(*) AS processed, 0 AS rejected"
+    " FROM nation UNION ALL SELECT 'Part', 'SF_Part', 'migrated', NULL, count(*), 0 FROM part"
+    " UNION ALL SELECT 'Secret', 'SF_Secret', 'skipped', 'INSUFFICIENT_ACCESS', NULL, NULL"
+    " UNION ALL SELECT 'ora_customer__c', 'customer', 'migrated', NULL, count(*), count(*) FILTER (c_custkey % 9 = 0) FROM customer",
 )
 def migrate_all(t: Inputs) -> DataFrame:
     def denied() -> DataFrame:
         raise migrate.AccessDenied("INSUFFICIENT_ACCESS")
 
-    chosen = {"Nation": t["nation"], "Part": t["part"], "ora_customer__c": t["customer"]}
+    dated = t["customer"].withColumn("since", F.when(F.col("c_custkey") % 9 == 0, "soon").otherwise("2024-01-31"))
+    chosen = {"Nation": t["nation"], "Part": t["part"]}
     tables = {n: ((lambda df=df: df), _simple(n, df)) for n, df in chosen.items()}
+    spec = _simple("ora_customer__c", dated)
+    tables["ora_customer__c"] = (lambda: dated), spec.with_columns(replace(c, raw_type="DATE", canonical="date") if c.name == "since" else c for c in spec.columns)
     tables["Secret"] = (denied, TableSpec("Secret", "salesforce"))
-    return migrate.migrate_all(t.spark, tables, _folder(t, "all"))
+    return migrate.migrate_all(t.spark, tables, _folder(t, "all"), migrate.Settings(keep_rejects=True))
 
 
 @query(
