@@ -35,11 +35,11 @@ TOP = 2000
 #: Bits of one filter, and text bytes counted at once.
 FILTER_BITS = 1 << 25
 BLOCK_BYTES = 1 << 23
-#: Slices of a stripe, by words of a phrase; prefixes of several words have few followers each.
-_SLICES = {1: 1024, 2: 64, 3: 8}
-#: Parts that the counts of hashes are dealt to.
+#: Parts that stripes and the counts of hashes are dealt to; what a block has for one part is one row.
 _DEALT = 1024
-_STRIPE = "prefix string, slice int, next array<string>, count array<long>"
+#: Slices of a stripe, by words of a phrase; prefixes of several words have few followers each.
+_SLICES = {1: _DEALT, 2: 64, 3: 8}
+_STRIPES = "part int, prefix array<string>, next array<string>, count array<long>"
 #: Rows of the ranking are cut to the wanted number in so many parts per language first.
 _PARTS = 64
 
@@ -99,8 +99,9 @@ class Block:
         self.hashes = _hashes(self.words)
         self.lang = lang
 
-    def phrases(self, filters: list[Filter | None], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per length from 2 the distinct phrases that may be frequent: number of the prefix among those one shorter, of the last word, hash, count.
+    def phrases(self, filters: list[Filter | None], longest: int) -> Iterator[tuple]:
+        """Per length from 2 the distinct phrases whose parts may be frequent: number of the prefix among those one shorter, of the last
+        word, hashes of the prefix and of the phrase, count, and whether it may be frequent itself.
 
         ``filters`` tell by length, from 1, which phrases may be; none lets all pass. Only what passes may be part of a longer one.
         """
@@ -117,9 +118,10 @@ class Block:
             code = phrase[at] << 32 | self.ids[at + length - 1]
             distinct, number, counts = np.unique(code, return_inverse=True, return_counts=True)
             prefix, last = distinct >> 32, distinct & 0xFFFFFFFF
-            known = _grown(known[prefix], self.hashes[last])
+            stem = known[prefix]
+            known = _grown(stem, self.hashes[last])
             ok = filters[length - 1].holds(known) if filters[length - 1] is not None else np.ones(len(known), bool)
-            yield length, prefix, last, known, counts, ok
+            yield length, prefix, last, stem, known, counts, ok
             alive = np.zeros(len(starts), bool)
             alive[at] = ok[number]
             phrase = np.zeros(len(starts), np.int64)
@@ -129,30 +131,31 @@ class Block:
         """Stripes of the empty prefix; an entry without a word is the number of all words."""
         if not self.words:
             return [], [], [], []
-        counts = np.bincount(self.ids, minlength=len(self.words))
-        made = _cut(np.zeros(len(self.words), np.int64), (self.hashes % np.uint64(_SLICES[1])).astype(np.int64), counts, np.arange(len(self.words)), [b""], self.words)
-        for column, value in zip(made, ("", 0, [None], [len(self.ids)]), strict=True):
-            column.append(value)
-        return made
+        counts = np.bincount(self.ids, minlength=len(self.words)).tolist()
+        part = (self.hashes % np.uint64(_SLICES[1])).astype(np.int64)
+        spelled = [w.decode() for w in self.words]
+        return _packed(np.append(part, 0), [""] * (len(spelled) + 1), [*spelled, None], [*counts, len(self.ids)])
 
     def stripes(self, filters: list[Filter], longest: int) -> tuple[list, list, list, list]:
-        """Prefix, slice, next words and counts of the phrases in the filters."""
-        made: tuple[list, list, list, list] = ([], [], [], [])
+        """Stripes of the phrases in the filters, by part."""
+        parts, prefixes, nexts, numbers = [np.empty(0, np.int64)], [], [], []
         names: list[bytes] = self.words
-        for length, prefix, last, _, counts, ok in self.phrases(filters, longest):
-            p, w = prefix[ok], last[ok]
-            slices = (self.hashes[w] % np.uint64(_SLICES.get(length, 1))).astype(np.int64)
-            for column, more in zip(made, _cut(p, slices, counts[ok], w, names, self.words), strict=True):
-                column += more
+        for length, prefix, last, stem, _, counts, ok in self.phrases(filters, longest):
+            p, w = prefix[ok].tolist(), last[ok].tolist()
+            cut = mix(stem[ok] + self.hashes[last[ok]] % np.uint64(_SLICES.get(length, 1)))
+            parts.append((cut % np.uint64(_DEALT)).astype(np.int64))
+            prefixes += [names[x].decode() for x in p]
+            nexts += [self.words[x].decode() for x in w]
+            numbers += counts[ok].tolist()
             spelled = [b""] * len(prefix)
-            for k, a, b in zip(np.flatnonzero(ok).tolist(), p.tolist(), w.tolist(), strict=True):
+            for k, a, b in zip(np.flatnonzero(ok).tolist(), p, w, strict=True):
                 spelled[k] = names[a] + b" " + self.words[b]
             names = spelled
-        return made
+        return _packed(np.concatenate(parts), prefixes, nexts, numbers)
 
     def hashed(self, filters: list[Filter | None], shortest: int, longest: int) -> tuple[list, list, list]:
         """Part, hashes and counts of the phrases of the given lengths."""
-        found = [(known, counts) for length, _, _, known, counts, _ in self.phrases(filters, longest) if length >= shortest]
+        found = [(known, counts) for length, _, _, _, known, counts, _ in self.phrases(filters, longest) if length >= shortest]
         if not found:
             return [], [], []
         known, counts = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -164,18 +167,14 @@ class Block:
         return [int(part[a]) for a, _ in spans], [known[a:b] for a, b in spans], [counts[a:b] for a, b in spans]
 
 
-def _cut(prefix: np.ndarray, part: np.ndarray, counts: np.ndarray, last: np.ndarray, names: list[bytes], words: list[bytes]) -> tuple[list, list, list, list]:
-    order = np.lexsort((part, prefix))
-    prefix, part, counts, last = prefix[order], part[order], counts[order].tolist(), last[order].tolist()
-    edges = np.flatnonzero((prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])) + 1
-    bounds = [0, *edges.tolist(), len(prefix)] if len(prefix) else [0]
+def _packed(part: np.ndarray, prefixes: list[str], nexts: list[str | None], counts: list[int]) -> tuple[list, list, list, list]:
+    """Entries of stripes, a row per part."""
+    order = np.argsort(part, kind="stable")
+    bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)] if len(order) else [0]
     spans = list(zip(bounds[:-1], bounds[1:], strict=True))
-    return (
-        [names[prefix[a]].decode() for a, _ in spans],
-        [int(part[a]) for a, _ in spans],
-        [[words[w].decode() for w in last[a:b]] for a, b in spans],
-        [counts[a:b] for a, b in spans],
-    )
+    first = part[order[bounds[:-1]]].tolist() if len(order) else []
+    order = order.tolist()
+    return first, *([[column[i] for i in order[a:b]] for a, b in spans] for column in (prefixes, nexts, counts))
 
 
 def _segments(text: bytes, limit: int) -> Iterator[bytes]:
@@ -221,9 +220,9 @@ def _blocks(texts: DataFrame, make: Callable[[Block], tuple[list, ...]], schema:
 
 
 def merged(stripes: DataFrame) -> DataFrame:
-    """``lang, prefix, next, f``: the stripes added up element by element, where each prefix's slices meet."""
-    met = stripes.repartition("lang", "prefix", "slice").select("lang", "prefix", "slice", F.inline(F.arrays_zip("next", "count")))
-    return met.groupBy("lang", "prefix", "slice", "next").agg(F.sum("count").alias("f")).drop("slice")
+    """``lang, prefix, next, f``: the stripes added up element by element, where the parts of all blocks meet."""
+    met = stripes.repartition("lang", "part").select("lang", "part", F.inline(F.arrays_zip("prefix", "next", "count")))
+    return met.groupBy("lang", "part", "prefix", "next").agg(F.sum("count").alias("f")).drop("part")
 
 
 def _filter(hashes: DataFrame, bits: int) -> Broadcast:
@@ -259,7 +258,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     ``bits`` is a power of two. The texts are read four times: words, hashes of pairs, hashes of longer phrases, stripes.
     """
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    single = staged(merged(_blocks(texts, Block.single, _STRIPE, block)).where(F.col("next").isNull() | (F.col("f") >= least)), "stripes")
+    single = staged(merged(_blocks(texts, Block.single, _STRIPES, block)).where(F.col("next").isNull() | (F.col("f") >= least)), "stripes")
     totals = single.where(F.col("next").isNull()).select("lang", F.col("f").alias("n"))
     words = single.where(F.col("next").isNotNull())
     filters: list[Broadcast | None] = [_filter(_word_hashes(words), bits)]
@@ -271,7 +270,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     def make(part: Block) -> tuple[list, ...]:
         return part.stripes([f.value for f in filters], longest)
 
-    several = staged(merged(_blocks(texts, make, _STRIPE, block)).where(F.col("f") >= least), "stripes")
+    several = staged(merged(_blocks(texts, make, _STRIPES, block)).where(F.col("f") >= least), "stripes")
     size = F.size(F.split("prefix", " ")) + 1
     counts = words.select("lang", F.col("next").alias("phrase"), "prefix", F.lit(1).alias("words"), "f")
     return counts.unionByName(several.select("lang", F.concat("prefix", F.lit(" "), "next").alias("phrase"), "prefix", size.alias("words"), "f")), totals
