@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomsync.llm.common import map_batches
+from loomsync.llm.common import map_batches, with_ids, with_row_keys
 from loomsync.llm.mtree import usable
 from loomsync.session import staged
 
@@ -38,12 +38,14 @@ class Settings:
     #: Lists a vector is copied to, and how much farther (squared) they may be.
     copies: int = 4
     closure: float = 1.2
-    #: Lists a query reads, at least; the probed queries settle how many more.
-    lists: int = 96
-    #: Queries answered by brute force, and the share of their neighbours to be found: 0.9 and a margin for the sample.
+    #: Lists a query reads, at least; the probed queries settle up to what ratio of the nearest distance it reads more.
+    lists: int = 8
+    #: Queries answered by brute force, and the share of their neighbours to be found: 0.9 and a margin for the sample and the graph.
     probes: int = 256
-    recall: float = 0.93
+    recall: float = 0.95
     degree: int = 24
+    #: Centroids that a query first asks the graph for; four times as many while all of them are near enough.
+    beam: int = 64
     #: Vectors of a cell: at least, unless the table is smaller, and at most.
     block: int = 4_096
     cell: int = 32_768
@@ -128,17 +130,18 @@ def _vectors(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
 
-def _directions(queries: np.ndarray) -> np.ndarray:
-    """Queries beside lengthened vectors; their own length does not change the order of products."""
+def _directions(queries: np.ndarray, longest: float) -> np.ndarray:
+    """Queries beside lengthened vectors and as long as these, which does not change the order of products."""
+    queries = queries * (longest / np.sqrt((queries**2).sum(1, keepdims=True)))
     return np.concatenate([queries, np.zeros((len(queries), 1))], 1)
 
 
-def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k: int, settings: Settings) -> tuple[int, int, np.ndarray]:
-    """Lists to read, copies to keep, and the rows of each list with these copies.
+def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k: int, longest: float, settings: Settings) -> tuple[float, int, np.ndarray]:
+    """Ratio of (squared) distances up to which lists are read, copies to keep, and the rows of each list with these copies.
 
-    The neighbours of some queries are found by brute force; each lies in a list that is the
-    n-th nearest of its query. The cheapest pair that finds the wanted share of them counts.
-    No queries give 0 lists.
+    The neighbours of some queries are found by brute force; each lies in a list at some ratio to
+    the nearest list of its query. The cheapest pair that finds the wanted share of them counts.
+    No queries give ratio 0.
     """
     probes = used.where("asks").orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.probes).select("vec_id", "v").toArrow()
     if not len(probes):
@@ -162,21 +165,22 @@ def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k:
     per_copy[rows["nth"].to_numpy(), rows["list"].to_numpy()] = rows["count"].to_numpy()
     sizes = per_copy.cumsum(0)
     if not len(places):
-        return len(centroids), 1, sizes[0]
-    order = _square(_directions(queries), centroids).argsort(1, kind="stable").argsort(1)
+        return 1.0, 1, sizes[0]
+    away = _square(_directions(queries, longest), centroids)
+    ratio = away / np.maximum(away.min(1, keepdims=True), 1e-12 * longest**2)
+    order = away.argsort(1, kind="stable").argsort(1)
     probe, nth = places["probe"].to_numpy(), places["nth"].to_numpy()
-    place = order[probe, places["list"].to_numpy()]
+    place = ratio[probe, places["list"].to_numpy()]
     pair, which = np.unique(np.stack([probe, places["vec_id"].to_numpy()]), axis=1, return_inverse=True)
     choices = []
     for c in range(settings.copies):
-        needed = np.full(pair.shape[1], len(centroids))
+        needed = np.full(pair.shape[1], np.inf)
         np.minimum.at(needed, which.ravel()[nth <= c], place[nth <= c])
-        width = int(np.sort(needed)[int(np.ceil(settings.recall * len(needed))) - 1]) + 1
-        width = min(len(centroids), max(width, settings.lists))
-        read = (sizes[c][None] * (order < width)).sum(1).mean()
-        choices.append((read, c, width))
-    _, c, width = min(choices)
-    return width, c + 1, sizes[c]
+        wanted = float(np.sort(needed)[int(np.ceil(settings.recall * len(needed))) - 1])
+        read = (sizes[c][None] * ((ratio <= wanted) | (order < settings.lists))).sum(1).mean()
+        choices.append((read, c, wanted))
+    _, c, wanted = min(choices)
+    return wanted, c + 1, sizes[c]
 
 
 def _cells(sizes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -193,11 +197,11 @@ def _cells(sizes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarra
     return first, blocks
 
 
-def _best(packed: tuple, centroids: np.ndarray, names: np.ndarray, queries: np.ndarray, far: np.ndarray, k: int, copies: int) -> list:
+def _best(packed: tuple, centroids: np.ndarray, names: np.ndarray, queries: np.ndarray, far: np.ndarray, k: int, copies: int, longest: float) -> list:
     """The ``k`` largest products of each query in the lists of a cell that are as near as ``far``."""
     lists, ids, vectors = packed
     here, starts = np.unique(lists, return_index=True)
-    wanted = _square(_directions(queries), centroids[here]) <= far[:, None]
+    wanted = _square(_directions(queries, longest), centroids[here]) <= far[:, None]
     rough = np.full((len(queries), len(ids)), -np.inf)
     for n, (low, high) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
         who = np.flatnonzero(wanted[:, n])
@@ -221,13 +225,15 @@ def nearest(table: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector:
 
     Rows where ``is_query`` holds are the queries; every other row is a candidate. Vectors that
     are null, zero or have null or non-finite components take no part. Scores are inner products
-    of the given vectors in double precision; ties go to the smaller id. Fewer candidates give
+    of the given vectors in double precision; ties go to the smaller id, a null id coming last. Queries of one
+    id have a list each, and rows of a query's id other than itself are candidates. Fewer candidates give
     fewer rows, an empty table none. Vectors must have one length. Of the true neighbours, about
     ``settings.recall`` are found, as measured on some of the queries before the lists are read.
     """
     spark = table.sparkSession
     used = table.where(usable(vector)).where(F.exists(vector, lambda x: x != 0))
-    used = staged(used.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")), "vectors")
+    used = used.select(F.col(vec_id).cast("long").alias("name"), F.transform(vector, lambda x: x.cast("double")).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    used = with_row_keys(used, "name", "vec_id")
     total, longest = used.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -257,16 +263,24 @@ def nearest(table: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector:
 
     schema = "vec_id long, v array<double>, lists array<int>"
     postings = staged(map_batches(used.select("vec_id", "v"), assign, schema).select("vec_id", "v", F.posexplode("lists").alias("nth", "list")), "postings")
-    width, copies, sizes = _calibrated(used, postings, graph.value.centroids, k, settings)
-    if not width:
+    ratio, copies, sizes = _calibrated(used, postings, graph.value.centroids, k, longest, settings)
+    if not ratio:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     first, blocks = _cells(sizes, settings)
     layout = spark.createDataFrame([(i, int(first[i]), int(blocks[i])) for i in range(len(first))], "list int, first int, blocks int")
 
     def ask(batch: pa.RecordBatch) -> dict:
-        away = _square(_directions(_vectors(batch.column("v"), batch.num_rows)), graph.value.centroids)
-        far = np.partition(away, width - 1, 1)[:, width - 1] * (1 + 1e-9)
-        cells = [np.unique(np.concatenate([np.arange(first[i], first[i] + blocks[i]) for i in np.flatnonzero(row)])).tolist() for row in away <= far[:, None]]
+        """Cells of the lists within the ratio, which the graph finds."""
+        directions, n = _directions(_vectors(batch.column("v"), batch.num_rows), longest), len(graph.value.centroids)
+        width = min(n, max(settings.beam, settings.lists))
+        while True:
+            near, away = graph.value.search(directions, width, width + 32)
+            least = np.maximum(away[:, 0], 1e-12 * longest**2)
+            far = np.maximum(ratio * least, away[:, min(settings.lists, away.shape[1]) - 1]) * (1 + 1e-9)
+            if width == n or (away[:, -1] > far).all():
+                break
+            width = min(n, 4 * width)
+        cells = [np.unique(np.concatenate([np.arange(first[i], first[i] + blocks[i]) for i in row[d <= f]])).tolist() for row, d, f in zip(near, away, far, strict=True)]
         return {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "far": far.tolist(), "cells": cells}
 
     stored = postings.where(F.col("nth") < copies).join(F.broadcast(layout), "list")  # a row per centroid
@@ -293,10 +307,11 @@ def nearest(table: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector:
                     packed = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
                 for i in range(low, high if packed else low, 128):
                     j = min(high, i + 128)
-                    out += _best(packed, graph.value.centroids, names[i:j], flat[i:j], far[i:j], k, copies)
+                    out += _best(packed, graph.value.centroids, names[i:j], flat[i:j], far[i:j], k, copies, longest)
             found = zip(*out, strict=True) if out else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if len(x) else [], t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
     found = cells.mapInArrow(read, "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
     ranked = found.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return with_ids(ranked, used, "name", "vec_id", "query_id", "vec_id")

@@ -7,9 +7,11 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from loomsync.operators.numbering import number_rows
 from loomsync.session import configure
 
 #: Rows per batch that Spark hands to Python; bounds a task's memory for long texts.
@@ -48,6 +50,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], sche
     return df.mapInArrow(run, spark_schema)
 
 
+def with_row_keys(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` with a row number ``key`` in the order of the id ``name`` (null: last), unique where ids repeat or are null."""
+    kept = df.withColumn("_none", F.col(name).isNull())
+    return number_rows(kept, ["_none", name], key, 0).drop("_none")
+
+
+def with_ids(found: DataFrame, keys: DataFrame, name: str, key: str, *columns: str) -> DataFrame:
+    """``found`` with the row keys in ``columns`` turned back into ids."""
+    for column in columns:
+        ids = keys.select(F.col(key).alias(column), F.col(name).alias("_id"))
+        found = found.join(ids, column).select(*[F.col("_id").alias(c) if c == column else F.col(c) for c in found.columns])
+    return found
+
+
 def squeezed(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the bytes of ``text`` compressed one by one, for texts that are to be shuffled; null stays null."""
     names = df.columns

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomsync.session import staged
+from loomsync.llm.common import with_ids, with_row_keys
 
 PAGE = 64
 #: Vectors of one tree, and queries that one task searches a tree for.
@@ -119,17 +119,18 @@ def quantized(vector: str, factor: int = 1024) -> F.Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * factor).cast("long"))
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int, tree: int = TREE, block: int = QUERIES) -> DataFrame:
+def top_k(rows: DataFrame, asks, k: int, tree: int = TREE, block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest integer inner products per query, exactly.
 
-    ``candidates`` and ``queries`` have ``vec_id`` and an array of long ``vector``. A query's own
-    id is no candidate; ties go to the smaller id. Fewer candidates give fewer rows. Trees take
+    ``rows`` have ``vec_id`` and an array of long ``vector``; those where ``asks`` holds are queries. Every row but
+    the query's own is a candidate, also one of the same id, and queries of one id have a list each. Ties go
+    to the smaller id, a null id coming last. Fewer candidates give fewer rows. Trees take
     ``tree`` vectors each and are met by blocks of ``block`` queries; each pair is one task's work,
     and only ``k`` rows per query leave it. Vectors must have one length, and products below 2**53.
     """
-    spark = candidates.sparkSession
-    vectors = staged(candidates.select("vec_id", "vector"), "vectors")
-    asked = staged(queries.select("vec_id", "vector"), "queries")
+    spark = rows.sparkSession
+    known = with_row_keys(rows.select(F.col("vec_id").alias("name"), "vector", F.coalesce(asks, F.lit(False)).alias("asks")), "name", "vec_id")
+    vectors, asked = known.select("vec_id", "vector"), known.where("asks").select("vec_id", "vector")
     trees = max(1, -(-vectors.count() // tree))
     blocks = max(1, -(-asked.count() // block))
     across = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -164,4 +165,5 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, tree: int = TREE, b
 
     found = cells.mapInArrow(run, "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return with_ids(ranked, known, "name", "vec_id", "query_id", "vec_id")

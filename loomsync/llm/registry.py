@@ -89,16 +89,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "op7_exact_top_k",
-    """WITH v AS (SELECT vec_id, [floor(x::DOUBLE * 1024)::BIGINT FOR x IN embedding] AS q FROM embeddings
+    """WITH v AS (SELECT row_number() OVER () AS rid, vec_id, [floor(x::DOUBLE * 1024)::BIGINT FOR x IN embedding] AS q FROM embeddings
         WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
-    e AS (SELECT vec_id, generate_subscripts(q, 1) AS i, unnest(q) AS x FROM v),
-    s AS (SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score FROM e a JOIN e b USING (i) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL),
-    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    e AS (SELECT rid, vec_id, generate_subscripts(q, 1) AS i, unnest(q) AS x FROM v),
+    s AS (SELECT a.rid AS asks, a.vec_id AS query_id, b.rid, b.vec_id, sum(a.x * b.x)::BIGINT AS score FROM e a JOIN e b USING (i) WHERE a.vec_id % 100 = 0 AND a.rid <> b.rid GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY asks ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
 )
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "embeddings").where(mtree.usable("embedding")).select("vec_id", mtree.quantized("embedding").alias("vector"))
-    return mtree.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), 10)
+    return mtree.top_k(rows, F.col("vec_id") % 100 == 0, 10)
 
 
 @query("op8_approximate_neighbours")

@@ -23,7 +23,7 @@ def _frame(spark, vectors):
 def test_top_k_against_all_products(spark, vectors, tree, block):
     rows = _frame(spark, vectors).where(mtree.usable("embedding")).select("vec_id", mtree.quantized("embedding").alias("vector"))
     got = {}
-    for r in mtree.top_k(rows, rows.where("vec_id % 100 = 0"), 10, tree, block).collect():
+    for r in mtree.top_k(rows, F.col("vec_id") % 100 == 0, 10, tree, block).collect():
         got.setdefault(r[0], []).append(tuple(r)[1:])
     ids = np.array([i for i, _ in vectors])
     whole = np.floor(np.array([v for _, v in vectors], np.float64) * 1024).astype(np.int64)
@@ -73,4 +73,23 @@ def test_no_vectors(spark):
     df = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert ann.nearest(df, F.lit(True), 5).count() == 0
     rows = df.where(mtree.usable("embedding")).select("vec_id", mtree.quantized("embedding").alias("vector"))
-    assert mtree.top_k(rows, rows, 5).count() == 0
+    assert mtree.top_k(rows, F.lit(True), 5).count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    """Each row asks and answers for itself, whatever its id."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (None, [0.9, 0.1]), (None, [0.1, 0.9]), (3, [0.9, 0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asks = F.coalesce(F.col("vec_id") == 0, F.lit(False))
+    quantized = df.select("vec_id", mtree.quantized("embedding").alias("vector"))
+    exact = mtree.top_k(quantized, asks, 3).collect()
+    near = ann.nearest(df, asks, 3).collect()
+    for found in (exact, near):
+        assert sorted((r["query_id"], r["rank"]) for r in found) == [(0, 1), (0, 1), (0, 2), (0, 2), (0, 3), (0, 3)]
+        lists = {}
+        for r in found:
+            lists.setdefault(round(r["score"], 3), []).append((r["rank"], r["vec_id"]))
+        # For [1, 0]: 3 and a null id share the best score, and the null comes last; then the other null row.
+        assert sorted((r["rank"], r["vec_id"] is None, r["vec_id"] or 0) for r in found) == sorted(
+            [(1, False, 3), (2, True, 0), (3, True, 0), (1, True, 0), (2, False, 3), (3, True, 0)]
+        )
