@@ -206,6 +206,31 @@ def test_csv_and_json_files(spark, tmp_path):
     assert tables.binary_files(spark, str(tmp_path), "*.bin").first()["body"] == base64.b64encode(b"\x00\x01" * 60).decode()
 
 
+def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_path):
+    """Line ends, quotes and separators in fields, wherever the splits fall."""
+    cells = ["plain", 'a "quoted" word', "two\nlines", "x,y", "", None, "\n\n", '"', "long " * 40 + "\n" + "z" * 90, "crlf\r\ninside", "é\u0000ü"]
+    rows = [(str(i), cells[i % len(cells)], cells[(i * 7) % len(cells)]) for i in range(700)]
+    df = spark.createDataFrame(rows, "id string, a string, b string")
+    for ending in ("LF", "CRLF"):
+        path = f"{tmp_path}/{ending}"
+        text_files.write_csv(df.coalesce(1), path, "COMMA", ending)
+        want = sorted(map(str, text_files.read_csv(spark, path, whole_files=True).collect()))
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        for size in ("4m", "3000", "257"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            try:
+                got = text_files.read_csv(spark, path)
+                assert sorted(map(str, got.collect())) == want
+                if size == "257":
+                    assert text_files.csv_records(spark, path).select(F.spark_partition_id()).distinct().count() > 20
+                with pytest.raises(Exception, match="the header of a CSV file is id,a,b"):
+                    text_files.read_csv(spark, path, columns=["a", "id", "b"]).collect()
+            finally:
+                spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_chunks_respect_both_limits(spark):
     rows = spark.range(500).select("id", F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")).alias("t"))
     chunks = text_files.chunk_by_bytes(rows, ["id"], 30, 400)
