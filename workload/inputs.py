@@ -362,7 +362,7 @@ class Inputs:
         return self._made[name]
 
 
-def oracle(text: str, *names: str) -> str:
+def oracle(text: str, *names: str, materialized: bool = False) -> str:
     """SQL for the oracle: ``text`` after a WITH list of the derived inputs it names."""
     order: list[str] = []
 
@@ -374,7 +374,8 @@ def oracle(text: str, *names: str) -> str:
 
     for name in names:
         visit(name)
-    parts = [f"{n} AS ({re.sub(r'{(\w+)}', r'\1', DERIVED[n]).strip()})" for n in order]
+    how = "AS MATERIALIZED" if materialized else "AS"
+    parts = [f"{n} {how} ({re.sub(r'{(\w+)}', r'\1', DERIVED[n]).strip()})" for n in order]
     body = text.strip()
     if not parts:
         return body

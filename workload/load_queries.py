@@ -348,7 +348,8 @@ def key_rollup(t: Inputs) -> DataFrame:
     )
 
 
-query("C6_fk_pairs", _FK, *_CONSTRAINTS)(lambda t: catalog.fk_pairs(t["cat_constraints"], t["cat_cons_columns"]))
+# Each input is worked out once; one engine has not come to an end with them inlined.
+query("C6_fk_pairs", _FK.replace(" AS (", " AS MATERIALIZED ("), *_CONSTRAINTS, materialized=True)(lambda t: catalog.fk_pairs(t["cat_constraints"], t["cat_cons_columns"]))
 
 _KINDS = ", ".join(f"('{k}', '{v}')" for k, v in catalog.CONSTRAINT_TEXT.items())
 _LISTING = (
@@ -364,7 +365,11 @@ _LISTED = ["owner", "table_name", "column_name", "constraint_name", "constraint_
 query("C7_constraint_listing", _LISTING, *_CONSTRAINTS)(
     lambda t: catalog.constraint_listing(t["cat_constraints"], t["cat_cons_columns"]).select(*_LISTED)
 )
-query("C7_filtered_listing", f"SELECT * FROM ({_LISTING}) WHERE owner = 'OWN3' AND column_name = 'C3'", *_CONSTRAINTS)(
+query(
+    "C7_filtered_listing",
+    _LISTING.replace(" AS (", " AS MATERIALIZED (") + " WHERE owner = 'OWN3' AND placed.column_name = 'C3'",
+    *_CONSTRAINTS, materialized=True,
+)(
     lambda t: catalog.constraint_listing(
         t["cat_constraints"], t["cat_cons_columns"], owner="own3", column_name="c3"
     ).select(*_LISTED)
@@ -423,6 +428,29 @@ query(
     "desired_columns", "cat_columns",
 )(lambda t: catalog.schema_drift(t["desired_columns"], t["cat_columns"]))
 
+_DESIRED_TWICE = (
+    "SELECT 'A' AS owner, table_name, column_name, raw_type, canonical, max_length, is_nullable FROM {d} UNION ALL"
+    " SELECT 'B', table_name, column_name, raw_type, canonical, max_length + 500, is_nullable FROM {d}"
+)
+_ACTUAL_TWICE = (
+    "SELECT 'A' AS owner, table_name, column_name, data_type, char_length, data_length, nullable FROM {a} UNION ALL"
+    " SELECT 'B', table_name, column_name, data_type, char_length + 200, data_length, nullable FROM {a}"
+)
+
+
+@query(
+    "C12_owner_drift",
+    f"WITH d2 AS ({_DESIRED_TWICE.format(d='desired_columns')}), a2 AS ({_ACTUAL_TWICE.format(a='cat_columns')}), "
+    + _BOTH.removeprefix("WITH ").replace("desired_columns d", "d2 d").replace("cat_columns a ON", "a2 a ON a.owner = d.owner AND")
+    + _DRIFT.replace("SELECT table_name", "SELECT owner, table_name"),
+    "desired_columns", "cat_columns",
+)
+def owner_drift(t: Inputs) -> DataFrame:
+    """Tables of one name under two owners."""
+    desired = t.spark.sql(_DESIRED_TWICE, d=t["desired_columns"])
+    return catalog.schema_drift(desired, t.spark.sql(_ACTUAL_TWICE, a=t["cat_columns"]), enforce=False)
+
+
 # What the profiled table declares.
 _DECLARED = [
     ("doc_id", "NUMBER", None, False, True, True),
@@ -488,6 +516,24 @@ def rename_map(t: Inputs) -> DataFrame:
     return catalog.rename_map(source, target)
 
 
+@query(
+    "C14_owner_rename",
+    "SELECT 'A' AS owner, table_name, lower(column_name) || ' x' AS source_column, column_name || '_X' AS target_column FROM cat_columns"
+    " UNION ALL SELECT 'B', table_name, lower(column_name) || ' x', lower(column_name) || '-x' FROM cat_columns",
+    "cat_columns",
+)
+def owner_rename(t: Inputs) -> DataFrame:
+    """Tables of one name under two owners, whose columns are spelled differently."""
+
+    def columns(owner: str, name: Column) -> DataFrame:
+        return t["cat_columns"].select(F.lit(owner).alias("owner"), "table_name", name.alias("column_name"), F.col("column_id").alias("ordinal"))
+
+    column = F.col("column_name")
+    told = F.concat(F.lower(column), F.lit(" x"))
+    target = columns("A", F.concat(column, F.lit("_X"))).unionByName(columns("B", F.concat(F.lower(column), F.lit("-x"))))
+    return catalog.rename_map(columns("A", told).unionByName(columns("B", told)), target)
+
+
 query(
     "C15_rename_columns",
     "SELECT c_custkey AS \"CUSTOMER_ID\", c_name AS \"NAME\", c_acctbal FROM customer",
