@@ -185,14 +185,17 @@ def to_text(value: Column, kind: str) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def omit_nulls(fields: Mapping[str, Column], clear: Column | None = None) -> Column:
-    """JSON object without NULL keys; names listed in ``clear`` stay as null."""
-    kept = F.array(
-        *[
-            F.struct(F.lit(name).alias("key"), value.cast("string").alias("value"))
-            for name, value in fields.items()
-        ]
-    )
+def omit_nulls(fields: Mapping[str, Column], clear: Column | None = None, kinds: Mapping[str, str] | None = None) -> Column:
+    """JSON object of the fields' texts without NULL keys; names listed in ``clear`` stay as null.
+
+    ``kinds`` names the Spark types of fields that are no text, whose text is that of ``to_text``.
+    """
+    kinds = kinds or {}
+
+    def text(name: str, value: Column) -> Column:
+        return F.when(value.isNotNull(), to_text(value, kinds.get(name, "string")))
+
+    kept = F.array(*[F.struct(F.lit(name).alias("key"), text(name, value).alias("value")) for name, value in fields.items()])
     cleared = F.array().cast("array<string>") if clear is None else F.coalesce(clear, F.array().cast("array<string>"))
     chosen = F.filter(kept, lambda e: e["value"].isNotNull() | F.array_contains(cleared, e["key"]))
     blanked = F.transform(

@@ -196,6 +196,26 @@ def omit_nulls(t: Inputs) -> DataFrame:
     return t["members"].select("member_id", cells.omit_nulls(fields, clear).alias("body"))
 
 
+@query(
+    "T9_typed_fields",
+    "SELECT event_id, '{' || array_to_string(list_filter(["
+    " CASE WHEN event_id % 3 > 0 THEN '\"flag\":\"' || CASE WHEN value > 50 THEN 'true' ELSE 'false' END || '\"' END,"
+    " '\"stamp\":\"' || CASE WHEN date_part('microseconds', ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+    " ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END || '\"', '\"day\":\"' || strftime(ts, '%Y-%m-%d') || '\"',"
+    " CASE WHEN event_id % 4 > 0 THEN '\"who\":\"' || CAST(user_id AS VARCHAR) || '\"' END, '\"amount\":\"' || CAST(value AS VARCHAR) || '\"'"
+    "], lambda x: x IS NOT NULL), ',') || '}' AS body FROM events",
+)
+def typed_fields(t: Inputs) -> DataFrame:
+    """Fields that are no text are sent as a CRM wants them."""
+    at = F.col("event_id")
+    fields = {
+        "flag": F.when(at % 3 > 0, F.col("value") > 50), "stamp": F.col("ts"), "day": F.col("ts").cast("date"),
+        "who": F.when(at % 4 > 0, F.col("user_id")), "amount": F.col("value"),
+    }
+    kinds = {"flag": "boolean", "stamp": "timestamp_ntz", "day": "date", "who": "bigint", "amount": "double"}
+    return t["events"].select("event_id", cells.omit_nulls(fields, kinds=kinds).alias("body"))
+
+
 # --- typed to target -------------------------------------------------------
 
 _NUL_FREE = "replace({c}, chr(0), '')"
