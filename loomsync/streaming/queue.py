@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsync.operators.loads import LayeredTable, VersionedTable
+from loomsync.operators.loads import LayeredTable
 from loomsync.plans import sync
 
 _KEYS = {
@@ -18,6 +18,23 @@ _KEYS = {
 COMPACT_AFTER = 64
 
 
+class Processed:
+    """The processed rows, one folder per micro-batch and no list of them: a batch's folder tells that it is done."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+
+    def holds(self, batch_id: int) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch={batch_id}/_SUCCESS")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.root).drop("batch")
+
+
 def state_tables(spark: SparkSession, root: str) -> dict[str, LayeredTable]:
     return {name: LayeredTable(spark, f"{root}/{name}", keys) for name, keys in _KEYS.items()}
 
@@ -43,15 +60,14 @@ def run_stream(
     if options.max_records:
         raise ValueError("a stream has no cap on records: max_records belongs to a single run")
     tables = state_tables(spark, root)
-    done = VersionedTable(spark, f"{root}/processed")
+    done = Processed(spark, f"{root}/processed")
     for name, table in tables.items():
         start = getattr(initial, name)
         if start is not None and not table.exists():
             table.base.write(start, "initial")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
-        if done.holds(tag):
+        if done.holds(batch_id):
             return
         for table in tables.values():
             if table.exists() and table.depth() >= compact_after:
@@ -65,7 +81,7 @@ def run_stream(
             rows = getattr(changes, name)
             if rows is not None:
                 table.add(rows, batch_id)
-        done.append(outcome.rows, tag)
+        done.add(outcome.rows, batch_id)
 
     schema = spark.read.parquet(staging).schema
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(staging)

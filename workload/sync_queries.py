@@ -385,3 +385,14 @@ def sync_stream(t: Inputs) -> DataFrame:
     done = run_stream(t.spark, f"{root}/staging", f"{root}/tables", _state(t), _references(t), _whole(t))
     return done.select("mq_id", "mq_status")
 
+
+
+@query("M17_stream_files", _chain(_WINDOWS) + " SELECT mq_id, pid, mq_status FROM judged", *_ALL)
+def stream_files(t: Inputs) -> DataFrame:
+    """Several files, a micro-batch each: every batch starts from the state that the one before has left."""
+    root = f"{shared_dir(t.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    inbound, window = _queue(t), F.expr(f"mq_id div {_three(t).commit_size}")
+    for k in range(_WINDOWS):
+        inbound.filter(window == k).coalesce(1).write.mode("append").parquet(f"{root}/staging")
+    done = run_stream(t.spark, f"{root}/staging", f"{root}/tables", _state(t), _references(t), _whole(t), max_files=1, compact_after=2)
+    return done.select("mq_id", "pid", "mq_status")
