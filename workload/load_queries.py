@@ -87,7 +87,7 @@ def load_full(t: Inputs) -> DataFrame:
     *_PAIR,
 )
 def load_upsert(t: Inputs) -> DataFrame:
-    return _keyed(t, "upsert", t["upsert_target"], _KEYS).upsert(t["upsert_source"], "ordinal")
+    return loads.upsert(t["upsert_target"], t["upsert_source"], _KEYS, "ordinal")
 
 
 @query(
@@ -98,9 +98,17 @@ def load_upsert(t: Inputs) -> DataFrame:
     *_PAIR,
 )
 def load_update(t: Inputs) -> DataFrame:
-    return _keyed(t, "update", t["upsert_target"], _KEYS).update(t["upsert_source"], "ordinal")
+    return loads.update(t["upsert_target"], t["upsert_source"], _KEYS, "ordinal")
 
 
+_ACCOUNT = TableSpec(
+    "Account",
+    system="salesforce",
+    columns=(
+        ColumnSpec("id", is_read_only=True, is_external_id=True), ColumnSpec("name"), ColumnSpec("segment"),
+        ColumnSpec("nation_id", "NUMBER", "integer"), ColumnSpec("created_by", is_read_only=True),
+    ),
+)
 _LAST = ", ".join(f"arg_max({c}, ordinal) FILTER ({c} IS NOT NULL) AS {c}" for c in ("name", "segment", "nation_id"))
 
 
@@ -113,16 +121,24 @@ _LAST = ", ".join(f"arg_max({c}, ordinal) FILTER ({c} IS NOT NULL) AS {c}" for c
     "accounts", "account_changes",
 )
 def load_overlay(t: Inputs) -> DataFrame:
-    spec = TableSpec(
-        "Account",
-        system="salesforce",
-        columns=(
-            ColumnSpec("id", is_read_only=True, is_external_id=True), ColumnSpec("name"), ColumnSpec("segment"),
-            ColumnSpec("nation_id", "NUMBER", "integer"), ColumnSpec("created_by", is_read_only=True),
-        ),
-    )
-    key = loads.external_key(spec)
-    return _keyed(t, "overlay", t["accounts"], [key]).overlay(t["account_changes"], "ordinal", spec.writable)
+    return loads.overlay(t["accounts"], t["account_changes"], loads.external_key(_ACCOUNT), "ordinal", _ACCOUNT.writable)
+
+
+# The same loads into stored tables, of which only the buckets that hold a key of the source are written.
+@query("L4_keyed_upsert", registry.oracle["L4_load_upsert_full"])
+def keyed_upsert(t: Inputs) -> DataFrame:
+    return _keyed(t, "upsert", t["upsert_target"], _KEYS).upsert(t["upsert_source"], "ordinal")
+
+
+@query("L5_keyed_update", registry.oracle["L5_load_update"])
+def keyed_update(t: Inputs) -> DataFrame:
+    return _keyed(t, "update", t["upsert_target"], _KEYS).update(t["upsert_source"], "ordinal")
+
+
+@query("L6_keyed_overlay", registry.oracle["L6_load_upsert_overlay"])
+def keyed_overlay(t: Inputs) -> DataFrame:
+    key = loads.external_key(_ACCOUNT)
+    return _keyed(t, "overlay", t["accounts"], [key]).overlay(t["account_changes"], "ordinal", _ACCOUNT.writable)
 
 
 @query(
