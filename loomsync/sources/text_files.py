@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -193,26 +194,39 @@ def json_page_lines(spark: SparkSession, path: str, schema: T.StructType | str)
     return _records(spark.read.schema(schema).json(path))
 
 
+def csv_bytes(rows: DataFrame, delimiter: str = "COMMA", line_ending: str = "LF") -> Column:
+    """Bytes of a row as a CSV line: cells, the quotes they need, separators and the line end."""
+    special = [DELIMITERS[delimiter], '"', "\n", "\r"]
+    size = F.lit(len(rows.columns) - 1 + len(LINE_ENDINGS[line_ending]))
+    for name in rows.columns:
+        text = F.col(f"`{name}`").cast("string")
+        quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+        quoted = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in special])
+        size = size + F.coalesce(F.octet_length(text) + F.when(quoted, quotes + 2).otherwise(0), F.lit(0))
+    return size.cast("bigint")
+
+
 def chunk_by_bytes(
-    rows: DataFrame, order_by: list[str], max_records: int, max_bytes: int = MAX_FILE_BYTES, name: str = "chunk"
-) -> DataFrame:
-    """Chunk label of every row so that no chunk exceeds either limit.
+    rows: DataFrame, order_by: list[str], max_records: int, max_bytes: int = MAX_FILE_BYTES, name: str = "chunk",
+    delimiter: str = "COMMA", line_ending: str = "LF",
+) -> DataFrame:
+    """Chunk label of every row so that no chunk, as a CSV file with a header, exceeds either limit.
 
     Rows are range-partitioned by a total order and cut greedily inside each
-    partition; a partition boundary always starts a chunk.
+    partition; a partition boundary always starts a chunk. A row longer than a file is a chunk of its own.
     """
-    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rows.columns), F.lit(0))
-    measured = rows.withColumn("_bytes", (size + len(rows.columns) - 1).cast("bigint"))
+    measured = rows.withColumn("_bytes", csv_bytes(rows, delimiter, line_ending))
+    header = len(DELIMITERS[delimiter].join(rows.columns).encode()) + len(LINE_ENDINGS[line_ending])
     ordered = measured.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     schema = T.StructType([*measured.schema.fields, T.StructField(name, T.StringType())])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, held, held_bytes = TaskContext.get().partitionId(), 0, 0, 0
+        part, number, held, held_bytes = TaskContext.get().partitionId(), 0, 0, header
         for batch in batches:
             labels = []
             for row_bytes in batch["_bytes"]:
                 if held and (held + 1 > max_records or held_bytes + row_bytes > max_bytes):
-                    number, held, held_bytes = number + 1, 0, 0
+                    number, held, held_bytes = number + 1, 0, header
                 held, held_bytes = held + 1, held_bytes + row_bytes
                 labels.append(f"{part}-{number}")
             batch[name] = labels

@@ -231,6 +231,15 @@ def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_path):
                 spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_line_bytes_are_those_of_the_file(spark, tmp_path):
+    cells = ["plain", 'a "quoted" word', "two\nlines", "x,y", "", None, '"', "é", " padded "]
+    rows = spark.createDataFrame([(str(i), a, b) for i, (a, b) in enumerate((a, b) for a in cells for b in cells)], "id string, a string, b string")
+    text_files.write_csv(rows.coalesce(1), str(tmp_path / "t"))
+    (file,) = (tmp_path / "t").glob("*.csv")
+    counted = rows.agg(F.sum(text_files.csv_bytes(rows))).first()[0]
+    assert file.stat().st_size == len("id,a,b\n") + counted
+
+
 def test_chunks_respect_both_limits(spark):
     rows = spark.range(500).select("id", F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")).alias("t"))
     chunks = text_files.chunk_by_bytes(rows, ["id"], 30, 400)

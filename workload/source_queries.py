@@ -165,6 +165,30 @@ def chunk_by_bytes(t: Inputs) -> DataFrame:
     return per_chunk.agg(F.sum("n").alias("total_rows"), F.count_if(broken).alias("broken_chunks"))
 
 
+def _line_bytes(columns: list[str]) -> str:
+    """Bytes of a row as a CSV line, in SQL."""
+    cells = []
+    for c in columns:
+        text = f"CAST({c} AS VARCHAR)"
+        quoted = " OR ".join(f"contains({text}, {mark})" for mark in ("','", "'\"'", "chr(10)", "chr(13)"))
+        quotes = f"length({text}) - length(replace({text}, '\"', ''))"
+        cells.append(f"coalesce(strlen({text}) + CASE WHEN {quoted} THEN 2 + {quotes} ELSE 0 END, 0)")
+    return " + ".join([*cells, str(len(columns))])
+
+
+_DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@query("S11_line_bytes", f"SELECT doc_id, CAST({_line_bytes(_DOCUMENT)} AS BIGINT) AS line_bytes, TRUE AS fits FROM documents")
+def line_bytes(t: Inputs) -> DataFrame:
+    """Size of every line, and whether the file of its chunk is within the limit."""
+    limit = 60_000
+    chunks = text_files.chunk_by_bytes(t["documents"].select(*_DOCUMENT), ["doc_id"], 40, limit)
+    header = len(",".join(_DOCUMENT)) + 1
+    sizes = chunks.groupBy("chunk").agg(((F.sum("_bytes") + header <= limit) | (F.count("*") == 1)).alias("fits"))
+    return chunks.join(sizes, "chunk").select("doc_id", F.col("_bytes").alias("line_bytes"), "fits")
+
+
 query("S12_row_count", "SELECT count(*) AS \"rows\" FROM lineitem")(lambda t: tables.row_count(t["lineitem"]))
 
 _MEMBER = ["member_id", "middle_name", "name_suffix_id", "dt_of_death", "email_addr", "ssn"]
