@@ -32,6 +32,7 @@ DEFAULT_WINDOW = 50_000
 
 SCAN_BLOCK = 16_384
 
+# The fields of each fingerprint, in its order.
 DEMOGRAPHICS = [
     "first_name", "middle_name", "last_name", "name_suffix_id", "birthdate",
     "dt_of_death", "email_addr", "gender_id", "mar_status_id",
@@ -46,7 +47,7 @@ WIDTHS = {
     "county": 64, "state": 64, "postal": 16, "country": 16,
 }
 
-# Census column and the inbound expression that fills it.
+# Census columns, each with the inbound expression that fills it.
 CENSUS = {
     "first_name": F.col, "middle_initial": lambda _: initial(F.col("middle_name")), "last_name": F.col,
     "birthdate": F.col, "dt_of_death": F.col, "address1": F.col, "address2": F.col, "address3": F.col,

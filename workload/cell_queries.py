@@ -16,6 +16,7 @@ query = registry.add
 
 # --- names -----------------------------------------------------------------
 
+# Fixed values in this file: patterns of numbers, dates, statements and identifiers, prefixes, suffixes, mask texts.
 _WORDS = ", ".join(f"'{w}'" for w in sorted(names.RESERVED_WORDS))
 IDENTIFIER = f"""
 WITH a AS (SELECT {{key}} AS k, upper(regexp_replace(regexp_replace({{name}}, '[^A-Za-z0-9_]+', '_', 'g'),
