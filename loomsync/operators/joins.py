@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,15 +20,18 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return left.join(right, keys, how)
 
 
-def left_join_many(one: DataFrame, many: DataFrame, keys: list[str]) -> DataFrame:
+def left_join_many(one: DataFrame, many: DataFrame, keys: list[str], known: DataFrame | None = None) -> DataFrame:
     """Left join where the right side may hold a hot key.
 
-    The many side is cut like the left side of ``join_unique``; rows without a
-    match are added from an anti join against the distinct keys.
+    A left join cannot be cut on its right side, an inner join can. So the right side gets one empty row for each
+    key that it lacks, and NULL, which matches nothing, is one of these; what is worked out for ``one`` is worked out
+    once. ``known`` are the keys of ``one``, or more, where they are to be had for less.
     """
-    matched = join_unique(many, one, keys, "inner")
-    missing = one.join(many.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(missing, allowMissingColumns=True)
+    there = many.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+    lacking = (one if known is None else known).select(*keys).distinct().join(there.select(*keys).distinct(), keys, "left_anti")
+    right = there.unionByName(lacking, allowMissingColumns=True).withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return one.join(right, same, "inner").drop(*[f"_right_{k}" for k in keys])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -135,7 +135,8 @@ def current_state(
     people = typed_lookup(people, lov, "gender_id", "CSM_SEX", "gender", **spec)
     people = people.join(prefixes, "name_prefix_id", "left").join(suffixes, "name_suffix_id", "left")
     main = state.phones.filter(F.col("phone_type_id") == MAIN_PHONE)
-    placed = left_join_many(left_join_many(people, state.addresses, ["member_id"]), main, ["member_id"])
+    known = active_members(state.members).select("member_id")
+    placed = left_join_many(left_join_many(people, state.addresses, ["member_id"], known), main, ["member_id"], known)
     return placed.join(phone_types, "phone_type_id", "left").withColumns(
         {"address_hash": _group(ADDRESS), "phone_hash": _group(PHONE)}
     )
