@@ -60,12 +60,17 @@ def _fits(precision: int, scale: int) -> str:
 def _exact_text(number: Column, kind: str) -> Column:
     """A number's text as the decimal ``kind``, NULL if that would change its value.
 
-    Only text with an exponent needs its digits moved before they can be compared.
+    Only text with an exponent needs its digits moved before they can be compared; that part is kept
+    apart in a lambda, so that the text is worked out once and the rest of the row stays small code.
     """
     precision, scale = map(int, re.findall(r"\d+", kind))
-    value = number.try_cast(kind)
-    moved = _canonical_digits(number) == _canonical_digits(value.cast("string"))
-    return F.when(number.rlike(_fits(precision, scale)), value).when(number.rlike(_POWER), F.when(moved, value))
+
+    def moved(text: Column) -> Column:
+        value = text.try_cast(kind)
+        return F.when(_canonical_digits(text) == _canonical_digits(value.cast("string")), value)
+
+    plain = F.when(number.rlike(_fits(precision, scale)), number.try_cast(kind))
+    return plain.when(number.rlike(_POWER), F.get(F.transform(F.array(number), moved), F.lit(0)))
 
 
 def _exact(number: Column, source: str, kind: str) -> Column:

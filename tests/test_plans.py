@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from loomsync.functions import masking
+from loomsync.functions import cells, masking
 from loomsync.operators import catalog, joins
 from loomsync.plans import sync
 from loomsync.sources import tables
+from loomsync.spec import ColumnSpec, TableSpec
 from workload.inputs import Inputs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -42,3 +43,32 @@ def test_latest_combines_before_the_shuffle(spark):
     rows = spark.read.parquet(f"{FOLDER}/events.parquet").select("user_id", "event_id", "value")
     text = plan(joins.latest_per_key(rows, ["user_id"], "event_id"))
     assert "partial_max_by" in text
+
+
+def test_sync_lookups_start_no_job(spark):
+    t = Inputs(spark, FOLDER)
+    state, inbound = sync.State(t["members"], t["addresses"], t["phones"]), t["inbound"]
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    found = sync.change_flags(sync.hydrate(inbound, state))
+    assert spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() == jobs
+    assert "CartesianProduct" not in plan(found) and "Python" not in plan(found)
+
+
+def test_current_state_works_members_out_once(spark):
+    t = Inputs(spark, FOLDER)
+    state = sync.State(t["members"], t["addresses"], t["phones"])
+    lov, empty = t["lov"], spark.createDataFrame
+    view = sync.current_state(
+        state, lov, empty([], "name_prefix_id bigint, name_prefix string"), empty([], "name_suffix_id bigint, name_suffix string"),
+        empty([], "phone_type_id bigint, phone_type string"),
+    )
+    text = view._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("AS demogr_hash") == 1
+
+
+def test_numbers_need_few_patterns(spark):
+    """A cell's text is worked out in few places; only exponents have their digits moved, apart from the rest."""
+    rows = spark.createDataFrame([("1.5", 2)], "a string, b bigint")
+    spec = TableSpec("T", columns=(ColumnSpec("a", "NUMBER", "float"), ColumnSpec("b", "NUMBER", "integer", precision=9, scale=0)))
+    text = cells.normalize_frame(rows, spec)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("(?U)^") <= 6 and text.count("transform") == 1
