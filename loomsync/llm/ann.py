@@ -44,8 +44,8 @@ class Settings:
     probes: int = 256
     recall: float = 0.95
     degree: int = 24
-    #: Centroids that a query first asks the graph for; four times as many while all of them are near enough.
-    beam: int = 64
+    #: A query measures all centroids where it would ask the graph for more than one in so many.
+    scan: int = 8
     #: Vectors of a cell: at least, unless the table is smaller, and at most.
     block: int = 4_096
     cell: int = 32_768
@@ -136,8 +136,9 @@ def _directions(queries: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([queries, np.zeros((len(queries), 1))], 1)
 
 
-def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k: int, longest: float, settings: Settings) -> tuple[float, int, np.ndarray]:
-    """Ratio of (squared) distances up to which lists are read, copies to keep, and the rows of each list with these copies.
+def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k: int, longest: float, settings: Settings) -> tuple[float, int, int, np.ndarray]:
+    """Ratio of (squared) distances up to which lists are read, the most lists that a query had within it, copies to keep, and
+    the rows of each list with these copies.
 
     The neighbours of some queries are found by brute force; each lies in a list at some ratio to
     the nearest list of its query. The cheapest pair that finds the wanted share of them counts.
@@ -145,7 +146,7 @@ def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k:
     """
     probes = used.where("asks").orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.probes).select("vec_id", "v").toArrow()
     if not len(probes):
-        return 0, 0, np.zeros(0)
+        return 0, 0, 0, np.zeros(0)
     names, queries = probes["vec_id"].to_numpy(), _vectors(probes["v"].combine_chunks(), len(probes))
 
     def score(batch: pa.RecordBatch) -> dict:
@@ -165,7 +166,7 @@ def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k:
     per_copy[rows["nth"].to_numpy(), rows["list"].to_numpy()] = rows["count"].to_numpy()
     sizes = per_copy.cumsum(0)
     if not len(places):
-        return 1.0, 1, sizes[0]
+        return 1.0, 1, 1, sizes[0]
     away = _square(_directions(queries, longest), centroids)
     ratio = away / np.maximum(away.min(1, keepdims=True), 1e-12 * longest**2)
     order = away.argsort(1, kind="stable").argsort(1)
@@ -180,7 +181,7 @@ def _calibrated(used: DataFrame, postings: DataFrame, centroids: np.ndarray, k:
         read = (sizes[c][None] * ((ratio <= wanted) | (order < settings.lists))).sum(1).mean()
         choices.append((read, c, wanted))
     _, c, wanted = min(choices)
-    return wanted, c + 1, sizes[c]
+    return wanted, int((ratio <= wanted).sum(1).max()), c + 1, sizes[c]
 
 
 def _cells(sizes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -263,23 +264,29 @@ def nearest(table: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector:
 
     schema = "vec_id long, v array<double>, lists array<int>"
     postings = staged(map_batches(used.select("vec_id", "v"), assign, schema).select("vec_id", "v", F.posexplode("lists").alias("nth", "list")), "postings")
-    ratio, copies, sizes = _calibrated(used, postings, graph.value.centroids, k, longest, settings)
+    ratio, width, copies, sizes = _calibrated(used, postings, graph.value.centroids, k, longest, settings)
     if not ratio:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     first, blocks = _cells(sizes, settings)
     layout = spark.createDataFrame([(i, int(first[i]), int(blocks[i])) for i in range(len(first))], "list int, first int, blocks int")
 
     def ask(batch: pa.RecordBatch) -> dict:
-        """Cells of the lists within the ratio, which the graph finds."""
+        """Cells of the lists within the ratio. The graph finds them where they are few beside all; to reach a large
+        part of the centroids one by one would cost more than to measure every one."""
         directions, n = _directions(_vectors(batch.column("v"), batch.num_rows), longest), len(graph.value.centroids)
-        width = min(n, max(settings.beam, settings.lists))
+        beam = max(2 * width, settings.lists)
         while True:
-            near, away = graph.value.search(directions, width, width + 32)
+            if settings.scan * beam >= n:
+                away = _square(directions, graph.value.centroids)
+                near = np.argsort(away, 1, kind="stable")
+                away = np.take_along_axis(away, near, 1)
+            else:
+                near, away = graph.value.search(directions, beam, beam + 32)
             least = np.maximum(away[:, 0], 1e-12 * longest**2)
             far = np.maximum(ratio * least, away[:, min(settings.lists, away.shape[1]) - 1]) * (1 + 1e-9)
-            if width == n or (away[:, -1] > far).all():
+            if near.shape[1] >= n or (away[:, -1] > far).all():
                 break
-            width = min(n, 4 * width)
+            beam *= 4
         cells = [np.unique(np.concatenate([np.arange(first[i], first[i] + blocks[i]) for i in row[d <= f]])).tolist() for row, d, f in zip(near, away, far, strict=True)]
         return {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "far": far.tolist(), "cells": cells}
 

@@ -34,9 +34,9 @@ def test_top_k_against_all_products(spark, vectors, tree, block):
         assert sorted(found) == [(n + 1, i, score[i]) for n, i in enumerate(order)]
 
 
-def test_neighbours_recall(spark, vectors):
+@pytest.mark.parametrize("settings", [ann.Settings(list_size=32, lists=24, block=64), ann.Settings(list_size=16, lists=2, scan=1)])
+def test_neighbours_recall(spark, vectors, settings):
     df = _frame(spark, vectors + [(1500, [0.0] * 16)])
-    settings = ann.Settings(list_size=32, lists=24, block=64)
     found = ann.nearest(df, F.col("vec_id") % 20 == 0, 20, settings=settings).collect()
     whole = np.array([v for _, v in vectors], np.float64)
     got = {}
