@@ -720,7 +720,7 @@ def migrate_first_update(t: Inputs) -> DataFrame:
     return migrate.migrate_table(rows.filter(F.col("Id") % 3 == 0), _CUSTOMER, root, update)
 
 
-_CRM = TableSpec(
+_CRM_ACCOUNT = TableSpec(
     "Account",
     "salesforce",
     columns=(
@@ -752,9 +752,9 @@ def migrate_to_crm(t: Inputs) -> DataFrame:
     root = _folder(t, "crm")
     spec = TableSpec("SF_Account", "oracle")
     settings = migrate.Settings(source_system="oracle", target_system="salesforce", action="insert", clear_marker="#N/A", buckets=16)
-    migrate.migrate_table(_crm_rows(t["accounts"]), spec, root, settings, target=_CRM)
+    migrate.migrate_table(_crm_rows(t["accounts"]), spec, root, settings, target=_CRM_ACCOUNT)
     changes = t.spark.sql(_CHANGED.replace("account_changes", "{c}"), c=t["account_changes"])
-    return migrate.migrate_table(_crm_rows(changes), spec, root, replace(settings, action="upsert"), order="ordinal", target=_CRM)
+    return migrate.migrate_table(_crm_rows(changes), spec, root, replace(settings, action="upsert"), order="ordinal", target=_CRM_ACCOUNT)
 
 
 @query(
