@@ -280,14 +280,15 @@ class KeyedTable(VersionedTable):
     The pointer lists bucket folders. A load reads the buckets of its source's keys, writes them anew
     and switches the pointer; all other folders stay as they are. Rows with a NULL key match
     nothing and are only ever added. There are ``buckets`` folders, whatever the number of rows; choose them so that
-    one bucket is a task's work. A table written without buckets is dealt to buckets by its first keyed load.
+    one bucket is a task's work. Without a number it is that of the table, for a new one the session's shuffle partitions.
+    A table written without buckets is dealt to buckets by its first keyed load.
     """
 
     BUCKET = "_bucket"
     _NO_KEY = -1
     _NO_KEY_FILES = 64
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], buckets: int = 64) -> None:
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], buckets: int | None = None) -> None:
         super().__init__(spark, root)
         _require(keys)
         self.keys, self.buckets = keys, buckets
@@ -312,6 +313,9 @@ class KeyedTable(VersionedTable):
         """Replace the rows of the touched buckets by ``load(rows, source)``, both without NULL keys; then add the keyless rows of ``source``."""
         number, folders = self._latest()
         before = self._open(folders)
+        if self.buckets is None:
+            counts = {f.split("/")[0].rsplit(".", 1)[-1] for f in folders if f"/{self.BUCKET}=" in f}
+            self.buckets = int(counts.pop() if len(counts) == 1 else self.spark.conf.get("spark.sql.shuffle.partitions"))
         kinds = dict(before.dtypes)
         source = source.withColumns({k: F.col(k).cast(kinds[k]) for k in self.keys})
         name = f"{tag or uuid.uuid4().hex}.{self.buckets}"

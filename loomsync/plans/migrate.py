@@ -49,7 +49,7 @@ class Settings:
     keep_rejects: bool = False
     external_key: str | None = None
     clear_marker: str | None = None
-    buckets: int = 64
+    buckets: int | None = None
 
 
 @dataclass(frozen=True)

@@ -110,6 +110,16 @@ def test_a_load_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     assert again.count() == 203 and table.upsert(spark.createDataFrame([(902, "z", 1)], "id bigint, name string, at int"), "at", tag="once").count() == 203
 
 
+def test_the_number_of_buckets_stays(spark, tmp_path):
+    first = loads.KeyedTable(spark, str(tmp_path), ["id"], buckets=3)
+    first.write(spark.createDataFrame([(i, "a") for i in range(9)], "id bigint, name string"))
+    first.upsert(spark.createDataFrame([(1, "b", 1)], "id bigint, name string, at int"), "at")
+    later = loads.KeyedTable(spark, str(tmp_path), ["id"])
+    before = set(later.folders())
+    assert later.upsert(spark.createDataFrame([(2, "c", 1)], "id bigint, name string, at int"), "at").count() == 9
+    assert later.buckets == 3 and len(before & set(later.folders())) == len(before) - 1
+
+
 def test_no_rows_at_all_keep_their_columns(spark, tmp_path):
     table = loads.KeyedTable(spark, str(tmp_path), ["id"], buckets=4)
     empty = spark.createDataFrame([], "id bigint, name string")
