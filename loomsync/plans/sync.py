@@ -31,6 +31,8 @@ ACTIVE, NO_PID, MAIN_PHONE, SYNC_USER = "37", "N/A", 1, "MDM"
 DEFAULT_WINDOW = 50_000
 
 SCAN_BLOCK = 16_384
+# Ids per window up to which combining rows before the shuffle cannot pay.
+SMALL_WINDOW = 16
 
 # The fields of each fingerprint, in its order.
 DEMOGRAPHICS = [
@@ -260,8 +262,12 @@ def _lead(group: str) -> Column:
     ).alias(group)
 
 
-def _steps(rows: DataFrame) -> DataFrame:
-    """One row per pid and window with the step of each group."""
+def _steps(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One row per pid and window with the step of each group.
+
+    ``by`` names the columns of the scan's blocks where windows hold a few ids: rows are then dealt out by these at once,
+    as nothing would be combined before, and neither the steps nor their scan move them again.
+    """
     main_after = fingerprint([F.col("phone"), F.lit(MAIN_PHONE)])
     is_main = F.coalesce(F.col("phone_type_id"), F.lit(MAIN_PHONE)) == MAIN_PHONE
     phone_after = F.when(is_main, main_after).otherwise(_empty(PHONE))
@@ -281,13 +287,17 @@ def _steps(rows: DataFrame) -> DataFrame:
         entry("p", F.col("phone_hash"), phone_after),
         entry("t", triple, triple),
     )
-    keys = ["pid", "window_no", "grp"]
-    long = rows.select("pid", "window_no", F.when(good, F.col("mq_id")).alias("mq_id"), F.inline(entries))
+    window = [*(by or ["pid"]), "window_no"]
+    keys = [*window, "grp"]
+    if by:
+        needed = ["mq_id", "demogr_hash", "address_hash", "phone_hash", "phone", "phone_type_id", "reasons"]
+        rows = rows.select(*window, *needed).repartition(*by)
+    long = rows.select(*window, F.when(good, F.col("mq_id")).alias("mq_id"), F.inline(entries))
     distinct = long.groupBy(*keys, "hash").agg(F.max(F.struct("mq_id", "after")).alias("_top"))
     distinct = distinct.select(*keys, "hash", F.col("_top.mq_id").alias("latest"), F.col("_top.after").alias("after"))
     newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("latest"))
     ranked = distinct.withColumn("rank", F.row_number().over(newest)).filter("rank <= 2")
-    return ranked.groupBy("pid", "window_no").agg(*[_lead(group) for group in "dapt"])
+    return ranked.groupBy(*window).agg(*[_lead(group) for group in "dapt"])
 
 
 def _compose(earlier: Column, later: Column) -> Column:
@@ -308,6 +318,10 @@ def _compose(earlier: Column, later: Column) -> Column:
     return F.when(first["p"].isNull(), later).when(then["p"].isNull(), earlier).otherwise(both)
 
 
+def _in_blocks(rows: DataFrame, block: int) -> DataFrame:
+    return rows if "_block" in rows.columns else rows.withColumn("_block", F.expr(f"window_no div {block}"))
+
+
 def _scan(steps: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
     """Add to each step the composition of all steps before it, as d_prev, a_prev and p_prev.
 
@@ -318,7 +332,7 @@ def _scan(steps: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
     """
     keys = ["pid"]
     if windows > block:
-        steps, keys = steps.withColumn("_block", F.expr(f"window_no div {block}")), ["pid", "_block"]
+        steps, keys = _in_blocks(steps, block), ["pid", "_block"]
     order = Window.partitionBy(*keys).orderBy("window_no")
     distance = 1
     while distance < min(windows, block):
@@ -350,10 +364,16 @@ def _scan(steps: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
     return joined.withColumns(whole).drop("_block", "_d", "_a", "_p")
 
 
-def plan_windows(rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK) -> DataFrame:
-    """Per pid and window: what it starts from and which rows it applies."""
+def plan_windows(
+    rows: DataFrame, known: DataFrame, windows: int, block: int = SCAN_BLOCK, window: int = DEFAULT_WINDOW
+) -> DataFrame:
+    """Per pid and window, of ``window`` ids each: what it starts from and which rows it applies."""
     based = known.withColumnsRenamed({"_d": "d_base", "_a": "a_base", "_p": "p_base"})
-    steps = join_unique(_scan(_steps(rows), windows, block), based, ["pid"], "inner")
+    if windows > block and window <= SMALL_WINDOW:
+        steps = _steps(_in_blocks(rows, block), ["pid", "_block"])
+    else:
+        steps = _steps(rows)
+    steps = join_unique(_scan(steps, windows, block), based, ["pid"], "inner")
     single = F.col("view_rows") == 1
     done: dict[str, Column] = {}
     for g in "dap":
@@ -427,7 +447,7 @@ def resolve(
     number = F.expr(f"(mq_id - {options.start_id}) div {window}")
     # Hashed and checked once: the windows are planned from a few columns of this copy, the rows resolved from all.
     rows = staged(reject_reasons(with_hashes(waiting), references, options.widths).withColumn("window_no", number), "checked")
-    plan = staged(plan_windows(rows, state_by_pid(state), windows, options.scan_block), "windows")
+    plan = staged(plan_windows(rows, state_by_pid(state), windows, options.scan_block, window), "windows")
     joined = join_unique(rows, _with_new_ids(plan, state), ["pid", "window_no"])
     changed = (
         differs(F.col("demogr_hash"), F.col("d_start"))
