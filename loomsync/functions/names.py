@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +27,11 @@ def strip_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` worked out once, however often ``then`` refers to it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def strip_nul(text: Column) -> Column:
     """Remove NUL characters."""
     return F.replace(text, F.char(F.lit(0)), F.lit(""))
@@ -54,14 +59,20 @@ def canonical_identifier(
     ``strict`` is set.
     """
     lead = prefix.rstrip("_") if force_prefix else prefix
-    digit_lead = f"{lead}_" if force_prefix else "C_"
-    escape = f"$1_{suffix}" if force_suffix and not force_prefix else f"{lead}_$1"
-    words = "|".join(sorted(reserved))
-    # Each step refers to the one before once, so the expression stays small.
-    word = F.upper(F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9_]+", "_"), r"^_+|_+\z", ""))
-    word = F.regexp_replace(word, r"^([0-9])", f"{digit_lead}$1")
-    word = F.regexp_replace(word, rf"^({words})\z", escape) if words else word
-    word = F.nullif(F.regexp_replace(F.substring(word, 1, max_length), r"_+\z", ""), F.lit(""))
+    digit_lead = F.lit(f"{lead}_" if force_prefix else "C_")
+    words = sorted(reserved)
+
+    def led(word: Column) -> Column:
+        return F.when(F.substring(word, 1, 1).between("0", "9"), F.concat(digit_lead, word)).otherwise(word)
+
+    def escaped(word: Column) -> Column:
+        other = F.concat(word, F.lit(f"_{suffix}")) if force_suffix and not force_prefix else F.concat(F.lit(f"{lead}_"), word)
+        return F.when(word.isin(words), other).otherwise(word)
+
+    # One pattern only, and no list of words in it: patterns take most of the time where names are many.
+    word = _once(F.btrim(F.upper(F.regexp_replace(name, r"[^A-Za-z0-9_]+", "_")), F.lit("_")), led)
+    word = _once(word, escaped) if words else word
+    word = _once(F.rtrim(F.substring(word, 1, max_length), F.lit("_")), lambda w: F.when(w != "", w))
     if not strict:
         return word
     failure = F.raise_error(F.concat(F.lit("no identifier can be made from: "), F.coalesce(name, F.lit("NULL"))))

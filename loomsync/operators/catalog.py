@@ -418,12 +418,14 @@ def rename_map(source: DataFrame, target: DataFrame) -> DataFrame:
     """
     of = _of_table(source, target)
     canon = canonical_identifier(F.col("column_name"))
+    # A name without an identifier meets nothing: its key differs between the sides and is no identifier. A key that
+    # may be NULL would be tested below whatever the columns come from, identifiers worked out there a second time.
     by_canon = (
-        target.select(*of, canon.alias("_canon"), "column_name", "ordinal")
+        target.select(*of, F.coalesce(canon, F.lit(" ")).alias("_canon"), "column_name", "ordinal")
         .groupBy(*of, "_canon")
         .agg(F.max_by("column_name", "ordinal").alias("target_column"))
     )
-    named = source.select(*of, canon.alias("_canon"), F.col("column_name").alias("source_column"))
+    named = source.select(*of, F.coalesce(canon, F.lit("")).alias("_canon"), F.col("column_name").alias("source_column"))
     return named.join(by_canon, [*of, "_canon"]).select(*of, "source_column", "target_column")
 
 
