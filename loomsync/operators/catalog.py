@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsync.functions.names import canonical_identifier
+from loomsync.operators.joins import left_join_sparse
 
 MAX_TEXT = 4000
 GROWTH = 50
@@ -276,8 +277,10 @@ def constraint_listing(
         text = text.when(F.col("constraint_type") == code, words)
     text = text.otherwise(F.concat(F.lit("UNKNOWN ("), F.col("constraint_type"), F.lit(")")))
     return (
-        con.join(col, ["owner", "constraint_name"])
-        .join(ref, ["r_owner", "r_constraint_name", "position"], "left")
+        left_join_sparse(
+            con.join(col, ["owner", "constraint_name"]), ref, ["r_owner", "r_constraint_name", "position"],
+            ["owner", "constraint_name", "column_name"],
+        )
         .withColumn("constraint_type_desc", text)
     )
 

@@ -34,6 +34,22 @@ def left_join_many(one: DataFrame, many: DataFrame, keys: list[str], known: Data
     return one.join(right, same, "inner").drop(*[f"_right_{k}" for k in keys])
 
 
+def left_join_sparse(left: DataFrame, right: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Left join whose left side has no value in some key of most rows, as references have.
+
+    Such rows match nothing but would all meet in one partition. A further key, a hash of the others, deals them out
+    by their columns ``by`` instead.
+    """
+    kinds = dict(right.dtypes)
+    hashed = [k for k, kind in left.dtypes if k in keys and kinds[k] == kind and kind in ("string", "int", "bigint", "date")]
+    if not hashed:
+        return left.join(right, keys, "left")
+    place = F.xxhash64(*hashed)
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    dealt = left.withColumn("_place", F.when(whole, place).otherwise(F.xxhash64(*by)))
+    return dealt.join(right.withColumn("_place", place), [*keys, "_place"], "left").drop("_place")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Row with the highest ``order`` of every key.
 
