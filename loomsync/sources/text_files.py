@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -208,28 +207,33 @@ def csv_bytes(rows: DataFrame, delimiter: str = "COMMA", line_ending: str = "LF"
 
 def chunk_by_bytes(
     rows: DataFrame, order_by: list[str], max_records: int, max_bytes: int = MAX_FILE_BYTES, name: str = "chunk",
-    delimiter: str = "COMMA", line_ending: str = "LF",
+    delimiter: str = "COMMA", line_ending: str = "LF", columns: list[str] | None = None,
 ) -> DataFrame:
     """Chunk label of every row so that no chunk, as a CSV file with a header, exceeds either limit.
 
+    ``columns`` are those to give back, all by default; what is neither among them nor ordered by is measured and left out
+    before rows are moved.
+
     Rows are range-partitioned by a total order and cut greedily inside each
     partition; a partition boundary always starts a chunk. A row longer than a file is a chunk of its own.
     """
     measured = rows.withColumn("_bytes", csv_bytes(rows, delimiter, line_ending))
     header = len(DELIMITERS[delimiter].join(rows.columns).encode()) + len(LINE_ENDINGS[line_ending])
-    ordered = measured.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    schema = T.StructType([*measured.schema.fields, T.StructField(name, T.StringType())])
+    kept = rows.columns if columns is None else columns
+    narrow = measured.select(*[c for c in rows.columns if c in kept or c in order_by], "_bytes")
+    ordered = narrow.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    schema = T.StructType([*narrow.schema.fields, T.StructField(name, T.StringType())])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held, held_bytes = TaskContext.get().partitionId(), 0, 0, header
         for batch in batches:
             labels = []
-            for row_bytes in batch["_bytes"]:
+            for row_bytes in batch.column("_bytes").to_pylist():
                 if held and (held + 1 > max_records or held_bytes + row_bytes > max_bytes):
                     number, held, held_bytes = number + 1, 0, header
                 held, held_bytes = held + 1, held_bytes + row_bytes
                 labels.append(f"{part}-{number}")
-            batch[name] = labels
-            yield batch
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string())], names=[*batch.schema.names, name])
 
-    return ordered.mapInPandas(cut, schema)
+    labelled = ordered.mapInArrow(cut, schema)
+    return labelled.select(*[f"`{c}`" for c in kept], "_bytes", name)

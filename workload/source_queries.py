@@ -159,7 +159,7 @@ query(
 
 @query("S11_chunk_by_bytes", "SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS broken_chunks FROM documents")
 def chunk_by_bytes(t: Inputs) -> DataFrame:
-    chunks = text_files.chunk_by_bytes(t["documents"], ["doc_id"], 40, 200_000)
+    chunks = text_files.chunk_by_bytes(t["documents"], ["doc_id"], 40, 200_000, columns=["doc_id"])
     per_chunk = chunks.groupBy("chunk").agg(F.count("*").alias("n"), F.sum("_bytes").alias("b"))
     broken = (F.col("n") > 40) | ((F.col("b") > 200_000) & (F.col("n") > 1))
     return per_chunk.agg(F.sum("n").alias("total_rows"), F.count_if(broken).alias("broken_chunks"))
@@ -183,7 +183,7 @@ _DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 def line_bytes(t: Inputs) -> DataFrame:
     """Size of every line, and whether the file of its chunk is within the limit."""
     limit = 60_000
-    chunks = text_files.chunk_by_bytes(t["documents"].select(*_DOCUMENT), ["doc_id"], 40, limit)
+    chunks = text_files.chunk_by_bytes(t["documents"].select(*_DOCUMENT), ["doc_id"], 40, limit, columns=["doc_id"])
     header = len(",".join(_DOCUMENT)) + 1
     sizes = chunks.groupBy("chunk").agg(((F.sum("_bytes") + header <= limit) | (F.count("*") == 1)).alias("fits"))
     return chunks.join(sizes, "chunk").select("doc_id", F.col("_bytes").alias("line_bytes"), "fits")
