@@ -72,6 +72,8 @@ def run_stream(
         for table in tables.values():
             if table.exists() and table.depth() >= compact_after:
                 table.compact(batch_id)
+        # A file may hold one row group, and a single task would hash, check and combine all of its rows.
+        batch = batch.repartition("mq_id")
         before = sync.State(**{n: tb.read(batch_id) if tb.exists() else None for n, tb in tables.items()})
         outcome = sync.sync_batch(batch, before, references, options)
         if outcome is None:

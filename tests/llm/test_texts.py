@@ -280,3 +280,13 @@ def test_toxicity_finds_the_word_that_decides(spark, empty):
 def test_registered_queries_are_whole():
     assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(registry.ORACLE) <= set(registry.QUERIES)
+
+
+def test_toxicity_fit_holds_features_of_few_texts(monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": [f"bad word{i % 9}" if i % 2 else f"good word{i % 9}" for i in range(1000)], "label": [float(i % 2) for i in range(1000)]})
+    texts, features = [], toxicity.features
+    monkeypatch.setattr(toxicity, "features", lambda t: texts.append(len(t)) or features(t))
+    (whole,), (cut,) = toxicity._fit(iter([batch]), toxicity.Rates()), toxicity._fit(iter([batch.slice(0, 300), batch.slice(300)]), toxicity.Rates())
+    assert max(texts) <= 200 and sum(texts) == 2000 and whole.equals(cut) and whole.num_rows > 2

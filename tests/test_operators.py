@@ -275,3 +275,33 @@ def test_bad_cells_stop_or_stay_beside(spark, tmp_path):
     kept = migrate.migrate_table(rows, spec, str(tmp_path), migrate.Settings(keep_rejects=True))
     assert kept.filter("DAY IS NULL").count() == 1
     assert loads.VersionedTable(spark, f"{tmp_path}/SF_Event_rejects").read().count() == 1
+
+
+def test_sparse_left_join_deals_rows_without_a_key(spark):
+    left = spark.createDataFrame([(i, None if i % 4 else f"k{i % 8}", None if i % 7 == 0 else 1) for i in range(400)], "id long, k string, at int")
+    right = spark.createDataFrame([("k0", 1, "a"), ("k0", 1, "b"), (None, 1, "c"), ("k4", None, "d"), (None, None, "e")], "k string, at int, v string")
+    joined = joins.left_join_sparse(left, right, ["k", "at"], ["id"])
+    assert joined.columns == left.join(right, ["k", "at"], "left").columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, left.join(right, ["k", "at"], "left").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = joins.left_join_sparse(left, right, ["k", "at"], ["id"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(r["count"] for r in sizes) < 220  # 314 rows lack a key
+
+
+def test_rename_map_leaves_names_without_an_identifier(spark):
+    source = spark.createDataFrame([("T", "***"), ("T", None), ("T", "a b"), (None, "a b"), ("T", "9x")], "table_name string, column_name string")
+    target = spark.createDataFrame([("T", "!!", 1), ("T", None, 2), ("T", "A_B", 3), ("T", "A__B", 4), (None, "A_B", 5), ("T", "C_9X", 6)], "table_name string, column_name string, ordinal long")
+    assert rows_of(catalog.rename_map(source, target)) == [("T", "9x", "C_9X"), ("T", "a b", "A_B")]
+
+
+def test_catalog_columns_are_the_same_rows(spark):
+    from workload import inputs
+
+    lines = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1), (5, None), (5, None), (None, None), (12, 4)], "l_orderkey long, l_linenumber int")
+    made = [sorted(map(str, spark.sql(text["cat_columns"], lineitem=lines).collect())) for text in (inputs.DERIVED, inputs.SPARK_FORM)]
+    assert made[0] == made[1] and len(made[0]) == 6

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from loomsync.functions import cells, masking
 from loomsync.operators import catalog, joins
 from loomsync.plans import sync
-from loomsync.sources import tables
+from loomsync.sources import tables, text_files
 from loomsync.spec import ColumnSpec, TableSpec
 from workload.inputs import Inputs
 
@@ -72,3 +72,42 @@ def test_numbers_need_few_patterns(spark):
     spec = TableSpec("T", columns=(ColumnSpec("a", "NUMBER", "float"), ColumnSpec("b", "NUMBER", "integer", precision=9, scale=0)))
     text = cells.normalize_frame(rows, spec)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("(?U)^") <= 6 and text.count("transform") == 1
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_identifiers_are_worked_out_once_per_side(spark):
+    t = Inputs(spark, FOLDER)
+    named = t["cat_columns"].select("table_name", "column_name", F.col("column_id").alias("ordinal"))
+    text = optimized(catalog.rename_map(named.drop("ordinal"), named))
+    assert text.count("regexp_replace") == 2 and "ACCESS|ADD" not in text
+
+
+def test_catalog_columns_are_made_distinct_by_their_keys(spark):
+    assert optimized(Inputs(spark, FOLDER)["cat_columns"]).count("Aggregate [l_orderkey") == 1
+
+
+def test_drift_steps_are_columns_before_the_array(spark):
+    t = Inputs(spark, FOLDER)
+    text = optimized(catalog.schema_drift(t["desired_columns"], t["cat_columns"]))
+    assert "array(_step0" in text
+
+
+def test_small_windows_are_shuffled_once(spark):
+    t = Inputs(spark, FOLDER)
+    rows = sync.reject_reasons(sync.with_hashes(t["inbound"]), {}).withColumn("window_no", F.col("mq_id") % 40)
+    dealt = sync._steps(sync._in_blocks(rows, 8), ["pid", "_block"])
+    before, after = plan(dealt).split("REPARTITION_BY_COL")
+    assert before.count("Exchange") == 1 and "Exchange hashpartitioning(pid" in before and "Window" in before
+    assert sorted(dealt.drop("_block").collect(), key=str) == sorted(sync._steps(rows).collect(), key=str)
+
+
+def test_chunks_by_bytes_move_only_what_is_wanted(spark):
+    rows = spark.createDataFrame([(i, "x" * (i % 7) + '"') for i in range(200)], "id long, text string").repartition(3)
+    whole = text_files.chunk_by_bytes(rows, ["id"], 30, 400)
+    narrow = text_files.chunk_by_bytes(rows, ["id"], 30, 400, columns=["id"])
+    assert narrow.columns == ["id", "_bytes", "chunk"] and whole.columns == ["id", "text", "_bytes", "chunk"]
+    assert sorted(narrow.collect()) == sorted(whole.drop("text").collect())
+    assert "MapInArrow" in plan(narrow) and "text#" not in plan(narrow).split("MapInArrow")[1].split("Exchange")[0]

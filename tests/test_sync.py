@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from loomsync.plans import sync
@@ -276,3 +277,14 @@ def test_current_state_fans_out(spark):
     assert Counter(r["pid"] for r in rows)["P1"] == 2
     assert {r["pid"] for r in rows}.isdisjoint({"N/A", "P4"})
     assert {r["gender"] for r in rows if r["gender_id"] == 21} <= {None}
+
+
+def test_stream_spreads_a_file(spark, tmp_path, monkeypatch):
+    """Rows of one file are dealt out before a batch is worked on."""
+    frame(spark, make_inbound(random.Random(3), 20), INBOUND).coalesce(1).write.parquet(f"{tmp_path}/staging")
+    plans = []
+    monkeypatch.setattr(sync, "sync_batch", lambda batch, *a: plans.append(batch._jdf.queryExecution().optimizedPlan().toString()))
+    empty = sync.State(*[spark.createDataFrame([(1,)], "member_id long") for _ in range(3)])
+    with pytest.raises(AnalysisException):  # no batch is kept
+        run_stream(spark, f"{tmp_path}/staging", f"{tmp_path}/out", empty, {})
+    assert len(plans) == 1 and "RepartitionByExpression [mq_id" in plans[0]
