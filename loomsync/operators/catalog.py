@@ -319,7 +319,9 @@ def immutable_constraints(constraints: DataFrame) -> DataFrame:
 
 def bare_type(raw: Column) -> Column:
     """Catalog type without its bracketed number."""
-    return F.upper(F.trim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"\(\s*\d+\s*\)", "")))
+    text = F.coalesce(raw, F.lit(""))
+    plain = F.when(F.contains(text, F.lit("(")), F.regexp_replace(text, r"\(\s*\d+\s*\)", "")).otherwise(text)
+    return F.upper(F.trim(plain))
 
 
 def _of_table(one: DataFrame, other: DataFrame) -> list[str]:
@@ -355,14 +357,16 @@ def schema_drift(desired: DataFrame, actual: DataFrame, *, enforce: bool = True)
     there = F.col("_there").isNotNull()
     retype = ~F.coalesce(text, F.lit(False)) & (F.upper("raw_type") != bare_type(F.col("_type")))
     null_moves = F.col("is_nullable") != F.col("_nullable")
-    steps = F.array(
+    steps = [
         F.when(~there, action("ADD", F.col("raw_type"))),
         F.when(there & text & (required > F.col("_length")), action("WIDEN", grown)),
         F.when(there & retype, action("MODIFY TYPE", F.col("raw_type"))),
         F.when(there & null_moves & F.col("is_nullable"), action("NULL", nothing)),
         F.when(there & null_moves & ~F.col("is_nullable") & F.lit(enforce), action("NOT NULL", nothing)),
-    )
-    return both.select(*of, "column_name", F.inline(F.array_compact(steps)))
+    ]
+    # As columns first, which compiled code fills; inside the array everything would be interpreted row by row.
+    tried = both.select(*of, "column_name", *[step.alias(f"_step{k}") for k, step in enumerate(steps)])
+    return tried.select(*of, "column_name", F.inline(F.array_compact(F.array(*[f"_step{k}" for k in range(len(steps))]))))
 
 
 def measures(df: DataFrame) -> dict[str, Column]:
