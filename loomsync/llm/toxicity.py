@@ -22,6 +22,8 @@ BITS = 20
 #: Labelled rows that the model is fitted on, at most; a sample by hash where there are more.
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
+#: Texts whose features are worked out at a time in the fit; bounds its memory.
+FIT_BATCH = 200
 
 _BREAKS = np.ones(256, bool)
 _BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -55,17 +57,20 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 def _fit(batches: Iterator[pa.RecordBatch], rates: Rates) -> Iterator[pa.RecordBatch]:
     """Weights other than zero, from all rows ``text, label`` in the given order; -1 is the bias."""
-    rows, labels = [], []
-    for batch in batches:
+    size = (1 << BITS) + 1
+    rows, labels, seen = [], [], np.zeros(size, np.int32)
+    for batch in (b.slice(at, FIT_BATCH) for b in batches for at in range(0, b.num_rows, FIT_BATCH)):
         index, owner = features(_texts(batch.column("text")))
         pairs = np.unique(owner << BITS | index)
         edges = np.searchsorted(pairs >> BITS, np.arange(batch.num_rows + 1))
         index = (pairs & ((1 << BITS) - 1)).astype(np.int32)
         rows += [index[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        np.add.at(seen, index, 1)
         labels += batch.column("label").to_pylist()
-    size = (1 << BITS) + 1
-    held = np.bincount(np.concatenate([*rows, np.empty(0, np.int32)]), minlength=size) >= rates.least_rows
-    rows = [row[held[row]] for row in rows]
+    held = seen >= rates.least_rows
+    # In place, so that a batch's features go as soon as its last row is cut.
+    for at, row in enumerate(rows):
+        rows[at] = row[held[row]]
     z, n = np.zeros(size), np.zeros(size)
     bias = np.array([size - 1])
 
