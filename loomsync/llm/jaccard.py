@@ -49,6 +49,8 @@ LOCAL = 3
 #: Prefix shingles in one bucket of the root regions; shingles in one bucket of the count of classes.
 BUCKET = 1 << 21
 CELL = 1 << 22
+#: Parts in which the shingles of a bucket are sorted.
+PARTS = 8
 #: Rows of 64 bits that tell which documents are in clusters; bounds their broadcast.
 WORDS = 1 << 19
 #: Place of the common shingles in the order of all.
@@ -207,6 +209,13 @@ def _prefix(n: int, threshold: Fraction) -> int:
     return n - -(-threshold.numerator * n // threshold.denominator) + 1
 
 
+def _parts(token: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the 32-bit hashes ``token`` by ``PARTS`` ranges of their values, which bounds the memory of sorting them."""
+    width = (1 << 32) // PARTS
+    for low in range(0, 1 << 32, width):
+        yield np.flatnonzero((token >= low) & (token <= low + width - 1))
+
+
 def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``cid, n, rare, bucket, marked`` rows: the shingles of a bucket that several classes hold.
 
@@ -222,8 +231,10 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[np.unique(cid, return_index=True)[1]] = True  # a class that several batches sent counts once
         token, cid, n, rare, count = token[np.repeat(new, count)], cid[new], n[new], rare[new], count[new]
         if at >= 0:
-            _, inverse, classes = np.unique(token, return_inverse=True, return_counts=True)
-            level = np.minimum(np.frexp(classes)[1] - 1, COMMON_LEVEL - 1).astype(np.uint8)[inverse]
+            level = np.empty(len(token), np.uint8)
+            for part in _parts(token):
+                _, inverse, classes = np.unique(token[part], return_inverse=True, return_counts=True)
+                level[part] = np.minimum(np.frexp(classes)[1] - 1, COMMON_LEVEL - 1).astype(np.uint8)[inverse]
         else:
             level = np.full(len(token), COMMON_LEVEL, np.uint8)
         shared = level > 0
@@ -339,10 +350,7 @@ def _regions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator
     held: list[tuple] = []
     at = None
 
-    def close() -> Iterator[pa.RecordBatch]:
-        token, cid, n, count = (np.frombuffer(b"".join(r[i] for r in held), t) for i, t in ((1, np.uint32), (2, np.int64), (3, np.uint32), (4, np.uint32)))
-        cid, n = np.repeat(cid, count), np.repeat(n, count)
-        held.clear()
+    def regions(token: np.ndarray, cid: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
         early, token = token & 1 > 0, token >> 1
         order = np.lexsort((~early, cid, n, token))
         token, cid, n, early = token[order], cid[order], n[order].astype(np.int64), early[order]
@@ -354,13 +362,20 @@ def _regions(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator
         opens[1:] = (token[1:] != token[:-1]) | (n[:-1] * threshold.denominator < n[1:] * threshold.numerator)
         first = np.flatnonzero(opens)
         count = np.diff(np.append(first, len(token)))
-        known: dict[int, np.ndarray] = {}
         served = (count > 2) | (count == 2) & (early[first] | early[np.minimum(first + 1, len(n) - 1)] & (n[first] == n[np.minimum(first + 1, len(n) - 1)]))
         for a, m in zip(first[served].tolist(), count[served].tolist(), strict=True):
             members = cid[a : a + m] if m == 2 else cid[a : a + m][_fitting(n[a : a + m], early[a : a + m], threshold)]
-            if len(members) < 2:
-                continue
-            known.setdefault(int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)), members)
+            if len(members) > 1:
+                yield members
+
+    def close() -> Iterator[pa.RecordBatch]:
+        token, cid, n, count = (np.frombuffer(b"".join(r[i] for r in held), t) for i, t in ((1, np.uint32), (2, np.int64), (3, np.uint32), (4, np.uint32)))
+        held.clear()
+        owner = np.repeat(np.arange(len(cid), dtype=np.int32), count)
+        known: dict[int, np.ndarray] = {}
+        for part in _parts(token):
+            for members in regions(token[part], cid[owner[part]], n[owner[part]]):
+                known.setdefault(int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)), members)
         if known:
             rid = np.repeat(np.array(list(known), np.int64), [len(m) for m in known.values()])
             yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(np.concatenate(list(known.values())))], ["rid", "cid"])

@@ -114,12 +114,12 @@ def score(docs: DataFrame, weights: list[tuple[int, float]], text: str = "text",
     """
     docs = docs.drop(score)
     names = docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    index, value = (np.array([w[i] for w in weights], kind) for i, kind in ((0, np.int64), (1, np.float64)))
+    shared = docs.sparkSession.sparkContext.broadcast((index, value))
 
     def run(batch: pa.RecordBatch) -> dict:
         dense = np.zeros((1 << BITS) + 1)  # the last one, feature -1, is the bias
-        for feature, weight in shared.value:
-            dense[feature] = weight
+        dense[shared.value[0]] = shared.value[1]
         index, owner = features(_texts(batch.column(text)))
         hit = np.flatnonzero(dense[index])
         pairs = np.unique(owner[hit] << BITS | index[hit])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes of texts that are hashed at once; bounds the memory of a task.
+AT_ONCE = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SYMBOL = np.random.default_rng(20250101).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -21,8 +25,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _portions(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive texts that reach ``AT_ONCE`` bytes with their last one."""
+    at = size = 0
+    for i, text in enumerate(texts, 1):
+        size += len(text) + 1
+        if size >= AT_ONCE:
+            yield at, i
+            at, size = i, 0
+    if at < len(texts) or not texts:
+        yield at, len(texts)
+
+
 def word_hashes(texts: list[bytes], separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the number of the text it comes from."""
+    found = [_word_hashes(texts[a:b], separators, a) for a, b in _portions(texts)]
+    return np.concatenate([h for h, _ in found]), np.concatenate([o for _, o in found])
+
+
+def _word_hashes(texts: list[bytes], separators: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     joined = b" ".join(texts) + b" "
     data = np.frombuffer(joined, np.uint8)
     inside = ~separators[data]
@@ -38,7 +59,7 @@ def word_hashes(texts: list[bytes], separators: np.ndarray = _SPACE) -> tuple[np
     np.multiply.accumulate(back, out=back)
     hashes = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
     bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return hashes, np.searchsorted(bounds, starts, side="right") - 1
+    return hashes, np.searchsorted(bounds, starts, side="right") - 1 + first
 
 
 def shingle_sets(texts: list[bytes], size: int = 5) -> list[np.ndarray]:

@@ -104,3 +104,15 @@ def test_toxic_stage_drops_what_the_query_predicts(spark):
     toxic = {r["doc_id"] for r in registry.QUERIES["op9_toxicity"](spark, SMALL).collect() if r["predicted"]}
     kept = {r["doc_id"] for r in corpus_pipeline.reject_toxic(spark, docs, SMALL).collect()}
     assert kept == {r["doc_id"] for r in docs.select("doc_id").collect()} - toxic
+
+
+def test_repeats_are_cut_and_decoded_in_one_pass(spark):
+    """Two Python passes in one stage are two workers per core, which hold their memory to the end."""
+    passage = " ".join(f"same{i}" for i in range(80))
+    rows = [(1, "é" + passage + " one"), (2, "è" + passage + " two"), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = corpus_pipeline.remove_repeats(spark, docs, SMALL)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and not re.search(r"MapInArrow[^\n]*\n([ :+|-]*Project[^\n]*\n)*[ :+|-]*MapInArrow", plan)
+    # "é" and "è" end in different bytes, so both stay whole; the space after the passage is part of it.
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in kept.collect()) == [(1, "éone", 4), (2, "ètwo", 4), (3, None, None)]

@@ -290,3 +290,37 @@ def test_toxicity_fit_holds_features_of_few_texts(monkeypatch):
     monkeypatch.setattr(toxicity, "features", lambda t: texts.append(len(t)) or features(t))
     (whole,), (cut,) = toxicity._fit(iter([batch]), toxicity.Rates()), toxicity._fit(iter([batch.slice(0, 300), batch.slice(300)]), toxicity.Rates())
     assert max(texts) <= 200 and sum(texts) == 2000 and whole.equals(cut) and whole.num_rows > 2
+
+
+def test_words_of_many_texts_take_little_memory(monkeypatch):
+    import tracemalloc
+
+    from loomsync.llm import words
+
+    texts = [" ".join(f"w{i * k % 997}" for k in range(600)).encode() for i in range(1000)] + [b"", b" "]
+    tracemalloc.start()
+    hashes, owner = words.word_hashes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(hashes) == 600_000 and peak < 40e6
+    monkeypatch.setattr(words, "AT_ONCE", 1 << 30)
+    for a, b in zip(words.word_hashes(texts), (hashes, owner), strict=True):
+        assert np.array_equal(a, b)
+    assert [len(x) for x in words.word_hashes([])] == [0, 0]
+
+
+def test_levels_and_regions_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 32, 40, dtype=np.uint32) // (1 << 26) * (1 << 26) + 1) for _ in range(60)]
+    row = {"bucket": 3, "tokens": np.concatenate(sets).tobytes(), "cids": np.arange(60).tobytes(), "sizes": np.full(60, 40, np.uint32).tobytes(), "rares": np.full(60, 40, np.uint32).tobytes()}
+    row["counts"] = np.array([len(s) for s in sets], np.uint32).tobytes()
+    sent = pa.RecordBatch.from_pylist([row])
+    packed = sent.select(["bucket", "tokens", "cids", "sizes", "counts"])
+    found = []
+    for parts in (1, 8):
+        monkeypatch.setattr(jaccard, "PARTS", parts, raising=False)
+        regions = [r for b in jaccard._regions(iter([packed]), jaccard.THRESHOLD) for r in b.to_pylist()]
+        found.append(([b.to_pylist() for b in jaccard._levels(iter([sent]))], regions))
+    assert found[0] == found[1] and found[0][1]
